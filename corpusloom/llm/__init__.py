@@ -8,14 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import near_dup
+    from . import chat, decontamination, near_dup, token_counts, toxicity
 
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op3_token_counts": token_counts.op3_token_counts,
+        "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
         "op5_minhash_near_dedup": near_dup.op5_minhash_near_dedup,
+        "op9_chat_formatting": chat.op9_chat_formatting,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import near_dup
+    from . import chat, decontamination, near_dup
 
-    return {"op5_minhash_near_dedup": near_dup.ORACLE}
+    return {
+        "op4_benchmark_decontamination": decontamination.ORACLE,
+        "op5_minhash_near_dedup": near_dup.ORACLE,
+        "op9_chat_formatting": chat.ORACLE,
+    }
