@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import chat, decontamination, near_dup, token_counts, toxicity
+    from . import chat, decontamination, mixing, near_dup, suffix_dedup, token_counts, toxicity
 
     return {
         "op1_toxicity": toxicity.op1_toxicity,
+        "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
         "op5_minhash_near_dedup": near_dup.op5_minhash_near_dedup,
+        "op8_source_mixing": mixing.op8_source_mixing,
         "op9_chat_formatting": chat.op9_chat_formatting,
     }
 

@@ -15,16 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder, which a lost executor does not take along.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which the whole cluster shares.
 
-    The folder is the session's ``spark.checkpoint.dir``; a local one is set
-    only where none is given, as in tests on one machine.
+    A local folder is set only where none is given, as in tests on one machine.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         given = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(given or tempfile.mkdtemp(prefix="corpusloom-"))
+    return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Materialised in the shared folder, where a lost executor takes nothing along."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
