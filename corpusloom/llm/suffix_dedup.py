@@ -274,8 +274,9 @@ def cut(data: bytes, starts: list[int], ends: list[int]) -> tuple[bytes, int, in
     return b"".join(kept), removed, spans
 
 
-def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``docs`` with kept (binary), n_bytes, n_removed, n_spans.
+def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False) -> DataFrame:
+    """``docs`` with kept, n_bytes, n_removed, n_spans; kept is binary, or else text without the
+    bytes of characters that a cut has split.
 
     Every byte covered by a string of ``least`` bytes that also starts anywhere
     else in the table goes, in all places, judged on the input.  Null and
@@ -300,7 +301,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in names),
-                    pa.array([k for k, _, _ in got], pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") for k, _, _ in got], pa.string()) if as_text else pa.array([k for k, _, _ in got], pa.binary()),
                     pa.array([len(k) + r for k, r, _ in got], pa.int64()),
                     pa.array([r for _, r, _ in got], pa.int64()),
                     pa.array([s for _, _, s in got], pa.int64()),
@@ -308,7 +309,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 [*names, "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "kept binary, n_bytes long, n_removed long, n_spans long"])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long"])
     return both.mapInArrow(batches, schema)
 
 
@@ -322,15 +323,12 @@ STAGE_LEAST = 250
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; those of which nothing is left go.
-
-    A cut may fall inside a character; the bytes left of such characters go too.
-    """
-    out = without_repeats(docs, STAGE_LEAST)
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.expr("decode(kept, 'UTF-8')"))
+    """Documents without their repeated passages; those of which nothing is left go."""
+    out = without_repeats(docs, STAGE_LEAST, as_text=True)
+    touched = F.col("n_removed") > 0
     return (
-        out.withColumn("text", text)
-        .withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-        .where("n_removed = 0 or octet_length(kept) > 0")
+        out.withColumn("text", F.when(touched, F.col("kept")).otherwise(F.col("text")))
+        .withColumn("n_chars", F.when(touched, F.length("kept").cast("long")).otherwise(F.col("n_chars")))
+        .where("n_removed = 0 or kept <> ''")
         .select(docs.columns)
     )
