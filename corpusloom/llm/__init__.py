@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import chat, decontamination, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity
+    from . import chat, decontamination, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity
 
     return {
         "op1_toxicity": toxicity.op1_toxicity,
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash_near_dedup": near_dup.op5_minhash_near_dedup,
         "op7_lz_fingerprint": lz_fingerprint.op7_lz_fingerprint,
         "op8_source_mixing": mixing.op8_source_mixing,
+        "op10_lattice_lm": lattice_lm.op10_lattice_lm,
         "op9_chat_formatting": chat.op9_chat_formatting,
     }
 

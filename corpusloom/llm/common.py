@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +74,43 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         now = durable(small.distinct())
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(now.select("v", "v").distinct())
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: smaller than a checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: Bits of a key filter: 8 MB, whatever the number of keys.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys: DataFrame, column: str):
+    """A broadcast bitmap that has the bit of every key set.
+
+    It spares a shuffle the rows that cannot match.  Its size is fixed; with
+    very many keys it lets more rows through, and never stops one that matches.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    words = (
+        keys.select(F.shiftright(bit, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({column}), 64) as int))").alias("b"))
+        .groupBy("w")
+        .agg(F.bit_or("b").alias("b"))
+        .toArrow()
+    )  # at most FILTER_BITS / 64 rows
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
+def may_match(column: str, bits):
+    """Whether the filter lets a key through."""
+
+    @F.pandas_udf("boolean")
+    def test(bit: pd.Series) -> pd.Series:
+        at = bit.to_numpy()
+        return pd.Series((bits.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return test(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
