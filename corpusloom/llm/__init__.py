@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import chat, decontamination, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity
+    from . import chat, decontamination, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity
 
     return {
         "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": token_counts.op3_token_counts,
         "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
         "op5_minhash_near_dedup": near_dup.op5_minhash_near_dedup,
+        "op6_html_extraction": html_extract.op6_html_extraction,
         "op7_lz_fingerprint": lz_fingerprint.op7_lz_fingerprint,
         "op8_source_mixing": mixing.op8_source_mixing,
         "op10_lattice_lm": lattice_lm.op10_lattice_lm,
