@@ -23,7 +23,7 @@ def query(sql: str):
 
 # Events ---------------------------------------------------------------------
 
-@query("""with g as (select event_id, user_id, date_diff('second', lag(ts) over (partition by user_id order by ts, event_id), ts) as gap from events)
+@query("""with g as (select event_id, user_id, date_sub('second', lag(ts) over (partition by user_id order by ts, event_id), ts) as gap from events)
   select event_id, user_id, coalesce(gap, -1)::bigint as gap_s, case when gap >= 86400 then 'timeout' when gap >= 21600 then 'warn' else 'active' end as state from g""")
 def idle_gaps(spark, sf_dir):
     out = records.idle_gaps(load(spark, sf_dir, "events"), "user_id", "ts", 21600, 86400, "event_id")
@@ -54,12 +54,12 @@ def error_runs(spark, sf_dir):
     return r.groupBy("user_id").agg(F.count("*").alias("error_runs"), F.max("n").alias("longest"), F.count_if(F.col("n") >= 3).alias("restarts"))
 
 
-@query("""select event_id, user_id, round(avg(value) over w, 6) as mu_so_far, count(*) over w as n_so_far from events
+@query("""select event_id, user_id, round(avg(value) over w, 9) as mu_so_far, count(*) over w as n_so_far from events
   window w as (partition by user_id order by ts, event_id rows between unbounded preceding and current row)""")
 def running_mean(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     ev = load(spark, sf_dir, "events")
-    return ev.select("event_id", "user_id", F.round(F.avg("value").over(w), 6).alias("mu_so_far"), F.count("*").over(w).alias("n_so_far"))
+    return ev.select("event_id", "user_id", F.round(F.avg("value").over(w), 9).alias("mu_so_far"), F.count("*").over(w).alias("n_so_far"))
 
 
 @query("""select event_type, (extract(hour from ts))::bigint as hour, round(arg_max(value, (ts, event_id)), 6) as last_value from events group by all""")
