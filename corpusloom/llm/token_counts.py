@@ -29,9 +29,9 @@ MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 LIMIT = 4096
 #: Chunks kept per Python process before the memory is emptied.
-KEPT = 300_000
-#: Longer chunks are not kept.
-KEPT_CHARS = 64
+KEPT = 500_000
+#: Characters of text handled together, about.
+PORTION = 4_000_000
 
 
 def default_model() -> str:
@@ -52,8 +52,8 @@ class PrefixCounter:
             for i in range(sp.get_piece_size())
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))
         }
-        self.longest = max(map(len, self.score))
-        self.kept: dict[str, tuple[int, ...]] = {}
+        #: Every end of a piece, where the search for pieces that end at a character may go on.
+        self.tails = {p[k:] for p in self.score for k in range(len(p))}
         self.totals: dict[str, int] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
         self._spines: dict[str, tuple[list, list]] = {}
@@ -115,73 +115,108 @@ class PrefixCounter:
         self._pairs[key] = ok
         return ok
 
-    def chunk(self, s: str) -> tuple[int, ...]:
-        """Counts of the prefixes of 1, 2, ... characters of one chunk."""
-        found = self.kept.get(s)
-        if found is not None:
-            return found
-        score, beside, longest = self.score, self._beside, self.longest
-        count, last = [0], [""]
-        for i in range(1, len(s) + 1):
-            for b in range(max(0, i - longest), i):
+    def _extend(self, s: str, count: list[int], last: list[str]) -> None:
+        """Continues the recursion over the rest of a chunk, whose first characters are done."""
+        score, tails, pairs = self.score, self.tails, self._pairs
+        for i in range(len(count), len(s) + 1):
+            fits, b = [], i - 1
+            while b >= 0:
                 p = s[b:i]
-                if p in score and (not b or beside(last[b], p)):
-                    count.append(count[b] + 1)
-                    last.append(p)
+                if p in score:
+                    fits.append(b)
+                elif p not in tails:
                     break
+                b -= 1
+            for b in reversed(fits):
+                p = s[b:i]
+                if b:
+                    beside = pairs.get((last[b], p))
+                    if beside is None:
+                        beside = self._beside(last[b], p)
+                    if not beside:
+                        continue
+                count.append(count[b] + 1)
+                last.append(p)
+                break
             else:
                 p = s[i - 1]
                 count.append(count[i - 1] + (1 if p in score else len(p.encode("utf-8", "surrogatepass"))))
                 last.append(p)
-        out = tuple(count[1:])
-        if len(s) <= KEPT_CHARS:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-                self.totals.clear()
-            self.kept[s] = out
-            self.totals[s] = out[-1]
-        return out
 
-    def chunks(self, text: str | None) -> list[tuple[int, ...]]:
-        if not text:
-            return []
-        kept, chunk = self.kept.get, self.chunk
-        return [kept(c) or chunk(c) for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+    def chunk(self, s: str) -> list[int]:
+        """Counts of the prefixes of 0, 1, 2, ... characters of one chunk."""
+        count, last = [0], [""]
+        self._extend(s, count, last)
+        return count
+
+    def learn(self, chunks: set[str]) -> None:
+        """Puts the totals of the chunks into the memory.
+
+        In sorted order a chunk shares its first characters with the one before,
+        and so that part of the recursion.
+        """
+        if len(self.totals) > KEPT:
+            self.totals.clear()
+        before, count, last = "", [0], [""]
+        for s in sorted(chunks.difference(self.totals)):
+            k, most = 0, min(len(s), len(before))
+            while k < most and s[k] == before[k]:
+                k += 1
+            del count[k + 1 :], last[k + 1 :]
+            self._extend(s, count, last)
+            self.totals[s] = count[-1]
+            before = s
+
+    @staticmethod
+    def chunks(text: str | None) -> list[str]:
+        return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+
+    def count_all(self, texts: list[str | None], limit: int) -> list[tuple[int, int]]:
+        """(tokens, characters of the longest prefix within the limit) of each text."""
+        out: list[tuple[int, int]] = []
+        at = 0
+        while at < len(texts):
+            parts, size = [], 0
+            while at < len(texts) and (not parts or size < PORTION):
+                parts.append((texts[at], self.chunks(texts[at])))
+                size += len(texts[at] or "")
+                at += 1
+            self.learn({c for _, cs in parts for c in cs})
+            for text, cs in parts:
+                sizes = list(map(self.totals.__getitem__, cs))
+                total = sum(sizes)
+                out.append((total, self._fitting(cs, sizes, limit) if total > limit else len(text or "")))
+        return out
 
     def total(self, text: str | None) -> int:
-        if not text:
-            return 0
-        parts = CHUNK.findall(MARK + text.replace(" ", MARK))
-        try:
-            return sum(map(self.totals.__getitem__, parts))
-        except KeyError:
-            return sum([self.totals.get(c) or self.chunk(c)[-1] for c in parts])
+        return self.count_all([text], 1 << 62)[0][0]
 
     def prefixes(self, text: str | None) -> list[int]:
         """The count for each prefix of 0, 1, ..., n characters; the empty one has none."""
-        out, base = [], 0
+        out, base = [0], 0
         for c in self.chunks(text):
-            out.extend([base + k for k in c])
-            base += c[-1]
-        return [0, *out[1:]]
+            counts = self.chunk(c)
+            out.extend([base + k for k in counts[1:]])
+            base += counts[-1]
+        return [0, *out[2:]]  # the mark before the text is no character of it
 
-    def fitting(self, text: str | None, limit: int) -> int:
+    def _fitting(self, cs: list[str], sizes: list[int], limit: int) -> int:
         """Characters of the longest prefix with at most ``limit`` tokens."""
-        parts = self.chunks(text)
-        ends = list(accumulate(c[-1] for c in parts))
-        if not ends or ends[-1] <= limit:
-            return len(text or "")
-        # A prefix that ends inside a chunk may need fewer tokens than the chunk; look at every chunk that begins within the limit.
+        ends = list(accumulate(sizes))
         at = bisect_right(ends, limit)
-        best, begin = 0, sum(map(len, parts[:at])) - 1
-        while at < len(parts) and (ends[at - 1] if at else 0) <= limit:
+        best, begin = 0, sum(map(len, cs[:at])) - 1
+        # A prefix that ends inside a chunk may need fewer tokens than the chunk, so every chunk that begins within the limit counts.
+        while at < len(cs) and (ends[at - 1] if at else 0) <= limit:
             base = ends[at - 1] if at else 0
-            inside = [k + 1 for k, c in enumerate(parts[at]) if base + c <= limit]
-            best = max(best, begin + (inside[-1] if inside else 0))
-            begin += len(parts[at])
+            inside = [k for k, c in enumerate(self.chunk(cs[at])) if base + c <= limit]
+            best = max(best, begin + inside[-1])
+            begin += len(cs[at])
             at += 1
         return max(best, 0)
 
+    def fitting(self, text: str | None, limit: int) -> int:
+        return self.count_all([text], limit)[0][1]
+
 
 @lru_cache(maxsize=2)
 def counter(model: str) -> PrefixCounter:
@@ -201,8 +236,8 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, model: str | None = None)
         c = counter(path)
         for batch in it:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            tokens = [c.total(t) for t in texts]
-            fitting = [c.fitting(t, limit) if k > limit else len(t) for t, k in zip(texts, tokens)]
+            counted = c.count_all(texts, limit)
+            tokens, fitting = [k for k, _ in counted], [n for _, n in counted]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
