@@ -138,6 +138,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def with_tails(it):
         for batch in it:
+            if not len(batch):
+                continue
             id_ = batch.column("doc_id").fill_null(-(1 << 63)).to_numpy()
             at = np.minimum(np.searchsorted(first, id_), len(first) - 1)
             again = np.flatnonzero(first[at] == id_)

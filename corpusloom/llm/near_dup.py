@@ -201,8 +201,8 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
     Null and empty texts have no shingle and link with nothing.  Other columns
-    of ``docs`` are ignored; a doc_id that occurs twice keeps its two rows, and
-    an empty table gives an empty result.  Rows with a null doc_id are left out
+    of ``docs`` are ignored; a doc_id that occurs twice keeps its two rows, which
+    count as one document, and an empty table gives an empty result.  Rows with a null doc_id are left out
     of every component (component_id null, kept true).
     """
     base = durable(signatures(docs, width, coordinates))

@@ -1,0 +1,425 @@
+"""Training-data operators against brute force on small tables, with nulls, empty and long texts,
+repeated rows, empty tables and extra columns."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.llm import (
+    chat, decontamination, hashing, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity,
+)
+from corpusloom.llm.common import connected_components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid long, kept string, word string"
+
+
+def table(spark, rows, schema=SCHEMA):
+    """(doc_id, text) rows with the other columns of documents and some whose names clash with inner ones."""
+    full = [(i, t, "en", f"s{i % 3}" if i is not None else None, None if t is None else len(t), 7, "x", None) for i, t in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["tion", "the", "and", "ber", "ou", "ly", "er"]) + rng.choice(["a", "en", "st", "ing"]) + str(rng.randrange(40)) for _ in range(n))
+
+
+def edited(rng, text, share):
+    return " ".join("zz" + str(rng.randrange(10**6)) if rng.random() < share else w for w in text.split())
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(5)
+    base = [words(rng, rng.choice([3, 8, 60, 150])) for _ in range(25)]
+    rows = list(enumerate(base))
+    for t in base[:12]:
+        for share in (0.0, 0.01, 0.03, 0.08):
+            rows.append((len(rows), edited(rng, t, share)))
+    shared = words(rng, 70)
+    rows += [(len(rows) + k, words(rng, 30) + " " + shared + " " + words(rng, 20)) for k in range(4)]
+    n = len(rows)
+    rows += [(n, None), (n + 1, ""), (n + 2, " \n\t "), (n + 3, "Ünï ß 日本語 😀 " + base[3]), (n + 4, "ab" * 900), (n + 5, words(rng, 6000))]
+    return rows
+
+
+EMPTY = []
+ws = lambda t: (t or "").encode().lower().split()
+
+
+# Near-duplicates ------------------------------------------------------------
+
+def shingles(text, width):
+    w = ws(text)
+    return {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def brute_components(rows, width, percent):
+    sets = {i: shingles(t, width) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(i for i in sets if sets[i])
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+@pytest.mark.parametrize("width, block", [(4, 1024), (5, 2)])
+def test_near_duplicates(spark, corpus, width, block):
+    out = near_dup.near_duplicates(table(spark, corpus), width=width, block=block).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(corpus, width, 80)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+
+
+def test_near_duplicates_edges(spark, corpus):
+    assert near_dup.near_duplicates(table(spark, EMPTY)).count() == 0
+    rows = corpus[3:5] + corpus[3:4] + [(None, corpus[3][1])]
+    out = near_dup.near_duplicates(table(spark, rows)).collect()
+    assert len(out) == 4 and [r["kept"] for r in out if r["doc_id"] is None] == [True]
+
+
+def test_connected_components(spark):
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 460)] + [(999, k) for k in range(500, 560)]
+    out = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    parent = {}
+    for a, b in edges:
+        if a == b:
+            continue
+        group = {x for x in parent if parent[x] in (parent.get(a, a), parent.get(b, b))} | {a, b}
+        low = min(min(group), parent.get(a, a), parent.get(b, b))
+        parent.update({x: low for x in group})
+    assert out == parent
+
+
+# Repeats --------------------------------------------------------------------
+
+def brute_repeats(rows, least):
+    count = Counter()
+    for _, t in rows:
+        b = (t or "").encode()
+        count.update(b[k : k + least] for k in range(len(b) - least + 1))
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - least + 1):
+            if count[b[k : k + least]] > 1:
+                gone[k : k + least] = True
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("least", [400, 120])
+def test_repeated_strings(spark, corpus, least):
+    rows = corpus + corpus[3:4]
+    out = suffix_dedup.without_repeats(table(spark, rows), least)
+    got = out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    assert sorted(map(tuple, got), key=str) == brute_repeats(rows, least)
+
+
+def test_repeats_keep_columns_and_empty_tables(spark, corpus):
+    out = suffix_dedup.without_repeats(table(spark, corpus[:3]), 400)
+    assert {"rid", "word", "source"} <= set(out.columns) and {r["rid"] for r in out.collect()} == {7}
+    assert suffix_dedup.without_repeats(table(spark, EMPTY), 400).count() == 0
+
+
+def test_suffixes_sort_as_bytes_do():
+    rng = random.Random(3)
+    parts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 31))) for _ in range(80)]
+    grid, sizes, sums = suffix_dedup._grid(parts, False)
+    order, reach = suffix_dedup.suffix_sort(sums, grid, sizes, np.arange(len(parts)))
+    assert [parts[k] for k in order] == sorted(parts)
+    common = lambda x, y: next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
+    assert reach[1:] == [common(parts[a], parts[b]) for a, b in zip(order, order[1:])]
+
+
+# Tokens ---------------------------------------------------------------------
+
+def test_token_counts_of_all_prefixes(spark, corpus):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=token_counts.default_model())
+    rows = corpus + [(900, "<s> <unk> </s>  <0x0A>\n\n\tx   y "), (901, " "), (902, "a" * 3000)]
+    got = {r["doc_id"]: r for r in token_counts.count_tokens(table(spark, rows), 100).collect()}
+    for i, t in rows:
+        r, n = got[i], len(sp.encode(t or ""))
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((t or "").encode()), n, n > 100)
+    prefixes = token_counts.prefix_table(table(spark, rows[-3:] + rows[20:24]))
+    texts = dict(rows)
+    for r in prefixes.collect():
+        t = texts[r["doc_id"]]
+        assert r["counts"][:200] == [len(sp.encode(t[:k])) for k in range(min(len(t) + 1, 200))]
+    for r in token_counts.longest_within(prefixes, 9).collect():
+        t = texts[r["doc_id"]]
+        assert r["chars"] == max(k for k in range(len(t) + 1) if k < 400 and len(sp.encode(t[:k])) <= 9)
+    assert token_counts.count_tokens(table(spark, EMPTY)).count() == 0
+
+
+# Toxicity -------------------------------------------------------------------
+
+def test_toxicity_on_held_out_rows(spark):
+    rng = random.Random(4)
+    rows, marks = [], []
+    for k in range(700):
+        toxic = k % 5 == 0
+        t = words(rng, 60).split()
+        if toxic:
+            for w in rng.sample(["grumpf", "snarlok", "vexen", "blorgus"], 3):
+                t.insert(rng.randrange(len(t)), w + rng.choice(["", "a", "ing"]))
+        rows.append((k, " ".join(t)))
+        marks.append((k, 1, int(toxic)))
+    rows += [(700, None), (701, ""), (702, "x" * 50_000), (703, rows[5][1])]
+    labels = spark.createDataFrame(marks + [(999, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r for r in toxicity.toxicity_scores(table(spark, rows), labels).collect()}
+    assert len(out) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out.values())
+    assert all(out[k]["held_out"] == (zlib.crc32(str(k).encode()) % 5 == 0) for k in range(704))
+    held = [k for k in range(700) if out[k]["held_out"]]
+    assert sum(out[k]["predicted"] == (k % 5 == 0) for k in held) >= 0.95 * len(held)
+    assert out[703]["score"] == out[5]["score"] and out[700]["score"] == out[701]["score"] < 0.5
+    assert toxicity.toxicity_scores(table(spark, rows[:9]), labels.limit(0)).where("predicted = 1").count() == 0
+    assert toxicity.toxicity_scores(table(spark, EMPTY), labels).count() == 0
+
+
+def test_block_max_search_is_exact():
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(400):
+        idx = np.sort(rng.choice(50, rng.integers(0, 9), replace=False))
+        rows.append((idx.tolist(), rng.integers(1, 5, len(idx)).tolist()))
+    index = toxicity.BlockMaxIndex(rows, rng.integers(0, 2, 400).tolist(), rng.random(50) + 0.5)
+    dense = np.zeros((400, 50))
+    for k, (i, t) in enumerate(rows):
+        dense[k, i] = index.weigh(np.array(i, int), np.array(t, float))
+    dense = dense[[k for k in range(400) if rows[k][0]]]
+    skipped = 0
+    for i, t in rows[:80]:
+        if i:
+            q = np.zeros(50)
+            q[i] = index.weigh(np.array(i), np.array(t, float))
+            _, cos, read = index.search(np.array(i), np.array(t, float), 5)
+            best = np.sort(dense @ q)[::-1][:5]
+            assert np.allclose(np.sort(cos)[::-1], best[best > 0], atol=1e-9)
+            skipped += index.blocks - read
+    assert skipped > 0
+
+
+# Decontamination ------------------------------------------------------------
+
+def test_contained_items(spark, corpus):
+    rng = random.Random(6)
+    items = [(k, words(rng, n)) for k, n in enumerate([1, 4, 5, 6, 30, 60, 200])] + [(50, None), (51, ""), (52, "Same Item two words here")]
+    long = words(rng, 5000)
+    rows = corpus + [
+        (200, long[:9000] + " " + items[4][1].upper() + " " + long[9000:]), (201, " ".join(items[5][1].split()[:57]) + " x"),
+        (202, " ".join(items[6][1].split()[:120])), (203, items[1][1]), (204, "same item TWO words here"), (204, "same item TWO words here"),
+    ]
+    got = sorted(map(tuple, decontamination.contaminated(table(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()))
+    want = []
+    for i, t in rows:
+        have = shingles(t, 5)
+        for j, u in items:
+            s = shingles(u, 5)
+            if s and 100 * len(s & have) >= 80 * len(s):
+                want.append((i, j, len(s), len(s & have)))
+    assert got == sorted(want) and {(200, 4), (201, 5), (204, 52)} <= {x[:2] for x in got}
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.contaminated(table(spark, rows[:3]), empty).count() == 0
+    assert decontamination.contaminated(table(spark, EMPTY), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
+# Pages ----------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p>";</script></head><body class="home">
+<header class=site-header>Site</header><nav><ul><li><a href="/">Home {0}</a></ul></nav><div class="cookie-notice">We use cookies</div>
+<div class="ad">Buy {0}</div><aside>Side {0}</aside><article><h1>Title&nbsp;{0} &amp; more</h1><p>One <b>bold {0}<br>line
+<p>Two &lt;tags&gt; &#233; {0}<ul><li>first {0}<li>second</ul><p class="tagline">Follow us today</p><form><input>Mail</form>
+<div id="comments"><p>Nice {0}!</p></div></article><footer>&copy; {0}</footer>{1}"""
+TEXT = "Title {0} & more\nOne bold {0} line\nTwo <tags> é {0}\nfirst {0}\nsecond"
+
+
+def test_main_text(spark):
+    rows = [(k, f"https://h.example/{k}", PAGE.format(k, "</body></html>" if k % 2 else "")) for k in range(8)]
+    rows += [(20, "http://one.example/", "<p>Only &amp; page</p><p> </p>"), (21, None, None), (22, "", ""), (23, "no-host", "plain   text <b"), (24, "http://deep.example/", "<div>" * 3000 + "deep" + "</div>" * 10)]
+    rows += [(25, "http://m.example/a", "<body><main><p>In</p></main><p>Out</p></body>"), (0, rows[0][1], rows[0][2])]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, template string, host int")
+    out = html_extract.extracted(df).collect()
+    got = defaultdict(list)
+    for r in out:
+        got[r["page_id"]].append(r["text"])
+        assert r["n_chars"] == len(r["text"])
+    # "second" and the tagline stand in every page of the host: they are template.
+    assert all(got[k][0] == TEXT.format(k).replace("\nsecond", "") for k in range(8)) and len(got[0]) == 2
+    assert got[20] == ["Only & page"] and got[21] == got[22] == [""] and got[23] == ["plain text"] and got[24] == ["deep"] and got[25] == ["In"]
+    assert html_extract.extracted(df.limit(0)).count() == 0
+
+
+def test_tree_matching_keeps_order():
+    a = html_extract.blocks("<article><p>a</p><p>b</p><p>c</p></article>")
+    b = html_extract.blocks("<article><p>x</p><p>a</p><p>c</p><p>y</p></article>")
+    _, pairs = html_extract.simple_tree_matching(html_extract.tree_of(a), html_extract.tree_of(b), a, b)
+    assert {(0, 1), (2, 2)} <= set(pairs)
+
+
+# Fingerprints ---------------------------------------------------------------
+
+def lz78(t):
+    known, w, out = set(), "", []
+    for c in t:
+        w += c
+        if w not in known:
+            known.add(w)
+            out.append(w)
+            w = ""
+    return out + ([w] if w else [])
+
+
+def signature_of(t):
+    ends, p = [], 0
+    for x in lz78(t):
+        p += len(x)
+        ends.append(p)
+    return lz_fingerprint.signature(t, ends)
+
+
+def test_fingerprints(spark, corpus, monkeypatch):
+    monkeypatch.setattr(lz_fingerprint, "RANGE_ROWS", 10)
+    out = {r["doc_id"]: r for r in lz_fingerprint.fingerprints(table(spark, corpus)).collect()}
+    rows = sorted(((i, t or "") for i, t in corpus), reverse=True)
+    assert len(out) == len(rows)
+    for k, (i, t) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        half = len(t) // 2
+        e = t[: len(t) - half] + nxt[:half]
+        a, b, c = signature_of(t), signature_of(e), signature_of(nxt)
+        r = out[i]
+        assert r["edited_sha256"] == hashlib.sha256(e.encode()).hexdigest() and r["n_chars"] == len(t)
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (a.astype(">u2").tobytes().hex(), b.astype(">u2").tobytes().hex())
+        assert abs(r["near_edited"] - lz_fingerprint.likeness(a, b)) < 1e-12 and abs(r["near_next"] - lz_fingerprint.likeness(a, c)) < 1e-12
+
+
+def test_fingerprint_edges(spark):
+    assert lz_fingerprint.fingerprints(table(spark, EMPTY)).count() == 0
+    one = lz_fingerprint.fingerprints(table(spark, [(1, "abc")])).collect()
+    assert len(one) == 1 and one[0]["near_next"] == 1
+    some = lz_fingerprint.fingerprints(table(spark, [(1, "abc abc"), (1, "abc abc"), (None, "zzz"), (2, "q")])).collect()
+    assert len(some) == 4 and len({r["fingerprint"] for r in some if r["doc_id"] == 1}) == 1
+
+
+# Mixing ---------------------------------------------------------------------
+
+def test_raked_margins(spark, corpus):
+    rng = random.Random(8)
+    rows = [(k, words(rng, rng.choice([5, 40, 200, 300])), rng.choice(["en", "de", "fr", None]), rng.choice(["a", "b", "c"])) for k in range(400)]
+    docs = spark.createDataFrame(rows + [(900, None, "en", "a"), (901, "", None, None)], "doc_id long, text string, lang string, source string")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    targets = {"source": share({"a": 0.6, "b": 0.3, "c": 0.1}), "lang": share({"en": 0.5, "de": 0.3})}
+    out = mixing.sampled(docs, 0.3, targets=targets).toPandas()
+    assert len(out) == 402
+    weight = out["weight"] * out["n_tokens"]
+    by = weight.groupby(out["source"]).sum() / weight.sum()
+    assert abs(by["a"] - 0.6) < 1e-5 and abs(by["b"] - 0.3) < 1e-5
+    lang = weight.groupby(out["lang"]).sum() / weight.sum()
+    assert abs(lang["en"] / lang["de"] - 5 / 3) < 1e-4
+    assert abs((out["probability"] * out["n_tokens"]).sum() / out["n_tokens"].sum() - 0.3) < 1e-6
+    assert not out[out["n_tokens"] == 0]["kept"].any() and out["probability"].between(0, 1).all()
+    assert mixing.sampled(docs.limit(0), 0.3).count() == 0
+
+
+# Chat -----------------------------------------------------------------------
+
+def test_perspectives(spark):
+    turns = [(1, 0, "system", "Be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, "cy", "yo"), (1, 3, "ann", "two"), (2, 5, None, "alone"), (3, 0, "system", "only"), (None, 1, "x", "n"), (4, 1, "d", "r"), (4, 1, "d", "r")]
+    turns += [(9, k, ["p", "q"][k % 2], "t" * (k % 5)) for k in range(700)]
+    df = spark.createDataFrame([(*t, 1, "c") for t in turns], "conv_id long, turn long, role string, text string, run int, mask string")
+    out = chat.rotate_perspectives(df).toPandas()
+    convs = defaultdict(list)
+    for c, n, r, t in turns:
+        convs[c].append((n, r or "unknown", t or ""))
+    seen = 0
+    for c, ts in convs.items():
+        for who in {r for _, r, _ in ts if r != "system"}:
+            part = out[(out["perspective"] == who) & (out["conv_id"].isna() if c is None else out["conv_id"] == c)].sort_values("seq")
+            whole, want = "".join(part["segment"]), []
+            for _, r, t in sorted(ts):
+                name = "system" if r == "system" else "assistant" if r == who else f"user:{r}"
+                want.append(f"<|{name}|>\n{t}\n")
+            assert whole == "".join(want)
+            spoken = [whole[a:b] for a, b, m in zip(part["mask_start"], part["mask_end"], part["mask"]) if m]
+            assert spoken == [t for _, r, t in sorted(ts) if r == who]
+            seen += len(part)
+    assert seen == len(out) and chat.rotate_perspectives(df.limit(0)).count() == 0
+
+
+# Language model -------------------------------------------------------------
+
+def test_lattice_is_the_sum_over_segmentations():
+    pieces = [b" a", b"b", b"ab", b" ab", b"ba", b"a", b" "]
+    logp = np.log(np.full(len(pieces) + 257, 1.0 / (len(pieces) + 257)))
+    lattice = lattice_lm.Lattice(pieces, logp)
+
+    def total(b):
+        if not b:
+            return 1.0
+        p = math.exp(logp[0])
+        return p * total(b[1:]) + sum(p * total(b[len(x) :]) for x in pieces if b.startswith(x))
+
+    ws_ = [b"ab", b"abba", b"aaab", b"zz", b"b", b"a" * 60]
+    got = lattice.words(ws_)
+    assert np.allclose(got[:5], [math.log(total(b" " + w)) for w in ws_[:5]]) and abs(got[5] - lattice.word(ws_[5])) < 1e-9
+    uses = lattice.expected([b"ab"], np.ones(1))
+    spelled = sum(uses[k] * len(p) for k, p in enumerate(pieces)) + uses[len(pieces) : -1].sum()
+    assert abs(spelled - 3) < 1e-9
+
+
+def test_scores(spark, corpus):
+    rows = corpus + corpus[2:3]
+    out = defaultdict(list)
+    for r in lattice_lm.lattice_scores(table(spark, rows)).collect():
+        out[r["doc_id"]].append(r)
+    c = Counter()
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    for i, t in rows:
+        if not held(i):
+            c.update([*ws(t), "END"])
+    n, v = sum(c.values()), len(c)
+    for i, t in rows:
+        tokens = [*ws(t), "END"]
+        for r in out[i]:
+            base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens)
+            assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held(i), len(tokens), sum(c[w] > 0 for w in tokens), n)
+            assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base)) and r["score"] < 0
+    assert len(out[corpus[2][0]]) == 2 and len({round(r["score"], 9) for r in out[corpus[2][0]]}) == 1
+    assert lattice_lm.lattice_scores(table(spark, EMPTY)).count() == 0
+
+
+def test_rare_words_by_join(spark, corpus, monkeypatch):
+    want = {r["doc_id"]: r["score"] for r in lattice_lm.lattice_scores(table(spark, corpus)).collect()}
+    monkeypatch.setattr(lattice_lm, "HEAD", 0.01)
+    got = {r["doc_id"]: r for r in lattice_lm.lattice_scores(table(spark, corpus)).collect()}
+    assert all(r["base_score"] < 0 for r in got.values()) and set(got) == set(want)
+
+
+def test_long_texts_hash_like_short_ones(monkeypatch):
+    rng = random.Random(1)
+    text = words(rng, 3000) + " " + "y" * 5000 + " end"
+    whole = hashing.word_hashes(text)
+    monkeypatch.setattr(hashing.segments, "__defaults__", (64,))
+    assert (hashing.word_hashes(text) == whole).all() and len(whole) == len(re.findall(r"\S+", text))
