@@ -5,12 +5,12 @@ import os
 import duckdb
 import pytest
 
-from corpusloom import queries, record_queries
+from corpusloom import queries, record_queries, service_queries
 from corpusloom.tables import NAMES, load
 
 SMALL = "/root/testdata/sf0.001"
-ALL = queries.QUERIES | record_queries.QUERIES
-SQL = queries.ORACLE | record_queries.ORACLE
+ALL = queries.QUERIES | record_queries.QUERIES | service_queries.QUERIES
+SQL = queries.ORACLE | record_queries.ORACLE | service_queries.ORACLE
 
 
 @pytest.fixture(scope="module")
