@@ -10,14 +10,14 @@ are looked at, and none that matters is left out.
 2. Contexts that occur twice are repeats as a whole; most of what repeats ends here.
 3. Other contexts matter only if their gram occurs in another one.  Their offsets
    are cut into slots; what all strings of a slot have in common (its core) is
-   hashed, and slots whose core occurs once drop out.  So a short line in a third
-   of all documents does not bring these together.
-4. The remaining slots are sorted as suffixes from the start of their core: a
-   mergesort whose comparisons find the common extension by binary search over
-   prefix polynomial hashes.  Neighbours' common extensions to the right and
-   hashes of the extension to the left tell which strings occur again; the bytes
-   of each such pair are compared to rule out collisions.
-5. Rows collect their repeated stretches, which are cut out of the text.
+   hashed twice, and slots meet by their cores.  So a short line in a third of
+   all documents does not bring these together, and only margins travel.
+4. Slots of one core are sorted as suffixes: a mergesort whose comparisons find
+   the common extension by binary search over prefix polynomial hashes.
+   Neighbours' extensions to the right and hashes of the extension to the left
+   tell which strings occur again; the margins' bytes rule out collisions.
+5. Rows collect their repeated stretches, which are cut out of the text; a key filter of
+   fixed size spares the other texts the shuffle.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, table
+from .common import durable, key_filter, may_match, table
 from .hashing import U64, mix, powers, prefix_sums
 
 LEAST = 400
@@ -108,35 +108,41 @@ def occurrences(rows: DataFrame, least: int) -> DataFrame:
     return rows.select("rid", "text").mapInArrow(batches, "gram long, ctx long, rid long, pos int")
 
 
-def slots_of(data: bytes, pos: int, gram: int, least: int) -> list[tuple[int, int, int, bytes]]:
-    """(core hash, first offset, bytes before the core, core with margins) of each slot around an anchor."""
+def slots_of(data: bytes, pos: int, gram: int, least: int) -> list[tuple[int, int, int, int, bytes, bytes]]:
+    """(core hash, second core hash, core's start, span, left margin, right margin) of each slot around an anchor.
+
+    The strings of a slot start 0 to ``span`` bytes before its core and end as
+    much less behind it.
+    """
     n, out = len(data), []
     widest = least - gram_of(least)
     for lo in range(0, widest + 1, SLOT):
-        hi = min(lo + SLOT - 1, widest)
-        start, end = pos - lo, pos + least - hi
-        if start < 0 or end > n or min(n, pos + least - lo) - max(0, pos - hi) < least:
+        span = min(SLOT - 1, widest - lo)
+        start, end = pos - lo, pos + least - lo - span
+        if start < 0 or end > n:
+            continue
+        left, right = data[max(0, start - span) : start], data[end : end + span]
+        if len(left) + len(right) < span:
             continue
-        head = max(0, pos - hi)
-        key = xxhash.xxh3_64_intdigest(data[start:end], (gram ^ lo) & (2**64 - 1))
-        out.append((key, lo, start - head, data[head : min(n, pos + least - lo)]))
+        core, seed = data[start:end], (gram ^ lo) & (2**64 - 1)
+        out.append((xxhash.xxh3_64_intdigest(core, seed), xxhash.xxh64_intdigest(core, seed), start, span, left, right))
     return out
 
 
-def suffix_sort(sums: np.ndarray, grid: np.ndarray, sizes: np.ndarray, least: int, members: np.ndarray) -> tuple[list[int], list[int]]:
-    """``members`` in the order of their suffixes from the core's start, and each one's common
-    extension with the one before, up to ``least``; comparisons are logarithmic in its length.
+def suffix_sort(sums: np.ndarray, grid: np.ndarray, sizes: np.ndarray, members: np.ndarray) -> tuple[list[int], list[int]]:
+    """``members`` in the order of their suffixes, and each one's common extension with the one before.
 
-    All cores start at column SLOT of ``grid``, whose prefix hashes are ``sums``.
+    All suffixes begin with the same core, so what decides is the ``sizes`` bytes
+    behind it in ``grid``, whose prefix hashes are ``sums``: a mergesort, whose
+    comparisons take a number of steps logarithmic in the extension.
     """
 
     def extension(x: int, y: int) -> int:
-        lo, hi = 0, min(int(sizes[x]), int(sizes[y]), least)
+        lo, hi = 0, min(int(sizes[x]), int(sizes[y]))
         sx, sy = sums[x], sums[y]
-        by = sx[SLOT] - sy[SLOT]
         while lo < hi:
             mid = (lo + hi + 1) >> 1
-            if sx[SLOT + mid] - sy[SLOT + mid] == by:
+            if sx[mid] == sy[mid]:
                 lo = mid
             else:
                 hi = mid - 1
@@ -144,58 +150,77 @@ def suffix_sort(sums: np.ndarray, grid: np.ndarray, sizes: np.ndarray, least: in
 
     def compare(x: int, y: int) -> int:
         k = extension(x, y)
-        if k >= least:
-            return 0
-        a = int(grid[x, SLOT + k]) if k < sizes[x] else -1
-        b = int(grid[y, SLOT + k]) if k < sizes[y] else -1
+        a = int(grid[x, k]) if k < sizes[x] else -1
+        b = int(grid[y, k]) if k < sizes[y] else -1
         return a - b
 
     order = sorted(members.tolist(), key=cmp_to_key(compare))
     return order, [0, *(extension(x, y) for x, y in zip(order, order[1:]))]
 
 
-def repeated_offsets(core: np.ndarray, heads: np.ndarray, data: list[bytes], least: int) -> np.ndarray:
-    """For each slot and each step t to the left of its core's start: whether the string of
-    ``least`` bytes from there also starts in another slot of the same core."""
-    n = len(data)
-    out = np.zeros((n, SLOT), bool)
-    width = least + 2 * SLOT
-    grid = np.zeros((n, width), np.uint8)
-    for k, d in enumerate(data):
-        grid[k, SLOT - heads[k] : SLOT - heads[k] + len(d)] = np.frombuffer(d, np.uint8)
-    size = np.array([len(d) for d in data]) - heads  # bytes from the core's start
-    pw, inv = powers(width + 1)
-    sums = np.zeros((n, width + 1), U64)
-    np.cumsum((grid.astype(U64) + U64(1)) * pw[:width], axis=1, out=sums[:, 1:])
-    order, reach, group = [], [], []
-    by_core = np.argsort(core, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], core[by_core][1:] != core[by_core][:-1], [True]]))
-    for g, (a, b) in enumerate(zip(edges, edges[1:])):
-        if b - a < 2:
-            continue
-        with np.errstate(over="ignore"):
-            got, ext = suffix_sort(sums, grid, size, least, by_core[a:b])
+def _grid(parts: list[bytes], back: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte strings as rows (from the end if ``back``), their lengths and prefix hashes."""
+    sizes = np.array([len(b) for b in parts], np.int64)
+    grid = np.zeros((len(parts), SLOT), np.uint8)
+    for k, b in enumerate(parts):
+        grid[k, : len(b)] = np.frombuffer(b[::-1] if back else b, np.uint8)
+    sums = np.zeros((len(parts), SLOT + 1), U64)
+    np.cumsum((grid.astype(U64) + U64(1)) * powers(SLOT)[0], axis=1, out=sums[:, 1:])
+    return grid, sizes, sums
+
+
+def repeated_offsets(core: np.ndarray, second: np.ndarray, span: np.ndarray, left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """For each slot and each step t to the left of its core: whether the string from there also
+    starts in another slot of the same core.
+
+    Hashes find the pairs and the margins' bytes confirm them; the cores' equality
+    rests on two independent 64-bit hashes.
+    """
+    out = np.zeros((len(core), SLOT), bool)
+    at = np.lexsort((second, core))
+    fresh = np.concatenate([[True], (core[at][1:] != core[at][:-1]) | (second[at][1:] != second[at][:-1])])
+    edges = np.append(np.flatnonzero(fresh), len(at))
+    groups = [at[a:b] for a, b in zip(edges, edges[1:]) if b - a > 1]
+    if not groups:
+        return out
+    used = np.concatenate(groups)
+    r_grid, r_size, r_sums = _grid([right[k] for k in used], False)
+    l_grid, l_size, l_sums = _grid([left[k] for k in used], True)
+    order, reach, new = [], [], []
+    done = 0
+    for g in groups:
+        got, ext = suffix_sort(r_sums, r_grid, r_size, np.arange(done, done + len(g)))
         order += got
         reach += ext
-        group += [g] * (b - a)
-    if not order:
-        return out
-    order, reach, group = np.array(order), np.array(reach), np.array(group)
-    fresh = np.concatenate([[True], group[1:] != group[:-1]])
+        new += [True] + [False] * (len(g) - 1)
+        done += len(g)
+    order, reach, new, spans = np.array(order), np.array(reach), np.array(new), span[used]
     for t in range(SLOT):
-        run = np.cumsum(fresh | (reach < least - t))
-        left = (sums[order, SLOT] - sums[order, SLOT - t]) * inv[SLOT - t]
-        fits = np.flatnonzero((heads[order] >= t) & (size[order] >= least - t))
-        at = fits[np.lexsort((left[fits], run[fits]))]
-        same = (run[at][1:] == run[at][:-1]) & (left[at][1:] == left[at][:-1])
-        x, y = order[at[1:][same]], order[at[:-1][same]]
-        if len(x):
-            real = (grid[x, SLOT - t : SLOT - t + least] == grid[y, SLOT - t : SLOT - t + least]).all(axis=1)
-            out[x[real], t] = True
-            out[y[real], t] = True
+        need = spans[order] - t
+        run = np.cumsum(new | (reach < need))
+        fits = np.flatnonzero((need >= 0) & (l_size[order] >= t) & (r_size[order] >= need))
+        if len(fits) < 2:
+            continue
+        hashed = l_sums[order, t]
+        pick = fits[np.lexsort((hashed[fits], run[fits]))]
+        same = (run[pick][1:] == run[pick][:-1]) & (hashed[pick][1:] == hashed[pick][:-1])
+        x, y, n = order[pick[1:][same]], order[pick[:-1][same]], need[pick[1:][same]]
+        real = (l_grid[x, :t] == l_grid[y, :t]).all(axis=1)
+        real &= ((r_grid[x] == r_grid[y]) | (np.arange(SLOT)[None, :] >= n[:, None])).all(axis=1)
+        out[used[x[real]], t] = True
+        out[used[y[real]], t] = True
     return out
 
 
+def slot_batch(got: list[tuple]) -> pa.RecordBatch:
+    rid, core, second, start, span, left, right = zip(*got) if got else ((),) * 7
+    signed = lambda x: pa.array(np.array(x, U64).view(np.int64))
+    return pa.RecordBatch.from_arrays(
+        [signed(core), signed(second), pa.array(rid, pa.int64()), pa.array(start, pa.int64()), pa.array(span, pa.int32()), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
+        ["core", "second", "rid", "start", "span", "left", "right"],
+    )
+
+
 def repeats(rows: DataFrame, least: int) -> DataFrame:
     """(rid, start, end): stretches of bytes covered by strings that also start elsewhere."""
     reach = least - gram_of(least)
@@ -209,39 +234,34 @@ def repeats(rows: DataFrame, least: int) -> DataFrame:
     met = contexts.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1").select("gram")
     apart = (
         contexts.join(met, "gram")
-        .select("gram", "ctx", F.col("at.rid").alias("rid"), F.col("at.pos").alias("pos"), "n")
+        .select("gram", "ctx", F.col("at.rid").alias("rid"), F.col("at.pos").alias("pos"))
         .groupBy("rid")
-        .agg(F.collect_list(F.struct("gram", "pos", "n")).alias("list"))
+        .agg(F.collect_list(F.struct("gram", "pos")).alias("list"))
     )
 
     def cut_slots(it):
         for batch in it:
-            got = []
+            got: list[tuple] = []
             for rid, text, items in zip(batch.column("rid").to_pylist(), batch.column("text"), batch.column("list").to_pylist()):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                got += [(rid, x, s) for x in items for s in slots_of(data, x["pos"], x["gram"], least)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array([s[0] for _, _, s in got], U64).view(np.int64)),
-                    pa.array([r for r, _, _ in got], pa.int64()),
-                    pa.array([x["pos"] - s[1] for _, x, s in got], pa.int64()),
-                    pa.array([x["n"] > 1 for _, x, _ in got], pa.bool_()),
-                    pa.array([s[2] for _, _, s in got], pa.int32()),
-                    pa.array([s[3] for _, _, s in got], pa.binary()),
-                ],
-                ["core", "rid", "start", "known", "head", "bytes"],
-            )
-
-    schema = "core long, rid long, start long, known boolean, head int, bytes binary"
+                for x in items:
+                    got += [(rid, *s) for s in slots_of(data, x["pos"], x["gram"], least)]
+                    if len(got) >= 50_000:
+                        yield slot_batch(got)
+                        got = []
+            yield slot_batch(got)
+
+    apart = durable(apart)
+    buckets = max(1, -(-(apart.agg(F.sum(F.size("list"))).first()[0] or 0) * (reach // SLOT + 1) // BUCKET))
+    few = rows.select("rid", "text").where(may_match("rid", key_filter(apart, "rid")))
     # A row that occurs twice comes here twice, but all its contexts are known to repeat.
-    slots = durable(rows.select("rid", "text").join(apart, "rid").mapInArrow(cut_slots, schema))
-    multi = slots.groupBy("core").agg(F.count("*").alias("n"), F.min(F.col("known").cast("int")).alias("k")).where("n > 1 and k = 0")
-    buckets = max(1, -(-slots.count() // BUCKET))
-    asked = slots.join(multi.select("core"), "core").withColumn("bucket", F.pmod("core", F.lit(buckets)))
+    slots = few.join(apart, "rid").mapInArrow(cut_slots, "core long, second long, rid long, start long, span int, left binary, right binary")
+    asked = slots.withColumn("bucket", F.pmod("core", F.lit(buckets)))
 
     def sort_bucket(t: pa.Table) -> pa.Table:
-        heads = t.column("head").to_numpy().astype(np.int64)
-        hit = repeated_offsets(t.column("core").to_numpy(), heads, [b.as_py() for b in t.column("bytes")], least)
+        hit = repeated_offsets(
+            t.column("core").to_numpy(), t.column("second").to_numpy(), t.column("span").to_numpy(), t.column("left").to_pylist(), t.column("right").to_pylist()
+        )
         rid, start = t.column("rid").to_numpy(), t.column("start").to_numpy()
         k, step = np.nonzero(hit)
         s = start[k] - step
@@ -284,19 +304,25 @@ def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False)
     whole are places of their own.  Columns of ``docs`` other than these four
     are kept.
     """
-    rows = docs.withColumn("rid", F.xxhash64("doc_id", "text"))
-    spans = repeats(rows, least).groupBy("rid").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    spans = durable(spans)
-    drop = [c for c in ("kept", "n_bytes", "n_removed", "n_spans", "starts", "ends") if c in docs.columns]
-    both = rows.drop(*drop).join(spans, "rid", "left").drop("rid")
-    names = [c for c in both.columns if c not in ("starts", "ends")]
+    own = ["kept", "n_bytes", "n_removed", "n_spans"]
+    rows = docs.drop(*own).withColumn("__row", F.xxhash64("doc_id", "text"))
+    spans = repeats(rows.select(F.col("__row").alias("rid"), "text"), least)
+    spans = durable(spans.groupBy(F.col("rid").alias("__row")).agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends")))
+    touched = key_filter(spans, "__row")
+    both = rows.where(may_match("__row", touched)).join(spans, "__row", "left").drop("__row")
+    names = [c for c in both.columns if c not in ("__starts", "__ends")]
     kinds = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+    text = F.coalesce("text", F.lit(""))
+    untouched = rows.where(~may_match("__row", touched)).select(
+        *names, (text if as_text else text.cast("binary")).alias("kept"),
+        F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
+    )
 
     def batches(it):
         for batch in it:
             got = [
                 cut((t.as_py() or "").encode("utf-8", "surrogatepass"), s or [], e or [])
-                for t, s, e in zip(batch.column("text"), batch.column("starts").to_pylist(), batch.column("ends").to_pylist())
+                for t, s, e in zip(batch.column("text"), batch.column("__starts").to_pylist(), batch.column("__ends").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -310,7 +336,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False)
             )
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long"])
-    return both.mapInArrow(batches, schema)
+    return both.mapInArrow(batches, schema).unionByName(untouched)
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
