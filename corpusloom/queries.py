@@ -347,7 +347,7 @@ def suggest_weights(spark, sf_dir):
 
 # Paired evaluation ----------------------------------------------------------
 
-HOLDOUT, REPLICATES, ALPHA, DELTA = 200, 100, 0.01, 0.0025
+HOLDOUT, REPLICATES, ALPHA, DELTA = 100, 100, 0.01, 0.0025
 
 
 def duel(spark, sf_dir):
@@ -362,7 +362,7 @@ def duel(spark, sf_dir):
 
 DUEL = TOK + r""",
 full_ as (select * from tok where len(ids) > 0),
-hold as (select *, row_number() over (order by md5('h:' || doc_id), doc_id) - 1 as pos from full_ where lang = 'en' qualify pos < 200),
+hold as (select *, row_number() over (order by md5('h:' || doc_id), doc_id) - 1 as pos from full_ where lang = 'en' qualify pos < 100),
 rest as (select * from full_ where doc_id not in (select doc_id from hold)),
 hp as (select doc_id, unnest(ids) as t from hold), hk as (select doc_id, t, count(*) as k from hp group by all),
 kc as (select t, count(*) as c from (select unnest(ids) as t from rest) group by t), kt as (select sum(c) as total, count(*) as types from kc),
@@ -389,11 +389,11 @@ def bootstrap_means(spark, sf_dir):
 @query(rf"""with {DUEL}{MEANS}, l as (select coalesce(quantile_cont(mean, 0.01), 0.0) as lcb from means),
   p as (select count(*)::bigint as n, avg(diff) as mu_hat, avg(king_loss) as k, avg(challenger_loss) as c from diffs)
   select n, round(mu_hat, 6) as mu_hat, round(lcb, 6) as lcb, round(k, 6) as avg_king_loss, round(c, 6) as avg_challenger_loss, lcb > 0.0025 as accepted,
-  case when lcb <= 0.0025 then 'DO_NOT_SUBMIT' when n < 150 then 'PROMISING_NEEDS_MORE_EVAL' when lcb >= 0.0035 and mu_hat >= 0.0075 then 'READY_TO_UPLOAD' else 'READY_TO_MERGE' end as decision from p, l""")
+  case when lcb <= 0.0025 then 'DO_NOT_SUBMIT' when n < 80 then 'PROMISING_NEEDS_MORE_EVAL' when lcb >= 0.0035 and mu_hat >= 0.0075 then 'READY_TO_UPLOAD' else 'READY_TO_MERGE' end as decision from p, l""")
 def duel_verdict(spark, sf_dir):
     d = duel(spark, sf_dir)
     v = evaluation.verdict(d, evaluation.bootstrap_means(spark, d, "pos", REPLICATES, "b"), ALPHA, DELTA).withColumn("warned", F.lit(False))
-    return v.select("n", r6("mu_hat"), r6("lcb"), r6("avg_king_loss"), r6("avg_challenger_loss"), "accepted", evaluation.decision("lcb", "mu_hat", "n", "warned", least_n=150).alias("decision"))
+    return v.select("n", r6("mu_hat"), r6("lcb"), r6("avg_king_loss"), r6("avg_challenger_loss"), "accepted", evaluation.decision("lcb", "mu_hat", "n", "warned", least_n=80).alias("decision"))
 
 
 @query(rf"""with {DUEL}, w as (select source, count(*) / sum(count(*)) over () as weight from documents group by source),
