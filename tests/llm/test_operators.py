@@ -271,6 +271,27 @@ def test_main_text(spark):
     assert html_extract.extracted(df.limit(0)).count() == 0
 
 
+def test_templates_are_counted_over_all_pages_and_layouts(spark):
+    """Two layouts share the places of a host, a third has few pages; boilerplate may be missing, chance repeats are none."""
+    rows, want = [], {}
+    for k in range(60):
+        kind = "abc"[0 if k < 31 else 1 if k < 55 else 2]
+        extra = f"Shared by some {k % 7}"  # on 8 or 9 of 60 pages
+        box = "" if k in (3, 40) else f"<p>Sign up to {kind}</p>"
+        # Every other page has a box of its own, so that layouts have variants.
+        more = f"<div class=quote><p>Quote {k}</p></div>" if k % 2 else ""
+        rows.append((k, f"http://two.example/{k}", f"<article><div class='{kind} body'><section><div class=in{kind}>{box}<p>Text {k}</p><p>{extra}</p>{more}</div></section></div></article>"))
+        want[k] = "\n".join([f"Text {k}", extra] + ([f"Quote {k}"] if more else []))
+    # The layouts differ in the frame alone.
+    for k in range(60, 90):
+        kind = "xy"[k % 3 == 0]
+        box = f"<p>All about {kind}</p>" if k != 70 else ""
+        rows.append((k, f"http://frame.example/{k}", f"<body><div class={kind}><div class=w{kind}><main><article><p>Text {k}</p>{box}</article></main></div></div></body>"))
+        want[k] = f"Text {k}"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extract.extracted(df).collect()} == want
+
+
 def test_tree_matching_keeps_order():
     a = html_extract.blocks("<article><p>a</p><p>b</p><p>c</p></article>")
     b = html_extract.blocks("<article><p>x</p><p>a</p><p>c</p><p>y</p></article>")
