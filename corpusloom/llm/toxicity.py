@@ -1,35 +1,45 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Fit: a bounded sample of labelled texts (``SAMPLE`` rows, the smallest id hashes)
-gives candidate features - words and word beginnings of several byte lengths -
-and those that mark the toxic class beyond chance are the vocabulary, at most
-``VOCABULARY`` of them.  Document frequencies are then counted over all
-documents.  The sample's TF-IDF vectors, also bounded, form an inverted index
-whose postings are cut into blocks of examples with the largest weight of each
-block stored, so that the bound of a block is a sum over the query's features.
-
-Score: blocks are visited by falling bound until no bound reaches the k-th best
-cosine, which makes the neighbours exact.  Their labels vote with weight cosine
-squared, smoothed towards the toxic share of sampled texts without any feature;
-such texts get that share itself.  Scores depend on the text alone.
+Fit: the vocabulary is every word of a bounded sample of labelled texts
+(``SAMPLE`` rows, the smallest id hashes), and those word beginnings of several
+byte lengths that mark the toxic class beyond chance.  Words and beginnings that
+mark it weigh ``MARKED`` times as much.  Document frequencies are counted over all
+documents.  The sample's TF-IDF vectors form an inverted index whose postings are
+cut into blocks of examples with the largest weight of each block stored, so that
+the bound of a block is a sum over the query's features.
+
+Score: a short query visits blocks by falling bound until no bound reaches the
+k-th best cosine; a long one, whose bounds are loose, adds up all its postings,
+those of the commonest features as a matrix product.  The neighbours are exact
+either way.  Their labels vote with weight cosine squared, smoothed towards the
+toxic share of sampled texts without any feature; such texts get that share
+itself.  Scores depend on the text alone.
 """
 
 from __future__ import annotations
 
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import durable, held_out, table
 from .hashing import U64, prefix_sums, segments, span_hashes
 
-SAMPLE, VOCABULARY, NEIGHBOURS, BLOCK = 12_000, 4096, 9, 32
+SAMPLE, NEIGHBOURS, BLOCK = 12_000, 9, 32
+#: How much more a feature weighs that marks the toxic class.
+MARKED = 10.0
+#: So many common features are held as full rows; queries of fewer (feature, block) cells than SHORT go by bounds.
+FULL, SHORT = 256, 2_000
+#: Queries scored together.
+TOGETHER = 64
 #: Byte lengths of the word beginnings.
 HEADS = (4, 6, 8)
-#: A feature must be in so many toxic texts, so many standard errors beyond chance, with so many times the share.
+#: A feature that marks must be in so many toxic texts, so many standard errors beyond chance, with so many times the share.
 LEAST_TEXTS, LEAST_Z, LEAST_RATIO = 3, 6, 10
 #: Votes that the smoothing towards the prior counts for.
 PRIOR_VOTES = 0.5
@@ -38,85 +48,95 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def features(text: str | None) -> np.ndarray:
-    """Hashes of all words and word beginnings of the text, repeats included."""
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and of all word beginnings of the text, repeats included."""
     data = (text or "").encode("utf-8", "surrogatepass").lower()
-    found = []
+    words, heads = [np.empty(0, U64)], [np.empty(0, U64)]
     for part in segments(data):
         a = np.frombuffer(part, np.uint8)
         edge = np.flatnonzero(np.diff(np.concatenate([[False], _LETTER[a], [False]]).view(np.int8)))
         if not len(edge):
             continue
         starts, ends, sums = edge[::2], edge[1::2], prefix_sums(a)
-        found.append(span_hashes(sums, starts, ends))
+        words.append(span_hashes(sums, starts, ends))
         for n in HEADS:
             long = starts[ends - starts >= n]
-            found.append(span_hashes(sums, long, long + n) ^ U64(n))
-    return np.concatenate(found) if found else np.empty(0, U64)
+            heads.append(span_hashes(sums, long, long + n) ^ U64(n))
+    return np.concatenate(words), np.concatenate(heads)
 
 
 def _class_counts(texts: DataFrame) -> DataFrame:
-    """(feature, n1, n0): in how many toxic and other sample texts a feature occurs."""
+    """(feature, n1, n0, whole): in how many toxic and other sample texts a feature occurs, and whether it is a word."""
 
     def batches(it):
         for batch in it:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                f = np.unique(features(text)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(f), pa.array(np.full(len(f), toxic, np.int32))], ["feature", "toxic"]
-                )
+                for f, whole in zip(features(text), (1, 0)):
+                    f = np.unique(f).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(f), pa.array(np.full(len(f), toxic, np.int32)), pa.array(np.full(len(f), whole, np.int32))], ["feature", "toxic", "whole"]
+                    )
 
     return (
         texts.select("text", "toxic")
-        .mapInArrow(batches, "feature long, toxic int")
+        .mapInArrow(batches, "feature long, toxic int, whole int")
         .groupBy("feature")
-        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
+        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"), F.max("whole").alias("whole"))
     )
 
 
-def fit_vocabulary(sample: DataFrame) -> np.ndarray:
-    """Sorted hashes of the features whose toxic share lies beyond chance, at most ``VOCABULARY``."""
+def fit_vocabulary(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the sample's words and of the beginnings whose toxic share lies beyond chance, and the weights of these features."""
     sizes = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     t1, t0 = (sizes[0] or 0), (sizes[1] or 0)
     if not t1 or not t0:
-        return np.empty(0, U64)
+        return np.empty(0, U64), np.empty(0)
     p1, p0 = F.col("n1") / F.lit(t1), (F.col("n0") + 0.5) / F.lit(t0 + 1)
     pooled = (F.col("n1") + F.col("n0") + 0.5) / F.lit(t1 + t0)
     z = (p1 - p0) / F.sqrt(pooled * (1 - F.least(pooled, F.lit(0.999))) * F.lit(1 / t1 + 1 / t0))
-    best = (
-        _class_counts(sample)
-        .where(F.col("n1") >= LEAST_TEXTS)
-        .withColumn("z", z)
-        .where((F.col("z") >= LEAST_Z) & (p1 >= LEAST_RATIO * p0))
-        .orderBy(F.col("z").desc(), "feature")
-        .limit(VOCABULARY)
-        .select("feature")
-        .collect()
-    )
-    return np.sort(np.array([r[0] for r in best], np.int64).view(U64))
-
-
-def vectors(docs: DataFrame, vocabulary: np.ndarray, extra: list[str]) -> DataFrame:
+    marks = (F.col("n1") >= LEAST_TEXTS) & (z >= LEAST_Z) & (p1 >= LEAST_RATIO * p0)
+    found = (
+        _class_counts(sample).select("feature", "whole", marks.alias("marks"))
+        .where("whole = 1 or marks").select("feature", "marks").toArrow()
+    )  # the different words of ``sample`` rows
+    feature = found.column("feature").to_numpy().view(U64)
+    order = np.argsort(feature)
+    return feature[order], np.where(found.column("marks").to_numpy(), MARKED, 1.0)[order]
+
+
+class Vocabulary:
+    """Looks the features of a text up."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        self.bits = np.zeros(1 << 24, bool)
+        self.bits[(known >> U64(40)).astype(np.int64)] = True
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the text's features in the vocabulary, rising, and how often they occur."""
+        f = np.concatenate(features(text))
+        f = f[self.bits[(f >> U64(40)).astype(np.int64)]]
+        if not len(f):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        f, n = np.unique(f, return_counts=True)
+        at = np.minimum(np.searchsorted(self.known, f), len(self.known) - 1)
+        real = self.known[at] == f
+        return at[real], n[real]
+
+
+def vectors(docs: DataFrame, shared, extra: list[str]) -> DataFrame:
     """(doc_id, idx, tf, *extra): the vocabulary features of every whole text with their counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kinds = dict(docs.dtypes)
 
     def batches(it):
-        known = shared.value
-        bits = np.zeros(1 << 20, bool)
-        bits[(known >> U64(44)).astype(np.int64)] = True
+        vocabulary = Vocabulary(shared.value)
         for batch in it:
-            idx, tf = [], []
-            for text in batch.column("text"):
-                f = features(text.as_py())
-                f = f[bits[(f >> U64(44)).astype(np.int64)]]
-                at = np.searchsorted(known, f)
-                at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == f)] if len(known) else at[:0]
-                u, n = np.unique(at, return_counts=True)
-                idx.append(u.astype(np.int32))
-                tf.append(n.astype(np.int32))
+            idx, tf = zip(*(vocabulary.count(text.as_py()) for text in batch.column("text"))) if batch.num_rows else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(idx, pa.list_(pa.int32())), pa.array(tf, pa.list_(pa.int32())), *(batch.column(c) for c in extra)],
+                [
+                    batch.column("doc_id").cast(pa.int64()), pa.array([i.astype(np.int32) for i in idx], pa.list_(pa.int32())),
+                    pa.array([t.astype(np.int32) for t in tf], pa.list_(pa.int32())), *(batch.column(c) for c in extra),
+                ],
                 ["doc_id", "idx", "tf", *extra],
             )
 
@@ -124,6 +144,24 @@ def vectors(docs: DataFrame, vocabulary: np.ndarray, extra: list[str]) -> DataFr
     return docs.select("doc_id", "text", *extra).mapInArrow(batches, schema)
 
 
+def document_frequencies(docs: DataFrame, shared, size: int) -> np.ndarray:
+    """In how many of the documents each vocabulary feature occurs; tasks add up before they send."""
+
+    def batches(it):
+        vocabulary, seen = Vocabulary(shared.value), np.zeros(size, np.int64)
+        for batch in it:
+            for text in batch.column("text"):
+                seen[vocabulary.count(text.as_py())[0]] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["i", "n"])
+
+    out = np.zeros(size, np.int64)
+    if size:
+        found = docs.select("text").mapInArrow(batches, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # one row for each feature
+        out[found.column("i").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
 class BlockMaxIndex:
     """Postings of unit vectors by feature, with the largest weight for each block of examples."""
 
@@ -138,7 +176,7 @@ class BlockMaxIndex:
         example = np.repeat(np.arange(len(full)), [len(unit[k]) for k in full]).astype(np.int64)
         weight = np.concatenate([unit[k] for k in full]) if full else np.empty(0)
         order = np.lexsort((example, feature))
-        self.example, self.weight, feature = example[order], weight[order], feature[order]
+        self.example, self.weight, feature = example[order].astype(np.int32), weight[order], feature[order]
         self.blocks = max(1, -(-len(full) // BLOCK))
         cell = feature * self.blocks + self.example // BLOCK
         self.cells, first = np.unique(cell, return_index=True)
@@ -146,6 +184,15 @@ class BlockMaxIndex:
         self.peak = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.cell_block = self.cells % self.blocks
         self.of_feature = np.searchsorted(self.cells // self.blocks, np.arange(len(idf) + 1))
+        self.at = np.searchsorted(feature, np.arange(len(idf) + 1))
+        # The commonest features as full rows over the examples.
+        common = np.argsort(-np.diff(self.at), kind="stable")[:FULL]
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.full = np.zeros((len(common), len(full)))
+        for k, f in enumerate(common):
+            here = slice(self.at[f], self.at[f + 1])
+            self.full[k, self.example[here]] = self.weight[here]
 
     def weigh(self, idx: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = (1 + np.log(tf)) * self.idf[idx]
@@ -180,14 +227,64 @@ class BlockMaxIndex:
                 kth = cos.min()
         return who, cos, read
 
-    def score(self, idx: np.ndarray, tf: np.ndarray) -> tuple[float, int]:
-        """The share of toxic votes in 0..1, and how many neighbours voted."""
-        if not len(idx) or not len(self.labels):
-            return self.prior, 0
-        who, cos, _ = self.search(idx, tf)
-        votes = cos**2
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The cosines of several queries to all examples."""
+        rows = np.zeros((len(queries), len(self.full)))
+        units = [self.weigh(idx, tf) for idx, tf in queries]
+        for k, ((idx, _), q) in enumerate(zip(queries, units)):
+            common = self.row[idx] >= 0
+            rows[k, self.row[idx[common]]] = q[common]
+        out = rows @ self.full
+        for k, ((idx, _), q) in enumerate(zip(queries, units)):
+            rare = self.row[idx] < 0
+            lo, n = self.at[idx[rare]], self.at[idx[rare] + 1] - self.at[idx[rare]]
+            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            out[k] += np.bincount(self.example[at], self.weight[at] * np.repeat(q[rare], n), minlength=out.shape[1])
+        return out
+
+    def _vote(self, who: np.ndarray, cos: np.ndarray) -> tuple[float, int]:
+        # Rounded and ordered, so that the way the cosines were added up does not show.
+        order = np.argsort(who)
+        who, votes = who[order], np.round(cos[order], 12) ** 2
         return float((votes @ self.labels[who] + PRIOR_VOTES * self.prior) / (votes.sum() + PRIOR_VOTES)), len(who)
 
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
+        """For each query the share of toxic votes in 0..1, and how many neighbours voted."""
+        out: list[tuple[float, int]] = [(self.prior, 0)] * len(queries)
+        long = []
+        for n, (idx, tf) in enumerate(queries):
+            if not len(idx) or not len(self.labels):
+                continue
+            if (self.of_feature[idx + 1] - self.of_feature[idx]).sum() < SHORT:
+                out[n] = self._vote(*self.search(idx, tf, k)[:2])
+            else:
+                long.append(n)
+        for lo in range(0, len(long), TOGETHER):
+            part = long[lo : lo + TOGETHER]
+            for n, cos in zip(part, self.cosines([queries[n] for n in part])):
+                cos = np.round(cos, 12)
+                kth = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
+                who = np.flatnonzero((cos >= kth) & (cos > 0))
+                who = who[np.lexsort((who, -cos[who]))[:k]]
+                out[n] = self._vote(who, cos[who])
+        return out
+
+
+class Examples:
+    """The sample's vectors; each worker makes the index of them, which is several times larger."""
+
+    def __init__(self, rows: pa.Table, idf: np.ndarray):
+        self.idf, self.labels = idf, rows.column("toxic").to_pylist()
+        self.size = pc.list_value_length(rows.column("idx")).to_numpy()
+        self.idx, tf = (pc.list_flatten(rows.column(c)).to_numpy() for c in ("idx", "tf"))
+        self.tf = tf.astype(np.min_scalar_type(tf.max(initial=0)))
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        ends = np.cumsum(self.size)[:-1]
+        rows = list(zip(np.split(self.idx, ends), np.split(self.tf, ends))) if len(self.size) else []
+        return BlockMaxIndex(rows, self.labels, self.idf)
+
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours) of every row of ``docs``.
@@ -212,31 +309,25 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     chosen = durable(chosen)  # at most ``sample`` rows of two small columns
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     texts = durable(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
-    vocabulary = fit_vocabulary(texts)
-    vector = durable(vectors(docs, vocabulary, []))
-
-    seen = dict(vector.select(F.explode("idx").alias("i")).groupBy("i").count().collect())  # at most one row per vocabulary entry
-    n = vector.count()
-    idf = np.array([math.log((1 + n) / (1 + seen.get(i, 0))) + 1 for i in range(len(vocabulary))])
-    rows = sorted(
-        vectors(texts, vocabulary, ["toxic"]).collect(), key=lambda r: r["doc_id"]
-    )  # at most ``sample`` rows with at most VOCABULARY entries
-    index = spark.sparkContext.broadcast(
-        BlockMaxIndex([(r["idx"], r["tf"]) for r in rows], [r["toxic"] for r in rows], idf)
-    )
+    vocabulary, marked = fit_vocabulary(texts)
+    shared = spark.sparkContext.broadcast(vocabulary)
+    seen = document_frequencies(docs, shared, len(vocabulary))
+    idf = (np.log((1 + docs.count()) / (1 + seen)) + 1) * marked
+    rows = vectors(texts, shared, ["toxic"]).toArrow().sort_by("doc_id")  # at most ``sample`` rows
+    examples = spark.sparkContext.broadcast(Examples(rows, idf))
 
     def batches(it):
+        known = Vocabulary(shared.value)
         for batch in it:
-            got = [
-                index.value.score(np.asarray(i, np.int64), np.asarray(t, float))
-                for i, t in zip(batch.column("idx").to_pylist(), batch.column("tf").to_pylist())
-            ]
+            got = []
+            for lo in range(0, batch.num_rows, 8 * TOGETHER):
+                got += examples.value.index.scores([known.count(t.as_py()) for t in batch.column("text").slice(lo, 8 * TOGETHER)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s for s, _ in got], pa.float64()), pa.array([k for _, k in got], pa.int32())],
+                [batch.column("doc_id").cast(pa.int64()), pa.array([s for s, _ in got], pa.float64()), pa.array([k for _, k in got], pa.int32())],
                 ["doc_id", "score", "neighbours"],
             )
 
-    return vector.mapInArrow(batches, "doc_id long, score double, neighbours int").select(
+    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, score double, neighbours int").select(
         "doc_id",
         F.coalesce(held_out("doc_id", folds, fold), F.lit(False)).alias("held_out"),
         "score",

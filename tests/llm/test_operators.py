@@ -198,6 +198,30 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.toxicity_scores(table(spark, EMPTY), labels).count() == 0
 
 
+def test_all_words_of_the_sample_enter_the_vectors(spark, monkeypatch):
+    """Documents whose only toxic words are in too few texts to mark the class, against brute force over all words."""
+    monkeypatch.setattr(toxicity, "SHORT", 30)  # by bounds and by sums
+    rng = random.Random(6)
+    rows, marks = [], []
+    for k in range(240):
+        t = words(rng, 4 + k % 37).split()
+        if k % 8 == 0:
+            t += [f"{chr(97 + k // 32)}vile"] * 9  # in four toxic texts each
+        rows.append((k, " ".join(t)))
+        marks.append((k, 1, int(k % 8 == 0)))
+    out = {r["doc_id"]: r for r in toxicity.toxicity_scores(table(spark, rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()}
+    bags = [Counter(ws(t)) for _, t in rows]
+    learnt = [k for k in range(240) if not out[k]["held_out"]]
+    known, df = set().union(*(bags[k] for k in learnt)), Counter(w for b in bags for w in b)
+    weigh = lambda b: {w: (1 + math.log(n)) * (math.log(241 / (1 + df[w])) + 1) for w, n in b.items() if w in known}
+    unit = lambda v: {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+    vs = [unit(weigh(b)) for b in bags]
+    for k in range(240):
+        cos = sorted(((-round(sum(x * vs[j].get(w, 0) for w, x in vs[k].items()), 12), j) for j in learnt))[:9]
+        votes = [(c * c, marks[j][2]) for c, j in cos if c < 0]
+        assert abs(out[k]["score"] - (sum(v * y for v, y in votes) + 0.5 / 20) / (sum(v for v, _ in votes) + 0.5)) < 1e-9 and out[k]["neighbours"] == len(votes) > 0
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(1)
     rows = []
