@@ -31,7 +31,7 @@ def sql(name: str, text: str) -> None:
 # Sources and listings
 sql("pool_materialise", """with refs as (select doc_id, source, row_number() over (partition by source order by md5(concat('ref:', cast(doc_id as varchar(20)))), doc_id) as k from documents)
   select r.source, cast(r.k as bigint) as k, d.doc_id, d.n_chars from refs r join documents d on d.doc_id = r.doc_id where r.k <= 6""")
-sql("cache_complete", """with wanted as (select source, doc_id from documents where doc_id % 2 = 0), have as (select doc_id from documents where n_chars > 60),
+sql("cache_complete", """with wanted as (select source, doc_id from documents where source is not null), have as (select doc_id from documents where n_chars > 60),
   m as (select w.source, count(*) as wanted, sum(case when h.doc_id is null then 1 else 0 end) as missing from wanted w left join have h on h.doc_id = w.doc_id group by w.source)
   select source, cast(wanted as bigint) as wanted, cast(missing as bigint) as missing, missing = 0 as usable from m""")
 sql("download_status", """with have as (select l_partkey, sum(l_quantity) as got from lineitem where l_linestatus = 'F' group by l_partkey)
@@ -50,8 +50,8 @@ sql("submission_issues", """select doc_id, concat_ws(',', case when n_chars < 20
 
 # Scalars
 sql("seed_mix", """select event_id, cast(bit_xor_(event_id, (2654435761 * ((event_id % 3) + 1)) % 4294967296) as bigint) as seed from events""")
-sql("humanised_sizes", """select doc_id, case when n_chars >= 1048576 then concat(cast(round(n_chars / 1048576.0, 1) as varchar(20)), ' MiB') when n_chars >= 1024 then concat(cast(floor(n_chars / 1024.0) as varchar(20)), ' KiB')
-  else concat(cast(n_chars as varchar(20)), ' B') end as size from documents where n_chars < 1024""")
+sql("humanised_sizes", """select doc_id, case when n_chars >= 1048576 then concat(cast(cast(floor(n_chars / 1048576.0) as bigint) as varchar(20)), '.', cast(cast(floor(n_chars % 1048576 * 10 / 1048576.0) as bigint) as varchar(20)), ' MiB')
+  when n_chars >= 1024 then concat(cast(cast(floor(n_chars / 1024.0) as bigint) as varchar(20)), ' KiB') else concat(cast(n_chars as varchar(20)), ' B') end as size from documents""")
 sql("schedule_curve", """select event_id, round(case when event_id < 500 then event_id / 500e0 when event_id < 8000 then 1e0 else greatest(0e0, 1e0 - (event_id - 8000) / 2000e0) end, 6) as factor from events""")
 sql("parameter_classes", """with c as (select case when p_type like '%STEEL%' then 'norm' when p_type like '%BRASS%' then 'embedding' when p_type like '%TIN%' then 'expert' else 'attention' end as class, p_size as numel from part)
   select coalesce(class, '(all)') as class, cast(sum(numel) as bigint) as total, cast(sum(case when class = 'expert' then floor(numel * 2 / 8.0) else numel end) as bigint) as active from c group by rollup (class)""")
@@ -85,8 +85,8 @@ sql("capped_counts", """select o_orderkey, cast(case when a + b <= 50000 then a
   from (select o_orderkey, floor(o_totalprice / 2.0) as a, floor(o_totalprice / 4.0) as b from orders) x""")
 sql("wrap_slice", """with f as (select p_partkey, row_number() over (order by p_partkey) - 1 as ord, count(*) over () as n from part where p_size <= 25) select p_partkey from f where ((ord - 7) % n + n) % n < 40""")
 sql("round_robin", """with f as (select s_suppkey, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as i, s_nationkey from supplier) select s_suppkey, s_nationkey, cast(i % 2 as bigint) as pair from f""")
-sql("range_lookup", """with b as (select source, count(*) as n from documents group by source), c as (select source, sum(n) over (order by source) - n as lo, sum(n) over (order by source) as hi from b)
-  select l.l_orderkey, l.l_linenumber, c.source, cast(l.l_orderkey % 1000 - c.lo as bigint) as local from lineitem l join c on l.l_orderkey % 1000 >= c.lo and l.l_orderkey % 1000 < c.hi where l.l_linenumber = 1""")
+sql("range_lookup", """with b as (select source, count(*) as n from documents group by source), c as (select source, sum(n) over (order by source) - n as lo, sum(n) over (order by source) as hi, sum(n) over () as total from b)
+  select l.l_orderkey, l.l_linenumber, c.source, cast(l.l_orderkey % c.total - c.lo as bigint) as local from lineitem l join c on l.l_orderkey % c.total >= c.lo and l.l_orderkey % c.total < c.hi""")
 sql("overlap_check", """with a as (select l_partkey as k from lineitem where l_returnflag = 'R'), b as (select l_partkey as k from lineitem where l_returnflag = 'A'), i as (select k from a intersect select k from b)
   select count(*) as overlap, count(*) = 0 as disjoint from i""")
 sql("submit_decision", """with m as (select l_suppkey, avg(l_discount) - 0.04 as mu, avg(l_tax) - 0.035 as lcb, count(*) as n, min(l_quantity) < 1 as warned from lineitem group by l_suppkey)

@@ -31,6 +31,23 @@ def test_same_as_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
+def test_service_queries_take_whole_tables(spark, duck, tmp_path):
+    docs, lines = load(spark, SMALL, "documents"), load(spark, SMALL, "lineitem")
+    run = lambda name: service_queries.QUERIES[name](spark, SMALL)
+    assert run("humanised_sizes").count() == docs.count() and run("humanised_sizes").where("size like '% KiB'").count() > 0
+    assert run("cache_complete").agg({"wanted": "sum"}).first()[0] == docs.where("source is not null").count()
+    found = run("range_lookup")
+    assert found.count() == lines.count() and found.select("source").distinct().count() == docs.select("source").distinct().count()
+    # Sizes around the units, on both sides.
+    sizes = {1023: "1023 B", 1024: "1 KiB", 2047: "1 KiB", 1048575: "1023 KiB", 1048576: "1.0 MiB", 1992294: "1.8 MiB", 1992295: "1.9 MiB", 31457280: "30.0 MiB"}
+    spark.createDataFrame([(n, "", "en", "s", n) for n in sizes], docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r[0]: r[1] for r in service_queries.QUERIES["humanised_sizes"](spark, str(tmp_path)).collect()} == sizes
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert dict(con.execute(SQL["humanised_sizes"]).fetchall()) == sizes
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 def test_streams_equal_their_batch_twins(spark, tmp_path):
     import shutil
