@@ -347,13 +347,15 @@ def suggest_weights(spark, sf_dir):
 
 # Paired evaluation ----------------------------------------------------------
 
-HOLDOUT, REPLICATES, ALPHA, DELTA = 100, 100, 0.01, 0.0025
+#: The reference's sizes; a table with fewer than two holdouts of English texts keeps half of them to fit on.
+HOLDOUT, REPLICATES, ALPHA, DELTA, LEAST_N = 2000, 10_000, 0.01, 0.0025, 3000
 
 
 def duel(spark, sf_dir):
     """The holdout's differences: the king is fitted on all texts outside it, the challenger on its English ones."""
     docs = documents(spark, sf_dir, "lang")
-    holdout = sampling.take(docs.where("lang = 'en'"), HOLDOUT, "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
+    english = docs.where("lang = 'en'")
+    holdout = sampling.take(english, min(HOLDOUT, english.count() // 2), "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
     rest = docs.join(holdout.select("doc_id"), "doc_id", "left_anti")
     king = UnigramScorer(rest, "ids").score(holdout, "doc_id", "ids")
     challenger = UnigramScorer(rest.where("lang = 'en'"), "ids").score(holdout, "doc_id", "ids")
@@ -362,7 +364,7 @@ def duel(spark, sf_dir):
 
 DUEL = TOK + r""",
 full_ as (select * from tok where len(ids) > 0),
-hold as (select *, row_number() over (order by md5('h:' || doc_id), doc_id) - 1 as pos from full_ where lang = 'en' qualify pos < 100),
+hold as (select *, row_number() over (order by md5('h:' || doc_id), doc_id) - 1 as pos from full_ where lang = 'en' qualify pos < least(2000, count(*) over () // 2)),
 rest as (select * from full_ where doc_id not in (select doc_id from hold)),
 hp as (select doc_id, unnest(ids) as t from hold), hk as (select doc_id, t, count(*) as k from hp group by all),
 kc as (select t, count(*) as c from (select unnest(ids) as t from rest) group by t), kt as (select sum(c) as total, count(*) as types from kc),
@@ -371,7 +373,7 @@ kl as (select doc_id, sum(k * -ln((coalesce(c, 0) + 1) / (total + types))) / sum
 cl as (select doc_id, sum(k * -ln((coalesce(c, 0) + 1) / (total + types))) / sum(k) as challenger_loss from hk left join cc using (t), ct group by doc_id),
 diffs as (select doc_id, pos, source, king_loss, challenger_loss, king_loss - challenger_loss as diff from kl join cl using (doc_id) join hold using (doc_id))"""
 MEANS = r""",
-nn as (select count(*) as n from diffs), slots as (select r.range as replicate, s.range as slot, n from range(100) r, nn, range(0, (select n from nn)) s),
+nn as (select count(*) as n from diffs), slots as (select r.range as replicate, s.range as slot, n from range(10000) r, nn, range(0, (select n from nn)) s),
 picks as (select replicate, ('0x' || substr(md5('b:' || replicate || ':' || slot), 1, 15))::bigint % n as pick from slots),
 means as (select replicate, avg(diff) as mean from picks join diffs on pick = pos group by replicate)"""
 
@@ -389,18 +391,18 @@ def bootstrap_means(spark, sf_dir):
 @query(rf"""with {DUEL}{MEANS}, l as (select coalesce(quantile_cont(mean, 0.01), 0.0) as lcb from means),
   p as (select count(*)::bigint as n, avg(diff) as mu_hat, avg(king_loss) as k, avg(challenger_loss) as c from diffs)
   select n, round(mu_hat, 6) as mu_hat, round(lcb, 6) as lcb, round(k, 6) as avg_king_loss, round(c, 6) as avg_challenger_loss, lcb > 0.0025 as accepted,
-  case when lcb <= 0.0025 then 'DO_NOT_SUBMIT' when n < 80 then 'PROMISING_NEEDS_MORE_EVAL' when lcb >= 0.0035 and mu_hat >= 0.0075 then 'READY_TO_UPLOAD' else 'READY_TO_MERGE' end as decision from p, l""")
+  case when lcb <= 0.0025 then 'DO_NOT_SUBMIT' when n < 3000 then 'PROMISING_NEEDS_MORE_EVAL' when lcb >= 0.0035 and mu_hat >= 0.0075 then 'READY_TO_UPLOAD' else 'READY_TO_MERGE' end as decision from p, l""")
 def duel_verdict(spark, sf_dir):
     d = duel(spark, sf_dir)
     v = evaluation.verdict(d, evaluation.bootstrap_means(spark, d, "pos", REPLICATES, "b"), ALPHA, DELTA).withColumn("warned", F.lit(False))
-    return v.select("n", r6("mu_hat"), r6("lcb"), r6("avg_king_loss"), r6("avg_challenger_loss"), "accepted", evaluation.decision("lcb", "mu_hat", "n", "warned", least_n=80).alias("decision"))
+    return v.select("n", r6("mu_hat"), r6("lcb"), r6("avg_king_loss"), r6("avg_challenger_loss"), "accepted", evaluation.decision("lcb", "mu_hat", "n", "warned", least_n=LEAST_N).alias("decision"))
 
 
 @query(rf"""with {DUEL}, w as (select source, count(*) / sum(count(*)) over () as weight from documents group by source),
   x as (select pos, diff, weight, weight / sum(weight) over () as p from diffs join w using (source)),
   y as (select pos, diff, sum(p) over (order by pos) as hi, row_number() over (order by pos desc) as z from x), 
   i as (select diff, case when z = 1 then 2.0 else hi end as hi, coalesce(lag(hi) over (order by pos), 0.0) as lo from y),
-  nn as (select count(*) as n from diffs), s as (select r.range as replicate, s.range as slot from range(100) r, range(0, (select n from nn)) s),
+  nn as (select count(*) as n from diffs), s as (select r.range as replicate, s.range as slot from range(10000) r, range(0, (select n from nn)) s),
   u as (select replicate, {U60.format("'wb:' || replicate || ':' || slot")} as u from s)
   select replicate, round(avg(diff), 6) as mean from u join i on u >= lo and u < hi group by replicate""")
 def weighted_bootstrap(spark, sf_dir):

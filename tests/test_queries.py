@@ -31,6 +31,24 @@ def test_same_as_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
+def test_bootstrap_has_the_reference_sizes(spark):
+    """The bound against brute force over 10,000 replicates of the whole holdout."""
+    import hashlib
+
+    import numpy as np
+
+    english = queries.documents(spark, SMALL, "lang").where("lang = 'en'").count()
+    d = {r["pos"]: r["diff"] for r in queries.duel(spark, SMALL).collect()}
+    n = len(d)
+    assert n == min(2000, english // 2) and sorted(d) == list(range(n))
+    at = [int(hashlib.md5(f"b:{b}:{k}".encode()).hexdigest()[:15], 16) % n for b in range(10_000) for k in range(n)]
+    means = np.array([d[k] for k in range(n)])[np.array(at).reshape(10_000, n)].mean(axis=1)
+    got = queries.duel_verdict(spark, SMALL).first()
+    assert got["n"] == n and abs(got["lcb"] - np.quantile(means, 0.01)) < 2e-6
+    assert got["decision"] in ("DO_NOT_SUBMIT", "PROMISING_NEEDS_MORE_EVAL")
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 def test_service_queries_take_whole_tables(spark, duck, tmp_path):
     docs, lines = load(spark, SMALL, "documents"), load(spark, SMALL, "lineitem")
