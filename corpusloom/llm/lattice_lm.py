@@ -15,13 +15,14 @@ each counting once.
 
 Counts of words cover every training document.  Words of at least ``HEAD`` of all
 training tokens (so at most 1 / HEAD of them) go to the tasks; the rest are
-looked up by a join.  The first rounds of expectation-maximisation run on these
-frequent words, the last on every distinct training word.
+looked up by a join.  Every round of expectation-maximisation runs on every distinct
+training word, over all its segmentations whatever its length.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from functools import lru_cache
 
@@ -34,8 +35,8 @@ from .common import durable, held_out, table, written
 from .hashing import U64, powers, span_hashes
 from .token_counts import default_model
 
-HEAD, ROUNDS, SMOOTH = 1e-6, 4, 0.01
-#: Longer words, in bytes, are scored one at a time.
+HEAD, ROUNDS, SMOOTH = 1e-6, 5, 0.01
+#: Longer words, in bytes, are scored and learnt from one at a time.
 LONG = 48
 #: Words handled together.
 MANY = 60_000
@@ -132,10 +133,9 @@ class Lattice:
     def _log(self, ids: np.ndarray) -> np.ndarray:
         return np.where(ids >= 0, self.logp[ids], -np.inf)
 
-    def word(self, w: bytes) -> float:
-        """Log probability of one word of any length."""
-        b = b" " + w
-        a = [0.0]
+    def _long(self, b: bytes) -> array:
+        """Forward log sums at every place of a word of any length, its space included."""
+        a = array("d", [0.0])
         for t in range(1, len(b) + 1):
             c = [a[t - 1] + self.logp[self.n + b[t - 1]]]
             for k in self.lengths:
@@ -146,7 +146,27 @@ class Lattice:
                     c.append(a[t - k] + self.logp[p])
             top = max(c)
             a.append(top + math.log(sum(math.exp(x - top) for x in c)))
-        return a[-1]
+        return a
+
+    def word(self, w: bytes) -> float:
+        """Log probability of one word of any length."""
+        return self._long(b" " + w)[-1]
+
+    def _long_uses(self, w: bytes, count: float, out: np.ndarray) -> None:
+        """Adds the expected uses of a word of any length; the backward sums are kept over the longest piece only."""
+        b = b" " + w
+        a, longest = self._long(b), max(self.lengths, default=1)
+        after, total = {len(b): 0.0}, a[-1]
+        for s in range(len(b) - 1, -1, -1):
+            c = []
+            for k, p in [(1, self.n + b[s]), *((k, self.of.get(b[s : s + k])) for k in self.lengths if s + k <= len(b))]:
+                if p is not None:
+                    x = self.logp[p] + after[s + k]
+                    c.append(x)
+                    out[p] += count * math.exp(a[s] + x - total)
+            top = max(c)
+            after[s] = top + math.log(sum(math.exp(x - top) for x in c))
+            after.pop(s + longest, None)
 
     def words(self, words: list[bytes]) -> np.ndarray:
         """Log probabilities of the words: the marginals over all segmentations."""
@@ -163,12 +183,12 @@ class Lattice:
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over the words' segmentations; long words count as their bytes."""
+        """Expected uses of each piece over the words' segmentations."""
         out = np.zeros(len(self.logp))
         short = [k for k, w in enumerate(words) if len(w) < LONG]
         if len(short) < len(words):
             for k in set(range(len(words))) - set(short):
-                np.add.at(out, self.n + np.frombuffer(words[k], np.uint8).astype(np.int64), counts[k])
+                self._long_uses(words[k], counts[k], out)
         at = np.array(short, np.int64)
         for size, part in self._blocks([words[k] for k in short]):
             n = len(part)
@@ -212,23 +232,27 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(batches, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def fit(vocab: DataFrame, head: pa.Table, model: str) -> tuple[list[bytes], np.ndarray]:
-    """Pieces and log weights: rounds on the frequent words, then one on all training words."""
+def fit(vocab: DataFrame, model: str) -> tuple[list[bytes], np.ndarray]:
+    """Pieces and log weights, by rounds over all training words."""
     pieces, logp = vocabulary(model)
-    words = head.column("word").to_pylist()
     for _ in range(ROUNDS):
-        if words:
-            logp = learnt(Lattice(pieces, logp).expected(words, np.ones(len(words))), 1)
+        logp = one_round(vocab, pieces, logp)
+    return pieces, logp
+
+
+def one_round(vocab: DataFrame, pieces: list[bytes], logp: np.ndarray) -> np.ndarray:
     shared = vocab.sparkSession.sparkContext.broadcast((pieces, logp))
 
     def batches(it):
-        lattice, total, words = Lattice(*shared.value), None, []
+        lattice, total, words, size = Lattice(*shared.value), None, [], 0
         for batch in it:
-            words += batch.column("word").to_pylist()
-            if len(words) >= MANY:
+            for w in batch.column("word").to_pylist():
+                words.append(w)
+                size += 1 + len(w) // LONG
+            if size >= MANY:
                 e = lattice.expected(words, np.ones(len(words)))
                 total = e if total is None else total + e
-                words = []
+                words, size = [], 0
         if words:
             e = lattice.expected(words, np.ones(len(words)))
             total = e if total is None else total + e
@@ -238,7 +262,8 @@ def fit(vocab: DataFrame, head: pa.Table, model: str) -> tuple[list[bytes], np.n
     uses = np.zeros(len(logp))
     for piece, n in vocab.select("word").mapInArrow(batches, "piece long, uses double").groupBy("piece").agg(F.sum("uses")).collect():  # one row for each piece
         uses[piece] = n
-    return pieces, learnt(uses, 1)
+    shared.destroy()
+    return learnt(uses, 1)
 
 
 def lattice_scores(docs: DataFrame, folds: int = 7, fold: int = 2, model: str | None = None) -> DataFrame:
@@ -258,7 +283,7 @@ def lattice_scores(docs: DataFrame, folds: int = 7, fold: int = 2, model: str |
     fresh = (once + 1) / (total + 2) if total else 1.0  # the share of new words
     least = max(1, math.ceil(HEAD * total))
     head = vocab.where(F.col("c") >= least).toArrow()  # at most 1 / HEAD rows
-    pieces, logp = fit(vocab, head, path) if types else vocabulary(path)
+    pieces, logp = fit(vocab, path) if types else vocabulary(path)
     shared = spark.sparkContext.broadcast((pieces, logp, head.column("word").to_pylist(), head.column("c").to_numpy()))
 
     def batches(it):

@@ -434,6 +434,21 @@ def test_lattice_is_the_sum_over_segmentations():
     assert abs(spelled - 3) < 1e-9
 
 
+def test_long_words_count_over_their_segmentations(spark, monkeypatch):
+    rng = random.Random(8)
+    pieces = [b" a", b"b", b"ab", b" ab", b"ba", b"a", b" ", b"abab"]
+    lattice = lattice_lm.Lattice(pieces, np.log(np.arange(1, len(pieces) + 258) / 9999.0))
+    long = ["".join(rng.choice("abz") for _ in range(n)).encode() for n in (20, 47)]
+    short = lattice.expected(long, np.array([1.0, 2.0]))
+    monkeypatch.setattr(lattice_lm, "LONG", 10)
+    assert np.allclose(lattice.expected(long, np.array([1.0, 2.0])), short, atol=1e-9)
+    # In a word of 5,000 bytes the uses spell the word, and pieces have their share.
+    w = b"ab" * 2500
+    uses = lattice.expected([w], np.ones(1))
+    spelled = sum(uses[k] * len(p) for k, p in enumerate(pieces)) + uses[len(pieces) : -1].sum()
+    assert abs(spelled - 5001) < 1e-6 and uses[: len(pieces)].sum() > 100
+
+
 def test_scores(spark, corpus):
     rows = corpus + corpus[2:3]
     out = defaultdict(list)
