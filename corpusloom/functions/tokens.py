@@ -24,10 +24,13 @@ def repeat_ratio(ids: Column) -> Column:
 
 
 def ngram_repeat_ratio(ids: Column, width: int = 4) -> Column:
-    """1 - distinct / all n-grams; 0 for fewer tokens than the width."""
+    """1 - distinct / all n-grams; 0 for fewer tokens than the width.
+
+    N-grams count by 64-bit hashes: distinct arrays of arrays would compare all pairs.
+    """
     n = F.size(ids)
     starts = F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.slice(ids, i, width))
+    grams = F.transform(starts, lambda i: F.xxhash64(F.slice(ids, i, width)))
     return F.when(n >= width, 1 - F.size(F.array_distinct(grams)) / F.size(grams)).otherwise(F.lit(0.0))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded, uniform
@@ -16,17 +16,19 @@ def paired_differences(king: DataFrame, challenger: DataFrame, key: str) -> Data
     return k.join(c, key).withColumn("diff", F.col("king_loss") - F.col("challenger_loss"))
 
 
-def bootstrap_means(spark: SparkSession, diffs: DataFrame, position: str, replicates: int, seed: str) -> DataFrame:
-    """(replicate, mean): each resamples all n differences with replacement.
+def bootstrap_means(spark: SparkSession, diffs: DataFrame, position: str, replicates: int, seed: str, by: list[str] = []) -> DataFrame:
+    """(*by, replicate, mean): each resamples all n differences with replacement, within each value of ``by``.
 
-    ``diffs`` is a holdout of a fixed number of rows with positions 0..n-1;
-    indices are hashes of (seed, replicate, slot), and the resampling is a join.
+    ``diffs`` is a holdout of a fixed number of rows with positions 0..n-1 within
+    ``by``; indices are hashes of (seed, *by, replicate, slot), and the resampling
+    is a join.
     """
-    n = diffs.agg(F.count("*").alias("n"))
-    slots = spark.range(replicates).select(F.col("id").alias("replicate")).crossJoin(F.broadcast(n))  # one row
+    n = diffs.groupBy(*by).agg(F.count("*").alias("n"))
+    slots = spark.range(replicates).select(F.col("id").alias("replicate")).crossJoin(F.broadcast(n))  # one row for each source
     slots = slots.where("n > 0").withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    slots = slots.withColumn("pick", index_below(seed, F.col("n"), F.col("replicate"), F.col("slot")))
-    return slots.join(diffs.select(F.col(position).alias("pick"), "diff"), "pick").groupBy("replicate").agg(F.avg("diff").alias("mean"))
+    slots = slots.withColumn("pick", index_below(seed, F.col("n"), *(F.col(c) for c in by), F.col("replicate"), F.col("slot")))
+    held = diffs.select(*by, F.col(position).alias("pick"), "diff")
+    return slots.join(F.broadcast(held), [*by, "pick"]).groupBy(*by, "replicate").agg(F.avg("diff").alias("mean"))  # the holdout
 
 
 def weighted_bootstrap_means(spark: SparkSession, diffs: DataFrame, replicates: int, seed: str) -> DataFrame:
@@ -47,6 +49,49 @@ def lower_bound(means: DataFrame, alpha: float) -> DataFrame:
     return means.agg(F.coalesce(F.percentile("mean", F.lit(alpha)), F.lit(0.0)).alias("lcb"))
 
 
+def accepted_locally(lcb: str, mu: str, floor: float, least_mu: float) -> tuple[Column, Column]:
+    """(accepted, reasons): the bound above the floor and the mean at its floor or above; reasons list what fails."""
+    low = F.when(F.col(lcb) <= floor, "lcb")
+    small = F.when((F.lit(least_mu) > 0) & (F.col(mu) < least_mu), "mu_hat")
+    return (F.col(lcb) > floor) & (F.col(mu) >= least_mu), F.concat_ws(",", low, small)
+
+
+def component_means(diffs: DataFrame, position: str, public: int) -> DataFrame:
+    """One row: means of the differences at positions below ``public`` and from there on; 0 where there are none."""
+    first = F.col(position) < public
+    mean = lambda c: F.coalesce(F.avg(F.when(c, F.col("diff"))), F.lit(0.0))
+    return diffs.agg(
+        F.count("*").alias("n"), F.count_if(first).alias("n_public"), mean(first).alias("mu_public"), mean(~first).alias("mu_private"),
+        F.coalesce(F.avg("diff"), F.lit(0.0)).alias("mu_hat"),
+    )
+
+
+def source_verdicts(spark: SparkSession, diffs: DataFrame, replicates: int, seed: str, alpha: float, floor: float, guarded: Column, least: float = -0.001) -> DataFrame:
+    """One row for each source of a holdout: n, mean, bound, whether accepted, and whether a guarded source has regressed.
+
+    A guarded source regresses when its mean or its bound lies below ``least``.
+    """
+    placed = diffs.withColumn("_at", (F.row_number().over(Window.partitionBy("source").orderBy("pos")) - 1).cast("long"))
+    means = bootstrap_means(spark, placed, "_at", replicates, seed, ["source"])
+    bound = means.groupBy("source").agg(F.percentile("mean", F.lit(alpha)).alias("lcb"))  # ``replicates`` values
+    point = diffs.groupBy("source").agg(F.count("*").alias("n"), F.avg("diff").alias("mu_hat"))
+    out = point.join(bound, "source").withColumn("guarded", guarded)
+    bad = F.col("guarded") & ((F.col("mu_hat") < least) | (F.col("lcb") < least))
+    return out.withColumn("accepted", F.col("lcb") > floor).withColumn("regressed", bad)
+
+
+def pooled_verdict(diffs: DataFrame, means: DataFrame, sources: DataFrame, alpha: float, floor: float, least_mu: float = 0.0) -> DataFrame:
+    """One row over all sources: ``diffs`` has ``weight`` summing to 1, ``means`` are weighted replicate means.
+
+    Sources that have regressed are reasons beside the two floors.
+    """
+    point = diffs.agg(F.count("*").alias("n_eval"), F.coalesce(F.sum(F.col("weight") * F.col("diff")), F.lit(0.0)).alias("mixture_mu"))
+    warned = sources.agg(F.array_join(F.sort_array(F.collect_list(F.when(F.col("regressed"), F.col("source")))), ",").alias("warnings"))
+    out = point.crossJoin(F.broadcast(lower_bound(means, alpha).withColumnRenamed("lcb", "mixture_lcb"))).crossJoin(F.broadcast(warned))  # one row each
+    ok, why = accepted_locally("mixture_lcb", "mixture_mu", floor, least_mu)
+    return out.withColumn("accepted", ok & (F.col("n_eval") > 0)).withColumn("reasons", F.concat_ws(",", F.nullif(why, F.lit("")), F.nullif("warnings", F.lit("")))).drop("warnings")
+
+
 def verdict(diffs: DataFrame, means: DataFrame, alpha: float, delta: float) -> DataFrame:
     """One row: mean difference, bound, average losses and whether the challenger is accepted (bound > delta)."""
     point = diffs.agg(

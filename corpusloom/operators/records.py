@@ -64,11 +64,39 @@ def lock_violations(left: DataFrame, right: DataFrame, key: str, name: str, valu
     return both.groupBy(key).agg(F.min_by(name, order).alias("first_mismatch"), F.count("*").alias("mismatches"))
 
 
-def evictions(files: DataFrame, group: str, size: str, order: list[str], watermark: Column, share: float) -> DataFrame:
-    """Oldest files first until at most ``share`` of the watermark is left; nothing below the watermark."""
+def evictions(files: DataFrame, group: str, size: str, order: list[str], watermark: Column, share: float, protected: Column | None = None) -> DataFrame:
+    """Adds evict: oldest files first until less than ``share`` of the watermark is left; nothing below the watermark.
+
+    A protected file is passed over and its size stays in the total.
+    """
+    kept = F.coalesce(protected, F.lit(False)) if protected is not None else F.lit(False)
     total = F.sum(size).over(Window.partitionBy(group))
-    older = F.coalesce(F.sum(size).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return files.withColumn("evict", (total >= watermark) & (total - older >= share * watermark))
+    gone = F.when(~kept, F.col(size)).otherwise(F.lit(0))
+    older = F.coalesce(F.sum(gone).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return files.withColumn("evict", ~kept & (total >= watermark) & (total - older >= share * watermark))
+
+
+def pruned(records: DataFrame, group: str, finished: Column, created: str, tie: str, oldest: Column, keep: int) -> DataFrame:
+    """Adds drop: finished records created before ``oldest``, then the oldest finished ones while more than ``keep`` records are left.
+
+    Open records are never dropped, but count among those that are left.
+    """
+    each = Window.partitionBy(group)
+    done = F.coalesce(finished, F.lit(False))
+    aged = records.withColumn("_done", done).withColumn("_aged", done & (F.col(created) < oldest))
+    left = F.count("*").over(each) - F.count_if(F.col("_aged")).over(each)
+    place = F.row_number().over(Window.partitionBy(group, F.col("_done") & ~F.col("_aged")).orderBy(created, tie))
+    out = aged.withColumn("_excess", left - keep).withColumn("_place", place)
+    return out.withColumn("drop", F.col("_aged") | (F.col("_done") & ~F.col("_aged") & (F.col("_place") <= F.col("_excess")))).drop("_done", "_aged", "_excess", "_place")
+
+
+def upper_medians(rows: DataFrame, group: str, size: str) -> DataFrame:
+    """(group, median): the size at place floor(n / 2) from 0, by counts of equal sizes, of which there are far fewer than rows."""
+    counts = rows.groupBy(group, size).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(group)
+    upto = F.sum("_n").over(w.orderBy(size).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_upto", upto).withColumn("_half", F.floor(F.sum("_n").over(w) / 2))
+    return placed.where("_upto > _half").groupBy(group).agg(F.min(size).alias("median"))
 
 
 # Fixed values, in the order they are looked for.
@@ -79,15 +107,19 @@ TRANSIENT = (
 )
 
 
-def classify_error(text: Column) -> tuple[Column, Column]:
-    """(transient, marker): two permanent patterns come first, then the first marker found."""
+def classify_error(text: Column, cancelled: Column | None = None) -> tuple[Column, Column]:
+    """(transient, marker): cancellation first, then two permanent patterns, then the first marker found."""
     t = F.lower(text)
+    stopped = F.coalesce(cancelled, F.lit(False)) if cancelled is not None else F.lit(False)
     exhausted = t.contains("stuck cdn") | (t.contains("prefetch") & t.contains("exceeded"))
     reported = t.startswith("eval server error") | t.contains("'eval server error'")
     found = F.filter(F.array(*(F.lit(m) for m in TRANSIENT)), lambda m: t.contains(m))
     first = F.when(F.size(found) > 0, F.element_at(found, 1))
-    marker = F.when(exhausted, "prefetch_exhausted").when(reported, "eval_server_reported").otherwise(F.coalesce(first, F.lit("")))
-    return ~exhausted & ~reported & (F.size(found) > 0), marker
+    marker = (
+        F.when(stopped, "validator_cancelled").when(exhausted, "prefetch_exhausted").when(reported, "eval_server_reported")
+        .otherwise(F.coalesce(first, F.lit("")))
+    )
+    return stopped | (~exhausted & ~reported & (F.size(found) > 0)), marker
 
 
 def parse_reveal(payload: Column) -> Column:

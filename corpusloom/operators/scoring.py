@@ -20,20 +20,39 @@ def token_counts(rows: DataFrame, key: str, ids: str) -> DataFrame:
 
 
 class UnigramScorer:
-    """Add-one smoothed unigram model of the given rows."""
-
-    def __init__(self, fitted_on: DataFrame, ids: str):
-        self.counts = fitted_on.select(F.explode(ids).alias("tok")).groupBy("tok").agg(F.count("*").alias("c"))
+    """Add-one smoothed unigram model of the given rows.
+
+    With ``key``, counts come from the counts by row, which scoring the same
+    rows then shares: texts are tokenized and shuffled once.
+    """
+
+    def __init__(self, fitted_on: DataFrame, ids: str, key: str | None = None):
+        self.fitted_on, self.key = fitted_on, key
+        self.per = token_counts(fitted_on, key, ids) if key else None
+        if self.per is None:
+            self.counts = fitted_on.select(F.explode(ids).alias("tok")).groupBy("tok").agg(F.count("*").alias("c"))
+        else:
+            self.counts = self.per.groupBy("tok").agg(F.sum("k").alias("c"))
         self.totals = self.counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
 
+    @classmethod
+    def of_counts(cls, counts: DataFrame) -> UnigramScorer:
+        """A model of (tok, c)."""
+        new = cls.__new__(cls)
+        new.fitted_on = new.key = new.per = None
+        new.counts = counts
+        new.totals = counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
+        return new
+
     def score(self, rows: DataFrame, key: str, ids: str) -> DataFrame:
-        """(key, loss, n_pos): mean negative log likelihood, in nats, of rows with tokens."""
-        per = token_counts(rows, key, ids).join(self.counts, "tok", "left")
+        """(key, loss, n_pos, n_types): mean negative log likelihood, in nats, of rows with tokens."""
+        per = self.per if rows is self.fitted_on and key == self.key else token_counts(rows, key, ids)
+        per = per.join(self.counts, "tok", "left")
         nll = -F.log((F.coalesce("c", F.lit(0)) + 1) / (F.col("total") + F.col("types")))
         return (
             per.crossJoin(F.broadcast(self.totals))  # one row
             .groupBy(key)
-            .agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"), F.sum("k").alias("n_pos"))
+            .agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"), F.sum("k").alias("n_pos"), F.count("*").alias("n_types"))
         )
 
 

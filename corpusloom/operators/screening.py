@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .curriculum import BUCKETS, finite
+from .quantiles import quantiles
 
 
 def trainability(rows: DataFrame, source: str, shards: DataFrame, train_alloc: int, mix: tuple[float, float, float] = (0.6, 0.3, 0.1)) -> DataFrame:
@@ -19,8 +20,9 @@ def trainability(rows: DataFrame, source: str, shards: DataFrame, train_alloc: i
     clean_loss = F.when((F.col("bucket") != "suspicious") & finite(), F.col("loss"))
     per = rows.groupBy(source).agg(
         *(F.count_if(F.col("bucket") == b).alias(b) for b in BUCKETS), F.count("*").alias("n_scored"),
-        F.percentile(clean_loss, F.lit(0.5)).alias("p50"), F.percentile(clean_loss, F.lit(0.85)).alias("p85"),
     )
+    marks = quantiles(rows, clean_loss, [0.5, 0.85], [source]).select(F.col(source).alias("_s"), F.col("q")[0].alias("p50"), F.col("q")[1].alias("p85"))
+    per = per.join(marks, per[source].eqNullSafe(marks["_s"])).drop("_s")
     per = per.join(shards, source, "left").withColumn("shards_cached", F.coalesce("shards_cached", F.lit(0)))
     per = per.withColumn("clean_n", F.col("general") + F.col("hard") + F.col("easy"))
     per = per.withColumn("hard_frac", F.coalesce(F.try_divide(F.col("hard"), F.col("clean_n")), F.lit(0.0)))

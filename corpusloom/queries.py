@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions.hashing import seeded, short_sha
-from .functions.tokens import ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
+from .functions.tokens import WORD, ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
 from .operators import curriculum, evaluation, packing, sampling, screening
 from .operators.scoring import BigramScorer, UnigramScorer
 from .tables import load
@@ -211,10 +211,9 @@ chosen as (select doc_id, source, bucket, 'val' as split from clean where v <= {
   select doc_id, source, bucket, 'train' from pool where t <= case bucket when 'general' then {g} when 'hard' then {h} else {train - g - h} end)"""
 
 
-@query(rf"with {BUCKETED}, {_split_sql('', 'c', 100, 400)} select doc_id, bucket, split from chosen")
+@query(rf"with {BUCKETED}, {_split_sql('', 'c', 400, 2000)} select doc_id, bucket, split from chosen")
 def curriculum_split(spark, sf_dir):
-    rows = bucketed(spark, sf_dir).withColumn("all", F.lit(1))
-    return curriculum.split_curriculum(rows, ["doc_id"], ["all"], "c", 100, 400).select("doc_id", "bucket", "split")
+    return curriculum.split_curriculum(bucketed(spark, sf_dir), ["doc_id"], [], "c", 400, 2000).select("doc_id", "bucket", "split")
 
 
 @query(rf"with {BUCKETED}, {_split_sql('source', 'm', 5, 20)} select doc_id, source, bucket, split from chosen")
@@ -352,14 +351,19 @@ HOLDOUT, REPLICATES, ALPHA, DELTA, LEAST_N = 2000, 10_000, 0.01, 0.0025, 3000
 
 
 def duel(spark, sf_dir):
-    """The holdout's differences: the king is fitted on all texts outside it, the challenger on its English ones."""
+    """The holdout's differences, computed once: the king is fitted on all texts outside it, the challenger on its English ones.
+
+    The holdout has at most ``HOLDOUT`` rows of numbers, which the queries read several times.
+    """
     docs = documents(spark, sf_dir, "lang")
-    english = docs.where("lang = 'en'")
-    holdout = sampling.take(english, min(HOLDOUT, english.count() // 2), "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
+    english = load(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(WORD)).count()
+    holdout = sampling.take(docs.where("lang = 'en'"), min(HOLDOUT, english // 2), "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
     rest = docs.join(holdout.select("doc_id"), "doc_id", "left_anti")
-    king = UnigramScorer(rest, "ids").score(holdout, "doc_id", "ids")
-    challenger = UnigramScorer(rest.where("lang = 'en'"), "ids").score(holdout, "doc_id", "ids")
-    return evaluation.paired_differences(king, challenger, "doc_id").join(holdout.select("doc_id", "pos", "source"), "doc_id")
+    counts = rest.select("lang", F.explode("ids").alias("tok")).groupBy("tok").agg(F.count("*").alias("all"), F.count_if(F.col("lang") == "en").alias("en"))
+    king = UnigramScorer.of_counts(counts.select("tok", F.col("all").alias("c"))).score(holdout, "doc_id", "ids")
+    challenger = UnigramScorer.of_counts(counts.where("en > 0").select("tok", F.col("en").alias("c"))).score(holdout, "doc_id", "ids")
+    out = evaluation.paired_differences(king, challenger, "doc_id").join(holdout.select("doc_id", "pos", "source"), "doc_id")
+    return spark.createDataFrame(out.toArrow())
 
 
 DUEL = TOK + r""",
@@ -398,27 +402,85 @@ def duel_verdict(spark, sf_dir):
     return v.select("n", r6("mu_hat"), r6("lcb"), r6("avg_king_loss"), r6("avg_challenger_loss"), "accepted", evaluation.decision("lcb", "mu_hat", "n", "warned", least_n=LEAST_N).alias("decision"))
 
 
-@query(rf"""with {DUEL}, w as (select source, count(*) / sum(count(*)) over () as weight from documents group by source),
-  x as (select pos, diff, weight, weight / sum(weight) over () as p from diffs join w using (source)),
-  y as (select pos, diff, sum(p) over (order by pos) as hi, row_number() over (order by pos desc) as z from x), 
-  i as (select diff, case when z = 1 then 2.0 else hi end as hi, coalesce(lag(hi) over (order by pos), 0.0) as lo from y),
-  nn as (select count(*) as n from diffs), s as (select r.range as replicate, s.range as slot from range(10000) r, range(0, (select n from nn)) s),
-  u as (select replicate, {U60.format("'wb:' || replicate || ':' || slot")} as u from s)
-  select replicate, round(avg(diff), 6) as mean from u join i on u >= lo and u < hi group by replicate""")
-def weighted_bootstrap(spark, sf_dir):
+BY_SOURCE = r""",
+at_ as (select *, row_number() over (partition by source order by pos) - 1 as at, count(*) over (partition by source) as ns from diffs),
+ss as (select distinct source, ns from at_), sl as (select source, ns, r.range as replicate, unnest(range(0, ns)) as slot from ss, range(10000) r),
+sp as (select source, replicate, ('0x' || substr(md5('sb:' || source || ':' || replicate || ':' || slot), 1, 15))::bigint % ns as at from sl),
+sm as (select sp.source, replicate, avg(diff) as mean from sp join at_ on sp.source = at_.source and sp.at = at_.at group by all),
+sl2 as (select source, quantile_cont(mean, 0.01) as lcb from sm group by source),
+sv as (select source, count(*) as n, avg(diff) as mu_hat, any_value(lcb) as lcb, source like '%a%' as guarded from diffs join sl2 using (source) group by source),
+verdicts as (select *, lcb > 0.0025 as accepted, guarded and (mu_hat < -0.001 or lcb < -0.001) as regressed from sv)"""
+
+
+def by_source(spark, d):
+    return evaluation.source_verdicts(spark, d, REPLICATES, "sb", ALPHA, DELTA, F.col("source").contains("a"))
+
+
+WEIGHTED = r""",
+w as (select source, count(*) / sum(count(*)) over () as weight from documents group by source),
+x as (select pos, diff, weight, weight / sum(weight) over () as p from diffs join w using (source)),
+y as (select pos, diff, sum(p) over (order by pos) as hi, row_number() over (order by pos desc) as z from x),
+i as (select diff, case when z = 1 then 2.0 else hi end as hi, coalesce(lag(hi) over (order by pos), 0.0) as lo from y),
+wn as (select count(*) as n from diffs), s as (select r.range as replicate, s.range as slot from range(10000) r, range(0, (select n from wn)) s),
+u as (select replicate, """ + U60.format("'wb:' || replicate || ':' || slot") + r""" as u from s),
+wmeans as (select replicate, avg(diff) as mean from u join i on u >= lo and u < hi group by replicate)"""
+
+
+def weighted(spark, sf_dir, d):
+    """The differences with the weight of their source, summing to 1, and the means of weighted replicates."""
     weights = sampling.normalised(load(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").cast("double").alias("weight")))
-    d = sampling.normalised(duel(spark, sf_dir).join(weights, "source"))
+    d = sampling.normalised(d.join(weights, "source"))
     w = Window.orderBy("pos")  # a holdout of a fixed number of rows
     hi = F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("hi", F.when(F.row_number().over(Window.orderBy(F.col("pos").desc())) == 1, F.lit(2.0)).otherwise(hi))
-    d = d.withColumn("lo", F.coalesce(F.lag("hi").over(w), F.lit(0.0))).select("diff", "lo", "hi")
-    return evaluation.weighted_bootstrap_means(spark, d, REPLICATES, "wb").select("replicate", r6("mean"))
+    i = d.withColumn("hi", F.when(F.row_number().over(Window.orderBy(F.col("pos").desc())) == 1, F.lit(2.0)).otherwise(hi))
+    i = i.withColumn("lo", F.coalesce(F.lag("hi").over(w), F.lit(0.0))).select("diff", "lo", "hi")
+    return d, evaluation.weighted_bootstrap_means(spark, i, REPLICATES, "wb")
+
+
+@query(rf"with {DUEL}{WEIGHTED} select replicate, round(mean, 6) as mean from wmeans")
+def weighted_bootstrap(spark, sf_dir):
+    return weighted(spark, sf_dir, duel(spark, sf_dir))[1].select("replicate", r6("mean"))
+
+
+@query(rf"""with {DUEL}{WEIGHTED}{BY_SOURCE}, l as (select quantile_cont(mean, 0.01) as lcb from wmeans), m as (select count(*) as n, sum(p * diff) as mu from x),
+  r as (select coalesce(string_agg(source, ',' order by source) filter (where regressed), '') as warned from verdicts)
+  select n::bigint as n_eval, round(mu, 6) as mixture_mu, round(lcb, 6) as mixture_lcb, lcb > 0.0025 and mu >= 0.001 as accepted,
+  concat_ws(',', case when lcb <= 0.0025 then 'lcb' end, case when mu < 0.001 then 'mu_hat' end, nullif(warned, '')) as reasons from m, l, r""")
+def mixture_evaluation(spark, sf_dir):
+    d = duel(spark, sf_dir)
+    w, means = weighted(spark, sf_dir, d)
+    out = evaluation.pooled_verdict(w, means, by_source(spark, d), ALPHA, DELTA, 0.001)
+    return out.select("n_eval", r6("mixture_mu"), r6("mixture_lcb"), "accepted", "reasons")
+
+
+@query(rf"""with {DUEL} select count(*)::bigint as n, count(*) filter (where pos < 50)::bigint as n_public, round(coalesce(avg(diff) filter (where pos < 50), 0), 6) as mu_public,
+  round(coalesce(avg(diff) filter (where pos >= 50), 0), 6) as mu_private, round(coalesce(avg(diff), 0), 6) as mu_hat from diffs""")
+def component_means(spark, sf_dir):
+    out = evaluation.component_means(duel(spark, sf_dir), "pos", 50)
+    return out.select("n", "n_public", r6("mu_public"), r6("mu_private"), r6("mu_hat"))
+
+
+@query(rf"""with {DUEL}{MEANS}, l as (select quantile_cont(mean, 0.01) as lcb from means), m as (select count(*) as n, count(*) filter (where pos < 50) as n_public, avg(diff) as mu, avg(diff) filter (where pos < 50) as a,
+  avg(diff) filter (where pos >= 50) as b, sha256(string_agg(doc_id::varchar, chr(10) order by pos)) as digest, sum(king_loss) as k, sum(challenger_loss) as c from diffs)
+  select digest as index_digest, n::bigint as n, n_public::bigint as n_public, (n - n_public)::bigint as n_private, round(mu, 6) as mu_hat, round(coalesce(a, 0), 6) as mu_public, round(coalesce(b, 0), 6) as mu_private,
+  round(lcb, 6) as lcb, round(k / n, 6) as avg_king_loss, round(c / n, 6) as avg_challenger_loss, lcb > 0.0025 as accepted, 10000::bigint as n_bootstrap, 0.01::double as alpha, 0.0025::double as delta from m, l""")
+def evaluation_record(spark, sf_dir):
+    """The audit record of an evaluation: what was drawn, the parts, the verdict and its settings."""
+    d = duel(spark, sf_dir)
+    listed = F.sort_array(F.collect_list(F.struct("pos", F.col("doc_id").cast("string").alias("d"))))
+    digest = d.agg(F.sha2(F.array_join(F.transform(listed, lambda x: x["d"]), "\n"), 256).alias("index_digest"))
+    v = evaluation.verdict(d, evaluation.bootstrap_means(spark, d, "pos", REPLICATES, "b"), ALPHA, DELTA)
+    parts = evaluation.component_means(d, "pos", 50).select("n_public", "mu_public", "mu_private")
+    out = v.crossJoin(F.broadcast(parts)).crossJoin(F.broadcast(digest))  # one row each
+    return out.select(
+        "index_digest", "n", "n_public", (F.col("n") - F.col("n_public")).alias("n_private"), r6("mu_hat"), r6("mu_public"), r6("mu_private"), r6("lcb"), r6("avg_king_loss"),
+        r6("avg_challenger_loss"), "accepted", F.lit(REPLICATES).cast("long").alias("n_bootstrap"), F.lit(ALPHA).alias("alpha"), F.lit(DELTA).alias("delta"),
+    )
 
 
-@query(rf"with {DUEL} select source, count(*)::bigint as n, round(avg(diff), 6) as mu_hat, avg(diff) < -0.001 as regressed from diffs group by source")
+@query(rf"with {DUEL}{BY_SOURCE} select source, n::bigint as n, round(mu_hat, 6) as mu_hat, round(lcb, 6) as lcb, guarded, accepted, regressed from verdicts")
 def regression_guard(spark, sf_dir):
-    out = duel(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.avg("diff").alias("mu_hat"))
-    return out.select("source", "n", r6("mu_hat"), (F.col("mu_hat") < -0.001).alias("regressed"))
+    return by_source(spark, duel(spark, sf_dir)).select("source", "n", r6("mu_hat"), r6("lcb"), "guarded", "accepted", "regressed")
 
 
 @query(r"""select doc_id, substr(sha256(coalesce(text, '')), 1, 16) as content_key, case when length(text) >= 2000 then 'large' else 'small' end as size_class from documents""")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .operators import records
+from .operators.quantiles import quantiles
 from .queries import r6
 from .tables import load
 
@@ -81,9 +82,10 @@ def drift(spark, sf_dir):
 @query("""select event_type, count(*)::bigint as n, round(quantile_cont(value, 0.5), 6) as p50, round(quantile_cont(value, 0.95), 6) as p95, round(max(value), 6) as top,
   quantile_cont(value, 0.5) >= 40 as enough, max(value) <= 1000 as bounded, quantile_cont(value, 0.5) >= 40 and max(value) <= 1000 as overall from events group by event_type""")
 def pass_fail(spark, sf_dir):
-    out = load(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.count("*").alias("n"), F.percentile("value", F.lit(0.5)).alias("p50"), F.percentile("value", F.lit(0.95)).alias("p95"), F.max("value").alias("top")
-    )
+    ev = load(spark, sf_dir, "events")
+    top = ev.groupBy("event_type").agg(F.count("*").alias("n"), F.max("value").alias("top"))
+    q = quantiles(ev, F.col("value"), [0.5, 0.95], ["event_type"]).select("event_type", F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"))
+    out = top.join(q, "event_type")
     enough, bounded = F.col("p50") >= 40, F.col("top") <= 1000
     return out.select("event_type", "n", r6("p50"), r6("p95"), r6("top"), enough.alias("enough"), bounded.alias("bounded"), (enough & bounded).alias("overall"))
 
@@ -129,11 +131,13 @@ def ema_floor(spark, sf_dir):
     return per.select("o_custkey", F.round(0.001 * ema, 6).alias("floor_"))
 
 
-@query("""with s as (select l_suppkey, l_orderkey, l_linenumber, l_quantity as size, sum(l_quantity) over (partition by l_suppkey) as total,
-  coalesce(sum(l_quantity) over (partition by l_suppkey order by l_shipdate, l_orderkey, l_linenumber rows between unbounded preceding and 1 preceding), 0) as older from lineitem)
-  select l_suppkey, count_if(total >= 5000 and total - older >= 3500)::bigint as evicted, round(coalesce(sum(size) filter (where not (total >= 5000 and total - older >= 3500)), 0), 6) as left_ from s group by l_suppkey""")
+@query("""with s as (select l_suppkey, l_quantity as size, l_returnflag = 'A' as safe, sum(l_quantity) over (partition by l_suppkey) as total,
+  coalesce(sum(case when l_returnflag <> 'A' then l_quantity else 0 end) over (partition by l_suppkey order by l_shipdate, l_orderkey, l_linenumber rows between unbounded preceding and 1 preceding), 0) as freed from lineitem),
+  e as (select *, not safe and total >= 5000 and total - freed >= 3500 as gone from s)
+  select l_suppkey, count_if(gone)::bigint as evicted, round(coalesce(sum(size) filter (where not gone), 0), 6) as left_ from e group by l_suppkey""")
 def cache_evictions(spark, sf_dir):
-    f = records.evictions(load(spark, sf_dir, "lineitem"), "l_suppkey", "l_quantity", ["l_shipdate", "l_orderkey", "l_linenumber"], F.lit(5000.0), 0.7)
+    li = load(spark, sf_dir, "lineitem")
+    f = records.evictions(li, "l_suppkey", "l_quantity", ["l_shipdate", "l_orderkey", "l_linenumber"], F.lit(5000.0), 0.7, F.col("l_returnflag") == "A")
     return f.groupBy("l_suppkey").agg(F.count_if("evict").alias("evicted"), F.round(F.coalesce(F.sum(F.when(~F.col("evict"), F.col("l_quantity"))), F.lit(0.0)), 6).alias("left_"))
 
 
@@ -143,14 +147,17 @@ def keep_newest(spark, sf_dir):
     return load(spark, sf_dir, "orders").withColumn("z", z).where("z > 5").select("o_orderkey", "o_custkey")
 
 
-@query("""with now as (select max(o_orderdate) as t from orders), a as (select o_orderkey, o_custkey, o_orderdate, o_orderstatus from orders, now where o_orderdate >= t - interval 700 day),
-  r as (select *, row_number() over (partition by o_custkey, o_orderstatus order by o_orderdate desc, o_orderkey desc) as z from a) select o_orderkey from r where o_orderstatus = 'O' or z <= 2""")
+@query("""with now as (select max(o_orderdate) as t from orders), r as (select o_orderkey, o_custkey, o_orderdate, o_orderstatus <> 'O' as done from orders),
+  aged as (select r.*, done and o_orderdate < t - interval 1500 day as old from r, now),
+  n as (select o_custkey, count(*) filter (where not old) - 6 as excess from aged group by o_custkey),
+  f as (select o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as k, o_custkey from aged where done and not old)
+  select o_orderkey, o_custkey from aged where not old and o_orderkey not in (select o_orderkey from f join n using (o_custkey) where k <= excess)""")
 def prune_records(spark, sf_dir):
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     now = o.agg(F.max("o_orderdate").alias("t"))
-    z = F.row_number().over(Window.partitionBy("o_custkey", "o_orderstatus").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()))
-    young = o.crossJoin(F.broadcast(now)).where("o_orderdate >= t - interval 700 days").withColumn("z", z)  # one row
-    return young.where("o_orderstatus = 'O' or z <= 2").select("o_orderkey")
+    dated = o.crossJoin(F.broadcast(now))  # one row
+    out = records.pruned(dated, "o_custkey", F.col("o_orderstatus") != "O", "o_orderdate", "o_orderkey", F.expr("t - interval 1500 days"), 6)
+    return out.where(~F.col("drop")).select("o_orderkey", "o_custkey")
 
 
 @query("""select l_partkey, arg_max(l_suppkey, (l_quantity, l_extendedprice, -l_discount, -l_orderkey, -l_linenumber)) as best, count(*)::bigint as n from lineitem group by l_partkey""")
@@ -185,16 +192,22 @@ def latest_reveal(spark, sf_dir):
     return good.groupBy("o_custkey").agg(F.max_by("p.repo", by).alias("repo"), F.max_by("p.digest", by).alias("digest"), F.count("*").alias("valid"))
 
 
-MESSAGES = ("prefetch exceeded budget", "eval server error: oom", "Connection reset by peer", "HTTP 503", "request timed out", "bad config")
+#: What the error events are said to have meant, by turns; the last one comes with a cancelled task.
+MESSAGES = ("prefetch exceeded budget", "eval server error: oom", "Connection reset by peer", "HTTP 503", "request timed out", "bad config", "")
 
 
-@query("""with e as (select event_id, case event_id % 6 when 0 then 'prefetch exceeded budget' when 1 then 'eval server error: oom' when 2 then 'Connection reset by peer' when 3 then 'HTTP 503' when 4 then 'request timed out' else 'bad config' end as msg from events where event_type = 'error')
-  select msg, case when msg like 'prefetch%' then 'prefetch_exhausted' when msg like 'eval server error%' then 'eval_server_reported' when msg like 'Connection%' then 'connection reset' when msg like '%503' then '503' when msg like '%timed out' then 'timed out' else '' end as marker,
-  msg in ('Connection reset by peer', 'HTTP 503', 'request timed out') as transient, count(*)::bigint as n from e group by all""")
+@query("""with e as (select case event_id % 7 when 0 then 'prefetch exceeded budget' when 1 then 'eval server error: oom' when 2 then 'Connection reset by peer' when 3 then 'HTTP 503' when 4 then 'request timed out'
+    when 5 then 'bad config' else '' end as msg, event_id % 7 = 6 as stopped from events where event_type = 'error'),
+  m(marker, ord) as (values ('internal error', 1), ('stream idle', 2), ('watchdog timeout', 3), ('timed out', 4), ('timeout', 5), ('server disconnected', 6), ('connection reset', 7), ('503', 17), ('502', 18), ('504', 19)),
+  d as (select distinct msg, stopped from e), f as (select msg, arg_min(marker, ord) as marker from d join m on contains(lower(msg), marker) group by msg),
+  c as (select d.msg, d.stopped, case when d.stopped then 'validator_cancelled' when lower(d.msg) like '%prefetch%' and lower(d.msg) like '%exceeded%' then 'prefetch_exhausted'
+    when lower(d.msg) like 'eval server error%' then 'eval_server_reported' else coalesce(f.marker, '') end as marker from d left join f using (msg))
+  select c.msg, c.marker, c.marker not in ('', 'prefetch_exhausted', 'eval_server_reported') as transient, count(*)::bigint as n from e join c using (msg, stopped) group by all""")
 def classify_errors(spark, sf_dir):
-    msg = F.element_at(F.array(*(F.lit(m) for m in MESSAGES)), (F.col("event_id") % 6 + 1).cast("int"))
-    rows = load(spark, sf_dir, "events").where("event_type = 'error'").select(msg.alias("msg"))
-    transient, marker = records.classify_error(F.col("msg"))
+    kind = (F.col("event_id") % 7 + 1).cast("int")
+    msg = F.element_at(F.array(*(F.lit(m) for m in MESSAGES)), kind)
+    rows = load(spark, sf_dir, "events").where("event_type = 'error'").select(msg.alias("msg"), (kind == 7).alias("stopped"))
+    transient, marker = records.classify_error(F.col("msg"), F.col("stopped"))
     return rows.select("msg", marker.alias("marker"), transient.alias("transient")).groupBy("msg", "marker", "transient").agg(F.count("*").alias("n"))
 
 
@@ -257,11 +270,7 @@ def size_verify(spark, sf_dir):
   select doc_id, size < 0.25 * median as truncated from d join m using (source)""")
 def truncated_shards(spark, sf_dir):
     d = load(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("size"))
-    # The upper median: the row at floor(n / 2) from 0.
-    place = F.row_number().over(Window.partitionBy("source").orderBy("size", "doc_id"))
-    half = F.floor(F.count("*").over(Window.partitionBy("source")) / 2) + 1
-    m = d.withColumn("k", place).withColumn("h", half).where("k = h").select("source", F.col("size").alias("median"))
-    return d.join(m, "source").select("doc_id", (F.col("size") < 0.25 * F.col("median")).alias("truncated"))
+    return d.join(records.upper_medians(d, "source", "size"), "source").select("doc_id", (F.col("size") < 0.25 * F.col("median")).alias("truncated"))
 
 
 @query("""select host, count(*)::bigint as files, sum(length(html))::bigint as size, max(page_id)::bigint as newest from (select *, regexp_extract(url, '://([^/?#]+)', 1) as host from pages) group by host""")
@@ -297,7 +306,7 @@ def adapter_mean(spark, sf_dir):
   select label, round(max(norm), 4) as worst, case when count_if(not isfinite(norm)) > 0 then 'not_finite' when max(norm) > any_value(cap) * 1.05 then 'norm_exceeded' else 'ok' end as gate from x, m group by label""")
 def probe_gate(spark, sf_dir):
     x = load(spark, sf_dir, "embeddings").select("label", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))).alias("norm"))
-    cap = x.agg(F.percentile("norm", F.lit(0.95)).alias("cap"))
+    cap = quantiles(x, F.col("norm"), [0.95]).select(F.col("q")[0].alias("cap"))
     bad = F.count_if(F.isnan("norm") | (F.abs("norm") == float("inf")))
     out = x.crossJoin(F.broadcast(cap)).groupBy("label").agg(F.max("norm").alias("w"), bad.alias("bad"), F.any_value("cap").alias("cap"))  # one row
     gate = F.when(F.col("bad") > 0, "not_finite").when(F.col("w") > F.col("cap") * 1.05, "norm_exceeded").otherwise("ok")
