@@ -120,10 +120,3 @@ def classify_error(text: Column, cancelled: Column | None = None) -> tuple[Colum
         .otherwise(F.coalesce(first, F.lit("")))
     )
     return stopped | (~exhausted & ~reported & (F.size(found) > 0)), marker
-
-
-def parse_reveal(payload: Column) -> Column:
-    """A struct of version, repo, digest and hotkey of ``v4|repo|digest|hotkey``; null if malformed."""
-    p = F.split(payload, r"\|")
-    good = (F.size(p) == 4) & (p[0] == "v4") & p[1].rlike(r"^[A-Za-z0-9._-]+/[A-Za-z0-9._-]+$") & p[2].rlike("^[0-9a-f]{8,64}$") & (F.length(p[3]) > 0)
-    return F.when(good, F.struct(p[0].alias("version"), p[1].alias("repo"), p[2].alias("digest"), p[3].alias("hotkey")))

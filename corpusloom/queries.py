@@ -59,8 +59,8 @@ rep as (select doc_id, count(distinct t) / count(*) as unique_r,
   case when count(*) > 3 then 1 - count(distinct concat_ws(chr(10), c3, b, a, t)) filter (where i > 3) / (count(*) - 3) else 0.0 end as rep_ng4
   from lagged group by doc_id),
 scored as (select tok.doc_id, source, loss, unique_r, rep_r, rep_ng4 from tok join loss using (doc_id) join rep using (doc_id))"""
-BUCKETED = SCORED + r""",
-cuts as (select quantile_cont(loss, 0.5) as p50, quantile_cont(loss, 0.85) as p85 from scored),
+CUTS = SCORED + ", cuts as (select quantile_cont(loss, 0.5) as p50, quantile_cont(loss, 0.85) as p85 from scored)"
+BUCKETED = CUTS + r""",
 bucketed as (select scored.*, case when rep_r > 0.2 or rep_ng4 > 0.5 or unique_r < 0.05 then 'suspicious'
   when loss >= p85 then 'hard' when loss >= 0.8 * p50 then 'general' else 'easy' end as bucket from scored, cuts)"""
 

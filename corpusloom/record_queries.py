@@ -180,18 +180,6 @@ def sweep_rank(spark, sf_dir):
     )
 
 
-@query("""with p as (select o_orderkey, o_custkey, case when o_orderkey % 7 = 0 then 'v3|' when o_orderkey % 11 = 0 then 'v4|bad name/x|' else 'v4|team-' || (o_custkey % 10) || '/m' || o_orderkey || '|' end || md5(o_orderkey::varchar) || '|k' || o_custkey as payload, o_orderdate from orders),
-  g as (select *, split_part(payload, '|', 2) as repo, split_part(payload, '|', 3) as digest from p where payload like 'v4|%' and regexp_full_match(split_part(payload, '|', 2), '[A-Za-z0-9._-]+/[A-Za-z0-9._-]+'))
-  select o_custkey, arg_max(repo, (o_orderdate, o_orderkey)) as repo, arg_max(digest, (o_orderdate, o_orderkey)) as digest, count(*)::bigint as valid from g group by o_custkey""")
-def latest_reveal(spark, sf_dir):
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    head = F.when(key % 7 == 0, "v3|").when(key % 11 == 0, "v4|bad name/x|").otherwise(F.concat(F.lit("v4|team-"), cust % 10, F.lit("/m"), key, F.lit("|")))
-    rows = load(spark, sf_dir, "orders").withColumn("payload", F.concat(head, F.md5(key.cast("string").cast("binary")), F.lit("|k"), cust))
-    good = rows.withColumn("p", records.parse_reveal(F.col("payload"))).where("p is not null")
-    by = F.struct("o_orderdate", "o_orderkey")
-    return good.groupBy("o_custkey").agg(F.max_by("p.repo", by).alias("repo"), F.max_by("p.digest", by).alias("digest"), F.count("*").alias("valid"))
-
-
 #: What the error events are said to have meant, by turns; the last one comes with a cancelled task.
 MESSAGES = ("prefetch exceeded budget", "eval server error: oom", "Connection reset by peer", "HTTP 503", "request timed out", "bad config", "")
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import parsing as P
 from corpusloom.functions import text as T
 from corpusloom.functions.tokens import ngram_repeat_ratio, repeat_ratio, suspicious, unique_ratio
 from corpusloom.operators import records
@@ -54,9 +55,30 @@ def test_error_classes(spark, text, expected):
 
 
 def test_reveals(spark):
-    rows = [("v4|me/model|0123abcd|key",), ("v3|me/model|0123abcd|key",), ("v4|me|0123abcd|key",), ("v4|me/model|xyz|key",), ("",), (None,)]
-    out = spark.createDataFrame(rows, "p string").select(records.parse_reveal(F.col("p")).alias("r")).collect()
-    assert [r["r"] is not None for r in out] == [True] + [False] * 5 and out[0]["r"]["repo"] == "me/model"
+    digest, key = "sha256:" + "0a" * 32, "5" * 48
+    good = f"v4|me/model|{digest}|{key}"
+    rows = [(good,), (f" {good} ",), (f"v3|me/model|{digest}|{key}",), (f"v4|me|{digest}|{key}",), (f"v4|me/model|xyz|{key}",), (f"v4|me/model|{digest}|0{key[1:]}",), ("",), (None,)]
+    out = spark.createDataFrame(rows, "p string").select(P.parse_reveal(F.col("p")).alias("r")).collect()
+    assert [r["r"] is not None for r in out] == [True, True] + [False] * 6 and out[0]["r"]["repo"] == "me/model"
+
+
+def test_sweep_specs(spark):
+    rows = [("R64:a128:lr1e-4:d0.05:e0.8",), (" r8:a8:lr0.001 ",), ("r8:a8",), ("",), (None,)]
+    c = F.col("t")
+    out = spark.createDataFrame(rows, "t string").select(P.parse_spec(c).alias("p"), P.configuration(F.lit(None), c).alias("q")).collect()
+    assert tuple(out[0]["p"]) == (64, 128, 1e-4, 0.05, 0.8) and tuple(out[1]["p"]) == (8, 8, 0.001, 0.0, 0.5)
+    assert [r["p"] for r in out[2:]] == [None] * 3 and out[2]["q"] is None and out[3]["q"]["r"] == out[4]["q"]["a"] == 64
+
+
+@pytest.mark.parametrize("x, text", [(5e-5, "5e-05"), (0.0001, "0.0001"), (1.5, "1.5"), (0.0, "0"), (1234567.0, "1.23457e+06"), (100000.0, "100000"), (-2e-7, "-2e-07")])
+def test_general_numbers(spark, x, text):
+    assert one(spark, P.general(F.col("v")), v=x) == text
+
+
+def test_commitments(spark):
+    rows = [("\x0cabc",), ("0x0c616263",), ("0x0d00616263",), ("0x0e000000616263ff",), ("",), (None,)]
+    out = spark.createDataFrame(rows, "p string").select(P.commitment_text(F.col("p")).alias("t")).collect()
+    assert [r["t"] for r in out] == ["abc"] * 4 + [None, None]
 
 
 def test_token_shards_round_trip(spark, tmp_path):
