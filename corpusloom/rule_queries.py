@@ -170,7 +170,8 @@ def _settings(spark, sf_dir):
     return rows.select("l_orderkey", "name", F.when(F.col("l_discount") > 0.01, F.col("a")).alias("a"), F.when(F.col("l_discount") < 0.09, F.col("b")).alias("b"))
 
 
-@query(f"""select l_orderkey, min({SETTING_SQL}) as first_mismatch from lineitem where l_discount > 0.01 and l_discount < 0.09 and l_quantity > 20 and l_linestatus <> l_returnflag group by l_orderkey""")
+@query(f"""with a as (select l_orderkey, {SETTING_SQL} as name, l_returnflag as a from lineitem where l_discount > 0.01), b as (select l_orderkey, {SETTING_SQL} as name, case when l_quantity > 20 then l_linestatus else l_returnflag end as b from lineitem where l_discount < 0.09)
+  select l_orderkey, min(name) as first_mismatch from a join b using (l_orderkey, name) where a <> b group by l_orderkey""")
 def lenient_lock(spark, sf_dir):
     """Settings compared only where both sides have them."""
     rows = _settings(spark, sf_dir)
@@ -228,8 +229,8 @@ def older_curriculum(spark, sf_dir):
 
 
 @query(rf"""with {SCREENED}, r as (select source, score, score < 0.35 or shards_cached < 4 as blocked, hard_saturated as saturated from c),
-  a as (select string_agg(source, ',' order by score desc, source) as ranking, coalesce(string_agg(source, ',' order by score desc, source) filter (where blocked), '') as blockers, coalesce(string_agg(source, ',' order by score desc, source) filter (where saturated), '') as saturated from r)
-  select ranking, blockers, saturated, concat_ws(' ', 'best:' || split_part(ranking, ',', 1), case when blockers <> '' then 'prefetch:' || blockers end, case when saturated <> '' then 'more_shards:' || saturated end) as advice from a""")
+  rep as (select string_agg(source, ',' order by score desc, source) as ranking, coalesce(string_agg(source, ',' order by score desc, source) filter (where blocked), '') as blockers, coalesce(string_agg(source, ',' order by score desc, source) filter (where saturated), '') as saturated from r)
+  select ranking, blockers, saturated, concat_ws(' ', 'best:' || split_part(ranking, ',', 1), case when blockers <> '' then 'prefetch:' || blockers end, case when saturated <> '' then 'more_shards:' || saturated end) as advice from rep""")
 def screening_report(spark, sf_dir):
     return rules.screening_report(screened(spark, sf_dir).where("source is not null"), "source")
 
@@ -298,13 +299,13 @@ def checkpoint_pick(spark, sf_dir):
 
 # Admission, queues, histories -----------------------------------------------
 
-@query("""with seen as (select user_id from events where event_type = 'purchase' and event_id % 3 = 0), done as (select 'r' || (event_id % 400) as repo from events where event_type = 'error'), c as (select user_id, event_id, 'r' || (event_id % 400) as repo, ts from events where event_type = 'click')
+@query("""with seen as (select user_id from events where event_type = 'purchase' and event_id % 50 = 0), done as (select 'r' || (event_id % 400) as repo from events where event_type = 'error'), c as (select user_id, event_id, 'r' || (event_id % 400) as repo, ts from events where event_type = 'click')
   select user_id, arg_max(event_id, (ts, event_id)) as event_id from c where user_id not in (select user_id from seen) group by user_id having arg_max(repo, (ts, event_id)) not in (select repo from done)""")
 def admissions(spark, sf_dir):
     """The latest reveal of keys that were not seen, unless its repository is finished."""
     ev = load(spark, sf_dir, "events").withColumn("repo", F.concat(F.lit("r"), F.col("event_id") % 400))
     last = records.latest(ev.where("event_type = 'click'"), ["user_id"], [F.col("ts"), F.col("event_id")], ["event_id", "repo"])
-    fresh = shards.not_yet(last, ev.where("event_type = 'purchase' and event_id % 3 = 0"), "user_id")
+    fresh = shards.not_yet(last, ev.where("event_type = 'purchase' and event_id % 50 = 0"), "user_id")
     return shards.not_yet(fresh, ev.where("event_type = 'error'"), "repo").select("user_id", "event_id")
 
 

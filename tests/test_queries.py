@@ -4,13 +4,15 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom import queries, record_queries, service_queries
+from corpusloom import parse_queries, queries, record_queries, rule_queries, service_queries, shard_queries
 from corpusloom.tables import NAMES, load
 
 SMALL = "/root/testdata/sf0.001"
-ALL = queries.QUERIES | record_queries.QUERIES | service_queries.QUERIES
-SQL = queries.ORACLE | record_queries.ORACLE | service_queries.ORACLE
+MODULES = (queries, record_queries, service_queries, parse_queries, shard_queries, rule_queries)
+ALL = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+SQL = {k: t for m in MODULES for k, t in m.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
@@ -52,18 +54,19 @@ def test_bootstrap_has_the_reference_sizes(spark):
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 def test_service_queries_take_whole_tables(spark, duck, tmp_path):
     docs, lines = load(spark, SMALL, "documents"), load(spark, SMALL, "lineitem")
-    run = lambda name: service_queries.QUERIES[name](spark, SMALL)
-    assert run("humanised_sizes").count() == docs.count() and run("humanised_sizes").where("size like '% KiB'").count() > 0
+    run = lambda name: ALL[name](spark, SMALL)
+    assert run("humanised_sizes").count() == docs.count() and run("humanised_sizes").where("size like '% MiB'").count() > 0
     assert run("cache_complete").agg({"wanted": "sum"}).first()[0] == docs.where("source is not null").count()
     found = run("range_lookup")
     assert found.count() == lines.count() and found.select("source").distinct().count() == docs.select("source").distinct().count()
-    # Sizes around the units, on both sides.
-    sizes = {1023: "1023 B", 1024: "1 KiB", 2047: "1 KiB", 1048575: "1023 KiB", 1048576: "1.0 MiB", 1992294: "1.8 MiB", 1992295: "1.9 MiB", 31457280: "30.0 MiB"}
-    spark.createDataFrame([(n, "", "en", "s", n) for n in sizes], docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
-    assert {r[0]: r[1] for r in service_queries.QUERIES["humanised_sizes"](spark, str(tmp_path)).collect()} == sizes
-    con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
-    assert dict(con.execute(SQL["humanised_sizes"]).fetchall()) == sizes
+
+
+def test_sizes_around_the_units(spark):
+    from corpusloom.functions.parsing import file_size_text
+
+    sizes = {0: "0.00 B", 1023: "1023.00 B", 1024: "1.00 KiB", 1152: "1.12 KiB", 1048575: "1024.00 KiB", 1048576: "1.00 MiB", 1 << 40: "1.00 TiB", 1 << 50: "1024.00 TiB"}
+    out = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", file_size_text(F.col("n")).alias("t")).collect()
+    assert {r["n"]: r["t"] for r in out} == sizes
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
