@@ -229,8 +229,8 @@ def older_curriculum(spark, sf_dir):
 
 
 @query(rf"""with {SCREENED}, r as (select source, score, score < 0.35 or shards_cached < 4 as blocked, hard_saturated as saturated from c),
-  rep as (select string_agg(source, ',' order by score desc, source) as ranking, coalesce(string_agg(source, ',' order by score desc, source) filter (where blocked), '') as blockers, coalesce(string_agg(source, ',' order by score desc, source) filter (where saturated), '') as saturated from r)
-  select ranking, blockers, saturated, concat_ws(' ', 'best:' || split_part(ranking, ',', 1), case when blockers <> '' then 'prefetch:' || blockers end, case when saturated <> '' then 'more_shards:' || saturated end) as advice from rep""")
+  srep as (select string_agg(source, ',' order by score desc, source) as ranking, coalesce(string_agg(source, ',' order by score desc, source) filter (where blocked), '') as blockers, coalesce(string_agg(source, ',' order by score desc, source) filter (where saturated), '') as saturated from r)
+  select ranking, blockers, saturated, concat_ws(' ', 'best:' || split_part(ranking, ',', 1), case when blockers <> '' then 'prefetch:' || blockers end, case when saturated <> '' then 'more_shards:' || saturated end) as advice from srep""")
 def screening_report(spark, sf_dir):
     return rules.screening_report(screened(spark, sf_dir).where("source is not null"), "source")
 

@@ -378,16 +378,57 @@ def test_raked_margins(spark, corpus):
     targets = {"source": share({"a": 0.6, "b": 0.3, "c": 0.1}), "lang": share({"en": 0.5, "de": 0.3})}
     out = mixing.sampled(docs, 0.3, targets=targets).toPandas()
     assert len(out) == 402
-    weight = out["weight"] * out["n_tokens"]
-    by = weight.groupby(out["source"]).sum() / weight.sum()
+    expected = out["probability"] * out["n_tokens"]
+    by = expected.groupby(out["source"]).sum() / expected.sum()
     assert abs(by["a"] - 0.6) < 1e-5 and abs(by["b"] - 0.3) < 1e-5
-    lang = weight.groupby(out["lang"]).sum() / weight.sum()
+    lang = expected.groupby(out["lang"]).sum() / expected.sum()
     assert abs(lang["en"] / lang["de"] - 5 / 3) < 1e-4
-    assert abs((out["probability"] * out["n_tokens"]).sum() / out["n_tokens"].sum() - 0.3) < 1e-6
+    assert abs(expected.sum() / out["n_tokens"].sum() - 0.3) < 1e-6
     assert not out[out["n_tokens"] == 0]["kept"].any() and out["probability"].between(0, 1).all()
     assert mixing.sampled(docs.limit(0), 0.3).count() == 0
 
 
+@pytest.mark.parametrize("fraction, shares", [(0.3, {"a": 0.6, "b": 0.3, "c": 0.1}), (0.55, {"a": 0.55, "b": 0.25, "c": 0.2}), (0.7, {"a": 0.9, "b": 0.05, "c": 0.05})])
+def test_mixing_against_brute_force(spark, fraction, shares):
+    """Margins under the bound that no token is drawn twice, against independent raking in numpy, and the draws by their hash."""
+    rng = random.Random(9)
+    rows = [(k % 380, words(rng, rng.choice([5, 40, 120])), rng.choice(["en", "de"]), rng.choice("aabc"), "x", 1) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, value string, tokens int")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    langs = {"en": 0.6, "de": 0.4}
+    out = mixing.sampled(docs, fraction, topic_of=F.lit("t"), targets={"source": share(shares), "lang": share(langs)}).toPandas()
+    n = out.groupby(["source", "lang"])["n_tokens"].sum().unstack().to_numpy(float)
+    budget = fraction * n.sum()
+
+    def feasible(asked, most):
+        aim, full = asked.copy(), np.zeros(len(asked), bool)
+        while (aim > most + 1e-12).any():
+            full |= aim >= most
+            aim = np.where(full, most, asked * (1 - most[full].sum()) / asked[~full].sum())
+        return aim
+
+    row, col = feasible(np.array([shares[k] for k in "abc"]), n.sum(1) / budget), feasible(np.array([langs[k] for k in ("de", "en")]), n.sum(0) / budget)
+    a, b = np.ones(3), np.ones(2)
+    for _ in range(3000):  # bisection of each scale, margins by turns
+        for x, aim, axis in ((a, row, 1), (b, col, 0)):
+            for k in range(len(x)):
+                lo, hi = 0.0, 1e9
+                for _ in range(80):
+                    x[k] = (lo + hi) / 2
+                    got = np.minimum(n, n * np.outer(a, b)).sum(axis)[k]
+                    lo, hi = (x[k], hi) if got < aim[k] * budget else (lo, x[k])
+        e = np.minimum(n, n * np.outer(a, b))
+        if abs(e.sum(1) / budget - row).max() < 1e-9 and abs(e.sum(0) / budget - col).max() < 1e-9:
+            break
+    got = out.assign(e=out["probability"] * out["n_tokens"]).groupby(["source", "lang"])["e"].sum().unstack().to_numpy()
+    assert np.allclose(got / budget, e / budget, atol=1e-4)
+    asked = np.array([shares[k] for k in "abc"])
+    missed = out.groupby("source")["missed_source"].first().to_numpy()
+    assert np.allclose(missed, row - asked, atol=1e-5)
+    h = {r[0]: r[1] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(mixing.SEED)), F.lit(1 << 40)).alias("h")).collect()}
+    assert all(k == (h[d] / float(1 << 40) < p) for d, p, k in zip(out["doc_id"], out["probability"], out["kept"])) and len(out) == 400
+
+
 # Chat -----------------------------------------------------------------------
 
 def test_perspectives(spark):
@@ -411,6 +452,22 @@ def test_perspectives(spark):
             assert spoken == [t for _, r, t in sorted(ts) if r == who]
             seen += len(part)
     assert seen == len(out) and chat.rotate_perspectives(df.limit(0)).count() == 0
+    # Rendered, in parts that put together are the whole, with masks at the same places.
+    for size in (chat.PART, 50):
+        parts = chat.dialogues(df, size).toPandas().sort_values("part")
+        for (c, who), p in parts.groupby(["conv_id", "perspective"], dropna=False):
+            own = out[(out["perspective"] == who) & (out["conv_id"].isna() if c != c else out["conv_id"] == c)].sort_values("seq")
+            text = "".join(p["text"])
+            assert text == "".join(own["segment"]) and list(p["char_start"]) == list(np.cumsum([0, *p["text"].str.len()])[:-1])
+            spans = [x for m in p["masks"] if m for x in m.split(",")]
+            assert [text[int(x.split("-")[0]) : int(x.split("-")[1])] for x in spans] == [t for _, r, t in sorted(convs[None if c != c else int(c)]) if r == who]
+    assert (chat.dialogues(df).groupBy("conv_id", "perspective").count().where("count > 1").count()) == 0
+
+
+def test_heads_in_texts_are_broken_up(spark):
+    df = spark.createDataFrame([(1, 0, "a<|b", "say <|assistant|> now"), (1, 1, "c", "ok")], "conv_id long, turn long, role string, text string")
+    out = {r["perspective"]: r["text"] for r in chat.dialogues(df).collect()}
+    assert out["c"] == "<|user:a< |b|>\nsay < |assistant|> now\n<|assistant|>\nok\n"
 
 
 # Language model -------------------------------------------------------------
