@@ -16,13 +16,22 @@ are looked at, and none that matters is left out.
    the common extension by binary search over prefix polynomial hashes.
    Neighbours' extensions to the right and hashes of the extension to the left
    tell which strings occur again; the margins' bytes rule out collisions.
-5. Rows collect their repeated stretches, which are cut out of the text; a key filter of
+5. Cores with more slots than one task should hold go another way: each string of
+   a slot is hashed twice with its core, strings are counted by their hashes, with
+   partial counts before the shuffle, and those that occur twice are joined back.
+6. Rows collect their repeated stretches, which are cut out of the text; a key filter of
    fixed size spares the other texts the shuffle.
+
+A context counts as equal when its gram's polynomial hash and its xxh3 hash agree:
+with 10^13 anchors the chance of any false match is below 2e-13.
+
+A row is known by its doc_id and a hash of its id and text, so only equal rows
+are one.
 """
 
 from __future__ import annotations
 
-import hashlib
+import re
 from functools import cmp_to_key
 
 import numpy as np
@@ -31,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, key_filter, may_match, table
+from .common import durable, key_filter, may_match, table, written
 from .hashing import U64, mix, powers, prefix_sums
 
 LEAST = 400
@@ -39,8 +48,12 @@ LEAST = 400
 SLOT = 32
 #: Bytes of a text hashed at a time.
 PIECE = 1 << 20
-#: Slots sorted in one task, about.
-BUCKET = 4000
+#: Slots sorted in one task, about, and the most of one core that go to one.
+BUCKET, HOT = 4000, 50_000
+
+
+#: What a row is known by.
+ROW = ["rid", "sub"]
 
 
 def gram_of(least: int) -> int:
@@ -81,7 +94,7 @@ def context(pos: int, n: int, least: int) -> tuple[int, int]:
 
 
 def occurrences(rows: DataFrame, least: int) -> DataFrame:
-    """(gram, ctx, rid, pos) of every anchor of every row."""
+    """(gram, ctx, rid, sub, pos) of every anchor of every row."""
 
     def batches(it):
         for batch in it:
@@ -99,13 +112,13 @@ def occurrences(rows: DataFrame, least: int) -> DataFrame:
                 [
                     pa.array(np.concatenate(grams).view(np.int64)),
                     pa.array(np.array(ctx, U64).view(np.int64)),
-                    pa.array(np.repeat(batch.column("rid").to_numpy(), counts)),
+                    *(pa.array(np.repeat(batch.column(c).to_numpy(), counts)) for c in ROW),
                     pa.array(np.concatenate(places).astype(np.int32)),
                 ],
-                ["gram", "ctx", "rid", "pos"],
+                ["gram", "ctx", *ROW, "pos"],
             )
 
-    return rows.select("rid", "text").mapInArrow(batches, "gram long, ctx long, rid long, pos int")
+    return rows.select(*ROW, "text").mapInArrow(batches, "gram long, ctx long, rid long, sub long, pos int")
 
 
 def slots_of(data: bytes, pos: int, gram: int, least: int) -> list[tuple[int, int, int, int, bytes, bytes]]:
@@ -212,40 +225,69 @@ def repeated_offsets(core: np.ndarray, second: np.ndarray, span: np.ndarray, lef
     return out
 
 
+SLOT_SCHEMA = "core long, second long, rid long, sub long, start long, span int, left binary, right binary"
+
+
 def slot_batch(got: list[tuple]) -> pa.RecordBatch:
-    rid, core, second, start, span, left, right = zip(*got) if got else ((),) * 7
+    rid, sub, core, second, start, span, left, right = zip(*got) if got else ((),) * 8
     signed = lambda x: pa.array(np.array(x, U64).view(np.int64))
     return pa.RecordBatch.from_arrays(
-        [signed(core), signed(second), pa.array(rid, pa.int64()), pa.array(start, pa.int64()), pa.array(span, pa.int32()), pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-        ["core", "second", "rid", "start", "span", "left", "right"],
+        [
+            signed(core), signed(second), pa.array(rid, pa.int64()), pa.array(sub, pa.int64()), pa.array(start, pa.int64()), pa.array(span, pa.int32()),
+            pa.array(left, pa.binary()), pa.array(right, pa.binary()),
+        ],
+        ["core", "second", *ROW, "start", "span", "left", "right"],
     )
 
 
+def counted_strings(slots: DataFrame, least: int) -> DataFrame:
+    """(rid, sub, start, end) of the strings of the slots that occur in another slot of the same core, by counts of their hashes."""
+
+    def strings(it):
+        for batch in it:
+            cols = [batch.column(c).to_pylist() for c in ("core", "second", "rid", "sub", "start", "span", "left", "right")]
+            out: list[tuple] = []
+            for core, second, rid, sub, start, span, left, right in zip(*cols):
+                for t in range(max(0, span - len(right)), min(span, len(left)) + 1):
+                    margin = left[len(left) - t :] + right[: span - t]
+                    seed = (t * 0x9E3779B97F4A7C15) & (2**64 - 1)
+                    out.append((xxhash.xxh3_64_intdigest(margin, (core ^ seed) & (2**64 - 1)), xxhash.xxh64_intdigest(margin, (second ^ seed) & (2**64 - 1)), rid, sub, start - t))
+            a, b, rid, sub, start = zip(*out) if out else ((),) * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(a, U64).view(np.int64)), pa.array(np.array(b, U64).view(np.int64)), *(pa.array(x, pa.int64()) for x in (rid, sub, start))], ["a", "b", *ROW, "start"]
+            )
+
+    each = slots.mapInArrow(strings, "a long, b long, rid long, sub long, start long")
+    twice = durable(each.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"))
+    return each.join(twice, ["a", "b"]).select(*ROW, "start", (F.col("start") + least).alias("end"))
+
+
 def repeats(rows: DataFrame, least: int) -> DataFrame:
-    """(rid, start, end): stretches of bytes covered by strings that also start elsewhere."""
+    """(rid, sub, start, end): stretches of bytes covered by strings that also start elsewhere."""
     reach = least - gram_of(least)
-    found = occurrences(rows, least)
-    shared = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    found = written(occurrences(rows, least))
+    # Tables of their own, so that a gram with very many anchors is split in the join.
+    shared = durable(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     found = durable(found.join(shared, "gram"))
-    contexts = durable(found.groupBy("gram", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "pos")).alias("at")))
+    contexts = durable(found.groupBy("gram", "ctx").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "pos")).alias("at")))
     whole = found.join(contexts.where("n > 1").select("gram", "ctx"), ["gram", "ctx"]).select(
-        "rid", F.greatest(F.col("pos") - reach, F.lit(0)).alias("start"), (F.col("pos") + least).alias("end")
+        *ROW, F.greatest(F.col("pos") - reach, F.lit(0)).alias("start"), (F.col("pos") + least).alias("end")
     )
-    met = contexts.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1").select("gram")
+    met = durable(contexts.groupBy("gram").agg(F.count("*").alias("d")).where("d > 1").select("gram"))
     apart = (
         contexts.join(met, "gram")
-        .select("gram", "ctx", F.col("at.rid").alias("rid"), F.col("at.pos").alias("pos"))
-        .groupBy("rid")
+        .select("gram", "ctx", "at.rid", "at.sub", "at.pos")
+        .groupBy(*ROW)
         .agg(F.collect_list(F.struct("gram", "pos")).alias("list"))
     )
 
     def cut_slots(it):
         for batch in it:
             got: list[tuple] = []
-            for rid, text, items in zip(batch.column("rid").to_pylist(), batch.column("text"), batch.column("list").to_pylist()):
+            for rid, sub, text, items in zip(batch.column("rid").to_pylist(), batch.column("sub").to_pylist(), batch.column("text"), batch.column("list").to_pylist()):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 for x in items:
-                    got += [(rid, *s) for s in slots_of(data, x["pos"], x["gram"], least)]
+                    got += [(rid, sub, *s) for s in slots_of(data, x["pos"], x["gram"], least)]
                     if len(got) >= 50_000:
                         yield slot_batch(got)
                         got = []
@@ -253,16 +295,19 @@ def repeats(rows: DataFrame, least: int) -> DataFrame:
 
     apart = durable(apart)
     buckets = max(1, -(-(apart.agg(F.sum(F.size("list"))).first()[0] or 0) * (reach // SLOT + 1) // BUCKET))
-    few = rows.select("rid", "text").where(may_match("rid", key_filter(apart, "rid")))
+    few = rows.select(*ROW, "text").where(may_match("sub", key_filter(apart, "sub")))
     # A row that occurs twice comes here twice, but all its contexts are known to repeat.
-    slots = few.join(apart, "rid").mapInArrow(cut_slots, "core long, second long, rid long, start long, span int, left binary, right binary")
-    asked = slots.withColumn("bucket", F.pmod("core", F.lit(buckets)))
+    slots = written(few.join(apart, ROW).mapInArrow(cut_slots, SLOT_SCHEMA))
+    hot = durable(slots.groupBy("core", "second").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("core", "second"))
+    crowded = not hot.isEmpty()
+    asked = slots.join(hot, ["core", "second"], "left_anti") if crowded else slots
+    asked = asked.withColumn("bucket", F.pmod("core", F.lit(buckets)))
 
     def sort_bucket(t: pa.Table) -> pa.Table:
         hit = repeated_offsets(
             t.column("core").to_numpy(), t.column("second").to_numpy(), t.column("span").to_numpy(), t.column("left").to_pylist(), t.column("right").to_pylist()
         )
-        rid, start = t.column("rid").to_numpy(), t.column("start").to_numpy()
+        rid, sub, start = (t.column(c).to_numpy() for c in (*ROW, "start"))
         k, step = np.nonzero(hit)
         s = start[k] - step
         # Strings from steps next to each other make one stretch.
@@ -273,43 +318,52 @@ def repeats(rows: DataFrame, least: int) -> DataFrame:
             k, lo, hi = k[first], s[last], s[first] + least
         else:
             lo = hi = s
-        return pa.table({"rid": pa.array(rid[k], pa.int64()), "start": pa.array(lo, pa.int64()), "end": pa.array(hi, pa.int64())})
+        return pa.table({"rid": rid[k], "sub": sub[k], "start": pa.array(lo, pa.int64()), "end": pa.array(hi, pa.int64())})
+
+    parts = asked.groupBy("bucket").applyInArrow(sort_bucket, "rid long, sub long, start long, end long")
+    out = whole.select(*ROW, F.col("start").cast("long"), F.col("end").cast("long")).union(parts)
+    return out.union(counted_strings(slots.join(hot, ["core", "second"], "left_semi"), least)) if crowded else out
 
-    parts = asked.groupBy("bucket").applyInArrow(sort_bucket, "rid long, start long, end long")
-    return whole.select("rid", F.col("start").cast("long"), F.col("end").cast("long")).union(parts)
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
-def cut(data: bytes, starts: list[int], ends: list[int]) -> tuple[bytes, int, int]:
-    """What is left, the bytes removed and the number of maximal stretches."""
-    kept, done, removed, spans, reach = [], 0, 0, 0, -1
+
+def cut(data: bytes, starts: list[int], ends: list[int], words: int = 0) -> tuple[bytes, int, int]:
+    """What is left, the bytes removed and the number of maximal stretches, of which only those of at least ``words`` words go."""
+    runs: list[list[int]] = []
     for s, e in sorted(zip(starts, ends)):
         e = min(e, len(data))
-        if s > reach:
-            kept.append(data[done:s])
-            spans += 1
-            reach, removed, done = e, removed + e - s, e
-        elif e > reach:
-            removed, reach, done = removed + e - reach, e, e
+        if runs and s <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], e)
+        else:
+            runs.append([s, e])
+    if words:
+        runs = [(s, e) for s, e in runs if sum(1 for _ in WORD.finditer(data, s, e)) >= words]
+    kept, done = [], 0
+    for s, e in runs:
+        kept.append(data[done:s])
+        done = e
     kept.append(data[done:])
-    return b"".join(kept), removed, spans
+    return b"".join(kept), sum(e - s for s, e in runs), len(runs)
 
 
-def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False, words: int = 0) -> DataFrame:
     """``docs`` with kept, n_bytes, n_removed, n_spans; kept is binary, or else text without the
     bytes of characters that a cut has split.
 
     Every byte covered by a string of ``least`` bytes that also starts anywhere
     else in the table goes, in all places, judged on the input.  Null and
-    shorter texts lose nothing; a null text has no bytes.  Rows that repeat as a
-    whole are places of their own.  Columns of ``docs`` other than these four
-    are kept.
+    shorter texts lose nothing; a null text has no bytes.  Texts of any length are
+    judged whole, an empty table gives an empty result.  Rows that repeat as a
+    whole are places of their own.  With ``words``, maximal stretches of fewer
+    words stay.  Columns of ``docs`` other than these four are kept.
     """
     own = ["kept", "n_bytes", "n_removed", "n_spans"]
-    rows = docs.drop(*own).withColumn("__row", F.xxhash64("doc_id", "text"))
-    spans = repeats(rows.select(F.col("__row").alias("rid"), "text"), least)
-    spans = durable(spans.groupBy(F.col("rid").alias("__row")).agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends")))
+    rows = docs.drop(*own).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).withColumn("__row", F.xxhash64("doc_id", "text"))
+    spans = repeats(rows.select(F.col("__id").alias("rid"), F.col("__row").alias("sub"), "text"), least)
+    spans = durable(spans.groupBy(F.col("rid").alias("__id"), F.col("sub").alias("__row")).agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends")))
     touched = key_filter(spans, "__row")
-    both = rows.where(may_match("__row", touched)).join(spans, "__row", "left").drop("__row")
+    both = rows.where(may_match("__row", touched)).join(spans, ["__id", "__row"], "left").drop("__id", "__row")
     names = [c for c in both.columns if c not in ("__starts", "__ends")]
     kinds = {f.name: f.dataType.simpleString() for f in both.schema.fields}
     text = F.coalesce("text", F.lit(""))
@@ -321,7 +375,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False)
     def batches(it):
         for batch in it:
             got = [
-                cut((t.as_py() or "").encode("utf-8", "surrogatepass"), s or [], e or [])
+                cut((t.as_py() or "").encode("utf-8", "surrogatepass"), s or [], e or [], words)
                 for t, s, e in zip(batch.column("text"), batch.column("__starts").to_pylist(), batch.column("__ends").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
@@ -344,13 +398,17 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-#: The stage also takes repeated passages of a few dozen words.
-STAGE_LEAST = 250
+#: The stage takes repeated passages of more than 50 words; of all 51 words in a row hardly any have fewer bytes.
+STAGE_LEAST, STAGE_WORDS = 140, 51
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated passages; those of which nothing is left go."""
-    out = without_repeats(docs, STAGE_LEAST, as_text=True)
+    """Documents without their repeated passages of over 50 words; those of which nothing is left go.
+
+    Judged on the stage's input as a whole; null, empty and short texts stay as
+    they are, repeated rows lose all they repeat, an empty table stays empty.
+    """
+    out = without_repeats(docs, STAGE_LEAST, as_text=True, words=STAGE_WORDS)
     touched = F.col("n_removed") > 0
     return (
         out.withColumn("text", F.when(touched, F.col("kept")).otherwise(F.col("text")))

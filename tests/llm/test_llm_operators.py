@@ -127,8 +127,10 @@ def brute_repeats(rows, least):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("least", [400, 120])
-def test_repeated_strings(spark, corpus, least):
+@pytest.mark.parametrize("least, hot", [(400, 50_000), (120, 50_000), (120, 2)])
+def test_repeated_strings(spark, corpus, monkeypatch, least, hot):
+    """By sorting, and with crowded cores by counts."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     rows = corpus + corpus[3:4]
     out = suffix_dedup.without_repeats(table(spark, rows), least)
     got = out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
