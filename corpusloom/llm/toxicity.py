@@ -11,9 +11,15 @@ the bound of a block is a sum over the query's features.
 Score: a short query visits blocks by falling bound until no bound reaches the
 k-th best cosine; a long one, whose bounds are loose, adds up all its postings,
 those of the commonest features as a matrix product.  The neighbours are exact
-either way.  Their labels vote with weight cosine squared, smoothed towards the
-toxic share of sampled texts without any feature; such texts get that share
-itself.  Scores depend on the text alone.
+either way and are given as evidence.  Their labels vote with weight cosine
+squared, smoothed towards the toxic share of sampled texts without any feature;
+such texts get that share itself.
+
+Calibrate: every sampled text is scored by the others, leaving out itself and
+texts equal to it, and a rising step function from votes to the share of toxic
+texts (isotonic regression, joined by straight lines) turns votes into
+probabilities.  Scores depend on the text alone, so a sampled text that is scored
+later does meet itself among its neighbours.
 """
 
 from __future__ import annotations
@@ -43,6 +49,8 @@ HEADS = (4, 6, 8)
 LEAST_TEXTS, LEAST_Z, LEAST_RATIO = 3, 6, 10
 #: Votes that the smoothing towards the prior counts for.
 PRIOR_VOTES = 0.5
+#: Texts of a larger cosine are equal word for word.
+EQUAL = 1 - 1e-9
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -165,12 +173,13 @@ def document_frequencies(docs: DataFrame, shared, size: int) -> np.ndarray:
 class BlockMaxIndex:
     """Postings of unit vectors by feature, with the largest weight for each block of examples."""
 
-    def __init__(self, rows: list[tuple[list[int], list[int]]], labels: list[int], idf: np.ndarray):
+    def __init__(self, rows: list[tuple[list[int], list[int]]], labels: list[int], idf: np.ndarray, ids: list[int] | None = None):
         self.idf = idf
         unit = [self.weigh(np.asarray(i, np.int64), np.asarray(t, float)) for i, t in rows]
         full = [k for k, w in enumerate(unit) if len(w)]
         empty = [labels[k] for k in range(len(rows)) if not len(unit[k])]
         self.labels = np.array([labels[k] for k in full], float)
+        self.ids = np.array([k if ids is None else ids[k] for k in full], np.int64)
         self.prior = (sum(empty) + 1.0) / (len(empty) + 20.0)
         feature = np.concatenate([np.asarray(rows[k][0], np.int64) for k in full]) if full else np.empty(0, np.int64)
         example = np.repeat(np.arange(len(full)), [len(unit[k]) for k in full]).astype(np.int64)
@@ -242,20 +251,28 @@ class BlockMaxIndex:
             out[k] += np.bincount(self.example[at], self.weight[at] * np.repeat(q[rare], n), minlength=out.shape[1])
         return out
 
-    def _vote(self, who: np.ndarray, cos: np.ndarray) -> tuple[float, int]:
+    def _vote(self, who: np.ndarray, cos: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         # Rounded and ordered, so that the way the cosines were added up does not show.
+        cos = np.round(cos, 12)
         order = np.argsort(who)
-        who, votes = who[order], np.round(cos[order], 12) ** 2
-        return float((votes @ self.labels[who] + PRIOR_VOTES * self.prior) / (votes.sum() + PRIOR_VOTES)), len(who)
-
-    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """For each query the share of toxic votes in 0..1, and how many neighbours voted."""
-        out: list[tuple[float, int]] = [(self.prior, 0)] * len(queries)
+        votes = cos[order] ** 2
+        score = float((votes @ self.labels[who[order]] + PRIOR_VOTES * self.prior) / (votes.sum() + PRIOR_VOTES))
+        near = np.lexsort((who, -cos))
+        return score, who[near], cos[near]
+
+    def scores(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, others: bool = False) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each query the share of toxic votes in 0..1, and the neighbours that voted, nearest first, with their cosines.
+
+        Examples of the same cosine count in the order of their numbers.  With
+        ``others``, examples equal to the query do not vote.
+        """
+        none = np.empty(0, np.int64), np.empty(0)
+        out: list[tuple[float, np.ndarray, np.ndarray]] = [(self.prior, *none)] * len(queries)
         long = []
         for n, (idx, tf) in enumerate(queries):
             if not len(idx) or not len(self.labels):
                 continue
-            if (self.of_feature[idx + 1] - self.of_feature[idx]).sum() < SHORT:
+            if not others and (self.of_feature[idx + 1] - self.of_feature[idx]).sum() < SHORT:
                 out[n] = self._vote(*self.search(idx, tf, k)[:2])
             else:
                 long.append(n)
@@ -263,6 +280,8 @@ class BlockMaxIndex:
             part = long[lo : lo + TOGETHER]
             for n, cos in zip(part, self.cosines([queries[n] for n in part])):
                 cos = np.round(cos, 12)
+                if others:
+                    cos[cos > EQUAL] = 0.0
                 kth = np.partition(cos, -k)[-k] if len(cos) > k else 0.0
                 who = np.flatnonzero((cos >= kth) & (cos > 0))
                 who = who[np.lexsort((who, -cos[who]))[:k]]
@@ -270,11 +289,30 @@ class BlockMaxIndex:
         return out
 
 
+def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of the rising function from votes to the share of label 1 that fits best by squares.
+
+    Blocks come from pooling neighbours that fall; a block's share is drawn
+    towards one half by one case, so that no probability is 0 or 1.
+    """
+    at, of = np.unique(votes, return_inverse=True)
+    n = np.bincount(of).astype(float)
+    hit = np.bincount(of, labels)
+    blocks: list[list[float]] = []  # size, hits, sum of votes
+    for size, hits, x in zip(n, hit, at):
+        blocks.append([size, hits, size * x])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][0] >= blocks[-1][1] * blocks[-2][0]:
+            last = blocks.pop()
+            blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]
+    b = np.array(blocks).reshape(-1, 3)
+    return b[:, 2] / b[:, 0], np.maximum.accumulate((b[:, 1] + 0.5) / (b[:, 0] + 1.0))
+
+
 class Examples:
     """The sample's vectors; each worker makes the index of them, which is several times larger."""
 
     def __init__(self, rows: pa.Table, idf: np.ndarray):
-        self.idf, self.labels = idf, rows.column("toxic").to_pylist()
+        self.idf, self.labels, self.ids = idf, rows.column("toxic").to_pylist(), rows.column("doc_id").to_pylist()
         self.size = pc.list_value_length(rows.column("idx")).to_numpy()
         self.idx, tf = (pc.list_flatten(rows.column(c)).to_numpy() for c in ("idx", "tf"))
         self.tf = tf.astype(np.min_scalar_type(tf.max(initial=0)))
@@ -283,16 +321,21 @@ class Examples:
     def index(self) -> BlockMaxIndex:
         ends = np.cumsum(self.size)[:-1]
         rows = list(zip(np.split(self.idx, ends), np.split(self.tf, ends))) if len(self.size) else []
-        return BlockMaxIndex(rows, self.labels, self.idf)
+        return BlockMaxIndex(rows, self.labels, self.idf, self.ids)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted, neighbours) of every row of ``docs``.
+    """(doc_id, held_out, score, predicted, neighbours, evidence) of every row of ``docs``.
+
+    ``evidence`` lists the neighbours that voted, nearest first, as (doc_id,
+    toxic, cosine); of equally near ones the smaller doc_id comes first.
 
     Labels are learnt from rows outside the fold only, at most ``sample`` of
     them.  Null and empty texts have no feature and get the prior.  Without
-    labels of both classes every text gets the prior.  Repeated rows give
-    repeated results; other columns are ignored.
+    labels of both classes every text gets the prior.  Of several texts with one
+    doc_id the sample takes the least, and a doc_id with several labels is toxic
+    if one of them says so.  Texts of any length count whole.  Repeated rows give
+    repeated results, an empty table an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
     marks = (
@@ -316,23 +359,46 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     rows = vectors(texts, shared, ["toxic"]).toArrow().sort_by("doc_id")  # at most ``sample`` rows
     examples = spark.sparkContext.broadcast(Examples(rows, idf))
 
+    def by_the_others(it):
+        known = Vocabulary(shared.value)
+        for batch in it:
+            got = examples.value.index.scores([known.count(t.as_py()) for t in batch.column("text")], others=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v for v, _, _ in got], pa.float64()), pa.array([len(w) for _, w, _ in got], pa.int32()), batch.column("toxic").cast(pa.int32())], ["vote", "n", "toxic"]
+            )
+
+    held = texts.select("text", "toxic").mapInArrow(by_the_others, "vote double, n int, toxic int").where("n > 0").toArrow()  # at most ``sample`` rows
+    labels_ = held.column("toxic").to_numpy()
+    both = 0 < labels_.sum() < len(labels_)
+    knots = isotonic(np.round(held.column("vote").to_numpy(), 9), labels_.astype(float)) if both else None
+
     def batches(it):
         known = Vocabulary(shared.value)
         for batch in it:
             got = []
+            index = examples.value.index
             for lo in range(0, batch.num_rows, 8 * TOGETHER):
-                got += examples.value.index.scores([known.count(t.as_py()) for t in batch.column("text").slice(lo, 8 * TOGETHER)])
+                got += index.scores([known.count(t.as_py()) for t in batch.column("text").slice(lo, 8 * TOGETHER)])
+            n = np.array([len(w) for _, w, _ in got], np.int32)
+            vote = np.array([v for v, _, _ in got], float)
+            score = np.where(n > 0, np.interp(vote, *knots), vote) if knots is not None else vote
+            who = np.concatenate([w for _, w, _ in got]) if got else np.empty(0, np.int64)
+            listed = pa.StructArray.from_arrays(
+                [pa.array(index.ids[who]), pa.array(index.labels[who].astype(np.int32)), pa.array(np.concatenate([c for _, _, c in got]) if got else np.empty(0))], ["doc_id", "toxic", "cosine"]
+            )
+            ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array([s for s, _ in got], pa.float64()), pa.array([k for _, k in got], pa.int32())],
-                ["doc_id", "score", "neighbours"],
+                [batch.column("doc_id").cast(pa.int64()), pa.array(score, pa.float64()), pa.array(n), pa.ListArray.from_arrays(ends, listed)], ["doc_id", "score", "neighbours", "evidence"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, score double, neighbours int").select(
+    schema = "doc_id long, score double, neighbours int, evidence array<struct<doc_id: long, toxic: int, cosine: double>>"
+    return docs.select("doc_id", "text").mapInArrow(batches, schema).select(
         "doc_id",
         F.coalesce(held_out("doc_id", folds, fold), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "neighbours",
+        "evidence",
     )
 
 
@@ -341,7 +407,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
+    """Documents that are not predicted toxic.
+
+    Where one of several texts of a doc_id is, all its rows go; rows with a null
+    doc_id share their fate likewise.  Null, empty and very long texts are scored
+    like others; repeated rows go or stay together, an empty table stays empty.
+    """
     bad = toxicity_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
     bad = bad.select(F.col("doc_id").alias("bad_id")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")

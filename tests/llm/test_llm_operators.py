@@ -218,10 +218,29 @@ def test_all_words_of_the_sample_enter_the_vectors(spark, monkeypatch):
     weigh = lambda b: {w: (1 + math.log(n)) * (math.log(241 / (1 + df[w])) + 1) for w, n in b.items() if w in known}
     unit = lambda v: {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
     vs = [unit(weigh(b)) for b in bags]
+
+    def near(k, others):
+        cos = ((round(sum(x * vs[j].get(w, 0) for w, x in vs[k].items()), 12), j) for j in learnt)
+        return sorted((-c, j) for c, j in cos if c > 0 and not (others and c > 1 - 1e-9))[:9]
+
+    def vote(found):
+        return (sum(c * c * marks[j][2] for c, j in found) + 0.5 / 20) / (sum(c * c for c, _ in found) + 0.5)
+
+    # Isotonic regression by its minimax formula over the votes of the others.
+    cases = sorted((round(vote(near(k, True)), 9), marks[k][2]) for k in learnt)
+    xs, ys = np.array([v for v, _ in cases]), np.array([float(y) for _, y in cases])
+    total = np.concatenate([[0], np.cumsum(ys)])
+    m = len(ys)
+    mean = lambda a, b: (total[b] - total[a]) / (b - a)
+    edge = [a for a in range(m + 1) if a in (0, m) or xs[a] != xs[a - 1]]
+    fit = np.array([max(min(mean(a, b) for b in edge if b > i) for a in edge if a <= i) for i in range(m)])
+    knots, values = toxicity.isotonic(xs, ys)
+    blocks = [np.flatnonzero(np.isclose(fit, v)) for v in sorted(set(np.round(fit, 12)))]
+    assert np.allclose(knots, [xs[b].mean() for b in blocks]) and np.allclose(values, [(ys[b].sum() + 0.5) / (len(b) + 1) for b in blocks])
     for k in range(240):
-        cos = sorted(((-round(sum(x * vs[j].get(w, 0) for w, x in vs[k].items()), 12), j) for j in learnt))[:9]
-        votes = [(c * c, marks[j][2]) for c, j in cos if c < 0]
-        assert abs(out[k]["score"] - (sum(v * y for v, y in votes) + 0.5 / 20) / (sum(v for v, _ in votes) + 0.5)) < 1e-9 and out[k]["neighbours"] == len(votes) > 0
+        found = near(k, False)
+        assert [(e["doc_id"], e["toxic"]) for e in out[k]["evidence"]] == [(j, marks[j][2]) for _, j in found] and out[k]["neighbours"] == len(found) > 0
+        assert abs(out[k]["score"] - np.interp(vote(found), knots, values)) < 1e-9
 
 
 def test_block_max_search_is_exact():
