@@ -21,13 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``, which the whole cluster shares.
 
-    A local folder is set only where none is given, as in tests on one machine.
+    A folder of this machine is taken only where none is set and the master is
+    this machine, as in tests; elsewhere a missing setting is an error.
     """
     context = spark.sparkContext
+    given = context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
-        given = context.getConf().get("spark.checkpoint.dir")
+        if given is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(given or tempfile.mkdtemp(prefix="corpusloom-"))
-    return context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    return given or context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ from .common import table
 from .hashing import U64, minhash, mix, prefix_sums, span_hashes
 
 COORDINATES = 64
-#: Rows in one range of ids, and the most ranges; a range is streamed, not held.
-RANGE_ROWS, MOST_RANGES = 4000, 20_000
+#: Rows in one range of ids, about, and the most ranges, whose bounds the driver holds.  A range is
+#: streamed, not held, so beyond that many ranges only grow longer.
+RANGE_ROWS, MOST_RANGES = 4000, 200_000
 
 
 def parse(text: str, at: int, limit: int, known: set[str], ends: list[int]) -> int:
@@ -116,6 +117,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows with a null doc_id come last.  Null texts are empty; the fingerprint of
     an empty text is the empty string.  Ids are cut into ranges at quantiles;
     the first document of each range also goes, as a tail, to the range before.
+    Texts of any length are parsed whole, one text and its successor at a time.
+    Repeated rows follow one another, an empty table gives an empty result, and
+    other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"))
@@ -151,7 +155,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     dealt = (
         rows.mapInArrow(with_tails, "doc_id long, text string, part int, tail boolean")
-        .repartition(ranges, "part")
+        .repartitionById(ranges, "part")
         .sortWithinPartitions("part", "tail", F.col("doc_id").desc_nulls_last(), "text")
     )
 
