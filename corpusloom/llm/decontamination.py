@@ -80,9 +80,11 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent:
     distinct word shingles in a document.
 
     Texts with fewer than ``width`` words have their whole sequence as one
-    shingle; null and empty texts have none and match nothing.  An item id that
-    occurs with several texts gives a row for each that is contained.  Empty
-    tables give an empty result; other columns are ignored.
+    shingle; null and empty texts have none and match nothing.  Texts of any
+    length are searched whole.  Every item that is contained gives a row, so there
+    are no ties to break: an item id that occurs with several texts gives a row
+    for each, a repeated document its rows again.  Empty tables give an empty
+    result; other columns of both tables are ignored.
     """
     spark = docs.sparkSession
     items = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
@@ -117,7 +119,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    All rows of a doc_id go when one of its texts contains one; rows with a null
+    doc_id likewise.  Null and empty texts stay, very long ones are searched
+    whole, and without items or documents nothing goes.
+    """
     bad = durable(contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad_id")).distinct())
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 

@@ -170,6 +170,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sampled documents."""
+    """The sampled documents.
+
+    Texts without tokens are not drawn; rows of one doc_id share their draw, and
+    stay together when one of them is kept.  An empty table stays empty.
+    """
     keep = sampled(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")

@@ -200,7 +200,9 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
-    Null and empty texts have no shingle and link with nothing.  Other columns
+    Null and empty texts have no shingle and link with nothing; texts of any
+    length are compared on their full sets; of several least ids there is none,
+    so groups have no ties.  Other columns
     of ``docs`` are ignored; a doc_id that occurs twice keeps its two rows, which
     count as one document, and an empty table gives an empty result.  Rows with a null doc_id are left out
     of every component (component_id null, kept true).
@@ -231,7 +233,12 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near-duplicates (five-word shingles)."""
+    """Keep the smallest doc_id of each group of near-duplicates (five-word shingles).
+
+    Rows with a null doc_id and texts without words stay; rows of one doc_id stay
+    or go together, and stay when one of their texts leads its group.  Very long
+    texts are compared on their full sets; an empty table stays empty.
+    """
     keep = near_duplicates(docs, width=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["kept_id"]), "left_semi")
 

@@ -17,6 +17,8 @@ from corpusloom.llm import (
 )
 from corpusloom.llm.common import connected_components
 
+from .brute import components, repeats, shingles, tokens
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid long, kept string, word string"
 
 
@@ -50,39 +52,15 @@ def corpus():
 
 
 EMPTY = []
-ws = lambda t: (t or "").encode().lower().split()
+ws = tokens
 
 
 # Near-duplicates ------------------------------------------------------------
 
-def shingles(text, width):
-    w = ws(text)
-    return {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
-
-
-def brute_components(rows, width, percent):
-    sets = {i: shingles(t, width) for i, t in rows}
-    parent = {i: i for i in sets}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    ids = sorted(i for i in sets if sets[i])
-    for k, a in enumerate(ids):
-        for b in ids[k + 1 :]:
-            both = len(sets[a] & sets[b])
-            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
-                x, y = root(a), root(b)
-                parent[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), root(i)) for i in sets}
-
-
 @pytest.mark.parametrize("width, block", [(4, 1024), (5, 2)])
 def test_near_duplicates(spark, corpus, width, block):
     out = near_dup.near_duplicates(table(spark, corpus), width=width, block=block).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_components(corpus, width, 80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == components(corpus, width, 80)
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
@@ -109,24 +87,6 @@ def test_connected_components(spark):
 
 # Repeats --------------------------------------------------------------------
 
-def brute_repeats(rows, least):
-    count = Counter()
-    for _, t in rows:
-        b = (t or "").encode()
-        count.update(b[k : k + least] for k in range(len(b) - least + 1))
-    out = []
-    for i, t in rows:
-        b = (t or "").encode()
-        gone = np.zeros(len(b), bool)
-        for k in range(len(b) - least + 1):
-            if count[b[k : k + least]] > 1:
-                gone[k : k + least] = True
-        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
-        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
-    return sorted(out, key=str)
-
-
 @pytest.mark.parametrize("least, hot", [(400, 50_000), (120, 50_000), (120, 2)])
 def test_repeated_strings(spark, corpus, monkeypatch, least, hot):
     """By sorting, and with crowded cores by counts."""
@@ -134,7 +94,7 @@ def test_repeated_strings(spark, corpus, monkeypatch, least, hot):
     rows = corpus + corpus[3:4]
     out = suffix_dedup.without_repeats(table(spark, rows), least)
     got = out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
-    assert sorted(map(tuple, got), key=str) == brute_repeats(rows, least)
+    assert sorted(map(tuple, got), key=str) == sorted(repeats(rows, least), key=str)
 
 
 def test_repeats_keep_columns_and_empty_tables(spark, corpus):
@@ -548,13 +508,6 @@ def test_scores(spark, corpus):
     assert lattice_lm.lattice_scores(table(spark, EMPTY)).count() == 0
 
 
-def test_rare_words_by_join(spark, corpus, monkeypatch):
-    want = {r["doc_id"]: r["score"] for r in lattice_lm.lattice_scores(table(spark, corpus)).collect()}
-    monkeypatch.setattr(lattice_lm, "HEAD", 0.01)
-    got = {r["doc_id"]: r for r in lattice_lm.lattice_scores(table(spark, corpus)).collect()}
-    assert all(r["base_score"] < 0 for r in got.values()) and set(got) == set(want)
-
-
 def test_long_texts_hash_like_short_ones(monkeypatch):
     rng = random.Random(1)
     text = words(rng, 3000) + " " + "y" * 5000 + " end"
