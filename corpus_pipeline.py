@@ -23,7 +23,7 @@ STAGES = [
     ("source_mixing", mixing.stage),
 ]
 
-#: Block-max search, suffix sorting and raking have no SQL form; the tests hold run() against brute force.
+#: Block-max search, suffix sorting and raking have no SQL form; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 
