@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents in one run of the two-level running sum.
+#: Documents in one run of the two-level running sum, about.
 RUN = 1024
 
 
-def running_offset(df: DataFrame, order: str, size: str, stream: list[str] = [], out: str = "offset") -> DataFrame:
+def running_offset(df: DataFrame, order: str, size: str, stream: list[str] = [], out: str = "offset", extent: DataFrame | None = None) -> DataFrame:
     """Adds the sum of ``size`` over the rows before, by the integer ``order`` within ``stream``.
 
     Two levels: inside runs of ``order`` values, and over one row for each run,
-    so no task gets the whole stream.
+    so no task gets the whole stream.  The width of a run follows from the extent
+    of ``order`` and the number of rows, so sparse ids such as hashes make as few
+    runs as dense ones.  ``extent``, by default ``df``, is where these are taken
+    from: any table with at least these rows that is cheap to read.
     """
-    run = F.floor(F.col(order) / RUN)
-    df = df.withColumn("_run", run)
+    seen = (df if extent is None else extent).agg(F.min(order).alias("_low"), F.max(order).alias("_high"), F.count("*").alias("_rows"))
+    wide = F.ceil((F.col("_high").cast("double") - F.col("_low").cast("double") + 1) / F.greatest(F.lit(1), F.floor(F.col("_rows") / RUN)))
+    width = seen.select(F.greatest(F.lit(1.0), F.least(wide.cast("double"), F.lit(float(1 << 62)))).alias("_width"))
+    df = df.crossJoin(F.broadcast(width)).withColumn("_run", F.floor(F.col(order) / F.col("_width"))).drop("_width")  # one row
     sums = df.groupBy(*stream, "_run").agg(F.sum(size).alias("_size"))
     before = Window.partitionBy(*stream).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_base", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
     inside = Window.partitionBy(*stream, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    right = sums.select(*(F.col(c).alias(f"_k_{c}") for c in [*stream, "_run"]), "_base")
+    same = df["_run"] == right["_k__run"]
+    for c in stream:
+        same = same & df[c].eqNullSafe(right[f"_k_{c}"])
     return (
-        df.join(sums, [*stream, "_run"])
+        df.join(right, same)
         .withColumn(out, F.col("_base") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
-        .drop("_run", "_base")
+        .drop("_run", "_base", *(f"_k_{c}" for c in [*stream, "_run"]))
     )
 
 
@@ -35,7 +44,7 @@ def pack_windows(df: DataFrame, length: int, order: str = "doc_id", ids: str = "
     tokens, are shuffled.
     """
     sized = df.select(*stream, order, ids).withColumn("_n", F.size(ids).cast("long")).where("_n > 0")
-    placed = running_offset(sized, order, "_n", stream)
+    placed = running_offset(sized, order, "_n", stream, extent=df.select(order))
     first, last = F.floor(F.col("offset") / length), F.floor((F.col("offset") + F.col("_n") - 1) / length)
     parts = placed.withColumn("window_id", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("window_id") * length - F.col("offset"), F.lit(0))

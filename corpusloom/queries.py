@@ -35,8 +35,8 @@ def r6(name: str):
 
 def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Documents with tokens: doc_id, source, ids and what else is asked for."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "source", *extra, tokens(F.col("text")).alias("ids"))
-    return docs.where(F.size("ids") > 0)
+    docs = load(spark, sf_dir, "documents").where(F.col("text").rlike(WORD))
+    return docs.select("doc_id", "source", *extra, tokens(F.col("text")).alias("ids"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,34 +42,40 @@ def idle_sessions(stream: DataFrame, gap: str = "420 seconds", late: str = "10 m
     return stream.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
 
 
-class RetryCounter(StatefulProcessor):
-    """Errors in a row for each user: up to the cap they are requeued, then failed; any success resets."""
+def latest_reveals(stream: DataFrame) -> DataFrame:
+    """The last reveal of each key with how many there were, for streams of (hotkey, block, payload) in update or complete mode."""
+    return stream.groupBy("hotkey").agg(F.max_by("payload", "block").alias("payload"), F.max("block").alias("block"), F.count("*").alias("n"))
+
+
+class RequeueOnFailure(StatefulProcessor):
+    """The queue of each repository: a failure sends its entry to the front with one more retry, up to the cap; success clears it."""
 
     def __init__(self, cap: int = 3):
         self.cap = cap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n int")
+        self.retry = handle.getValueState("retry", "n int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        n = self.count.get()[0] if self.count.exists() else 0
+        n = self.retry.get()[0] if self.retry.exists() else 0
         out = []
-        events = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        for e in events.itertuples(index=False):
-            n = n + 1 if e.event_type == "error" else 0
-            if n:
-                out.append((int(key[0]), int(e.event_id), n, "requeue" if n <= self.cap else "failed"))
-        self.count.update((n,))
-        yield pd.DataFrame(out, columns=["user_id", "event_id", "retry", "action"])
+        for e in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples(index=False):
+            if e.event_type == "error":
+                n += 1
+                out.append((key[0], int(e.event_id), n, "front" if n <= self.cap else "failed"))
+            else:
+                n = 0
+        self.retry.update((n,))
+        yield pd.DataFrame(out, columns=["repo", "event_id", "retry", "action"])
 
     def close(self) -> None:
         pass
 
 
-def retries(stream: DataFrame, cap: int = 3) -> DataFrame:
-    """Requeue decisions by a stateful operator (needs the RocksDB state store)."""
-    return stream.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=RetryCounter(cap), outputStructType="user_id bigint, event_id bigint, retry int, action string",
+def retries(stream: DataFrame, repo: str = "repo", cap: int = 3) -> DataFrame:
+    """(repo, event_id, retry, action) of each failure, by a stateful operator (needs the RocksDB state store)."""
+    return stream.groupBy(F.col(repo).alias("repo")).transformWithStateInPandas(
+        statefulProcessor=RequeueOnFailure(cap), outputStructType="repo string, event_id bigint, retry int, action string",
         outputMode="Append", timeMode="None",
     )
 

@@ -99,3 +99,17 @@ def test_manifest_dialects(spark, tmp_path):
 
     (tmp_path / "m.json").write_text('{"version": "v3", "shards": [{"key": "b", "num_tokens": 7, "bytes": 28, "split": "eval"}, {"key": "a", "num_tokens": 9, "bytes": 36, "split": "train"}]}')
     assert [(r["key"], r["n_tokens"], r["size_bytes"], r["split"]) for r in read_manifest(spark, str(tmp_path / "m.json")).collect()] == [("a", 9, 36, "train"), ("b", 7, 28, "eval")]
+
+
+def test_manifests_without_lists(spark, tmp_path):
+    from corpusloom.sources.token_shards import read_json_lines, read_manifest, read_texts
+
+    (tmp_path / "m.json").write_text('{"version": "v3"}')
+    (tmp_path / "e.json").write_text('{"version": "v3", "shards": []}')
+    assert read_manifest(spark, str(tmp_path / "m.json")).count() == read_manifest(spark, str(tmp_path / "e.json")).count() == 0
+    spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "n int, body string").coalesce(1).write.parquet(str(tmp_path / "files"))
+    listed = read_manifest(spark, str(tmp_path / "m.json"), str(tmp_path / "files")).collect()
+    assert len(listed) == 1 and listed[0]["key"].endswith(".parquet") and listed[0]["size_bytes"] > 0
+    assert [r["text"] for r in read_texts(spark, str(tmp_path / "files")).collect()] == ["a"]
+    (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nbroken {\n{"a": 2}\n')
+    assert sorted(r["a"] for r in read_json_lines(spark, str(tmp_path / "x.jsonl"), "a int").collect()) == [1, 2]

@@ -88,3 +88,33 @@ def test_streams_equal_their_batch_twins(spark, tmp_path):
     # A second run over the same files finds nothing new.
     S.run_once(S.admitted(stream), str(tmp_path / "a"), str(tmp_path / "ca"))
     assert spark.read.parquet(str(tmp_path / "a")).count() == len({r[0] for r in want})
+
+
+def test_hours_sessions_and_retries(spark, tmp_path):
+    """Streams against what the rows say; the stateful operator over two runs of one stream."""
+    from corpusloom.streaming import events as S
+
+    stamp = lambda k: f"2024-01-01 {k // 3600:02d}:{k // 60 % 60:02d}:{k % 60:02d}"
+    kinds = ["error", "error", "click", "error", "error", "error", "error"]
+    rows = [(k, stamp(k * 1000), k % 2, kinds[k // 2], 1.0, "{}") for k in range(14)]
+    ev = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ev.where("event_id < 8").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = S.event_stream(spark, str(tmp_path / "in"))
+    S.run_once(S.hourly(stream), str(tmp_path / "h"), str(tmp_path / "ch"), "complete")
+    got = {(r["window"]["start"].hour, r["event_type"]): r["n"] for r in spark.read.parquet(str(tmp_path / "h")).collect()}
+    assert got == {(0, "error"): 4, (1, "click"): 2, (1, "error"): 2} and sum(got.values()) == 8
+    S.run_once(S.idle_sessions(stream, "1500 seconds"), str(tmp_path / "s"), str(tmp_path / "cs"), "complete")
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 8
+    reveals = stream.select(F.col("user_id").alias("hotkey"), F.col("event_id").alias("block"), F.concat(F.lit("p"), "event_id").alias("payload"))
+    S.run_once(S.latest_reveals(reveals), str(tmp_path / "l"), str(tmp_path / "cl"), "complete")
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "l")).select("hotkey", "payload", "n").collect()} == {(0, "p6", 4), (1, "p7", 4)}
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        keyed = lambda: S.event_stream(spark, str(tmp_path / "in")).withColumn("repo", F.concat(F.lit("r"), "user_id"))
+        S.run_once(S.retries(keyed(), cap=2), str(tmp_path / "r"), str(tmp_path / "cr"))
+        ev.where("event_id >= 8").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        S.run_once(S.retries(keyed(), cap=2), str(tmp_path / "r"), str(tmp_path / "cr"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "r")).where("repo = 'r0'").select("event_id", "retry", "action").collect())
+    assert got == [(0, 1, "front"), (2, 2, "front"), (6, 1, "front"), (8, 2, "front"), (10, 3, "failed"), (12, 4, "failed")]
