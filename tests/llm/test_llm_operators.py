@@ -304,6 +304,41 @@ def test_tree_matching_keeps_order():
     assert {(0, 1), (2, 2)} <= set(pairs)
 
 
+def plain_matching(a, b, x, y):
+    """The recursion over all pairs of children."""
+    if isinstance(a, int) or isinstance(b, int):
+        return (4.0 if x[a][1] == y[b][1] else 1.0) if isinstance(a, int) and isinstance(b, int) else 0.0
+    if a[0] != b[0]:
+        return 0.0
+    best = [[0.0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for i, p in enumerate(a[1], 1):
+        for j, q in enumerate(b[1], 1):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain_matching(p, q, x, y))
+    return 1.0 + best[-1][-1]
+
+
+def test_tree_matching_against_plain_recursion():
+    rng = random.Random(3)
+    for _ in range(150):
+        pages = []
+        for _ in range(2):
+            n = rng.randrange(1, 14)
+            pages.append([("/".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))), rng.choice("xyz")) for _ in range(n)])
+        a, b = (html_extract.tree_of(p) for p in pages)
+        weight, pairs = html_extract.simple_tree_matching(a, b, *pages)
+        assert weight == plain_matching(a, b, *pages)
+        assert len({p for p, _ in pairs}) == len({q for _, q in pairs}) == len(pairs)
+
+
+def test_pages_of_very_many_blocks_are_quick():
+    import time
+
+    began = time.time()
+    many = html_extract.layout_and_blocks("<article>" + "".join(f"<p>{k}</p>" for k in range(20_000)) + "</article>")
+    layouts = ["\n".join(html_extract.layout_and_blocks("<article>" + "".join(f"<div class=c{k}><p>{k}</p></div>" for k in range(n, 3000)) + "</article>")[0]) for n in (0, 5)]
+    assert len(many[1]) == 20_000 and html_extract.layout_classes([(1, 5, layouts[0]), (2, 4, layouts[1])]) == [1, 1] and time.time() - began < 20
+
+
 # Fingerprints ---------------------------------------------------------------
 
 def lz78(t):
