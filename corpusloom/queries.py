@@ -12,7 +12,7 @@ from .functions.hashing import seeded, short_sha
 from .functions.tokens import WORD, ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
 from .operators import curriculum, evaluation, packing, sampling, screening
 from .operators.scoring import BigramScorer, UnigramScorer
-from .tables import load
+from .tables import load, spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,12 +35,13 @@ def r6(name: str):
 
 def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Documents with tokens: doc_id, source, ids and what else is asked for."""
-    docs = load(spark, sf_dir, "documents").where(F.col("text").rlike(WORD))
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "source", "text", *extra)).where(F.col("text").rlike(WORD))
     return docs.select("doc_id", "source", *extra, tokens(F.col("text")).alias("ids"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curriculum.scored_rows(documents(spark, sf_dir), "doc_id")
+    """The score cache: a narrow table that is computed once and read for cuts, buckets and draws."""
+    return written(curriculum.scored_rows(documents(spark, sf_dir), "doc_id"))
 
 
 def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ adj as (select doc_id, count(*) filter (where c = l) / greatest(1, count(*) - 1)
 @query(rf"""with {MEASURES} select q.doc_id, round(alpha, 6) as alpha_ratio, round(coalesce(repeats, 0.0), 6) as repeat_ratio,
   round(coalesce(url_chars, 0) / greatest(1, n), 6) as url_ratio, nav::int as nav_hits from q left join adj using (doc_id)""")
 def text_stats(spark, sf_dir):
-    s = load(spark, sf_dir, "documents").select("doc_id", T.stripped(F.coalesce("text", F.lit(""))).alias("s"))
+    s = spread(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", T.stripped(F.coalesce("text", F.lit(""))).alias("s"))
     s = s.select(
         "doc_id", T.alpha_ratio(F.col("s")).alias("alpha_ratio"), T.adjacent_repeat_ratio(F.col("s")).alias("repeat_ratio"),
         T.url_ratio(F.col("s")).alias("url_ratio"), T.navigation_hits(F.col("s")).alias("nav_hits"),
@@ -97,7 +98,7 @@ RULES = T.QualityRules(least_alpha=0.56, most_repeat=0.20)
   when nav > 5 then 'navigation_boilerplate' else 'accepted' end as reason from q left join adj using (doc_id))
   select source, reason, count(*)::bigint as n, round(count(*) / sum(count(*)) over (partition by source), 6) as share from r group by source, reason""")
 def quality_reject_counts(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("source", F.coalesce(T.reject_reason(F.col("text"), RULES), F.lit("accepted")).alias("reason"))
+    docs = spread(load(spark, sf_dir, "documents").select("source", "text")).select("source", F.coalesce(T.reject_reason(F.col("text"), RULES), F.lit("accepted")).alias("reason"))
     n = docs.groupBy("source", "reason").agg(F.count("*").alias("n"))
     return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("source")), 6))
 

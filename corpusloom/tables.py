@@ -1,7 +1,10 @@
-"""Loading of the Parquet tables."""
+"""Loading of the Parquet tables, and tables written on the way."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 NAMES = (
@@ -13,3 +16,35 @@ NAMES = (
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table; columns and filters are pruned into the scan by the optimizer."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over all cores where its files make no more splits than there are cores.
+
+    A small table in few row groups would otherwise keep one core busy with all
+    its texts.  A large one has many more splits and is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which the whole cluster shares.
+
+    A folder of this machine is taken only where none is set and the master is
+    this machine, as in tests; elsewhere a missing setting is an error.
+    """
+    context = spark.sparkContext
+    given = context.getConf().get("spark.checkpoint.dir")
+    if context.getCheckpointDir() is None:
+        if given is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="corpusloom-"))
+    return given or context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, so that it is computed once and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
