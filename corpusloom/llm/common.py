@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import shared_folder, written
+
+__all__ = ["connected_components", "durable", "held_out", "key_filter", "may_match", "shared_folder", "table", "written"]
+
 #: The columns of ``documents``; every filtering stage returns these.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -18,21 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, which the whole cluster shares.
-
-    A folder of this machine is taken only where none is set and the master is
-    this machine, as in tests; elsewhere a missing setting is an error.
-    """
-    context = spark.sparkContext
-    given = context.getConf().get("spark.checkpoint.dir")
-    if context.getCheckpointDir() is None:
-        if given is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(given or tempfile.mkdtemp(prefix="corpusloom-"))
-    return given or context.getCheckpointDir()
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Materialised in the shared folder, where a lost executor takes nothing along."""
     shared_folder(df.sparkSession)
@@ -79,13 +65,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     return nodes.union(now.select("v", "v").distinct())
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: smaller than a checkpoint."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 #: Bits of a key filter: 8 MB, whatever the number of keys.
 FILTER_BITS = 1 << 26
 
