@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, held_out, table, written
+from .common import held_out, table, written
 from .hashing import U64, powers, span_hashes
 from .token_counts import default_model
 
