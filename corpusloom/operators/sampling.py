@@ -32,15 +32,18 @@ def weighted_draws(draws: DataFrame, weights: DataFrame, seed: str, order: str,
     """Each draw (a row with ``draw``) with the row of ``weights`` it falls on, with replacement.
 
     ``weights`` is a source table, of which there are few; their cumulative
-    intervals are matched by a range join.
+    intervals go to every task as one sorted array, so a draw is a search in it
+    and no join by range.
     """
     w = Window.orderBy(order)
     intervals = normalised(weights, weight)
     high = F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, 0))
     last = F.row_number().over(Window.orderBy(F.col(order).desc())) == 1
-    intervals = intervals.withColumn("_hi", F.when(last, F.lit(2.0)).otherwise(high)).withColumn("_lo", F.coalesce(F.lag("_hi").over(w), F.lit(0.0)))
-    u = draws.withColumn("u", uniform(seeded(seed, F.col("draw"))))
-    return u.join(intervals, (F.col("u") >= F.col("_lo")) & (F.col("u") < F.col("_hi"))).drop("_lo", "_hi")
+    intervals = intervals.withColumn("_hi", F.when(last, F.lit(2.0)).otherwise(high))
+    one = intervals.agg(F.array_sort(F.collect_list(F.struct("_hi", *weights.columns))).alias("_intervals"))
+    u = draws.withColumn("u", uniform(seeded(seed, F.col("draw")))).crossJoin(F.broadcast(one))  # one row
+    hit = F.get(F.filter("_intervals", lambda x: x["_hi"] > F.col("u")), F.lit(0))
+    return u.withColumn("_hit", hit).where("_hit is not null").select(*draws.columns, "u", *(F.col(f"_hit.{c}") for c in weights.columns))
 
 
 def index_below(seed: str, n: Column, *keys: Column) -> Column:

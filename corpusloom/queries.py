@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .functions.hashing import seeded, short_sha
+from .functions.hashing import short_sha
 from .functions.tokens import WORD, ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
 from .operators import curriculum, evaluation, packing, sampling, screening
 from .operators.scoring import BigramScorer, UnigramScorer

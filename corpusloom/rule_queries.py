@@ -299,11 +299,11 @@ def checkpoint_pick(spark, sf_dir):
 
 # Admission, queues, histories -----------------------------------------------
 
-@query("""with seen as (select user_id from events where event_type = 'purchase' and event_id % 50 = 0), done as (select 'r' || (event_id % 400) as repo from events where event_type = 'error'), c as (select user_id, event_id, 'r' || (event_id % 400) as repo, ts from events where event_type = 'click')
+@query("""with seen as (select user_id from events where event_type = 'purchase' and event_id % 50 = 0), done as (select 'r' || (event_id // 3) as repo from events where event_type = 'error'), c as (select user_id, event_id, 'r' || (event_id // 3) as repo, ts from events where event_type = 'click')
   select user_id, arg_max(event_id, (ts, event_id)) as event_id from c where user_id not in (select user_id from seen) group by user_id having arg_max(repo, (ts, event_id)) not in (select repo from done)""")
 def admissions(spark, sf_dir):
     """The latest reveal of keys that were not seen, unless its repository is finished."""
-    ev = load(spark, sf_dir, "events").withColumn("repo", F.concat(F.lit("r"), F.col("event_id") % 400))
+    ev = load(spark, sf_dir, "events").withColumn("repo", F.concat(F.lit("r"), F.floor(F.col("event_id") / 3)))
     last = records.latest(ev.where("event_type = 'click'"), ["user_id"], [F.col("ts"), F.col("event_id")], ["event_id", "repo"])
     fresh = shards.not_yet(last, ev.where("event_type = 'purchase' and event_id % 50 = 0"), "user_id")
     return shards.not_yet(fresh, ev.where("event_type = 'error'"), "repo").select("user_id", "event_id")

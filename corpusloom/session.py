@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,3 +21,11 @@ def local_session(cpus: int | None = None, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, where it is not installed on them."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(here), base_dir=os.path.basename(here))
+    spark.sparkContext.addPyFile(archive)

@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     this machine, as in tests; elsewhere a missing setting is an error.
     """
     context = spark.sparkContext
-    given = context.getConf().get("spark.checkpoint.dir")
+    given = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
         if given is None and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

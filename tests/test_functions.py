@@ -113,3 +113,14 @@ def test_manifests_without_lists(spark, tmp_path):
     assert [r["text"] for r in read_texts(spark, str(tmp_path / "files")).collect()] == ["a"]
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nbroken {\n{"a": 2}\n')
     assert sorted(r["a"] for r in read_json_lines(spark, str(tmp_path / "x.jsonl"), "a int").collect()) == [1, 2]
+
+
+def test_package_is_shipped(spark):
+    import zipfile
+
+    from pyspark import SparkFiles
+
+    from corpusloom.session import ship
+
+    ship(spark)
+    assert "corpusloom/operators/packing.py" in zipfile.ZipFile(SparkFiles.get("corpusloom.zip")).namelist()
