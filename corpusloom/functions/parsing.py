@@ -209,11 +209,15 @@ def emission_value(sqrt_price: Column, gross_nano: Column, server: Column, valid
     return sqrt_price * sqrt_price, F.coalesce(gross_nano, F.lit(0.0)) / 1e9 * share
 
 
-def tokenizer_clash(tokenizer: Column, architecture: Column) -> Column:
-    """Whether shards of another family's tokenizer meet an architecture that needs its own."""
+def tokenizer_clash(tokenizer: Column, architecture: Column, own: str, bound: tuple[str, ...], foreign: tuple[str, ...]) -> Column:
+    """Whether shards of a foreign family's tokenizer meet an architecture that is bound to its own.
+
+    Families are recognised by parts of names, in any case; shards of the family
+    ``own`` go with every architecture.
+    """
     t, a = F.lower(F.coalesce(tokenizer, F.lit(""))), F.lower(F.coalesce(architecture, F.lit("")))
-    needs = a.contains("qwen") | a.contains("quasar")
-    return ~t.contains("quasar") & needs & (t.contains("gemma") | t.contains("unsloth"))
+    has = lambda c, parts: F.array_contains(F.transform(F.array(*(F.lit(p) for p in parts)), lambda p: c.contains(p)), True)
+    return ~t.contains(own) & has(a, bound) & has(t, foreign)
 
 
 def dataset_mode(requested: Column, local_manifest: Column, clash: Column) -> Column:

@@ -277,7 +277,7 @@ def emission_prices(spark, sf_dir):
   select c_custkey, tk in (1, 2) and ak < 2 as clash, case rk when 0 then 'pretokenized' when 1 then 'raw' when 2 then 'mixture' else case when here then 'pretokenized' when tk in (1, 2) and ak < 2 then 'raw' else 'pretokenized' end end as mode from t""")
 def dataset_modes(spark, sf_dir):
     pick = lambda k, *xs: F.element_at(F.array(*(F.lit(x) for x in xs)), (F.col("c_custkey") % k + 1).cast("int"))
-    clash = P.tokenizer_clash(pick(4, "Quasar-gemma", "Gemma-7b", "unsloth/x", "qwen"), pick(3, "Qwen3ForCausalLM", "QuasarLM", "LlamaForCausalLM"))
+    clash = P.tokenizer_clash(pick(4, "Own-gemma", "Gemma-7b", "other/x", "third"), pick(3, "ThirdForCausalLM", "OwnLM", "FourthForCausalLM"), "own", ("third", "own"), ("gemma", "other"))
     requested = pick(5, "local", "remote", "mixture", "auto", "auto")
     return load(spark, sf_dir, "customer").select("c_custkey", clash.alias("clash"), P.dataset_mode(requested, F.col("c_acctbal") < 0, clash).alias("mode"))
 
