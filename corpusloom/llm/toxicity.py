@@ -181,19 +181,24 @@ class BlockMaxIndex:
         self.labels = np.array([labels[k] for k in full], float)
         self.ids = np.array([k if ids is None else ids[k] for k in full], np.int64)
         self.prior = (sum(empty) + 1.0) / (len(empty) + 20.0)
-        feature = np.concatenate([np.asarray(rows[k][0], np.int64) for k in full]) if full else np.empty(0, np.int64)
-        example = np.repeat(np.arange(len(full)), [len(unit[k]) for k in full]).astype(np.int64)
+        feature = np.concatenate([np.asarray(rows[k][0], np.int32) for k in full]) if full else np.empty(0, np.int32)
+        example = np.repeat(np.arange(len(full), dtype=np.int32), [len(unit[k]) for k in full])
         weight = np.concatenate([unit[k] for k in full]) if full else np.empty(0)
-        order = np.lexsort((example, feature))
-        self.example, self.weight, feature = example[order].astype(np.int32), weight[order], feature[order]
+        del unit
+        # Examples rise already, so a stable order by feature orders both.
+        order = np.argsort(feature, kind="stable")
+        self.example, self.weight, feature = example[order], weight[order], feature[order]
+        del example, weight, order
         self.blocks = max(1, -(-len(full) // BLOCK))
-        cell = feature * self.blocks + self.example // BLOCK
-        self.cells, first = np.unique(cell, return_index=True)
-        self.first = np.append(first, len(cell))
-        self.peak = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
-        self.cell_block = self.cells % self.blocks
-        self.of_feature = np.searchsorted(self.cells // self.blocks, np.arange(len(idf) + 1))
         self.at = np.searchsorted(feature, np.arange(len(idf) + 1))
+        block = self.example // np.int32(BLOCK)
+        # Cells are the stretches of one feature and one block.
+        first = np.flatnonzero(np.concatenate([[True], (feature[1:] != feature[:-1]) | (block[1:] != block[:-1])])) if len(block) else np.empty(0, np.int64)
+        self.cell_block, cell_feature = block[first], feature[first]
+        del block, feature
+        self.peak = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.first = np.append(first, len(self.weight)).astype(np.int32)
+        self.of_feature = np.searchsorted(cell_feature, np.arange(len(idf) + 1))
         # The commonest features as full rows over the examples.
         common = np.argsort(-np.diff(self.at), kind="stable")[:FULL]
         self.row = np.full(len(idf), -1)
@@ -321,14 +326,16 @@ class Examples:
     def index(self) -> BlockMaxIndex:
         ends = np.cumsum(self.size)[:-1]
         rows = list(zip(np.split(self.idx, ends), np.split(self.tf, ends))) if len(self.size) else []
+        self.idx = self.tf = None  # the worker's copy, which the index takes the place of
         return BlockMaxIndex(rows, self.labels, self.idf, self.ids)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE, evidence: bool = True) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours, evidence) of every row of ``docs``.
 
     ``evidence`` lists the neighbours that voted, nearest first, as (doc_id,
-    toxic, cosine); of equally near ones the smaller doc_id comes first.
+    toxic, cosine); of equally near ones the smaller doc_id comes first.  It is
+    empty with ``evidence`` False.
 
     Labels are learnt from rows outside the fold only, at most ``sample`` of
     them.  Null and empty texts have no feature and get the prior.  Without
@@ -382,11 +389,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
             n = np.array([len(w) for _, w, _ in got], np.int32)
             vote = np.array([v for v, _, _ in got], float)
             score = np.where(n > 0, np.interp(vote, *knots), vote) if knots is not None else vote
-            who = np.concatenate([w for _, w, _ in got]) if got else np.empty(0, np.int64)
+            shown = got if evidence else []
+            who = np.concatenate([np.empty(0, np.int64), *(w for _, w, _ in shown)])
             listed = pa.StructArray.from_arrays(
-                [pa.array(index.ids[who]), pa.array(index.labels[who].astype(np.int32)), pa.array(np.concatenate([c for _, _, c in got]) if got else np.empty(0))], ["doc_id", "toxic", "cosine"]
+                [pa.array(index.ids[who]), pa.array(index.labels[who].astype(np.int32)), pa.array(np.concatenate([np.empty(0), *(c for _, _, c in shown)]))], ["doc_id", "toxic", "cosine"]
             )
-            ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            ends = pa.array(np.concatenate([[0], np.cumsum(n if evidence else 0 * n)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(score, pa.float64()), pa.array(n), pa.ListArray.from_arrays(ends, listed)], ["doc_id", "score", "neighbours", "evidence"]
             )
@@ -413,6 +421,6 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id share their fate likewise.  Null, empty and very long texts are scored
     like others; repeated rows go or stay together, an empty table stays empty.
     """
-    bad = toxicity_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
+    bad = toxicity_scores(docs, table(spark, sf_dir, "labels"), evidence=False).where("predicted = 1")
     bad = bad.select(F.col("doc_id").alias("bad_id")).distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
