@@ -173,9 +173,14 @@ def production_ready(phase: Column, mu: Column, lcb: Column) -> Column:
 
 def candidate_specs(p: Column, mu: Column) -> Column:
     """Specs to try next around a configuration (a struct as of parse_spec), by how good it was, repeats included."""
-    spec = lambda lr, e, r=None, a=None: P.format_spec(p["r"] if r is None else F.lit(r), p["a"] if a is None else F.lit(a), p["lr"] * lr, p["dropout"], F.lit(e))
-    own = P.format_spec(p["r"], p["a"], p["lr"], p["dropout"], p["epochs"])
-    none = F.array().cast("array<string>")
+    def spec(lr, e, r=None, a=None):
+        return F.struct(
+            (p["r"] if r is None else F.lit(r)).alias("r"), (p["a"] if a is None else F.lit(a)).alias("a"), (p["lr"] * lr).alias("lr"),
+            p["dropout"].alias("dropout"), (p["epochs"] if e is None else F.lit(e)).alias("epochs"),
+        )
+
+    own = F.array(spec(1.0, None))
+    none = F.filter(own, lambda s: F.lit(False))
     change = (
         F.when(p["r"] == 64, F.array(spec(1.0, 0.5, 32, 64), spec(0.8, 0.5, 64, 128)))
         .when(p["r"] == 32, F.array(spec(1.0, 0.5, 64, 64))).otherwise(none)
@@ -185,7 +190,7 @@ def candidate_specs(p: Column, mu: Column) -> Column:
         F.when(mu < -0.001, F.concat(around((0.6, 0.8, 1.0), (0.5,)), change)).when(mu < 0, around((0.85, 1.0, 1.15), (0.5, 0.8)))
         .otherwise(around((0.9, 1.0, 1.1), (0.8, 1.0)))
     )
-    return F.concat(F.array(own), more)
+    return F.transform(F.concat(own, more), lambda s: P.format_spec(s["r"], s["a"], s["lr"], s["dropout"], s["epochs"]))
 
 
 def distinct_specs(specs: Column, most: int) -> Column:
