@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import chat, decontamination, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity
+    from . import (
+        chat, decontamination, fill_middle, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity,
+    )
 
     return {
         "op1_toxicity": toxicity.op1_toxicity,
@@ -21,14 +23,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": mixing.op8_source_mixing,
         "op10_lattice_lm": lattice_lm.op10_lattice_lm,
         "op9_chat_formatting": chat.op9_chat_formatting,
+        "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat, decontamination, near_dup
+    from . import chat, decontamination, fill_middle, near_dup
 
     return {
         "op4_benchmark_decontamination": decontamination.ORACLE,
         "op5_minhash_near_dedup": near_dup.ORACLE,
         "op9_chat_formatting": chat.ORACLE,
+        "op12_fill_in_middle": fill_middle.ORACLE,
     }
