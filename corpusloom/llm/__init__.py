@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from . import (
-        chat, decontamination, fill_middle, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, suffix_dedup, token_counts, toxicity,
+        chat, decontamination, fill_middle, html_extract, lattice_lm, lz_fingerprint, mixing, near_dup, prefix_trie, suffix_dedup, token_counts, toxicity,
     )
 
     return {
@@ -24,15 +24,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_lattice_lm": lattice_lm.op10_lattice_lm,
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op12_fill_in_middle": fill_middle.op12_fill_in_middle,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import chat, decontamination, fill_middle, near_dup
+    from . import chat, decontamination, fill_middle, near_dup, prefix_trie
 
     return {
         "op4_benchmark_decontamination": decontamination.ORACLE,
         "op5_minhash_near_dedup": near_dup.ORACLE,
         "op9_chat_formatting": chat.ORACLE,
         "op12_fill_in_middle": fill_middle.ORACLE,
+        "op13_prefix_trie": prefix_trie.ORACLE,
     }
