@@ -1,58 +1,17 @@
-"""Token shards in the ``.npy`` array format, and text and JSON-lines sources."""
+"""Token shards, and text and JSON-lines sources."""
 
 from __future__ import annotations
 
-import ast
-import struct
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAGIC = b"\x93NUMPY"
-
-
-def read_header(raw: bytes) -> tuple[tuple[int, ...], int]:
-    """(shape, offset of the data) of an array of little-endian 32-bit tokens; other types are refused.
-
-    The header is read as a literal, never evaluated.
-    """
-    if raw[:6] != MAGIC:
-        raise ValueError("not an array file")
-    major = raw[6]
-    size, begin = (struct.unpack_from("<H", raw, 8)[0], 10) if major == 1 else (struct.unpack_from("<I", raw, 8)[0], 12)
-    head = ast.literal_eval(raw[begin : begin + size].decode("latin-1").strip())
-    if head["descr"] != "<u4" or head["fortran_order"]:
-        raise ValueError(f"tokens must be <u4 in row order, not {head['descr']}")
-    return tuple(head["shape"]), begin + size
-
-
-def windows_of(raw: bytes, length: int) -> np.ndarray:
-    """The rows of a shard: a flat array is cut every ``length`` tokens, tail dropped; a matrix is taken as it is."""
-    shape, begin = read_header(raw)
-    if len(shape) not in (1, 2):
-        raise ValueError("a shard has one or two dimensions")
-    data = np.frombuffer(raw, "<u4", offset=begin, count=int(np.prod(shape)))
-    return data[: len(data) // length * length].reshape(-1, length) if len(shape) == 1 else data.reshape(shape)
+from .array_files import read_arrays
 
 
 def read_token_shards(spark: SparkSession, path: str, length: int) -> DataFrame:
-    """(shard_key, row_idx, input_ids) of all ``.npy`` files below a path; one task reads whole files."""
-
-    def batches(it):
-        for batch in it:
-            for key, raw in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                rows = windows_of(raw, length)
-                for lo in range(0, len(rows), 4096):
-                    part = rows[lo : lo + 4096].astype(np.int32)
-                    n = len(part)
-                    ids = pa.ListArray.from_arrays(pa.array(np.arange(0, part.size + 1, part.shape[1], dtype=np.int32)), pa.array(part.ravel()))
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * n), pa.array(np.arange(lo, lo + n)), ids], ["shard_key", "row_idx", "input_ids"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(batches, "shard_key string, row_idx long, input_ids array<int>")
+    """(shard_key, row_idx, input_ids) of all ``.npy`` files at or below a path, by ranges of rows."""
+    return read_arrays(spark, path, length)
 
 
 def read_texts(spark: SparkSession, path: str, column: str = "text", keep: list[str] = []) -> DataFrame:

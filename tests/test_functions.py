@@ -82,7 +82,8 @@ def test_commitments(spark):
 
 
 def test_token_shards_round_trip(spark, tmp_path):
-    from corpusloom.sources.token_shards import read_header, read_token_shards
+    from corpusloom.sources.array_files import ArrayFile, store_of
+    from corpusloom.sources.token_shards import read_token_shards
 
     flat, matrix = np.arange(23, dtype="<u4"), np.arange(12, dtype="<u4").reshape(3, 4)
     np.save(tmp_path / "a.npy", flat)
@@ -91,7 +92,7 @@ def test_token_shards_round_trip(spark, tmp_path):
     assert [list(r["input_ids"]) for r in rows] == flat[:20].reshape(5, 4).tolist() + matrix.tolist()
     np.save(tmp_path / "c.npy", np.arange(3, dtype="<i8"))
     with pytest.raises(ValueError):
-        read_header((tmp_path / "c.npy").read_bytes())
+        ArrayFile.of(*store_of(str(tmp_path / "c.npy")), (tmp_path / "c.npy").stat().st_size, 4)
 
 
 def test_manifest_dialects(spark, tmp_path):
