@@ -12,7 +12,7 @@ from .functions.hashing import short_sha
 from .functions.tokens import WORD, ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
 from .operators import curriculum, evaluation, packing, sampling, screening
 from .operators.scoring import BigramScorer, UnigramScorer
-from .tables import load, spread, written
+from .tables import kept, load, spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,8 +40,8 @@ def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score cache: a narrow table that is computed once and read for cuts, buckets and draws."""
-    return written(curriculum.scored_rows(documents(spark, sf_dir), "doc_id"))
+    """Scores of all documents: a narrow table that is made once for the files as they are and read for cuts, buckets and draws."""
+    return kept(spark, "scores", f"{sf_dir}/documents.parquet", lambda: curriculum.scored_rows(documents(spark, sf_dir), "doc_id"))
 
 
 def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:

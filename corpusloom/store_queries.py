@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import packing, permutation
-from .queries import LENGTH, PACK, SHARD_ROWS, TOK, TRAIN_SHARDS, packed
+from .jobs.score_cache import ScoreCache, version_of
+from .operators import curriculum, packing, permutation
+from .operators.scoring import UnigramScorer
+from .queries import LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed
 from .sources import array_files
 from .tables import load, shared_folder
 
@@ -123,3 +125,19 @@ def sampled_shard_rows(spark, sf_dir):
     drawn = permutation.locate(permutation.sample_indices(spark, total // 8, total, "rows"), counts, "shard_key", "n")
     rows = array_files.fetch_rows(drawn.select("shard_key", "row_idx"), path)
     return drawn.join(rows, ["shard_key", "row_idx"]).select("draw", "shard_key", "row_idx", digest().alias("digest"))
+
+
+# Score cache ----------------------------------------------------------------
+
+@query(rf"""with {SCORED}, s as (select source, count(*)::bigint as n_rows, round(avg(loss), 6) as mean_loss from scored where source is not null group by source)
+select source, case when md5(source) < '8' then 'kept' else 'scored' end as second_run, n_rows, mean_loss from s""")
+def score_cache(spark, sf_dir):
+    """Sources as shards: some are scored first, then all are asked for; only the missing ones are scored by the second run."""
+    rows = documents(spark, sf_dir).withColumnRenamed("source", "shard_key")
+    scorer = UnigramScorer(rows, "ids")  # one model for all runs
+    cache = ScoreCache(spark, f"{shared_folder(spark)}/scores-{uuid.uuid4().hex}", version_of("unigram", 1), lambda r: curriculum.scored_rows(r, "doc_id", scorer=scorer))
+    shards = rows.select("shard_key").distinct()
+    cache.update(shards.where(F.md5(F.col("shard_key").cast("binary")) < "8"), rows)
+    second = cache.update(shards, rows).select("shard_key", F.lit("scored").alias("run"))
+    losses = cache.read(shards).groupBy("shard_key").agg(F.count("*").alias("n_rows"), F.round(F.avg("loss"), 6).alias("mean_loss"))
+    return losses.join(second, "shard_key", "left").select(F.col("shard_key").alias("source"), F.coalesce("run", F.lit("kept")).alias("second_run"), "n_rows", "mean_loss")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -48,3 +51,30 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any file system that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def listing_digest(spark: SparkSession, path: str) -> str:
+    """Changes with the names, sizes or times of the files at or below a path; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    each = files.select(F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_millis("modificationTime").cast("string")), 256).alias("h"))
+    listed = each.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256)).first()  # one hash for each file
+    return listed[0]
+
+
+def kept(spark: SparkSession, name: str, source: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table derived from the files of ``source``, made once for their present state and found again later.
+
+    It lies in the shared folder under a name that follows from ``name`` and the
+    listing of the files; one whose writing broke off is made anew.
+    """
+    key = hashlib.sha256(f"{name}|{source}|{listing_digest(spark, source)}".encode()).hexdigest()[:24]
+    path = f"{shared_folder(spark)}/kept-{name}-{key}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
