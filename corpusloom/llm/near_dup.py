@@ -2,7 +2,8 @@
 
 1. Every text becomes its set of distinct word shingles and a signature of
    minimum-hash coordinates.  Texts with equal sets form one class (a star of
-   links to its smallest doc_id); only the class goes on.
+   links to its smallest doc_id); only the class goes on.  Classes have numbers
+   of their own, since rows of one doc_id may belong to several.
 2. Each class is posted under its (coordinate, value) pairs.  A pair above the
    match threshold shares at least ``matches`` of the ``coordinates`` postings,
    so it shares one within the rarest ``coordinates - matches + 1`` of either:
@@ -14,7 +15,8 @@
    similarity is one task: it skips pairs below the match threshold, counts
    exact intersections over an inverted index of the full sets and returns a
    spanning forest of the confirmed links.
-4. Connected components over the forests give ``component_id``.
+4. Connected components over the forests, with ids as nodes, give
+   ``component_id``; an id with several texts joins the classes of all of them.
 
 Chance of missing one link at exactly the threshold: a binomial tail of
 ``coordinates`` draws at the similarity below ``matches`` (2.3e-8 for 32, 0.8,
@@ -36,8 +38,13 @@ from .hashing import minhash, shingle_hashes, word_hashes
 COORDINATES, MATCHES, BLOCK = 32, 12, 1024
 
 
+def set_key(shingles: np.ndarray) -> bytes:
+    """A name for a set of shingles; sets of different names differ."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> DataFrame:
-    """(doc_id, n_shingles, set_key, coords): set_key is null for texts without words."""
+    """(doc_id, text_hash, n_shingles, set_key, coords): set_key is null for texts without words."""
 
     def batches(it):
         for batch in it:
@@ -45,20 +52,21 @@ def signatures(docs: DataFrame, width: int, coordinates: int = COORDINATES) -> D
             for text in batch.column("text"):
                 s = shingle_hashes(word_hashes(text.as_py()), width)
                 counts.append(len(s))
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                keys.append(set_key(s) if len(s) else None)
                 coords.append(minhash(s, coordinates).astype(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("text_hash"),
                     pa.array(counts, pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(coords, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_key", "coords"],
+                ["doc_id", "text_hash", "n_shingles", "set_key", "coords"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        batches, "doc_id long, n_shingles long, set_key binary, coords array<bigint>"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        batches, "doc_id long, text_hash long, n_shingles long, set_key binary, coords array<bigint>"
     )
 
 
@@ -127,29 +135,38 @@ def confirm_block(
 
 
 def confirmed_links(docs: DataFrame, groups: DataFrame, width: int, percent: int, matches: int, coordinates: int, block: int) -> DataFrame:
-    """(src, dst): links that join the same classes as all confirmed links do."""
+    """(src, dst): links between ids that join the same classes as all confirmed links do.
+
+    ``groups`` has class_id, group_id and what names a row of the class: doc_id,
+    text_hash and set_key.  Rows are looked up by id and hash of the text and told
+    by the set itself, so an id with several texts gives each class its own.
+    """
 
     def with_sets(it):
         for batch in it:
             sets = [shingle_hashes(word_hashes(t.as_py()), width) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
+            mine = pa.array([set_key(s) == k.as_py() for s, k in zip(sets, batch.column("set_key"))], pa.bool_())
+            out = pa.RecordBatch.from_arrays(
                 [
                     batch.column("class_id"),
                     batch.column("group_id"),
+                    batch.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
-                ["class_id", "group_id", "n", "members"],
+                ["class_id", "group_id", "doc_id", "n", "members"],
             )
+            yield out.filter(mine)
 
-    first = F.row_number().over(Window.partitionBy("class_id").orderBy(F.xxhash64("text")))
+    first = F.row_number().over(Window.partitionBy("class_id").orderBy("doc_id"))
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     member = (
-        docs.select(F.col("doc_id").alias("class_id"), "text")
-        .join(groups, "class_id")
-        .withColumn("copy", first)
+        named.join(groups, ["doc_id", "text_hash"])
+        .select("class_id", "group_id", "doc_id", "set_key", "text")
+        .mapInArrow(with_sets, "class_id long, group_id long, doc_id long, n long, members binary")
+        .withColumn("copy", first)  # repeated rows are equal
         .where("copy = 1")
-        .select("class_id", "group_id", "text")
-        .mapInArrow(with_sets, "class_id long, group_id long, n long, members binary")
+        .drop("copy")
     )
     member = durable(member)
 
@@ -176,9 +193,9 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, width: int, percent: int
     sized = member.withColumn("step", step).join(
         parts.select("group_id", "step", "cuts"), ["group_id", "step"]
     ).withColumn("cut", F.pmod(F.xxhash64("class_id"), F.col("cuts")).cast("int"))
-    big = sized.join(to, ["group_id", "step", "cut"]).select("task", "class_id", "l", "r", "members")
+    big = sized.join(to, ["group_id", "step", "cut"]).select("task", "class_id", "doc_id", "l", "r", "members")
     one = member.join(small, "group_id").select(
-        F.xxhash64("group_id").alias("task"), "class_id", F.lit(True).alias("l"), F.lit(True).alias("r"), "members"
+        F.xxhash64("group_id").alias("task"), "class_id", "doc_id", F.lit(True).alias("l"), F.lit(True).alias("r"), "members"
     )
 
     def confirm(t: pa.Table) -> pa.Table:
@@ -187,7 +204,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, width: int, percent: int
         sets = [np.frombuffer(m.as_py(), np.uint64) for m in t.column("members")]
         coords = np.stack([minhash(s, coordinates) for s in sets])
         links = confirm_block(
-            t.column("class_id").to_numpy(), sets, coords,
+            t.column("doc_id").to_numpy(), sets, coords,
             np.array(t.column("l").to_pylist(), bool), np.array(t.column("r").to_pylist(), bool), percent, matches,
         )
         return pa.table({"src": pa.array([x for x, _ in links], pa.int64()), "dst": pa.array([y for _, y in links], pa.int64())})
@@ -204,23 +221,25 @@ def near_duplicates(
     length are compared on their full sets; of several least ids there is none,
     so groups have no ties.  Other columns
     of ``docs`` are ignored; a doc_id that occurs twice keeps its two rows, which
-    count as one document, and an empty table gives an empty result.  Rows with a null doc_id are left out
-    of every component (component_id null, kept true).
+    count as one document that has the links of both texts (a row without words
+    has none), and an empty table gives an empty result.  Rows with a null doc_id
+    are left out of every component (component_id null, kept true).
     """
     base = durable(signatures(docs, width, coordinates))
+    worded = base.where("set_key is not null and doc_id is not null")
     classes = (
-        base.where("set_key is not null and doc_id is not null")
-        .groupBy("set_key")
-        .agg(F.min(F.struct("doc_id", "coords")).alias("low"))
-        .select("set_key", F.col("low.doc_id").alias("class_id"), F.col("low.coords").alias("coords"))
+        worded.groupBy("set_key")
+        .agg(F.min(F.struct("doc_id", "text_hash", "coords")).alias("low"))
+        .select("set_key", "low.*", F.monotonically_increasing_id().alias("class_id"))
     )
     classes = durable(classes)
-    groups = durable(candidate_groups(classes, coordinates, matches))
+    groups = durable(candidate_groups(classes, coordinates, matches).join(classes.drop("coords"), "class_id"))
     links = confirmed_links(docs.where("doc_id is not null"), groups, width, percent, matches, coordinates, block)
-    components = connected_components(links)
-    of_class = classes.select("set_key", "class_id").join(
-        components, F.col("class_id") == F.col("node"), "left"
-    ).select("set_key", F.coalesce("component", "class_id").alias("component"))
+    several = worded.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("doc_id")
+    lead = classes.select("set_key", F.col("doc_id").alias("node"))
+    own = worded.join(several, "doc_id").select("doc_id", "set_key").distinct().join(lead, "set_key").select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
+    components = connected_components(links.unionByName(own)).toDF("node", "component")
+    of_class = lead.join(components, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     out = base.join(of_class, "set_key", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),

@@ -71,6 +71,22 @@ def test_near_duplicates_edges(spark, corpus):
     assert len(out) == 4 and [r["kept"] for r in out if r["doc_id"] is None] == [True]
 
 
+def test_one_id_with_several_texts(spark):
+    """Rows of one doc_id have the links of all its texts, whichever text leads its class."""
+    rng = random.Random(21)
+    a, b, c, d = (words(rng, 90) for _ in range(4))
+    rows = [(5, a), (5, b), (8, edited(rng, a, 0.01)), (9, edited(rng, b, 0.01)), (7, a), (7, c), (3, edited(rng, c, 0.01)), (20, d), (21, edited(rng, d, 0.01))]
+    rows += [(5, a), (5, ""), (30, ""), (40, None), (None, b), (None, d)]
+    out = near_dup.near_duplicates(table(spark, rows), width=4).collect()
+    got = {(r["doc_id"], r["component_id"]) for r in out if r["n_shingles"]}
+    assert got == {(5, 3), (7, 3), (3, 3), (8, 3), (9, 3), (20, 20), (21, 20), (None, None)} and len(out) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in out if not r["n_shingles"]} == {(5, 5), (30, 30), (40, 40)}
+    for k in range(4):  # hashes of texts decide nothing
+        two = [(5, f"{a} {k}"), (5, f"{b} {k}"), (8, f"{a} {k} x"), (9, f"{b} {k} y")]
+        found = near_dup.near_duplicates(table(spark, two), width=4).collect()
+        assert {(r["doc_id"], r["component_id"]) for r in found} == {(5, 5), (8, 5), (9, 5)}
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 460)] + [(999, k) for k in range(500, 560)]
