@@ -31,6 +31,23 @@ SIZE_CLASSES = (
     ("mlp_dense", ("gate_proj", "up_proj", "down_proj")),
     ("norm", ("norm",)),
 )
+BLOCK_CLASSES = (
+    ("embed", ("embed_tokens",)),
+    ("lm_head", ("lm_head",)),
+    ("moe_experts_routed", ("experts_w12", "experts_w3")),
+    ("moe_experts_shared", ("shared_experts",)),
+    ("moe_dcca", ("w_down_proj", "w_up_proj")),
+    ("moe_router", ("router",)),
+    ("moe_smebu_buffers", ("moe_bias", "moe_momentum", "max_vio")),
+    ("latent_memory", (".memory.",)),
+    ("ffn_dense", ("ffn.gate", "ffn.up", "ffn.down")),
+    ("attn", ("attn.", "_proj")),
+    ("norm", ("norm", "ln1", "ln2")),
+    ("rope", ("rotary_emb",)),
+    ("injection", ("injection_gate",)),
+)
+#: Parts of the names of tensors that hold all experts of a layer, one in each row.
+STACKED = ("experts_w12", "experts_w3")
 #: Endings that name a class by themselves: the first before all parts but the head's, the second after all of them.
 EMBEDDING_END, BIAS_END = ".embedding.weight", ".bias"
 
@@ -69,6 +86,29 @@ def parameter_counts(parameters: DataFrame, name: str, numel: str, top_k: int, e
     return out.select(F.coalesce("class", F.lit("(all)")).alias("class"), "total", "active")
 
 
+def block_class(name: Column) -> Column:
+    """The class of a parameter of a model whose experts are stacked."""
+    return _first_class(F.lower(name), BLOCK_CLASSES).otherwise("other")
+
+
+def stacked_counts(tensors: DataFrame, name: str, shape: str, top_k: int, tied: bool, *by: str) -> DataFrame:
+    """(*by, class, total, active) and a row ``(all)`` of tensors by their shapes: of stacked experts ``top_k`` are active.
+
+    With tied embeddings the head does not count, and of several embeddings only
+    the first by name does.
+    """
+    n = F.aggregate(shape, F.lit(1).cast("long"), lambda x, d: x * d)
+    stacked = F.col(name).contains(STACKED[0]) | F.col(name).contains(STACKED[1])
+    rows = tensors.select(*by, F.col(name).alias("_name"), block_class(F.col(name)).alias("class"), n.alias("n"), F.when(stacked, F.floor(n / F.col(shape)[0]) * top_k).otherwise(n).alias("a"))
+    if tied:
+        first = rows.where(F.col("_name").contains("embed_tokens")).groupBy(*by).agg(F.min("_name").alias("_first"))
+        rows = rows.where(~F.col("_name").contains("lm_head"))
+        rows = (rows.join(first, list(by), "left") if by else rows.crossJoin(F.broadcast(first))).where(~F.col("_name").contains("embed_tokens") | (F.col("_name") == F.col("_first")))
+    return rows.groupingSets([[*map(F.col, by), F.col("class")], [*map(F.col, by)]], *by, "class").agg(F.sum("n").alias("total"), F.sum("a").alias("active")).select(
+        *by, F.coalesce("class", F.lit("(all)")).alias("class"), "total", "active"
+    )
+
+
 # Hygiene --------------------------------------------------------------------
 
 SHARD_FILE = r"^model-\d{5}-of-\d{5}\.safetensors$"

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jobs.score_cache import ScoreCache, version_of
-from .operators import curriculum, packing, permutation
+from .operators import curriculum, hash_tree, packing, permutation, rules
 from .operators.scoring import UnigramScorer
 from .queries import LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed
-from .sources import array_files
-from .tables import load, shared_folder
+from .sources import array_files, tensor_headers
+from .tables import load, shared_folder, written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +141,68 @@ def score_cache(spark, sf_dir):
     second = cache.update(shards, rows).select("shard_key", F.lit("scored").alias("run"))
     losses = cache.read(shards).groupBy("shard_key").agg(F.count("*").alias("n_rows"), F.round(F.avg("loss"), 6).alias("mean_loss"))
     return losses.join(second, "shard_key", "left").select(F.col("shard_key").alias("source"), F.coalesce("run", F.lit("kept")).alias("second_run"), "n_rows", "mean_loss")
+
+
+# Checkpoints ----------------------------------------------------------------
+
+#: Parameters of a model with stacked experts, and the class of each.
+PARAMETERS = (
+    ("model.embed_tokens.weight", "embed"), ("lm_head.weight", "lm_head"), ("layers.0.moe.experts_w12", "moe_experts_routed"), ("layers.0.moe.shared_experts.w", "moe_experts_shared"),
+    ("layers.0.moe.w_down_proj", "moe_dcca"), ("layers.0.moe.router.weight", "moe_router"), ("layers.0.memory.keys", "latent_memory"), ("layers.0.ffn.gate.weight", "ffn_dense"),
+    ("layers.0.attn.wq", "attn"), ("layers.0.ln1.weight", "norm"), ("rotary_emb.inv_freq", "rope"), ("head.bias", "other"),
+)
+LISTED_PARAMETERS = "values " + ", ".join(f"({k}, '{n}', '{c}')" for k, (n, c) in enumerate(PARAMETERS))
+TENSORS = f"""t as (select lower(replace(p_brand, '#', '')) as model, format('{{}}/model-{{:05d}}-of-00003.safetensors', lower(replace(p_brand, '#', '')), p_partkey % 3 + 1) as file,
+  format('p{{:09d}}.{{}}', p_partkey, n) as tensor, c as class, case when p_partkey % 5 = 0 then 'F32' else 'BF16' end as dtype, case when p_partkey % 5 = 0 then 4 else 2 end as width, p_size::bigint as d
+  from part join ({LISTED_PARAMETERS}) x(k, n, c) on k = p_partkey % {len(PARAMETERS)})"""
+
+
+def checkpoints(spark: SparkSession, sf_dir: str) -> str:
+    """Each brand as a model whose tensors are its parts, in three files of real headers; their address."""
+    name = F.element_at(F.array(*(F.lit(n) for n, _ in PARAMETERS)), (F.col("p_partkey") % len(PARAMETERS) + 1).cast("int"))
+    parts = load(spark, sf_dir, "part").select(
+        F.format_string("%s/model-%05d-of-00003.safetensors", F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))), F.col("p_partkey") % 3 + 1).alias("file"),
+        F.format_string("p%09d.%s", "p_partkey", name).alias("tensor"), F.when(F.col("p_partkey") % 5 == 0, "F32").otherwise("BF16").alias("dtype"),
+        F.array(F.col("p_size").cast("long"), F.lit(8).cast("long")).alias("shape"),
+    )
+    path = f"{shared_folder(spark)}/checkpoints-{uuid.uuid4().hex}"
+    written(tensor_headers.write_headers(parts, path))
+    return path
+
+
+@query(f"""with {TENSORS} select file, tensor, dtype, 8 * d as numel, (sum(8 * d * width) over w - 8 * d * width)::bigint as data_begin, (8 * d * width)::bigint as bytes from t window w as (partition by file order by tensor)""")
+def checkpoint_tensors(spark, sf_dir):
+    """Tensors with type, size and place in the data, from the headers of checkpoint files."""
+    rows = tensor_headers.read_tensors(spark, checkpoints(spark, sf_dir))
+    first = rows.groupBy("file").agg(F.min("begin").alias("data"))
+    rows = rows.where("error is null").join(first, "file")
+    return rows.select(short_key("file").alias("file"), "tensor", "dtype", "numel", (F.col("begin") - F.col("data")).alias("data_begin"), (F.col("end") - F.col("begin")).alias("bytes"))
+
+
+@query(f"""with {TENSORS} select model, count(*)::bigint as n_float, count_if(dtype <> 'BF16')::bigint as n_other from t group by model""")
+def checkpoint_types(spark, sf_dir):
+    """Floating tensors of each model that are not of the wanted type."""
+    out = tensor_headers.type_counts(tensor_headers.read_tensors(spark, checkpoints(spark, sf_dir)))
+    return out.select(F.substring_index("model", "/", -1).alias("model"), "n_float", "n_other")
+
+
+@query(f"""with {TENSORS}, e as (select *, row_number() over (partition by model, class = 'embed' order by tensor) as k from t where class <> 'lm_head'),
+  p as (select model, class, 8 * d as n, case when class = 'moe_experts_routed' then 16 else 8 * d end as a from e where class <> 'embed' or k = 1)
+  select model, coalesce(class, '(all)') as class, sum(n)::bigint as total, sum(a)::bigint as active from p group by grouping sets ((model, class), (model))""")
+def checkpoint_parameters(spark, sf_dir):
+    """Total and active parameters by class of a model with stacked experts, head and embedding tied, two experts active."""
+    rows = tensor_headers.read_tensors(spark, checkpoints(spark, sf_dir)).withColumn("model", F.substring_index(tensor_headers.model_of(F.col("file")), "/", -1))
+    out = rules.stacked_counts(rows, "tensor", "shape", 2, True, "model")
+    return out
+
+
+LEAF = 1000
+
+
+@query(f"""with recursive d as (select doc_id, encode(coalesce(text, '')) as raw from documents), n as (select *, octet_length(raw) as size, greatest(1, (octet_length(raw) + {LEAF - 1}) // {LEAF}) as leaves from d),
+  l as (select doc_id, unnest(range(0, leaves)) as k from n), h as (select doc_id, l.k, unhex(sha256('\\x00'::blob || raw[l.k * {LEAF} + 1:(l.k + 1) * {LEAF}])) as digest from l join n using (doc_id)),
+  top as (select doc_id, case when count(*) = 1 then any_value(digest) else unhex(sha256('\\x01'::blob || unhex(string_agg(hex(digest), '' order by k)))) end as digest from h group by doc_id)
+  select doc_id, size::bigint as size, leaves::bigint as n_leaves, lower(sha256('\\x02'::blob || unhex(lpad(to_hex(size), 16, '0')) || digest)) as root from n join top using (doc_id)""")
+def tree_digests(spark, sf_dir):
+    """Digests of whole texts by trees of hashes over fixed chunks, the same whatever tasks hash them."""
+    return hash_tree.row_digests(load(spark, sf_dir, "documents"), "doc_id", "text", LEAF)
