@@ -148,11 +148,12 @@ def submission_issues(files: DataFrame, repo: str, name: str, auto_map: str) ->
     return per.select(repo, issues.alias("issues"))
 
 
-def lenient_mismatch(left: DataFrame, right: DataFrame, key: str, name: str, value: str) -> DataFrame:
-    """(key, first_mismatch) over settings that both sides have and that differ."""
+def lenient_mismatch(left: DataFrame, right: DataFrame, key: str, name: str, value: str, locked: tuple[str, ...]) -> DataFrame:
+    """(key, first_mismatch) over the locked settings that both sides have and that differ; the first in the order of the list."""
     a = left.where(F.col(value).isNotNull()).select(key, name, F.col(value).alias("_a"))
     b = right.where(F.col(value).isNotNull()).select(key, name, F.col(value).alias("_b"))
-    return a.join(b, [key, name]).where("_a <> _b").groupBy(key).agg(F.min(name).alias("first_mismatch"))
+    place = F.array_position(F.array(*map(F.lit, locked)), F.col(name))
+    return a.join(b, [key, name]).where(F.col(name).isin(*locked) & (F.col("_a") != F.col("_b"))).groupBy(key).agg(F.min_by(name, place).alias("first_mismatch"))
 
 
 # Settings that the weights decide, so that they cannot be patched.
@@ -211,8 +212,29 @@ def production_ready(phase: Column, mu: Column, lcb: Column) -> Column:
     return F.coalesce(phase.isin(*PHASES) & (mu >= CROWN_MU) & (lcb >= CROWN_LCB), F.lit(False))
 
 
+# The specs of a first round, and the means that stand for a missing one.
+SEED_SPECS = ("r64:a64:lr5e-5:d0.0:e0.5", "r64:a128:lr5e-5:d0.0:e0.5", "r32:a64:lr5e-5:d0.0:e0.5", "r64:a64:lr8e-5:d0.0:e0.5", "r64:a64:lr3e-5:d0.0:e0.5")
+NO_MEAN, NO_RESULT = -1.0, -999.0
+# Below these means the rates go down, or are varied widely; around it they are varied closely.
+LOW_MU, NEAR_MU = -0.001, 0.0
+LOW_RATES, LOW_EPOCHS = (0.6, 0.8, 1.0), (0.5,)
+NEAR_RATES, NEAR_EPOCHS = (0.85, 1.0, 1.15), (0.5, 0.8)
+GOOD_RATES, GOOD_EPOCHS = (0.9, 1.0, 1.1), (0.8, 1.0)
+
+
+def known_mean(mu: Column, missing: float) -> Column:
+    """A mean that is missing, or exactly 0, which counts as missing."""
+    return F.coalesce(F.nullif(mu, F.lit(0.0)), F.lit(missing))
+
+
 def candidate_specs(p: Column, mu: Column) -> Column:
-    """Specs to try next around a configuration (a struct as of parse_spec), by how good it was, repeats included."""
+    """Specs to try next around a configuration (a struct as of parse_spec), by how good it was, repeats included.
+
+    Without a configuration, as in a first round, the seeds; a missing mean
+    counts as the worst.
+    """
+    mu = known_mean(mu, NO_MEAN)
+
     def spec(lr, e, r=None, a=None):
         return F.struct(
             (p["r"] if r is None else F.lit(r)).alias("r"), (p["a"] if a is None else F.lit(a)).alias("a"), (p["lr"] * lr).alias("lr"),
@@ -227,10 +249,11 @@ def candidate_specs(p: Column, mu: Column) -> Column:
     )
     around = lambda lrs, es: F.array(*(spec(lr, e) for lr in lrs for e in es))
     more = (
-        F.when(mu < -0.001, F.concat(around((0.6, 0.8, 1.0), (0.5,)), change)).when(mu < 0, around((0.85, 1.0, 1.15), (0.5, 0.8)))
-        .otherwise(around((0.9, 1.0, 1.1), (0.8, 1.0)))
+        F.when(mu < LOW_MU, F.concat(around(LOW_RATES, LOW_EPOCHS), change)).when(mu < NEAR_MU, around(NEAR_RATES, NEAR_EPOCHS))
+        .otherwise(around(GOOD_RATES, GOOD_EPOCHS))
     )
-    return F.transform(F.concat(own, more), lambda s: P.format_spec(s["r"], s["a"], s["lr"], s["dropout"], s["epochs"]))
+    made = F.transform(F.concat(own, more), lambda s: P.format_spec(s["r"], s["a"], s["lr"], s["dropout"], s["epochs"]))
+    return F.when(p.isNull(), F.array(*map(F.lit, SEED_SPECS))).otherwise(made)
 
 
 def distinct_specs(specs: Column, most: int) -> Column:
@@ -240,10 +263,16 @@ def distinct_specs(specs: Column, most: int) -> Column:
     return F.slice(fresh, 1, most)
 
 
-def confirm_plan(p: Column, mu: Column, least_mu: float = -0.002) -> tuple[Column, Column, Column]:
-    """(skip, confirm spec, strong spec) of the best of a micro screen."""
-    spec = lambda e: P.format_spec(p["r"], p["a"], p["lr"], p["dropout"], F.greatest(p["epochs"], e))
-    return F.coalesce(mu, F.lit(-999.0)) < least_mu, spec(F.when(mu >= 0, 0.8).otherwise(0.5)), spec(F.lit(1.0))
+def confirm_plan(p: Column, mu: Column, least_mu: float = -0.002) -> tuple[Column, Column, Column, Column]:
+    """(skip, confirm spec, second confirm spec, strong spec) of the best of a micro screen.
+
+    The second trains a fifth longer, up to 1.5 epochs, and is null where that
+    makes no other spec.  A missing mean is skipped.
+    """
+    spec = lambda e: P.format_spec(p["r"], p["a"], p["lr"], p["dropout"], e)
+    epochs = F.greatest(p["epochs"], F.when(known_mean(mu, NO_MEAN) >= 0, 0.8).otherwise(0.5))
+    first, second = spec(epochs), spec(F.least(epochs * 1.2, F.lit(1.5)))
+    return known_mean(mu, NO_RESULT) < least_mu, first, F.when(second != first, second), spec(F.greatest(p["epochs"], F.lit(1.0)))
 
 
 # Reports and queues ---------------------------------------------------------
@@ -275,17 +304,12 @@ def requeued(queue: DataFrame, failed: DataFrame, group: str, order: str, repo:
     return both.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(order)))
 
 
-def zipped_dimension(rows: DataFrame, keys: str, emissions: str, owners: str) -> DataFrame:
-    """(uid, key, emission, owner) of three parallel arrays; short ones are padded with 0 and null, empty owners are null."""
-    each = rows.select(F.posexplode(F.arrays_zip(F.col(keys).alias("k"), F.col(emissions).alias("e"), F.col(owners).alias("o"))).alias("uid", "z"))
-    return each.where("z.k is not null").select("uid", F.col("z.k").alias("key"), F.coalesce("z.e", F.lit(0.0)).alias("emission"), F.nullif("z.o", F.lit("")).alias("owner"))
+def zipped_dimension(keys: DataFrame, emissions: DataFrame, owners: DataFrame) -> DataFrame:
+    """(uid, key, emission, owner) of three parallel lists, each as (uid, value) rows by position.
 
-
-def exclusive_percentile(sorted_values: Column, of: int, k: int) -> Column:
-    """The k-th of ``of`` - 1 cut points by the exclusive method, of a sorted array; the only value where there is one."""
-    n = F.size(sorted_values)
-    m = n + 1
-    j = F.least(F.greatest(F.floor(F.lit(k) * m / of), F.lit(1)), n - 1)
-    rest = F.lit(k) * m - j * of
-    low, high = F.get(sorted_values, (j - 1).cast("int")), F.get(sorted_values, j.cast("int"))
-    return F.when(n == 1, F.get(sorted_values, F.lit(0))).otherwise((low * (of - rest) + high * rest) / of)
+    Short lists are padded with 0 and null, empty owners are null, positions
+    beyond the keys are dropped.
+    """
+    k = keys.where("value is not null").withColumnRenamed("value", "key")
+    e, o = emissions.withColumnRenamed("value", "emission"), owners.select("uid", F.nullif("value", F.lit("")).alias("owner"))
+    return k.join(e, "uid", "left").join(o, "uid", "left").select("uid", "key", F.coalesce("emission", F.lit(0.0)).alias("emission"), "owner")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import number, seeded
+from .folds import fold_blocks
 from .packing import running_offset
 
 
@@ -119,28 +122,25 @@ def first_windows(windows: DataFrame, window: str, wanted: int) -> DataFrame:
     return windows.where(F.col(window) < wanted).crossJoin(F.broadcast(n))  # one row
 
 
-def balanced(items: DataFrame, size: str, key: str, parts: int) -> DataFrame:
+def balanced(items: DataFrame, size: str, key: str, parts: int, block: int | None = None) -> DataFrame:
     """Adds part: largest first, each to the part with the least so far, the first on ties.
 
-    Inherently one after another, so it is for a list of files, which one task
-    takes; only sizes and keys go there.
+    Each choice rests on the one before, so blocks of items follow one another;
+    from block to block only the sums of the parts pass.
     """
 
-    def greedy(t):
-        import heapq
-
-        import pyarrow as pa
-
-        t = t.sort_by([(size, "descending"), (key, "ascending")])
-        heap, out = [(0, k) for k in range(parts)], []
+    def greedy(t: pa.Table, heap: list[tuple[int, int]]) -> tuple[pa.Table, list[tuple[int, int]]]:
+        heap, out = list(heap), []
+        heapq.heapify(heap)
         for n in t.column(size).to_pylist():
             total, k = heapq.heappop(heap)
             out.append(k)
             heapq.heappush(heap, (total + n, k))
-        return t.append_column("part", pa.array(out, pa.int32()))
+        return t.append_column("part", pa.array(out, pa.int32())), heap
 
     kinds = dict(items.dtypes)
-    return items.select(key, size).groupBy().applyInArrow(greedy, f"{key} {kinds[key]}, {size} {kinds[size]}, part int")
+    start = [(0, k) for k in range(parts)]
+    return fold_blocks(items.select(key, size), [F.desc(size), key], f"{key} {kinds[key]}, {size} {kinds[size]}, part int", start, greedy, block=block)
 
 
 def uniform_tokens(rows: DataFrame, key: str, length: int, vocabulary: int, seed: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .functions import parsing as P
 from .functions.hashing import number
-from .tables import load
+from .operators.digests import listed_sha256
+from .tables import load, written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -123,16 +124,17 @@ def latest_reveal(spark, sf_dir):
     return good.groupBy("o_custkey").agg(F.max_by("p.repo", by).alias("repo"), F.max_by("p.digest", by).alias("digest"), F.count("*").alias("valid"))
 
 
-@query("""select doc_id, md5(case when doc_id % 3 = 0 then 'v4|' || doc_id else substr(regexp_replace(coalesce(text, ''), '[^a-zA-Z ]', '', 'g'), 1, 300) end) as text_md5 from documents""")
+@query("""select doc_id, md5(case when doc_id % 3 = 0 then 'v4|' || doc_id else regexp_replace(coalesce(text, ''), '[^a-zA-Z ]', '', 'g') end) as text_md5 from documents""")
 def commitments(spark, sf_dir):
-    """Texts behind lengths of one, two and four bytes, as characters or as hex digits, and read back."""
-    plain = F.substring(F.regexp_replace(F.coalesce("text", s("")), "[^a-zA-Z ]", ""), 1, 300)
+    """Whole texts behind lengths of one, two and four bytes, as characters or as hex digits, and read back."""
+    plain = F.regexp_replace(F.coalesce("text", s("")), "[^a-zA-Z ]", "")
     rows = load(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(s("v4|"), "doc_id")).otherwise(plain).alias("t"))
     n = F.length("t")
     short = F.concat(F.char(4 * n), "t")
     two = F.concat(s("0x"), F.lpad(F.hex((4 * n + 1) % 256), 2, "0"), F.lpad(F.hex(F.floor((4 * n + 1) / 256)), 2, "0"), F.hex(F.col("t").cast("binary")))
-    four = F.concat(s("0X"), F.lpad(F.hex((4 * n + 2) % 256), 2, "0"), F.lpad(F.hex(F.floor((4 * n + 2) / 256)), 2, "0"), s("0000"), F.hex(F.col("t").cast("binary")))
-    payload = F.when((F.col("doc_id") % 3 == 0) & (n > 0), short).when(F.col("doc_id") % 3 == 1, two).otherwise(four)
+    byte = lambda k: F.lpad(F.hex(F.pmod(F.floor((4 * n + 2) / 256**k), F.lit(256))), 2, "0")
+    four = F.concat(s("0X"), *(byte(k) for k in range(4)), F.hex(F.col("t").cast("binary")))
+    payload = F.when((F.col("doc_id") % 3 == 0) & (n > 0), short).when((F.col("doc_id") % 3 == 1) & (n < 1 << 14), two).otherwise(four)
     return rows.select("doc_id", F.md5(P.commitment_text(payload).cast("binary")).alias("text_md5"))
 
 
@@ -145,13 +147,12 @@ def manifest_digests(spark, sf_dir):
     """Digest of a set of files, hash of a manifest's sorted keys and version, and the variant in listed order."""
     key = F.concat(s("shard-"), F.lpad((F.col("doc_id") % 97).cast("string"), 3, "0"), s("/"), "doc_id")
     rows = load(spark, sf_dir, "documents").where("source is not null").select("source", "doc_id", key.alias("key"), F.sha2(F.coalesce("text", s("")), 256).alias("d"))
-    quoted = F.array_join(F.array_sort(F.collect_list(F.concat(s('"'), "key", s('"')))), ", ")
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "key"))), lambda x: x["key"]), "\n")
-    return rows.groupBy("source").agg(
-        F.sha2(F.array_join(F.array_sort(F.collect_list("d")), "\n"), 256).alias("set_digest"),
-        F.substring(F.sha2(F.concat(s('{"shards": ['), quoted, s('], "version": "v3"}')), 256), 1, 16).alias("manifest_hash"),
-        F.substring(F.sha2(F.concat(listed, s("\nv3")), 256), 1, 16).alias("ordered_hash"),
-    )
+    rows = written(rows)
+    files = listed_sha256(rows, "source", ["d"], F.col("d"), "\n").select("source", F.col("sha256").alias("set_digest"))
+    keys = listed_sha256(rows, "source", ["key"], F.concat(s('"'), "key", s('"')), ", ", '{"shards": [', '], "version": "v3"}')
+    listed = listed_sha256(rows, "source", ["doc_id"], F.col("key"), "\n", tail="\nv3")
+    short = lambda df, name: df.select("source", F.substring("sha256", 1, 16).alias(name))
+    return files.join(short(keys, "manifest_hash"), "source").join(short(listed, "ordered_hash"), "source")
 
 
 @query("""with w as (select source as name, count(*) as weight from documents where source is not null group by source) select substr(sha256('[' || string_agg('{"name": "' || name || '", "weight": ' || weight || '}', ', ' order by name) || ']'), 1, 16) as mix_hash, count(*)::bigint as n from w""")

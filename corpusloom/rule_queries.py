@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .functions import parsing as P
 from .operators import curriculum, evaluation, records, rules, shards
+from .operators.packing import running_offset
+from .operators.quantiles import exclusive_quantiles
 from .queries import ALPHA, BUCKETED, CUTS, SCREENED, TOK, bucketed, documents, r6, scored, screened
 from .tables import load
 
@@ -111,9 +113,9 @@ def checkpoint_losses(spark, sf_dir):
   select l_suppkey, round(case when n = 1 then v[1] else (v[j] * (20 - (19 * (n + 1) - j * 20)) + v[j + 1] * (19 * (n + 1) - j * 20)) / 20 end, 4) as p95, round(v[n], 4) as top from j""")
 def latency_quantiles(spark, sf_dir):
     """The 95th percentile by the exclusive method, and the largest."""
-    v = F.sort_array(F.collect_list("l_extendedprice"))
-    per = load(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(v.alias("v"))
-    return per.select("l_suppkey", F.round(rules.exclusive_percentile(F.col("v"), 20, 19), 4).alias("p95"), F.round(F.element_at("v", -1), 4).alias("top"))
+    rows = load(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    top = rows.groupBy("l_suppkey").agg(F.round(F.max("l_extendedprice"), 4).alias("top"))
+    return exclusive_quantiles(rows, F.col("l_extendedprice"), 19, 20, ["l_suppkey"]).join(top, "l_suppkey").select("l_suppkey", F.round("q", 4).alias("p95"), "top")
 
 
 # Hygiene --------------------------------------------------------------------
@@ -171,11 +173,13 @@ def _settings(spark, sf_dir):
 
 
 @query(f"""with a as (select l_orderkey, {SETTING_SQL} as name, l_returnflag as a from lineitem where l_discount > 0.01), b as (select l_orderkey, {SETTING_SQL} as name, case when l_quantity > 20 then l_linestatus else l_returnflag end as b from lineitem where l_discount < 0.09)
-  select l_orderkey, min(name) as first_mismatch from a join b using (l_orderkey, name) where a <> b group by l_orderkey""")
+  select l_orderkey, arg_min(name, list_position(['vocab_size', 'hidden_size', 'head_dim', 'tie_word_embeddings', 'rope_theta'], name)) as first_mismatch from a join b using (l_orderkey, name)
+  where a <> b and name in ('vocab_size', 'hidden_size', 'head_dim', 'tie_word_embeddings', 'rope_theta') group by l_orderkey""")
 def lenient_lock(spark, sf_dir):
-    """Settings compared only where both sides have them."""
+    """Settings compared only where both sides have them, in the order of the lock list."""
     rows = _settings(spark, sf_dir)
-    return rules.lenient_mismatch(rows.select("l_orderkey", "name", F.col("a").alias("v")), rows.select("l_orderkey", "name", F.col("b").alias("v")), "l_orderkey", "name", "v")
+    sides = (rows.select("l_orderkey", "name", F.col(c).alias("v")) for c in "ab")
+    return rules.lenient_mismatch(*sides, "l_orderkey", "name", "v", ("vocab_size", "hidden_size", "head_dim", "tie_word_embeddings", "rope_theta"))
 
 
 @query(f"""with s as (select l_orderkey, {SETTING_SQL} as name, case when l_discount > 0.01 then l_returnflag end as a, case when l_discount < 0.09 then case when l_quantity > 20 then l_linestatus else l_returnflag end end as b from lineitem),
@@ -241,30 +245,34 @@ def _results(spark, sf_dir):
     """A result of a sweep for each order: specs, scores and phases of all kinds."""
     k = F.col("o_orderkey")
     spec = F.concat(F.lit("r"), pick(k, 64, 32, 16), F.lit(":a"), 64 + k % 3, F.lit(":lr"), (k % 8 + 1).cast("string"), F.lit("e-5:d0:e"), pick(k, "0.5", "0.8", "1.2"))
-    return load(spark, sf_dir, "orders").select("o_orderkey", P.parse_spec(spec).alias("p"), ((k % 21 - 10) / 2000.0).alias("mu"), ((k % 13 - 6) / 1000.0).alias("lcb"), pick(k, "micro", "confirm", "strong", "other").alias("phase"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 29 != 5, P.parse_spec(spec)).alias("p"), F.when(k % 17 != 3, (k % 21 - 10) / 2000.0).alias("mu"), ((k % 13 - 6) / 1000.0).alias("lcb"), pick(k, "micro", "confirm", "strong", "other").alias("phase"))
 
 
-RESULTS = """r as (select o_orderkey, [64, 32, 16][o_orderkey % 3 + 1] as r, 64 + o_orderkey % 3 as a, (o_orderkey % 8 + 1) * 1e-5 as lr, [0.5, 0.8, 1.2][o_orderkey % 3 + 1]::double as e, (o_orderkey % 21 - 10) / 2000.0 as mu, (o_orderkey % 13 - 6) / 1000.0 as lcb,
+RESULTS = """r as (select o_orderkey, case when o_orderkey % 29 <> 5 then [64, 32, 16][o_orderkey % 3 + 1] end as r, 64 + o_orderkey % 3 as a, (o_orderkey % 8 + 1) * 1e-5 as lr, [0.5, 0.8, 1.2][o_orderkey % 3 + 1]::double as e, case when o_orderkey % 17 <> 3 then (o_orderkey % 21 - 10) / 2000.0 end as mu, (o_orderkey % 13 - 6) / 1000.0 as lcb,
   ['micro', 'confirm', 'strong', 'other'][o_orderkey % 4 + 1] as phase from orders)"""
 
 
-@query(f"""with {RESULTS} select o_orderkey, phase in ('confirm', 'strong') and mu >= 0.004 and lcb >= 0.003 as ready, mu < -0.002 as skip, 'r' || r || ':a' || a || ':lr' || printf('%g', lr) || ':d0:e' || printf('%g', greatest(e, case when mu >= 0 then 0.8 else 0.5 end)) as confirm,
-  'r' || r || ':a' || a || ':lr' || printf('%g', lr) || ':d0:e' || printf('%g', greatest(e, 1.0)) as strong from r""")
+@query(f"""with {RESULTS}, b as (select *, 'r' || r || ':a' || a || ':lr' || printf('%g', lr) || ':d0:e' as base, greatest(e, case when mu > 0 then 0.8 else 0.5 end) as ce from r where r is not null)
+  select o_orderkey, coalesce(phase in ('confirm', 'strong') and mu >= 0.004 and lcb >= 0.003, false) as ready, mu is null or mu = 0 or mu < -0.002 as skip, base || printf('%g', ce) as confirm,
+  case when ce < 1.5 then base || printf('%g', least(ce * 1.2, 1.5)) else '' end as second, base || printf('%g', greatest(e, 1.0)) as strong from b""")
 def production_config(spark, sf_dir):
     """Whether a result is good enough for production, whether to confirm it, and the specs to do it with."""
     rows = _results(spark, sf_dir)
-    skip, confirm, strong = rules.confirm_plan(F.col("p"), F.col("mu"))
-    return rows.select("o_orderkey", rules.production_ready(F.col("phase"), F.col("mu"), F.col("lcb")).alias("ready"), skip.alias("skip"), confirm.alias("confirm"), strong.alias("strong"))
+    skip, confirm, second, strong = rules.confirm_plan(F.col("p"), F.col("mu"))
+    ready = rules.production_ready(F.col("phase"), F.col("mu"), F.col("lcb"))
+    return rows.where("p is not null").select("o_orderkey", ready.alias("ready"), skip.alias("skip"), confirm.alias("confirm"), F.coalesce(second, F.lit("")).alias("second"), strong.alias("strong"))
 
 
 @query(f"""with {RESULTS}, m(kind, k, f, e) as (values ('low', 1, 0.6, 0.5), ('low', 2, 0.8, 0.5), ('low', 3, 1.0, 0.5), ('near', 1, 0.85, 0.5), ('near', 2, 0.85, 0.8), ('near', 3, 1.0, 0.5), ('near', 4, 1.0, 0.8), ('near', 5, 1.15, 0.5), ('near', 6, 1.15, 0.8),
     ('good', 1, 0.9, 0.8), ('good', 2, 0.9, 1.0), ('good', 3, 1.0, 0.8), ('good', 4, 1.0, 1.0), ('good', 5, 1.1, 0.8), ('good', 6, 1.1, 1.0)),
-  x as (select o_orderkey, 0 as k, r, a, lr, e from r union all select o_orderkey, k, r, a, lr * f, m.e from r join m on kind = case when mu < -0.001 then 'low' when mu < 0 then 'near' else 'good' end
-    union all select o_orderkey, 7, case r when 64 then 32 else 64 end, 64, lr, 0.5 from r where mu < -0.001 and r in (32, 64) union all select o_orderkey, 8, 64, 128, lr * 0.8, 0.5 from r where mu < -0.001 and r = 64),
-  s as (select o_orderkey, k, 'r' || r || ':a' || a || ':lr' || printf('%g', lr) || ':d0:e' || printf('%g', e) as spec from x), f as (select o_orderkey, spec, min(k) as k from s group by all), n as (select *, row_number() over (partition by o_orderkey order by k) as z from f)
+  q as (select *, coalesce(mu, 0) = 0 or mu < -0.001 as low from r where r is not null),
+  x as (select o_orderkey, 0 as k, r, a, lr, e from q union all select o_orderkey, k, r, a, lr * f, m.e from q join m on kind = case when low then 'low' when mu < 0 then 'near' else 'good' end
+    union all select o_orderkey, 7, case r when 64 then 32 else 64 end, 64, lr, 0.5 from q where low and r in (32, 64) union all select o_orderkey, 8, 64, 128, lr * 0.8, 0.5 from q where low and r = 64),
+  seed(k, spec) as (values (1, 'r64:a64:lr5e-5:d0.0:e0.5'), (2, 'r64:a128:lr5e-5:d0.0:e0.5'), (3, 'r32:a64:lr5e-5:d0.0:e0.5'), (4, 'r64:a64:lr8e-5:d0.0:e0.5'), (5, 'r64:a64:lr3e-5:d0.0:e0.5')),
+  s as (select o_orderkey, k, 'r' || r || ':a' || a || ':lr' || printf('%g', lr) || ':d0:e' || printf('%g', e) as spec from x union all select o_orderkey, k, spec from r, seed where r is null), f as (select o_orderkey, spec, min(k) as k from s group by all), n as (select *, row_number() over (partition by o_orderkey order by k) as z from f)
   select o_orderkey, string_agg(spec, ' ' order by z) as specs from n where z <= 4 group by o_orderkey""")
 def next_candidates(spark, sf_dir):
-    """At most four different specs to try next."""
+    """At most four different specs to try next: around the best so far, or the seeds of a first round."""
     # A column of its own, so that the candidates are not made again for each comparison.
     rows = _results(spark, sf_dir).withColumn("c", rules.candidate_specs(F.col("p"), F.col("mu")))
     return rows.select("o_orderkey", F.array_join(rules.distinct_specs(F.col("c"), 4), " ").alias("specs"))
@@ -344,14 +352,13 @@ def history_rows(spark, sf_dir):
     return h.join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.coalesce("n", F.lit(0)).alias("duels"), F.coalesce("top", F.lit(-1.0)).alias("top"))
 
 
-@query("""with recursive o as (select o_orderkey as node, (o_orderkey * 7 + 3) // 11 as parent, o_totalprice > 150000 as good from orders), s as (select node from o where node % 10 = 3),
-  w as (select node as start, node, 0 as depth, [node] as path from s union all select w.start, o.parent, w.depth + 1, list_append(w.path, o.parent) from w join o on o.node = w.node where w.depth < 6 and not list_contains(w.path, o.parent))
+@query("""with recursive o as (select o_orderkey as node, (o_orderkey * 7 + 3) // 11 as parent, o_totalprice > 150000 as good from orders), w as (select node as start, node, 0 as depth, [node] as path from o union all select w.start, o.parent, w.depth + 1, list_append(w.path, o.parent) from w join o on o.node = w.node where w.depth < 6 and not list_contains(w.path, o.parent))
   select start, coalesce(arg_min(w.node, depth) filter (where depth > 0 and good), -1) as ancestor from w left join o on o.node = w.node group by start""")
 def passing_ancestor(spark, sf_dir):
     """The nearest ancestor that passes, or the seed (-1) where none does."""
     o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") > 150000).alias("good"))
     edges = o.select("node", F.expr("(node * 7 + 3) div 11").alias("parent"))
-    chain = records.ancestors(spark, edges, o.where("node % 10 = 3").select("node"), 6).join(o.select("node", "good"), "node", "left")
+    chain = records.ancestors(spark, edges, o.select("node"), 6).join(o.select("node", "good"), "node", "left")
     hit = (F.col("depth") > 0) & F.coalesce("good", F.lit(False))
     return chain.groupBy("start").agg(F.coalesce(F.min_by("node", F.when(hit, F.col("depth"))), F.lit(-1)).alias("ancestor"))
 
@@ -368,26 +375,28 @@ def holdout_union(spark, sf_dir):
     return a.unionByName(b)
 
 
-@query("""select user_id, event_type from events where event_id % 2 = 0 union select user_id, event_type from events where event_type = 'error'""")
+@query("""select user_id, event_type, count_if(event_id % 2 = 0)::bigint as before, count_if(event_id % 2 = 0) = 0 as added from events group by user_id, event_type""")
 def seen_pairs(spark, sf_dir):
-    """Pairs seen in the history, with those of the latest run added."""
-    ev = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return ev.where("event_id % 2 = 0").union(ev.where("event_type = 'error'")).select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
+    """Pairs of the history (even events) and of the latest run (odd ones): how often they were seen before, and which the run adds."""
+    ev = load(spark, sf_dir, "events").select("user_id", "event_type", (F.col("event_id") % 2 == 0).alias("old"))
+    seen = ev.groupBy("user_id", "event_type").agg(F.count_if("old").alias("before"))
+    return seen.withColumn("added", F.col("before") == 0)
 
 
 @query("""with s as (select s_suppkey, s_name, s_acctbal, row_number() over (order by s_suppkey) - 1 as uid, count(*) over () as n from supplier)
   select uid::int as uid, s_name as key, case when uid < n // 2 then s_acctbal else 0.0 end as emission, case when uid < n - 3 and s_suppkey % 5 > 0 then 'c' || s_suppkey else '' end as owner from s""")
 def zipped_dimension(spark, sf_dir):
-    """Three parallel arrays of unequal length as one table."""
-    s = load(spark, sf_dir, "supplier")
-    listed = F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name", "s_acctbal")))
-    one = s.agg(listed.alias("l"))
-    owner = lambda x: F.when(x["s_suppkey"] % 5 > 0, F.concat(F.lit("c"), x["s_suppkey"])).otherwise("")
-    arrays = one.select(
-        F.transform("l", lambda x: x["s_name"]).alias("keys"), F.slice(F.transform("l", lambda x: x["s_acctbal"]), F.lit(1), F.floor(F.size("l") / 2).cast("int")).alias("em"),
-        F.slice(F.transform("l", owner), F.lit(1), F.size("l") - 3).alias("ow"),
+    """Three parallel lists of unequal length as one table, zipped by position."""
+    numbered = running_offset(load(spark, sf_dir, "supplier").withColumn("one", F.lit(1).cast("long")), "s_suppkey", "one", out="uid")
+    n = numbered.agg(F.count("*").alias("n"))
+    rows = numbered.crossJoin(F.broadcast(n))  # one row
+    owner = F.when(F.col("s_suppkey") % 5 > 0, F.concat(F.lit("c"), "s_suppkey")).otherwise("")
+    uid = F.col("uid").cast("int").alias("uid")
+    zipped = rules.zipped_dimension(
+        rows.select(uid, F.col("s_name").alias("value")), rows.where(F.col("uid") < F.floor(F.col("n") / 2)).select(uid, F.col("s_acctbal").alias("value")),
+        rows.where(F.col("uid") < F.col("n") - 3).select(uid, owner.alias("value")),
     )
-    return rules.zipped_dimension(arrays, "keys", "em", "ow").select("uid", "key", "emission", F.coalesce("owner", F.lit("")).alias("owner"))
+    return zipped.select("uid", "key", "emission", F.coalesce("owner", F.lit("")).alias("owner"))
 
 
 @query("""with g as (select event_id, user_id, date_sub('millisecond', lag(ts) over (partition by user_id order by ts, event_id), ts) as ms from events) select event_id, user_id, ms > 600000 as alert from g where ms > 60000""")

@@ -168,9 +168,9 @@ def capped_counts(spark, sf_dir):
     return load(spark, sf_dir, "orders").select("o_orderkey", public.cast("long").alias("public"), private.cast("long").alias("private"))
 
 
-@query("""with f as (select p_partkey, row_number() over (order by p_partkey) - 1 as ord, count(*) over () as n from part where p_size <= 25) select p_partkey from f where ((ord - 7) % n + n) % n < 40""")
+@query("""with f as (select p_partkey, row_number() over (order by p_partkey) - 1 as ord, count(*) over () as n from part) select p_partkey from f where ((ord - 7) % n + n) % n < 40""")
 def wrap_slice(spark, sf_dir):
-    return L.wrap_slice(load(spark, sf_dir, "part").where("p_size <= 25"), "p_partkey", 7, 40).select("p_partkey")
+    return L.wrap_slice(load(spark, sf_dir, "part"), "p_partkey", 7, 40).select("p_partkey")
 
 
 @query("""with f as (select s_suppkey, row_number() over (partition by s_nationkey order by s_suppkey) - 1 as i, s_nationkey from supplier) select s_suppkey, s_nationkey, cast(i % 2 as bigint) as pair from f""")

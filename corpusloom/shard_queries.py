@@ -8,7 +8,7 @@ from .functions.text import QualityRules, reject_reason
 from .functions.tokens import tokens
 from .operators import packing, sampling, shards
 from .queries import PACK, TOK, U60, documents, packed
-from .tables import load
+from .tables import load, spread
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -53,13 +53,16 @@ def token_rows(spark, sf_dir):
     return out.select("source", "kept", (F.col("n") - F.col("kept")).alias("skipped"), "chars")
 
 
-@query(rf"""with {TOK}, w as (select doc_id, unnest(ids) as t, generate_subscripts(ids, 1) as i from tok), f as (select doc_id, ('0x' || substr(md5(t), 1, 8))::bigint % 30000 as id from w where i <= 32),
-  g as (select doc_id, count(*) as n, max(id) as top from f group by doc_id) select doc_id, coalesce(case when coalesce(n, 0) <> 32 then 'length' when top >= 29990 then 'vocabulary' end, '') as error from documents left join g using (doc_id)""")
+@query(rf"""with {TOK}, w as (select doc_id, unnest(ids) as t, generate_subscripts(ids, 1) as i from tok), f as (select doc_id, (i - 1) // 32 as win, ('0x' || substr(md5(t), 1, 8))::bigint % 30000 as id from w),
+  g as (select doc_id, win, count(*) as n, max(id) as top from f group by doc_id, win) select doc_id, coalesce(win, 0)::bigint as win, coalesce(case when coalesce(n, 0) <> 32 then 'length' when top >= 29990 then 'vocabulary' end, '') as error from documents left join g using (doc_id)""")
 def window_checks(spark, sf_dir):
-    """First windows that are too short, or hold a token beyond the vocabulary."""
+    """Every window of a text: too short, as a last one may be, or with a token beyond the vocabulary; a text without tokens is one short window."""
     word = lambda t: F.pmod(F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(30000))
-    rows = load(spark, sf_dir, "documents").select("doc_id", F.transform(F.slice(tokens(F.col("text")), 1, 32), word).alias("ids"))
-    return rows.select("doc_id", F.coalesce(shards.window_errors(F.col("ids"), 32, 29990), F.lit("")).alias("error"))
+    rows = spread(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.transform(tokens(F.col("text")), word).alias("ids"))
+    last = F.greatest(F.ceil(F.size("ids") / 32) - 1, F.lit(0).cast("long"))
+    rows = rows.withColumn("win", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    window = F.slice("ids", (F.col("win") * 32 + 1).cast("int"), F.lit(32))
+    return rows.select("doc_id", "win", F.coalesce(shards.window_errors(window, 32, 29990), F.lit("")).alias("error"))
 
 
 @query(rf"""with {TOK}, n as (select doc_id, ids, len(ids) // 100 as k from tok where len(ids) >= 100), x as (select doc_id, ids, unnest(range(0, k)) as w from n) select doc_id, w::bigint as window_idx, md5(array_to_string(ids[w * 100 + 1 : w * 100 + 100], ' ')) as digest from x""")

@@ -46,10 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
     return given or context.getCheckpointDir()
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again, so that it is computed once and survives lost executors."""
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder, in folders ``by``, and read again: computed once, and safe from lost executors."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
