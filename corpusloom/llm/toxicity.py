@@ -3,8 +3,9 @@
 Fit: the vocabulary is every word of a bounded sample of labelled texts
 (``SAMPLE`` rows, the smallest id hashes), and those word beginnings of several
 byte lengths that mark the toxic class beyond chance.  Words and beginnings that
-mark it weigh ``MARKED`` times as much.  Document frequencies are counted over all
-documents.  The sample's TF-IDF vectors form an inverted index whose postings are
+mark it weigh more; by how much is chosen from ``WEIGHTS`` by cross-validation
+inside the sample, marks found anew in each fold.  Document frequencies are
+counted over all documents.  The sample's TF-IDF vectors form an inverted index whose postings are
 cut into blocks of examples with the largest weight of each block stored, so that
 the bound of a block is a sum over the query's features.
 
@@ -25,6 +26,7 @@ later does meet itself among its neighbours.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -37,8 +39,8 @@ from .common import durable, held_out, table
 from .hashing import U64, prefix_sums, segments, span_hashes
 
 SAMPLE, NEIGHBOURS, BLOCK = 12_000, 9, 32
-#: How much more a feature weighs that marks the toxic class.
-MARKED = 10.0
+#: How much more a feature may weigh that marks the toxic class, and the folds of the sample that decide.
+WEIGHTS, FOLDS = (1.0, 3.0, 10.0, 30.0), 5
 #: So many common features are held as full rows; queries of fewer (feature, block) cells than SHORT go by bounds.
 FULL, SHORT = 256, 2_000
 #: Queries scored together.
@@ -74,42 +76,63 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _class_counts(texts: DataFrame) -> DataFrame:
-    """(feature, n1, n0, whole): in how many toxic and other sample texts a feature occurs, and whether it is a word."""
+    """(feature, n1, n0, whole): in how many toxic and other sample texts of each fold a feature occurs, and whether it is a word."""
 
     def batches(it):
         for batch in it:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            for text, toxic, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
                 for f, whole in zip(features(text), (1, 0)):
                     f = np.unique(f).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(f), pa.array(np.full(len(f), toxic, np.int32)), pa.array(np.full(len(f), whole, np.int32))], ["feature", "toxic", "whole"]
-                    )
-
-    return (
-        texts.select("text", "toxic")
-        .mapInArrow(batches, "feature long, toxic int, whole int")
-        .groupBy("feature")
-        .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"), F.max("whole").alias("whole"))
-    )
+                    same = [pa.array(np.full(len(f), x, np.int32)) for x in (toxic, fold, whole)]
+                    yield pa.RecordBatch.from_arrays([pa.array(f), *same], ["feature", "toxic", "fold", "whole"])
+
+    of = lambda toxic: F.array(*(F.count_if((F.col("toxic") == toxic) & (F.col("fold") == k)) for k in range(FOLDS)))
+    found = texts.select("text", "toxic", "fold").mapInArrow(batches, "feature long, toxic int, fold int, whole int")
+    return found.groupBy("feature").agg(of(1).alias("n1"), of(0).alias("n0"), F.max("whole").alias("whole"))
 
 
-def fit_vocabulary(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the sample's words and of the beginnings whose toxic share lies beyond chance, and the weights of these features."""
-    sizes = sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
-    t1, t0 = (sizes[0] or 0), (sizes[1] or 0)
+def marks_of(n1: np.ndarray, n0: np.ndarray, t1: int, t0: int) -> np.ndarray:
+    """Which features lie beyond chance in the toxic class, from their counts and the sizes of the classes."""
     if not t1 or not t0:
-        return np.empty(0, U64), np.empty(0)
-    p1, p0 = F.col("n1") / F.lit(t1), (F.col("n0") + 0.5) / F.lit(t0 + 1)
-    pooled = (F.col("n1") + F.col("n0") + 0.5) / F.lit(t1 + t0)
-    z = (p1 - p0) / F.sqrt(pooled * (1 - F.least(pooled, F.lit(0.999))) * F.lit(1 / t1 + 1 / t0))
-    marks = (F.col("n1") >= LEAST_TEXTS) & (z >= LEAST_Z) & (p1 >= LEAST_RATIO * p0)
-    found = (
-        _class_counts(sample).select("feature", "whole", marks.alias("marks"))
-        .where("whole = 1 or marks").select("feature", "marks").toArrow()
-    )  # the different words of ``sample`` rows
+        return np.zeros(len(n1), bool)
+    p1, p0 = n1 / t1, (n0 + 0.5) / (t0 + 1)
+    pooled = (n1 + n0 + 0.5) / (t1 + t0)
+    z = (p1 - p0) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)) * (1 / t1 + 1 / t0))
+    return (n1 >= LEAST_TEXTS) & (z >= LEAST_Z) & (p1 >= LEAST_RATIO * p0)
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Sorted hashes of the features, whether each is a word, and which mark the toxic class: in the whole sample, and in it without each fold."""
+
+    known: np.ndarray
+    word: np.ndarray
+    marks: np.ndarray
+    without: list[np.ndarray]
+
+    def weights(self, weight: float, fold: int | None = None) -> np.ndarray:
+        """What a feature's frequency is multiplied with: words count, marking features ``weight`` times, other beginnings not at all."""
+        marks = self.marks if fold is None else self.without[fold]
+        return np.where(marks, weight, np.where(self.word, 1.0, 0.0))
+
+
+def fit_vocabulary(sample: DataFrame) -> Fitted:
+    """All words of the sample, and the word beginnings that mark the toxic class in it or in it without a fold."""
+    sizes = {r["fold"]: (r["t1"], r["t0"]) for r in sample.groupBy("fold").agg(F.sum("toxic").alias("t1"), F.sum(1 - F.col("toxic")).alias("t0")).collect()}  # one row a fold
+    t1, t0 = (np.array([sizes.get(k, (0, 0))[c] for k in range(FOLDS)]) for c in (0, 1))
+    empty = np.empty(0, bool)
+    if not t1.sum() or not t0.sum():
+        return Fitted(np.empty(0, U64), empty, empty, [empty] * FOLDS)
+    often = F.aggregate("n1", F.lit(0).cast("long"), lambda x, n: x + n) >= LEAST_TEXTS
+    found = _class_counts(sample).where((F.col("whole") == 1) | often).toArrow()  # the different words of ``sample`` rows
     feature = found.column("feature").to_numpy().view(U64)
-    order = np.argsort(feature)
-    return feature[order], np.where(found.column("marks").to_numpy(), MARKED, 1.0)[order]
+    n1, n0 = (pc.list_flatten(found.column(c)).to_numpy().reshape(-1, FOLDS) for c in ("n1", "n0"))
+    marks = marks_of(n1.sum(axis=1), n0.sum(axis=1), t1.sum(), t0.sum())
+    without = [marks_of(n1.sum(axis=1) - n1[:, k], n0.sum(axis=1) - n0[:, k], t1.sum() - t1[k], t0.sum() - t0[k]) for k in range(FOLDS)]
+    word = found.column("whole").to_numpy() == 1
+    kept = np.flatnonzero(word | marks | np.any(without, axis=0))
+    kept = kept[np.argsort(feature[kept])]
+    return Fitted(feature[kept], word[kept], marks[kept], [w[kept] for w in without])
 
 
 class Vocabulary:
@@ -330,6 +353,56 @@ class Examples:
         return BlockMaxIndex(rows, self.labels, self.idf, self.ids)
 
 
+def best_weight(texts: DataFrame, shared, fitted: Fitted, idf: np.ndarray) -> float:
+    """The weight of marking features under which the sample's folds, each scored by the others, have the least log loss.
+
+    Each fold and weight is one task over the vectors of the sample; the marks
+    are those found without the fold.  Without labels of both classes, or where
+    weights tie, the least.
+    """
+    if not len(fitted.known):
+        return WEIGHTS[0]
+    spark = texts.sparkSession
+    rows = spark.sparkContext.broadcast(vectors(texts, shared, ["toxic", "fold"]).toArrow().sort_by("doc_id"))  # at most ``sample`` rows
+    everything = spark.sparkContext.broadcast((fitted, idf))
+
+    def votes(it):
+        for batch in it:
+            for fold, weight in zip(batch.column("fold").to_pylist(), batch.column("weight").to_pylist()):
+                mine = pc.equal(rows.value.column("fold"), fold)
+                model, base = everything.value
+                counted = model.weights(weight, fold) > 0
+                place = np.cumsum(counted) - 1
+
+                def kept(r):
+                    i, t = (np.asarray(r[c].as_py() or [], np.int64) for c in ("idx", "tf"))
+                    return place[i[counted[i]]], t[counted[i]]
+
+                def of(part):
+                    return [kept({"idx": i, "tf": t}) for i, t in zip(part.column("idx"), part.column("tf"))]
+
+                train, held = rows.value.filter(pc.invert(mine)), rows.value.filter(mine)
+                index = BlockMaxIndex(of(train), train.column("toxic").to_pylist(), (base * model.weights(weight, fold))[counted])
+                got = index.scores(of(held))
+                toxic = held.column("toxic").to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(got), weight)), pa.array([v for v, _, _ in got], pa.float64()), pa.array(toxic.astype(np.int32))], ["weight", "vote", "toxic"]
+                )
+
+    tasks = spark.createDataFrame([(k, w) for w in WEIGHTS for k in range(FOLDS)], "fold int, weight double").repartition(len(WEIGHTS) * FOLDS)
+    found = tasks.mapInArrow(votes, "weight double, vote double, toxic int").toArrow()  # one row for each weight and sample row
+    rows.unpersist()
+    best = []
+    for weight in WEIGHTS:
+        part = found.filter(pc.equal(found.column("weight"), weight))
+        vote, toxic = np.round(part.column("vote").to_numpy(), 9), part.column("toxic").to_numpy().astype(float)
+        if not 0 < toxic.sum() < len(toxic):
+            return WEIGHTS[0]
+        p = np.interp(vote, *isotonic(vote, toxic))
+        best.append((round(float(-(toxic * np.log(p) + (1 - toxic) * np.log(1 - p)).mean()), 6), weight))
+    return min(best)[1]
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE, evidence: bool = True) -> DataFrame:
     """(doc_id, held_out, score, predicted, neighbours, evidence) of every row of ``docs``.
 
@@ -358,11 +431,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     )
     chosen = durable(chosen)  # at most ``sample`` rows of two small columns
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    texts = durable(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
-    vocabulary, marked = fit_vocabulary(texts)
-    shared = spark.sparkContext.broadcast(vocabulary)
-    seen = document_frequencies(docs, shared, len(vocabulary))
-    idf = (np.log((1 + docs.count()) / (1 + seen)) + 1) * marked
+    fold_of = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold")
+    texts = durable(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("*", fold_of))
+    fitted = fit_vocabulary(texts)
+    shared = spark.sparkContext.broadcast(fitted.known)
+    seen = document_frequencies(docs, shared, len(fitted.known))
+    plain = np.log((1 + docs.count()) / (1 + seen)) + 1
+    weight = best_weight(texts, shared, fitted, plain)
+    # Beginnings that mark in a fold alone would weigh nothing: they go.
+    kept = fitted.word | fitted.marks
+    idf = (plain * fitted.weights(weight))[kept]
+    shared = spark.sparkContext.broadcast(fitted.known[kept])
     rows = vectors(texts, shared, ["toxic"]).toArrow().sort_by("doc_id")  # at most ``sample`` rows
     examples = spark.sparkContext.broadcast(Examples(rows, idf))
 

@@ -219,6 +219,27 @@ def test_all_words_of_the_sample_enter_the_vectors(spark, monkeypatch):
         assert abs(out[k]["score"] - np.interp(vote(found), knots, values)) < 1e-9
 
 
+def test_weight_is_chosen_inside_the_training_rows(spark):
+    """Labels of held-out rows change neither the weight nor any score; marks of a fold come from the other folds."""
+    rng = random.Random(9)
+    rows = [(k, words(rng, 40) + (" " + " ".join(rng.sample(["grumpf", "snarlok", "vexen"], 2)) if k % 6 == 0 else "")) for k in range(400)]
+    held = {k for k in range(400) if zlib.crc32(str(k).encode()) % 5 == 0}
+    scores = []
+    for flip in (False, True):
+        labels = spark.createDataFrame([(k, 1, int((k % 6 == 0) != (flip and k in held))) for k in range(400)], "doc_id long, quality int, toxic int")
+        scores.append({r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(table(spark, rows), labels).collect()})
+    assert scores[0] == scores[1]
+    one = spark.createDataFrame([(k, rows[k][1], int(k % 6 == 0), k % toxicity.FOLDS) for k in range(400)], "doc_id long, text string, toxic int, fold int")
+    fitted = toxicity.fit_vocabulary(one)
+    for k in (None, 0, 3):
+        bags = [(set(map(int, toxicity.features(t)[0])) | set(map(int, toxicity.features(t)[1])), i % 6 == 0) for i, t in rows if k is None or i % toxicity.FOLDS != k]
+        t1 = sum(y for _, y in bags)
+        n1 = np.array([sum(f in b for b, y in bags if y) for f in map(int, fitted.known)])
+        n0 = np.array([sum(f in b for b, y in bags if not y) for f in map(int, fitted.known)])
+        want = toxicity.marks_of(n1, n0, t1, len(bags) - t1)
+        assert (want == (fitted.marks if k is None else fitted.without[k])).all() and want.any()
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(1)
     rows = []
