@@ -6,11 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .functions import parsing as P
-from .operators import curriculum, evaluation, records, rules, shards
+from .operators import curriculum, evaluation, records, rules, sampling, shards, sweeps
 from .operators.packing import running_offset
 from .operators.quantiles import exclusive_quantiles
 from .queries import ALPHA, BUCKETED, CUTS, SCREENED, TOK, bucketed, documents, r6, scored, screened
-from .tables import load
+from .tables import load, written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -422,6 +422,22 @@ def probe_log(spark, sf_dir):
 
 # Sweeps of models -----------------------------------------------------------
 
+def _config_counts(docs, hold):
+    """Token counts and totals of the models: one of each language, and one (``all``) of all, without the holdout."""
+    rest = docs.join(hold.select("doc_id"), "doc_id", "left_anti")
+    counts = rest.select("lang", F.explode("ids").alias("tok")).groupBy("lang", "tok").agg(F.count("*").alias("c"))
+    counts = counts.where("lang is not null").select(F.col("lang").alias("config"), "tok", "c").unionByName(counts.groupBy("tok").agg(F.sum("c").alias("c")).withColumn("config", F.lit("all")))
+    return counts, counts.groupBy("config").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
+
+
+def _config_losses(hold, counts, totals):
+    """(config, pos, loss) of the holdout's texts under each model of ``totals``."""
+    per = hold.select("pos", F.explode("ids").alias("tok")).groupBy("pos", "tok").agg(F.count("*").alias("k"))  # a holdout
+    each = per.crossJoin(F.broadcast(totals)).join(counts, ["config", "tok"], "left")  # a row for each configuration
+    nll = -F.log((F.coalesce("c", F.lit(0)) + 1) / (F.col("total") + F.col("types")))
+    return each.groupBy("config", "pos").agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"))
+
+
 @query(rf"""with {TOK}, full_ as (select * from tok where len(ids) > 0), hold as (select *, row_number() over (order by md5('sw:' || doc_id), doc_id) - 1 as pos from full_ qualify pos < 100), rest as (select * from full_ where doc_id not in (select doc_id from hold)),
   cfg as (select 'all' as config union all select distinct lang from rest where lang is not null), cc as (select config, t, count(*) as c from (select config, unnest(ids) as t from rest join cfg on config = 'all' or config = lang) group by all),
   ct as (select config, sum(c) as total, count(*) as types from cc group by config), hk as (select doc_id, t, count(*) as k from (select doc_id, unnest(ids) as t from hold) group by all),
@@ -437,17 +453,41 @@ def config_sweep(spark, sf_dir):
 
     docs = documents(spark, sf_dir, "lang")
     hold = take(docs, 100, "sw", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
-    rest = docs.join(hold.select("doc_id"), "doc_id", "left_anti")
-    counts = rest.select("lang", F.explode("ids").alias("tok")).groupBy("lang", "tok").agg(F.count("*").alias("c"))
-    counts = counts.where("lang is not null").select(F.col("lang").alias("config"), "tok", "c").unionByName(counts.groupBy("tok").agg(F.sum("c").alias("c")).withColumn("config", F.lit("all")))
-    totals = counts.groupBy("config").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
-    per = hold.select("pos", F.explode("ids").alias("tok")).groupBy("pos", "tok").agg(F.count("*").alias("k"))  # 100 texts
-    each = per.crossJoin(F.broadcast(totals)).join(counts, ["config", "tok"], "left")  # a row for each configuration
-    nll = -F.log((F.coalesce("c", F.lit(0)) + 1) / (F.col("total") + F.col("types")))
-    loss = each.groupBy("config", "pos").agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"))
+    loss = _config_losses(hold, *_config_counts(docs, hold))
     king = loss.where("config = 'all'").select("pos", F.col("loss").alias("king"))
     d = spark.createDataFrame(loss.where("config <> 'all'").join(king, "pos").select("config", "pos", "loss", (F.col("king") - F.col("loss")).alias("diff")).toArrow())  # 100 rows for each configuration
     means = evaluation.bootstrap_means(spark, d, "pos", 1000, "sw", ["config"])
     out = d.groupBy("config").agg(F.avg("diff").alias("mu"), F.avg("loss").alias("eval_loss")).join(means.groupBy("config").agg(F.percentile("mean", F.lit(ALPHA)).alias("lcb")), "config")
     place = F.row_number().over(Window.orderBy(F.col("lcb").desc(), F.col("mu").desc(), "eval_loss", "config"))  # configurations
     return out.select("config", F.round("mu", 6).alias("mu_hat"), r6("lcb"), r6("eval_loss"), place.cast("long").alias("place"))
+
+
+def _bounds_sql(name: str, source: str, seed: str) -> str:
+    return f"""{name}_n as (select config, count(*) as n from {source} group by config), {name}_s as (select config, n, r.range as replicate, unnest(range(0, n)) as slot from {name}_n, range(400) r),
+  {name}_m as (select s.config, replicate, avg(diff) as mean from {name}_s s join {source} d on d.config = s.config and d.pos = ('0x' || substr(md5('{seed}:' || s.config || ':' || replicate || ':' || slot), 1, 15))::bigint % n group by all),
+  {name} as (select config, n, mu, loss, low, high from (select config, quantile_cont(mean, 0.05) as low, quantile_cont(mean, 0.95) as high from {name}_m group by config) join (select config, count(*) as n, avg(diff) as mu, avg(loss) as loss from {source} group by config) using (config))"""
+
+
+@query(rf"""with {TOK}, full_ as (select * from tok where len(ids) > 0), hold as (select *, row_number() over (order by md5('two:' || doc_id), doc_id) - 1 as pos from full_ qualify pos < 160), rest as (select * from full_ where doc_id not in (select doc_id from hold)),
+  cfg as (select 'all' as config union all select distinct lang from rest where lang is not null), cc as (select config, t, count(*) as c from (select config, unnest(ids) as t from rest join cfg on config = 'all' or config = lang) group by all),
+  ct as (select config, sum(c) as total, count(*) as types from cc group by config), hk as (select pos, t, count(*) as k from (select pos, unnest(ids) as t from hold) group by all),
+  loss as (select ct.config, pos, sum(k * -ln((coalesce(c, 0) + 1) / (total + types))) / sum(k) as loss from hk cross join ct left join cc on cc.config = ct.config and cc.t = hk.t group by all),
+  d as (select l.config, l.pos, king.loss - l.loss as diff, l.loss from loss l join loss king on king.pos = l.pos and king.config = 'all' where l.config <> 'all'),
+  early as (select * from d where pos < 32), {_bounds_sql("micro", "early", "two:micro")},
+  going as (select config from micro where high >= (select max(low) from micro)), late as (select d.* from d join going using (config)), {_bounds_sql("whole", "late", "two:full")},
+  u as (select *, 'micro' as phase from micro union all select *, 'full' from whole)
+  select config, phase, n::bigint as n, round(mu, 6) as mu_hat, round(low, 6) as lcb, round(high, 6) as ucb, round(loss, 6) as eval_loss, row_number() over (partition by phase order by low desc, mu desc, loss, config)::bigint as place from u""")
+def two_phase_sweep(spark, sf_dir):
+    """All configurations on 32 texts of the holdout, then those that can still win on all 160, the first losses used again."""
+    docs = documents(spark, sf_dir, "lang")
+    hold = written(sampling.take(docs, 160, "two", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1))
+    counts, totals = (written(x) for x in _config_counts(docs, hold))
+
+    def score(configs, low, high):
+        some = totals.join(configs.unionByName(spark.createDataFrame([("all",)], "config string")), "config", "left_semi")
+        loss = written(_config_losses(hold.where((F.col("pos") >= low) & (F.col("pos") < high)), counts, some))
+        king = loss.where("config = 'all'").select("pos", F.col("loss").alias("king"))
+        return loss.where("config <> 'all'").join(king, "pos").select("config", "pos", "loss", (F.col("king") - F.col("loss")).alias("diff"))
+
+    out = sweeps.two_phase_sweep(totals.where("config <> 'all'").select("config"), score, hold.count(), 400, "two", 0.05, 32)
+    return out.select("config", "phase", "n", r6("mu").alias("mu_hat"), r6("low").alias("lcb"), r6("high").alias("ucb"), r6("loss").alias("eval_loss"), "place")

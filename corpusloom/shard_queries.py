@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions.text import QualityRules, reject_reason
 from .functions.tokens import tokens
-from .operators import packing, sampling, shards
+from .operators import mixing_buffer, packing, sampling, shards
 from .queries import PACK, TOK, U60, documents, packed
 from .tables import load, spread
 
@@ -190,9 +190,16 @@ def mixed_windows(spark, sf_dir):
     return shards.mixed_order(packed(spark, sf_dir).select("window_id"), "window_id", 64, "mix")
 
 
-@query("""select doc_id, (doc_id // 100 * 100 + row_number() over (partition by doc_id // 100 order by md5('stream:' || doc_id), doc_id) - 1)::bigint as place from documents""")
+@query("""with recursive d as (select doc_id, row_number() over (order by doc_id) - 1 as k from documents where doc_id is not null),
+  run as (select 0::bigint as done, (select coalesce(list(doc_id order by k), []::bigint[]) from d where k < 10000) as held, null::bigint as gone
+    union all select done + 1, list_concat(list_concat(held[1:j], [x]), held[j + 2:]), held[j + 1]
+    from (select run.done, held, d.doc_id as x, (('0x' || substr(md5('stream:' || run.done), 1, 15))::bigint % 10000)::bigint as j from run join d on d.k = 10000 + run.done)),
+  last as (select done, unnest(held) as doc_id from run where done = (select max(done) from run))
+  select gone as doc_id, (done - 1)::bigint as place from run where gone is not null
+  union all select doc_id, (done + row_number() over (order by ('0x' || substr(md5('stream:end:' || doc_id), 1, 15))::bigint, doc_id) - 1)::bigint from last""")
 def stream_shuffle(spark, sf_dir):
-    return shards.mixed_order(load(spark, sf_dir, "documents").select("doc_id"), "doc_id", 100, "stream")
+    """The order of documents after a shuffle buffer of 10,000 rows, each new one taking the place of a random one."""
+    return mixing_buffer.streamed_order(load(spark, sf_dir, "documents"), "doc_id", "stream")
 
 
 @query(r"""with d as (select source, trim(coalesce(text, '')) as t, coalesce(text, '') as raw, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n from documents)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .jobs.score_cache import ScoreCache, version_of
 from .operators import curriculum, hash_tree, packing, permutation, rules
+from .operators import mixing_buffer as mixing_buffers
 from .operators.scoring import UnigramScorer
-from .queries import LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed
+from .queries import END, LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed
 from .sources import array_files, tensor_headers
 from .tables import load, shared_folder, written
 
@@ -206,3 +207,32 @@ LEAF = 1000
 def tree_digests(spark, sf_dir):
     """Digests of whole texts by trees of hashes over fixed chunks, the same whatever tasks hash them."""
     return hash_tree.row_digests(load(spark, sf_dir, "documents"), "doc_id", "text", LEAF)
+
+
+# Mixing buffers -------------------------------------------------------------
+
+@query("""with recursive d as (select doc_id, row_number() over (order by doc_id) as k, count(*) over () as n from documents where doc_id is not null),
+run as (select 0 as drain, [doc_id for doc_id in (select list(doc_id order by k) from d where k <= 64)] as held, []::bigint[] as gone, 0::bigint as before
+  union all
+  select drain + 1,
+    list_concat(list_filter(held, lambda x: not list_contains(picks, x)), coalesce((select list(doc_id order by k) from d where k > 64 + drain * 32 and k <= 64 + (drain + 1) * 32), []::bigint[])),
+    list_reverse(list_filter(held, lambda x: list_contains(picks, x))), before + len(gone)
+  from (select *, list_transform(list_sort(list_transform(held, lambda x: {'h': ('0x' || substr(md5('buffer:' || drain || ':' || x), 1, 15))::bigint, 'id': x}))[1:32], lambda s: s.id) as picks from run where len(held) = 64)),
+out as (select before + len(gone) as done, gone, before, held, drain from run),
+emitted as (select unnest(gone) as doc_id, before + generate_subscripts(gone, 1) - 1 as place from out),
+rest as (select unnest(held) as doc_id, done + generate_subscripts(held, 1) - 1 as place from out where drain = (select max(drain) from out))
+select doc_id, place::bigint as place from emitted union all select doc_id, place::bigint from rest""".replace("[doc_id for doc_id in (select list(doc_id order by k) from d where k <= 64)]", "(select list(doc_id order by k) from d where k <= 64)"))
+def mixing_buffer(spark, sf_dir):
+    """The order of documents after a buffer of 64 that drains half of itself whenever it is full."""
+    return mixing_buffers.drained_order(load(spark, sf_dir, "documents"), "doc_id", 64, "buffer")
+
+
+@query(PACK.format(tok="""order_ as ({order}), """ + TOK.replace("from documents", "from documents") , by="", part="").replace("{order}", ORACLE["mixing_buffer"]).replace("order by doc_id, i", "order by place, i")
+       .replace("select doc_id, source, list_append(ids, '<end>') as ids from tok where len(ids) > 0", "select place, doc_id, source, list_append(ids, '<end>') as ids from tok join order_ using (doc_id) where len(ids) > 0")
+       .replace("select doc_id, source, unnest(ids) as t", "select place, doc_id, source, unnest(ids) as t").replace("with order_", "with recursive order_", 1)
+       + " select window_id::bigint as window_id, md5(body) as digest from win")
+def mixed_packing(spark, sf_dir):
+    """Windows packed in the order that the mixing buffer gives; rows spread over several windows' distance, no token is lost."""
+    placed = mixing_buffers.drained_order(load(spark, sf_dir, "documents"), "doc_id", 64, "buffer")
+    docs = documents(spark, sf_dir).withColumn("ids", F.concat("ids", F.array(F.lit(END)))).join(placed, "doc_id")
+    return packing.pack_windows(docs, LENGTH, "place", "ids").select("window_id", F.md5(F.array_join("ids", " ").cast("binary")).alias("digest"))

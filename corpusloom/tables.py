@@ -50,7 +50,8 @@ def written(df: DataFrame, *by: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder, in folders ``by``, and read again: computed once, and safe from lost executors."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.partitionBy(*by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    reader = df.sparkSession.read.schema(df.schema) if by else df.sparkSession.read  # folders alone tell no schema where there is no row
+    return reader.parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
