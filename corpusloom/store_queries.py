@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import byte_pairs
 from .jobs.score_cache import ScoreCache, version_of
 from .operators import curriculum, hash_tree, packing, permutation, rules
 from .operators import mixing_buffer as mixing_buffers
@@ -236,3 +237,35 @@ def mixed_packing(spark, sf_dir):
     placed = mixing_buffers.drained_order(load(spark, sf_dir, "documents"), "doc_id", 64, "buffer")
     docs = documents(spark, sf_dir).withColumn("ids", F.concat("ids", F.array(F.lit(END)))).join(placed, "doc_id")
     return packing.pack_windows(docs, LENGTH, "place", "ids").select("window_id", F.md5(F.array_join("ids", " ").cast("binary")).alias("digest"))
+
+
+# Byte pairs -----------------------------------------------------------------
+
+#: A small vocabulary: merges in the order of their ranks.
+MERGES = [("t", "h"), ("th", "e"), ("i", "n"), ("e", "r"), ("a", "n"), ("o", "n"), ("r", "e"), (" ", "the"), ("in", "g"), ("an", "d"), ("t", "i"), ("ti", "on"), (" ", "o"), ("s", "t"), ("e", "n"), (" ", "and"), ("l", "y")]
+MODEL_VOCABULARY = 268
+
+
+def _merged_sql(cell: str) -> str:
+    """The merges as replacements in a text of cells, each a token between bars."""
+    hexed = lambda t: t.encode().hex().upper()
+    for a, b in MERGES:
+        cell = f"replace({cell}, '|{hexed(a)}||{hexed(b)}|', '|{hexed(a + b)}|')"
+    return cell
+
+
+CELLS = r"regexp_replace(hex(encode(piece)), '(..)', '|\1|', 'g')"
+TOKEN_IDS = "values " + ", ".join([f"('{k:02X}', {k})" for k in range(256)] + [f"('{(a + b).encode().hex().upper()}', {256 + k})" for k, (a, b) in enumerate(MERGES)])
+
+
+@query(rf"""with ids(cell, id) as ({TOKEN_IDS}), p as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]')) as piece, generate_subscripts(regexp_extract_all(coalesce(text, ''), '\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]'), 1) as k from documents),
+  c as (select piece, {_merged_sql(CELLS)} as cells from (select distinct piece from p)),
+  t as (select piece, unnest(string_split(trim(cells, '|'), '||')) as cell, generate_subscripts(string_split(trim(cells, '|'), '||'), 1) as i from c),
+  j as (select doc_id, k, i, id from p join t using (piece) join ids using (cell)),
+  d as (select doc_id, count(*)::bigint as n_tokens, md5(string_agg(id::varchar, ' ' order by k, i)) as digest, max(id) as top from j group by doc_id)
+  select documents.doc_id, coalesce(n_tokens, 0) as n_tokens, coalesce(digest, md5('')) as digest, case when n_tokens is null then 'empty_tokenization' when top >= {MODEL_VOCABULARY} then 'out_of_vocab' else 'accepted' end as reason from documents left join d using (doc_id)""")
+def byte_pair_tokens(spark, sf_dir):
+    """Whole texts as byte-pair tokens, and whether they fit a model of fewer tokens."""
+    rows = byte_pairs.encoded(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", byte_pairs.from_pieces(MERGES))
+    reason = F.coalesce(byte_pairs.vocabulary_reason(F.col("ids"), MODEL_VOCABULARY), F.lit("accepted"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("digest"), reason.alias("reason"))
