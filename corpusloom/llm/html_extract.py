@@ -1,17 +1,29 @@
 """Main text of web pages by wrapper induction.
 
-Every page is parsed into a tree of block elements.  Its layout is the frame of
-its main part and the containers of its blocks; simple tree matching aligns one
-representative of each layout of a host with those of larger ones, and layouts
-that mostly match are one class.  Pages of the same texts count once.
-
-A block, its (place, text) pair, is template if at least ``LEAST_PAGES`` pages
-have it and these are at least ``SHARE`` of the pages of its layout class, or of
-all pages of the host that have any text at its place.  The counts are taken over
-all pages.  What is not template is content, unless the element it stands in
-names itself, by tag, role or class, as a menu, header, footer, sidebar, notice,
-advert, form or comments (on these pages even menus and adverts vary from page to
-page).
+Every page is parsed into a tree.  Its containers are slots, known by the labels
+on the way to them.  Over all pages of a host, a slot weighs as much as the
+different texts that fill it, links left out: what is constant counts once, what
+varies from page to page counts each time.  The main part of a page is found by
+walking from the body into the slot that holds at least half of what its parent
+holds, until none does or an article is reached.  The weights are the host's, so
+a page whose article is shorter than its advert is read as its neighbours are.
+Slots on fewer than ``LEAST_PAGES`` different pages have no weight of the host;
+there the page's own texts decide, those with an article or main element first.
+
+Inside the main part simple tree matching aligns one representative of each
+layout of a host with those of larger ones, and layouts that mostly match are one
+class.  A block, its (place, text) pair, is template if at least ``LEAST_PAGES``
+pages have it and these are at least ``SHARE`` of the pages of its layout class,
+or of all pages of the host that have any text at its place.  The rest is content.
+Pages of the same texts count once.
+
+Tags and roles (menus, footers, sidebars, forms) remove an element anywhere.
+Names remove a container only where a whole class or id says so; parts of names
+merely keep it from weighing when the main part is looked for.  An article inside
+an article is a reader's, and of several articles in one slot the longest is the
+page's, unless none has half of their text; other elements in one slot are parts
+of a text.  Texts of the main element that lie
+around its article, and containers there that hold its title, belong to it.
 """
 
 from __future__ import annotations
@@ -34,6 +46,10 @@ ALIKE = 0.7
 BROADCAST_BYTES = 32 << 20
 #: Deeper elements are not aligned.
 DEEPEST = 60
+#: A slot is entered if it has this share of what its parent has.
+DOMINANT = 0.5
+#: Of several elements in one slot all are parts of the text, unless one has this share (of articles: the share above).
+WHOLE = 0.9
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)/?(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -64,18 +80,20 @@ AWAY_WORDS = frozenset(
 )
 #: Elements that lay out a page; the others are part of a text.
 CONTAINERS = frozenset("address article aside body center dialog div fieldset footer form header hgroup html main menu nav search section".split())
+#: Elements that a name can remove.
+NAMED = CONTAINERS | {"ul", "ol", "dl", "table", "iframe"}
 #: Away only outside an article.
 PAGE_HEADER = frozenset({"header"})
 
 
 class Node:
-    """An element; ``kids`` are elements and texts, ``label`` its tag and classes."""
+    """An element; ``kids`` are elements and texts, ``label`` its tag and classes; ``light`` ones do not weigh."""
 
-    __slots__ = ("tag", "label", "kids", "away", "header", "main")
+    __slots__ = ("tag", "label", "kids", "away", "header", "main", "light")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.kids = tag, []
-        self.label, self.away = tag, tag in AWAY_TAGS
+        self.label, self.away, self.light = tag, tag in AWAY_TAGS, False
         self.header, self.main = tag in PAGE_HEADER, tag == "main"
         if attributes and not attributes.isspace():
             found = {k.lower(): unescape(a or b or c) for k, a, b, c in ATTRIBUTE.findall(attributes)}
@@ -85,9 +103,12 @@ class Node:
             role = found.get("role", "").lower()
             self.main = self.main or role == "main"
             if tag not in ("html", "body", "article", "main"):
-                words = set(WORDS.findall(names))
-                self.away = self.away or role in AWAY_ROLES or bool(words & AWAY_WORDS)
-                self.header = self.header or "header" in words
+                self.away = self.away or role in AWAY_ROLES
+                if tag in NAMED:
+                    whole = set(names.split())
+                    self.away = self.away or bool(whole & AWAY_WORDS)
+                    self.header = self.header or "header" in whole
+                    self.light = bool(set(WORDS.findall(names)) & AWAY_WORDS)
             if "hidden" in found or "display:none" in found.get("style", "").replace(" ", "").lower():
                 self.away = True
 
@@ -155,86 +176,195 @@ def _in_order(root: Node):
             stack.extend(("text", k) if isinstance(k, str) else ("in", k) for k in reversed(x.kids))
 
 
-def _roots(root: Node) -> list[Node]:
-    """The articles of the page, else its main element, else its body, else all of it."""
-    articles, mains, bodies, away, inside = [], [], [], 0, 0
-    for what, x in _in_order(root):
+class Slot:
+    """A container of a page: its way from the root as a number, the texts in it, and the slots in it."""
+
+    __slots__ = ("node", "key", "up", "kids", "own", "weight", "text", "article", "title")
+
+    def __init__(self, node: Node, up: Slot | None = None):
+        self.node, self.up, self.kids = node, up, []
+        self.key = 0 if up is None else _number(up.key, node.label)
+        self.own = self.weight = self.text = 0
+        self.article, self.title = node.tag == "article", False
+
+
+def _number(*parts: object) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(map(str, parts))) - (1 << 63)
+
+
+def slots_of(root: Node) -> Slot:
+    """The page's slots below its body, or below the root without one.
+
+    ``weight`` counts the characters in a slot that stand in no link, ``own``
+    those in no slot further in, of which ``text`` is a number.  What tags, roles or
+    whole names remove is no slot.
+    """
+    bodies = [x for what, x in _in_order(root) if what == "in" and x.tag == "body"]
+    top = Slot(bodies[0] if bodies else root)
+    line, away, link, light = [top], 0, 0, 0
+    for what, x in _in_order(top.node):
+        if what == "text":
+            if not away and not link and not light:
+                n = len("".join(x.split()))
+                line[-1].own += n
+                if n:
+                    line[-1].text = _number(line[-1].text, x)
+            continue
+        if x is top.node:
+            continue
+        closing = what == "out" and line[-1].node is x
+        in_article = (x.tag == "article" or x.header) and any(s.article for s in (line[:-1] if closing else line))
+        gone = x.away or (in_article if x.tag == "article" else x.header and not in_article)
+        container = x.tag in CONTAINERS and not gone
         if what == "in":
-            away += x.away
-            if not away:
-                if x.tag == "article" and not inside:
-                    articles.append(x)
-                if x.main:
-                    mains.append(x)
-                if x.tag == "body":
-                    bodies.append(x)
-            inside += x.tag == "article"
-        elif what == "out":
-            away -= x.away
-            inside -= x.tag == "article"
-    return articles or mains[:1] or bodies[:1] or [root]
-
-
-def blocks(html: str | None) -> list[tuple[str, str]]:
-    """(place, text) of the blocks of the page's main part, in order: white space as one space, trimmed."""
-    return _blocks(_roots(parse(html or "")))
-
-
-def layout_and_blocks(html: str | None) -> tuple[tuple[str, ...], list[tuple[str, str]]]:
-    """The page's layout, as its frame and the different containers of its blocks in order, and its blocks."""
-    root = parse(html or "")
-    tops = _roots(root)
-    frame: list[str] = []
-    for what, x in _in_order(root):
-        if x is tops[0]:
+            away += gone
+            link += x.tag == "a"
+            light += x.light
+            if container and not away:
+                line.append(Slot(x, line[-1]))
+            if x.tag == "h1" and not away:
+                line[-1].title = True
+        else:
+            if closing:
+                done = line.pop()
+                done.weight += done.own
+                line[-1].kids.append(done)
+                line[-1].weight += done.weight
+                line[-1].title |= done.title
+            away -= gone
+            link -= x.tag == "a"
+            light -= x.light
+    top.weight += top.own
+    return top
+
+
+def slots_within(top: Slot) -> list[Slot]:
+    out, stack = [], [top]
+    while stack:
+        s = stack.pop()
+        out.append(s)
+        stack.extend(s.kids)
+    return out
+
+
+def _leading(top: Slot) -> set[int]:
+    """The slots, by identity, that are an article or main element or have one in them."""
+    out: set[int] = set()
+    for s in reversed(slots_within(top)):  # those further in first
+        if s.article or s.node.main or any(id(k) in out for k in s.kids):
+            out.add(id(s))
+    return out
+
+
+def choose(top: Slot, weights: dict[int, float]) -> tuple[list[Slot], list[Slot], list[Slot]]:
+    """The slots of the main part, all on the way to it, and of these those from the main element on, outermost first."""
+    now, line, way, in_main, holding = top, [], [], top.node.main, None
+    while not now.article and now.kids:
+        groups: dict[int, list[Slot]] = {}
+        for s in now.kids:
+            groups.setdefault(s.key, []).append(s)
+        page = {key: sum(s.weight for s in g) for key, g in groups.items()}
+        if any(key in weights for key in groups):
+            score, whole = {key: weights.get(key, 0.0) for key in groups}, weights.get(now.key, 0.0)  # the sum of what is in it
+        else:
+            score, whole = page, float(now.weight)
+            if holding is None:
+                holding = _leading(top)
+            some = {key: score[key] for key, g in groups.items() if any(id(s) in holding for s in g)}
+            if some:
+                score, whole = some, float(sum(some.values()))
+        best = max(score, key=lambda key: (score[key], page[key]))
+        if score[best] < DOMINANT * whole or not whole and len(groups) > 1:
             break
-        if what == "in":
-            frame.append(x.label)
-        elif what == "out":
-            frame.pop()
-    found = _blocks(tops)
+        line.append(now)
+        if in_main:
+            way.append(now)
+        alike = groups[best]
+        longest = max(alike, key=lambda s: s.weight)
+        if longest.weight < (DOMINANT if longest.article else WHOLE) * page[best]:
+            return alike, line, way
+        now = longest
+        in_main = in_main or now.node.main
+    return [now], line, way
+
+
+def blocks(html: str | None, weights: dict[int, float] = {}) -> list[tuple[str, str]]:
+    """(place, text) of the blocks of the page's main part, in order: white space as one space, trimmed.
+
+    ``weights`` are those of the host's slots; without any the page decides.
+    """
+    return main_blocks(slots_of(parse(html or "")), weights)[1]
+
+
+def layout_and_blocks(html: str | None, weights: dict[int, float] = {}) -> tuple[tuple[str, ...], list[tuple[str, str]]]:
+    """The page's layout, as its frame and the different containers of its blocks in order, and its blocks."""
+    frame, found = main_blocks(slots_of(parse(html or "")), weights)
     # A label starts with its tag.
     inside = ("/".join(s for s in place.split("/")[:DEEPEST] if s.split(".", 1)[0] in CONTAINERS) for place, _ in found)
     return ("/".join(frame[:DEEPEST]), *dict.fromkeys(inside)), found
 
 
-def _blocks(tops: list[Node]) -> list[tuple[str, str]]:
+def main_blocks(top: Slot, weights: dict[int, float]) -> tuple[list[str], list[tuple[str, str]]]:
+    """The labels on the way to the main part, and its blocks in page order; places begin at the main part."""
+    mains, line, way = choose(top, weights)
+    main, to_main, around = ({id(s.node) for s in part} for part in (mains, line, way))
+    # Around the main part: texts in no slot, and slots with a title, inside the main element.
+    titles = {id(k.node) for s in way for k in s.kids if k.title} - main - to_main
+    frame: list[str] = []
     out: list[tuple[str, str]] = []
-    for top in tops:
-        in_article = top.tag == "article"
-        path: list[str] = []
-        text: list[str] = []
-        away = 0
-
-        def flush():
-            if text:
-                joined = " ".join(unescape("".join(text)).split())
-                if joined:
-                    out.append(("/".join(path), joined))
-                text.clear()
-
-        for what, x in _in_order(top):
-            if what == "text":
-                if not away:
-                    text.append(x)
-                continue
-            gone = x is not top and (x.away or (x.header and not in_article))
-            if what == "in":
-                if x.tag in BLOCK or gone:
-                    flush()
-                away += gone
-                if x.tag in BLOCK:
-                    path.append(x.label)
-                elif x.tag == "br" and not away:
-                    text.append(" ")
-            else:
-                if x.tag in BLOCK or gone:
-                    flush()
-                away -= gone
-                if x.tag in BLOCK:
-                    path.pop()
-        flush()
-    return out
+    path: list[str] = []
+    text: list[str] = []
+    outer: list[list[str]] = []
+    away, inside, near, articles, framed = 0, 0, 0, 0, False
+
+    def flush():
+        if text:
+            joined = " ".join(unescape("".join(text)).split())
+            if joined:
+                out.append(("/".join(path), joined))
+            text.clear()
+
+    for what, x in _in_order(top.node):
+        if what == "text":
+            if not away and (inside or near):
+                text.append(x)
+            continue
+        at_main = id(x) in main
+        gone = False
+        if not at_main and x is not top.node:
+            gone = x.away or (x.header and not articles) or (x.tag == "article" and articles > (what == "out"))
+            # Slots that do not lead to the main part are passed by.
+            gone = gone or (x.tag in CONTAINERS and not inside and near < 2 and id(x) not in to_main and id(x) not in titles)
+        edge = x.tag in BLOCK or gone or at_main
+        if what == "out" and edge:
+            flush()
+        if what == "in":
+            if edge:
+                flush()
+            if at_main:
+                if not framed:
+                    frame, framed = list(path), True
+                outer.append(path)
+                path = []
+                inside += 1
+            away += gone
+            near += (id(x) in around) + 2 * (id(x) in titles)
+            articles += x.tag == "article"
+            if x.tag in BLOCK:
+                path.append(x.label)
+            elif x.tag == "br" and not away:
+                text.append(" ")
+        else:
+            if x.tag in BLOCK:
+                path.pop()
+            away -= gone
+            near -= (id(x) in around) + 2 * (id(x) in titles)
+            articles -= x.tag == "article"
+            if at_main:
+                path = outer.pop()
+                inside -= 1
+    flush()
+    return frame, out
 
 
 def tree_of(found: list[tuple[str, str]]) -> tuple[str, list]:
@@ -375,14 +505,65 @@ def _bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def slot_weights(pages: DataFrame) -> DataFrame:
+    """(host, slots): for each host of at least ``LEAST_PAGES`` different pages, how much each slot on so many pages weighs.
+
+    A slot weighs what the different texts in it weigh, each counted in the slot
+    it stands in and in all around that.  Tasks give a row for each slot of a
+    page; equal texts of a slot are joined before they are added up, so copies and
+    constants weigh once.
+    """
+
+    def batches(it):
+        for batch in it:
+            rows, hosts = [], []
+            for k, html in enumerate(batch.column("html")):
+                found = slots_within(slots_of(parse(html.as_py() or "")))
+                # The body stands for the whole page, so that different pages can be counted.
+                page = _number(*sorted((s.key, s.text) for s in found))
+                for s in found:
+                    keys, up = [s.key], s.up
+                    while s.own and up is not None:
+                        keys.append(up.key)
+                        up = up.up
+                    rows.append((s.key, page if s.up is None else s.text, s.own, keys))
+                hosts += [k] * len(found)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host").take(pa.array(hosts, pa.int64())), *(pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds))],
+                ["host", "key", "text", "own", "keys"],
+            )
+
+    filled = pages.select("host", "html").mapInArrow(batches, "host string, key long, text long, own long, keys array<long>")
+    texts = durable(filled.groupBy("host", "key", "text").agg(F.max("own").alias("own"), F.first("keys").alias("keys"), F.count("*").alias("n")))
+    seen = texts.groupBy("host", "key").agg(F.sum("n").alias("n"), F.count("*").alias("different")).where(F.col("n") >= LEAST_PAGES)
+    hosts = seen.where((F.col("key") == 0) & (F.col("different") >= LEAST_PAGES)).select("host")
+    weights = texts.select("host", F.explode("keys").alias("key"), "own").groupBy("host", "key").agg(F.sum("own").alias("weight"))
+    slots = weights.join(seen.select("host", "key"), ["host", "key"]).join(hosts, "host")
+    return slots.groupBy("host").agg(F.collect_list(F.struct("key", "weight")).alias("slots"))
+
+
+class Weights:
+    """The slot weights of the hosts of a batch, each made once."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.column, self.host, self.known = batch.column("slots"), batch.column("host").to_pylist(), {}
+
+    def of(self, k: int) -> dict[int, float]:
+        host = self.host[k]
+        if host not in self.known:
+            self.known[host] = {x["key"]: float(x["weight"]) for x in self.column[k].as_py() or ()}
+        return self.known[host]
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, template, by_layout) for each host with a template: keys of blocks that are template on all its pages, and by key of the layout."""
 
     def batches(it):
         for batch in it:
-            rows = []
-            for html in batch.column("html"):
-                layout, found = layout_and_blocks(html.as_py())
+            rows, weights = [], Weights(batch)
+            for k, html in enumerate(batch.column("html")):
+                layout, found = layout_and_blocks(html.as_py(), weights.of(k))
                 keys = {block_key(place, text): block_key(place, "") for place, text in found}
                 texts = "\0".join(t for _, t in found)
                 rows.append((block_key("", texts), "\n".join(layout), list(keys), list(keys.values())))
@@ -395,7 +576,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
                 ["host", "page", "layout", "shape", "keys", "places"],
             )
 
-    found = pages.select("host", "html").mapInArrow(batches, "host string, page long, layout long, shape string, keys array<long>, places array<long>")
+    found = pages.select("host", "html", "slots").mapInArrow(batches, "host string, page long, layout long, shape string, keys array<long>, places array<long>")
     page = F.min(F.struct("layout", "shape", "keys", "places")).alias("p")
     different = written(found.where(F.size("keys") > 0).groupBy("host", "page").agg(page).select("host", "p.*"))
     one = different.select("host", "layout", F.explode(F.arrays_zip("keys", "places")).alias("b")).select("host", "layout", "b.keys", "b.places")
@@ -428,10 +609,15 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Null and empty pages give an empty text.  Pages without a host in their url,
     or with a null one, share the empty host.  Repeated rows give repeated
-    results; other columns are ignored.
+    results; other columns are ignored.  Of slots that weigh the same the one with
+    more text on the page is entered; layouts with as many pages are taken in the
+    order of their keys.  Very long pages are read as a whole.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
+    slots = durable(slot_weights(rows))
+    weighed = slots.agg(F.sum(F.length("host") + 16 * F.size("slots"))).first()[0] or 0
+    rows = rows.join(F.broadcast(slots) if weighed <= BROADCAST_BYTES else slots, "host", "left")
     wrapper = durable(wrappers(rows))
     layered = F.aggregate("by_layout", F.lit(0), lambda n, x: n + 1 + F.size(x["keys"]))
     size = wrapper.agg(F.sum(F.length("host") + 8 * (F.coalesce(F.size("template"), F.lit(0)) + F.coalesce(layered, F.lit(0))))).first()[0] or 0
@@ -439,13 +625,13 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     def batches(it):
         for batch in it:
-            texts, known = [], {}
+            texts, known, weights = [], {}, Weights(batch)
             for k, (host, html) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html"))):
                 if host not in known:  # one wrapper for each host of the batch
                     inside = {x["layout"]: x["keys"] for x in batch.column("by_layout")[k].as_py() or ()}
                     known[host] = set(batch.column("template")[k].as_py() or ()), inside
                 template, inside = known[host]
-                layout, found = layout_and_blocks(html.as_py())
+                layout, found = layout_and_blocks(html.as_py(), weights.of(k))
                 if inside:
                     template = template.union(inside.get(block_key("", "\n".join(layout)), ()))
                 texts.append("\n".join(t for place, t in found if not template or block_key(place, t) not in template))
@@ -454,7 +640,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    return joined.select("page_id", "url", "html", "host", "template", "by_layout").mapInArrow(batches, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "host", "slots", "template", "by_layout").mapInArrow(batches, "page_id long, url string, text string, n_chars long")
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

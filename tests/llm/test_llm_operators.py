@@ -313,6 +313,62 @@ def test_main_text(spark):
     assert html_extract.extracted(df.limit(0)).count() == 0
 
 
+# Fixed pages and what is the article in each, when the page stands alone.
+ALONE = [
+    ("<main><p>lead</p><article><p>body text</p></article></main>", ["lead", "body text"]),
+    ("<article><p>long enough</p><section id='related-work'><p>rw</p></section><p class='ad hoc'>a</p><p class='notice'>n</p><div class='share-price'>s</div><div class='comments'><p>c</p></div><div class=ad>x</div></article>", ["long enough", "rw", "a", "n", "s"]),
+    ("<article><p>body text long enough</p><article><p>reply</p></article></article><article><p>teaser</p></article>", ["body text long enough"]),
+    ("<main><div class='article-header'><h1>Title</h1></div><div class='article-body'><p>text of it all</p></div><div class=box><p>x</p></div></main>", ["Title", "text of it all"]),
+    ("<div class=content><header><h1>Site</h1></header><p>one</p><p>two</p></div><div class='site-footer'><p>longer than the text above it</p></div>", ["one", "two"]),
+    ("<article><header><h1>Head</h1></header><p>text</p><footer>by</footer></article><div id=comments><article><p>a reader with a very long reply</p></article></div>", ["Head", "text"]),
+    ("<div><div><p>first part of the text</p></div><div><p>second part of the text</p></div></div>", ["first part of the text", "second part of the text"]),
+]
+
+
+@pytest.mark.parametrize("html, want", ALONE)
+def test_pages_that_stand_alone(html, want):
+    assert [t for _, t in html_extract.blocks(f"<body>{html}</body>")] == want
+
+
+def test_the_host_decides_where_a_page_would_not(spark):
+    """Slots are weighed over all pages: a short article beside a long box, an empty one, and boxes that are constant."""
+    rows, want = [], {}
+    long = "The same offer stands on every page of this host and is a good deal longer than most of its texts."
+    for k in range(24):
+        text = f"text {k}" if k in (3, 9) else "" if k == 5 else f"Text {k} " + f"word{k} " * 12
+        own = f"Latest from elsewhere, item {k} of many" if k in (3, 5) else f"Item {k}"
+        rows.append((k, f"http://slots.example/{k}", f"<body><div class=top><p>{long}</p></div><div class=content><p>{text}</p></div><div class=side><p>{own}</p></div></body>"))
+        want[k] = text.strip()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extract.extracted(df).collect()} == want
+    alone = {k: "\n".join(t for _, t in html_extract.blocks(h)) for k, _, h in rows}
+    assert all(alone[k] != want[k] for k in range(24))  # without induction every page differs
+
+
+def test_slot_weights_against_plain_sums(spark):
+    """Different texts of a slot add up, equal ones count once, links and removed elements not at all."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(40):
+        body = "".join(f"<{t} class={rng.choice('ab')}><p>{rng.choice(['same', 'x' * rng.randrange(9), str(k)])}</p><a>link</a></{t}>" for t in rng.choices(["div", "section", "nav", "article"], k=4))
+        rows.append((k, f"http://{'pq'[k % 2]}.example/", f"<body>{body}</body>"))
+    rows += [(99, "http://few.example/", "<div>a</div>")]
+    got = {r["host"]: {x["key"]: x["weight"] for x in r["slots"]} for r in html_extract.slot_weights(spark.createDataFrame(rows, "page_id int, host string, html string")).collect()}
+    pages, texts = defaultdict(set), defaultdict(lambda: defaultdict(list))
+    for _, host, html in rows:
+        found = html_extract.slots_within(html_extract.slots_of(html_extract.parse(html)))
+        pages[host].add(tuple(sorted((s.key, s.text) for s in found)))
+        for s in found:
+            texts[host][s.key].append(s)
+    want = {}
+    for host in pages:
+        if len(pages[host]) >= html_extract.LEAST_PAGES:
+            often = {k: v for k, v in texts[host].items() if len(v) >= html_extract.LEAST_PAGES}
+            own = {k: sum({s.text: s.own for s in v}.values()) for k, v in texts[host].items()}
+            want[host] = {k: own[k] + (0 if k else sum(w for j, w in own.items() if j)) for k in often}  # slots lie side by side in the body
+    assert got == want and set(got) == {"http://p.example/", "http://q.example/"}
+
+
 def test_templates_are_counted_over_all_pages_and_layouts(spark):
     """Two layouts share the places of a host, a third has few pages; boilerplate may be missing, chance repeats are none."""
     rows, want = [], {}

@@ -1,8 +1,11 @@
 """The pipeline, its stages and the registered queries, on tables of their own against brute force."""
 
 import hashlib
+import html
 import math
+import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -176,7 +179,7 @@ def test_stages_on_odd_rows(spark, tables, folder, name, stage):
 
 def test_every_query_has_sql_or_a_test_here():
     here = open(__file__).read()
-    assert all(name in oracle_sql() or f'queries()["{name}"]' in here for name in queries() if name != "op6_html_extraction")
+    assert all(name in oracle_sql() or f'queries()["{name}"]' in here for name in queries())
 
 
 def test_op1(spark, tables, folder):
@@ -199,6 +202,20 @@ def test_op3(spark, tables, folder):
     assert {tuple(r)[:4] for r in queries()["op3_token_counts"](spark, folder).collect()} == want and any(w[3] for w in want)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
+def test_op6(spark):
+    """The registered query on whole pages against the article as a pattern finds it."""
+    folder = "/root/testdata/sf0.001"
+    want = {}
+    for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        inside = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        parts = re.split(r"</?(?:h1|p)>", inside.replace("<br>", " "))
+        text = "\n".join(t for t in (" ".join(html.unescape(re.sub(r"<[^>]+>", "", p)).split()) for p in parts) if t)
+        want[r["page_id"]] = (r["url"], text, len(text))
+    got = {r["page_id"]: tuple(r)[1:4] for r in queries()["op6_html_extraction"](spark, folder).collect()}
+    assert got == want and len(got) == 50
+
+
 def test_op7(spark, tables, folder):
     rows = sorted(((r[0], r[1] or "") for r in tables[0]), reverse=True)
     text = lambda f: f.astype(">u2").tobytes().hex()
