@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, held_out, table
+from .common import durable, held_out, table, written
 from .hashing import U64, prefix_sums, segments, span_hashes
 
 SAMPLE, NEIGHBOURS, BLOCK = 12_000, 9, 32
@@ -175,24 +175,34 @@ def vectors(docs: DataFrame, shared, extra: list[str]) -> DataFrame:
     return docs.select("doc_id", "text", *extra).mapInArrow(batches, schema)
 
 
-def document_frequencies(docs: DataFrame, shared, size: int) -> np.ndarray:
-    """In how many of the documents each vocabulary feature occurs; tasks add up before they send."""
+def document_frequencies(counted: DataFrame, size: int) -> np.ndarray:
+    """In how many of the rows of (idx, ...) each vocabulary feature occurs; tasks add up before they send."""
 
     def batches(it):
-        vocabulary, seen = Vocabulary(shared.value), np.zeros(size, np.int64)
+        seen = np.zeros(size, np.int64)
         for batch in it:
-            for text in batch.column("text"):
-                seen[vocabulary.count(text.as_py())[0]] += 1
+            seen += np.bincount(pc.list_flatten(batch.column("idx")).to_numpy(), minlength=size)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], ["i", "n"])
 
     out = np.zeros(size, np.int64)
     if size:
-        found = docs.select("text").mapInArrow(batches, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # one row for each feature
+        found = counted.select("idx").mapInArrow(batches, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # one row for each feature
         out[found.column("i").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
+def lists_of(batch: pa.RecordBatch, place: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(idx, tf) of each row; with ``place`` features move there, and go where it is below 0."""
+    idx, tf = (batch.column(c) for c in ("idx", "tf"))
+    ends = idx.offsets.to_numpy()
+    i, t = (pc.list_flatten(c).to_numpy().astype(np.int64) for c in (idx, tf))
+    rows = [(i[a - ends[0] : b - ends[0]], t[a - ends[0] : b - ends[0]]) for a, b in zip(ends, ends[1:])]
+    if place is None:
+        return rows
+    return [(place[i][place[i] >= 0], t[place[i] >= 0]) for i, t in rows]
+
+
 class BlockMaxIndex:
     """Postings of unit vectors by feature, with the largest weight for each block of examples."""
 
@@ -437,8 +447,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     texts = durable(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("*", fold_of))
     fitted = fit_vocabulary(texts)
     shared = spark.sparkContext.broadcast(fitted.known)
-    seen = document_frequencies(docs, shared, len(fitted.known))
-    plain = np.log((1 + docs.count()) / (1 + seen)) + 1
+    # Every text is read once; its counts are written and serve the frequencies and the scores.
+    counted = written(vectors(docs, shared, []))
+    seen = document_frequencies(counted, len(fitted.known))
+    plain = np.log((1 + counted.count()) / (1 + seen)) + 1
     weight = best_weight(texts, shared, fitted, plain)
     # Beginnings that mark in a fold alone would weigh nothing: they go.
     kept = fitted.word | fitted.marks
@@ -460,13 +472,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
     both = 0 < labels_.sum() < len(labels_)
     knots = isotonic(np.round(held.column("vote").to_numpy(), 9), labels_.astype(float)) if both else None
 
+    place = spark.sparkContext.broadcast(np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32))
+
     def batches(it):
-        known = Vocabulary(shared.value)
         for batch in it:
             got = []
             index = examples.value.index
             for lo in range(0, batch.num_rows, 8 * TOGETHER):
-                got += index.scores([known.count(t.as_py()) for t in batch.column("text").slice(lo, 8 * TOGETHER)])
+                got += index.scores(lists_of(batch.slice(lo, 8 * TOGETHER), place.value))
             n = np.array([len(w) for _, w, _ in got], np.int32)
             vote = np.array([v for v, _, _ in got], float)
             score = np.where(n > 0, np.interp(vote, *knots), vote) if knots is not None else vote
@@ -481,7 +494,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
             )
 
     schema = "doc_id long, score double, neighbours int, evidence array<struct<doc_id: long, toxic: int, cosine: double>>"
-    return docs.select("doc_id", "text").mapInArrow(batches, schema).select(
+    return counted.mapInArrow(batches, schema).select(
         "doc_id",
         F.coalesce(held_out("doc_id", folds, fold), F.lit(False)).alias("held_out"),
         "score",
