@@ -29,3 +29,15 @@ def ship(spark: SparkSession) -> None:
     base = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom")
     archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(here), base_dir=os.path.basename(here))
     spark.sparkContext.addPyFile(archive)
+
+
+#: Applications that have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship_once(spark: SparkSession) -> None:
+    """As ``ship``, once for each application."""
+    name = spark.sparkContext.applicationId
+    if name not in _SHIPPED:
+        ship(spark)
+        _SHIPPED.add(name)

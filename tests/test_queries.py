@@ -6,11 +6,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom import parse_queries, queries, record_queries, rule_queries, service_queries, shard_queries
+from corpusloom import parse_queries, queries, record_queries, rule_queries, service_queries, shard_queries, store_queries
 from corpusloom.tables import NAMES, load
 
 SMALL = "/root/testdata/sf0.001"
-MODULES = (queries, record_queries, service_queries, parse_queries, shard_queries, rule_queries)
+MODULES = (queries, record_queries, service_queries, parse_queries, shard_queries, rule_queries, store_queries)
 ALL = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: t for m in MODULES for k, t in m.ORACLE.items()}
 
@@ -33,6 +33,25 @@ def test_same_as_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
+def test_queries_reach_workers_without_a_path(tmp_path):
+    """Outside the repository, with nothing but the entry module's own folder known to the driver."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+print("ROWS", e.queries()["byte_pair_tokens"](spark, {SMALL!r}).count(), e.queries()["array_shards"](spark, {SMALL!r}).count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYSPARK_PYTHON": sys.executable, "SPARK_SCALA_VERSION": "2.13", "SPARK_WORKER_DIR": str(tmp_path / "work")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 200 True" in done.stdout, done.stderr[-2000:]
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 def test_bootstrap_has_the_reference_sizes(spark):
     """The bound against brute force over 10,000 replicates of the whole holdout."""
