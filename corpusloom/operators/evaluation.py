@@ -108,3 +108,23 @@ def decision(lcb: str, mu: str, n: str, warned: str, floor: float = 0.0025, marg
         .when(F.col(n) < least_n, "PROMISING_NEEDS_MORE_EVAL")
         .when((F.col(lcb) >= margin) & (F.col(mu) >= preferred_mu), "READY_TO_UPLOAD").otherwise("READY_TO_MERGE")
     )
+
+
+def two_part_holdout(public: DataFrame, private: DataFrame, order: str, ids: str = "ids") -> tuple[DataFrame, int]:
+    """(pos, component, ids) of a public and a private holdout, one after the other, and the number of public rows.
+
+    ``order`` numbers the rows of each part from 0.  An empty private part leaves
+    the public one alone.
+    """
+    n = public.count()  # a holdout of a fixed size
+    first = public.select(F.col(order).cast("long").alias("pos"), F.lit("public").alias("component"), ids)
+    rest = private.select((F.col(order) + n).cast("long").alias("pos"), F.lit("private").alias("component"), ids)
+    return first.unionByName(rest), n
+
+
+def audit_record(spark: SparkSession, diffs: DataFrame, public: int, replicates: int, seed: str, alpha: float, delta: float) -> DataFrame:
+    """One row: the verdict over both parts of a holdout, the means of each, and the settings it rests on."""
+    v = verdict(diffs, bootstrap_means(spark, diffs, "pos", replicates, seed), alpha, delta)
+    parts = component_means(diffs, "pos", public).select("n_public", "mu_public", "mu_private")
+    settings = [F.lit(replicates).cast("long").alias("n_bootstrap"), F.lit(alpha).alias("alpha"), F.lit(delta).alias("delta")]
+    return v.crossJoin(F.broadcast(parts)).select("*", (F.col("n") - F.col("n_public")).alias("n_private"), *settings)  # one row each

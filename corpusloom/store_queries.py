@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from .functions import byte_pairs
 from .jobs.score_cache import ScoreCache, version_of
-from .operators import curriculum, hash_tree, packing, permutation, rules
+from .operators import curriculum, evaluation, hash_tree, packing, permutation, rules, sampling
 from .operators import mixing_buffer as mixing_buffers
 from .operators.scoring import UnigramScorer
-from .queries import END, LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed
+from .queries import END, LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed, r6
 from .sources import array_files, tensor_headers
 from .tables import load, shared_folder, written
 
@@ -269,3 +269,44 @@ def byte_pair_tokens(spark, sf_dir):
     rows = byte_pairs.encoded(load(spark, sf_dir, "documents").select("doc_id", "text"), "text", byte_pairs.from_pieces(MERGES))
     reason = F.coalesce(byte_pairs.vocabulary_reason(F.col("ids"), MODEL_VOCABULARY), F.lit("accepted"))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("digest"), reason.alias("reason"))
+
+
+# Evaluation with two pools --------------------------------------------------
+
+PUBLIC, POOL_ROWS, BOOTSTRAPS = 80, 100, 1000
+
+
+@query(PACK.format(tok=TOK, by="", part="").replace("with tok", "with recursive tok", 1) + f""", n as (select count(*) as n from win),
+{walk_sql("(select n from n)", f"(select least(n, {PUBLIC}) from n)", "public")},
+pub as (select draw as p, index from sample),
+hp as (select doc_id, ids, row_number() over (order by md5('pool:' || doc_id), doc_id) as rk from tok where len(ids) > 0 and source is not null qualify rk <= {POOL_ROWS}),
+pt as (select rk, unnest(list_append(ids, '<end>')) as t, generate_subscripts(list_append(ids, '<end>'), 1) as i from hp), pp as (select t, row_number() over (order by rk, i) - 1 as p from pt),
+priv as (select p // 128 as w, t from pp qualify count(*) over (partition by p // 128) = 128),
+ht as (select p as pos, t from pub join pos on pos.pos // 128 = index union all select w + (select count(*) from pub), t from priv),
+kc as (select t, count(*) as c from (select unnest(ids) as t from tok where lang = 'en') group by t), kt as (select sum(c) as total, count(*) as types from kc),
+cc as (select t, count(*) as c from (select unnest(ids) as t from tok) group by t), ct as (select sum(c) as total, count(*) as types from cc),
+k as (select pos, avg(-ln((coalesce(c, 0) + 1) / (total + types))) as king from ht left join kc using (t), kt group by pos), c as (select pos, avg(-ln((coalesce(c, 0) + 1) / (total + types))) as chall from ht left join cc using (t), ct group by pos),
+dif as (select pos, king, chall, king - chall as diff from k join c using (pos)), m as (select count(*) as n from dif), np as (select count(*) as n_public from pub),
+b as (select r.range as replicate, avg(diff) as mean from range({BOOTSTRAPS}) r, m, (select unnest(range(0, (select n from m))) as slot) s join dif on dif.pos = ('0x' || substr(md5('boot:' || r.range || ':' || s.slot), 1, 15))::bigint % (select n from m) group by 1)
+select m.n::bigint as n, n_public::bigint as n_public, (m.n - n_public)::bigint as n_private, round((select avg(diff) from dif), 6) as mu_hat, round((select avg(diff) from dif where pos < n_public), 6) as mu_public, round((select avg(diff) from dif where pos >= n_public), 6) as mu_private,
+  round((select quantile_cont(mean, 0.01) from b), 6) as lcb, round((select avg(king) from dif), 6) as avg_king_loss, round((select avg(chall) from dif), 6) as avg_challenger_loss, (select quantile_cont(mean, 0.01) from b) > 0.0025 as accepted,
+  (select sha256(string_agg(index::varchar, chr(10) order by p)) from pub) as public_indices_digest, (select sha256(string_agg(doc_id::varchar, chr(10) order by rk)) from hp) as private_pool_digest
+from m, np""")
+def two_pool_evaluation(spark, sf_dir):
+    """Two models on a public part, drawn by index from the packed corpus, and a private part, packed from a pool of its own."""
+    docs = documents(spark, sf_dir, "lang")
+    windows = written(packed(spark, sf_dir))
+    drawn = written(permutation.sample_indices(spark, PUBLIC, windows.count(), "public"))
+    public = windows.join(F.broadcast(drawn), F.col("window_id") == F.col("index")).select(F.col("draw").alias("at"), "ids")  # at most PUBLIC rows
+    pool = written(sampling.take(docs.where("source is not null"), POOL_ROWS, "pool", "doc_id").withColumn("ids", F.concat("ids", F.array(F.lit(END)))))
+    private = packing.pack_windows(pool, LENGTH, "rk", "ids").select(F.col("window_id").alias("at"), "ids")
+    holdout, n_public = evaluation.two_part_holdout(public, private, "at")
+    holdout = written(holdout)
+    losses = lambda model: model.score(holdout, "pos", "ids")
+    king, challenger = losses(UnigramScorer(docs.where("lang = 'en'"), "ids")), losses(UnigramScorer(docs, "ids"))
+    diffs = written(evaluation.paired_differences(king, challenger, "pos"))
+    out = evaluation.audit_record(spark, diffs, n_public, BOOTSTRAPS, "boot", 0.01, 0.0025)
+    listed = lambda df, at, of, name: df.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(at, F.col(of).cast("string").alias("d")))), lambda x: x["d"]), "\n"), 256).alias(name))
+    out = out.crossJoin(F.broadcast(listed(drawn, "draw", "index", "public_indices_digest"))).crossJoin(F.broadcast(listed(pool, "rk", "doc_id", "private_pool_digest")))  # one row each
+    rounded = [r6(c) for c in ("mu_hat", "mu_public", "mu_private", "lcb", "avg_king_loss", "avg_challenger_loss")]
+    return out.select("n", "n_public", "n_private", *rounded, "accepted", "public_indices_digest", "private_pool_digest")

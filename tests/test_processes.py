@@ -128,3 +128,15 @@ def test_two_phases_find_the_winner_of_the_full_sweep(spark):
     assert min(two.values(), key=lambda r: r.place).config == winner
     for c in two:
         assert abs(two[c].mu - diffs[c].mean()) < 1e-12 and two[c].n == n and abs(two[c].low - full[c].low) < 1e-12
+
+
+def test_holdout_of_two_parts(spark):
+    from corpusloom.operators import evaluation
+
+    part = lambda n, x: spark.createDataFrame([(k, [x]) for k in range(n)], "at long, ids array<string>")
+    both, n = evaluation.two_part_holdout(part(3, "a"), part(2, "b"), "at")
+    assert n == 3 and sorted((r.pos, r.component, r.ids) for r in both.collect()) == [(0, "public", ["a"]), (1, "public", ["a"]), (2, "public", ["a"]), (3, "private", ["b"]), (4, "private", ["b"])]
+    assert evaluation.two_part_holdout(part(3, "a"), part(0, "b"), "at")[0].count() == 3
+    diffs = spark.createDataFrame([(k, 2.0, 1.5, 0.5 if k < 3 else -1.0) for k in range(5)], "pos long, king_loss double, challenger_loss double, diff double")
+    r = evaluation.audit_record(spark, diffs, 3, 50, "x", 0.01, 0.0).first()
+    assert (r.n, r.n_public, r.n_private, r.mu_public, r.mu_private, r.n_bootstrap) == (5, 3, 2, 0.5, -1.0, 50) and r.lcb <= r.mu_hat
