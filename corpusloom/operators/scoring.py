@@ -19,6 +19,12 @@ def token_counts(rows: DataFrame, key: str, ids: str) -> DataFrame:
     return rows.select(key, F.explode(ids).alias("tok")).groupBy(key, "tok").agg(F.count("*").alias("k"))
 
 
+def adapted_counts(base: DataFrame, adapter: DataFrame, scale: float) -> DataFrame:
+    """(tok, c): a model's counts with those of an adapter, weighted by ``scale``; the base stays as it is."""
+    more = adapter.select("tok", (F.col("c") * scale).alias("_more"))
+    return base.join(more, "tok", "full").select("tok", (F.coalesce("c", F.lit(0)) + F.coalesce("_more", F.lit(0.0))).alias("c"))
+
+
 class UnigramScorer:
     """Add-one smoothed unigram model of the given rows.
 

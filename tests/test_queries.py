@@ -6,11 +6,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom import parse_queries, queries, record_queries, rule_queries, service_queries, shard_queries, store_queries
+from corpusloom import parse_queries, queries, record_queries, rule_queries, service_queries, shard_queries, store_queries, view_queries
 from corpusloom.tables import NAMES, load
 
 SMALL = "/root/testdata/sf0.001"
-MODULES = (queries, record_queries, service_queries, parse_queries, shard_queries, rule_queries, store_queries)
+MODULES = (queries, record_queries, service_queries, parse_queries, shard_queries, rule_queries, store_queries, view_queries)
 ALL = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 SQL = {k: t for m in MODULES for k, t in m.ORACLE.items()}
 
