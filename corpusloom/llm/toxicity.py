@@ -207,36 +207,63 @@ class BlockMaxIndex:
     """Postings of unit vectors by feature, with the largest weight for each block of examples."""
 
     def __init__(self, rows: list[tuple[list[int], list[int]]], labels: list[int], idf: np.ndarray, ids: list[int] | None = None):
+        sizes = np.array([len(i) for i, _ in rows], np.int64)
+        flat = lambda k, kind: np.concatenate([np.empty(0, kind), *(np.asarray(r[k], kind) for r in rows)])
+        self._build(sizes, flat(0, np.int32), flat(1, np.int64), np.asarray(labels), idf, np.arange(len(rows)) if ids is None else np.asarray(ids))
+
+    @classmethod
+    def of_arrays(cls, sizes: np.ndarray, idx: np.ndarray, tf: np.ndarray, labels: np.ndarray, idf: np.ndarray, ids: np.ndarray) -> BlockMaxIndex:
+        """The same from the examples' features one after another."""
+        new = cls.__new__(cls)
+        new._build(sizes, idx, tf, labels, idf, ids)
+        return new
+
+    def _build(self, sizes: np.ndarray, feature: np.ndarray, tf: np.ndarray, labels: np.ndarray, idf: np.ndarray, ids: np.ndarray) -> None:
+        """Arrays take the narrowest type that holds them, and go as soon as they are used: each worker of an executor builds its own."""
         self.idf = idf
-        unit = [self.weigh(np.asarray(i, np.int64), np.asarray(t, float)) for i, t in rows]
-        full = [k for k, w in enumerate(unit) if len(w)]
-        empty = [labels[k] for k in range(len(rows)) if not len(unit[k])]
-        self.labels = np.array([labels[k] for k in full], float)
-        self.ids = np.array([k if ids is None else ids[k] for k in full], np.int64)
-        self.prior = (sum(empty) + 1.0) / (len(empty) + 20.0)
-        feature = np.concatenate([np.asarray(rows[k][0], np.int32) for k in full]) if full else np.empty(0, np.int32)
-        example = np.repeat(np.arange(len(full), dtype=np.int32), [len(unit[k]) for k in full])
-        weight = np.concatenate([unit[k] for k in full]) if full else np.empty(0)
-        del unit
+        full = np.flatnonzero(sizes)
+        empty = labels[sizes == 0]
+        self.labels, self.ids = labels[full].astype(float), ids[full].astype(np.int64)
+        self.prior = (float(empty.sum()) + 1.0) / (len(empty) + 20.0)
+        sizes = sizes[full]
+        n = len(full)
+        narrow = np.min_scalar_type(max(1, n))
+        weight = np.log(tf, dtype=float)
+        weight += 1
+        weight *= idf[feature]
+        if n:
+            starts = np.cumsum(sizes) - sizes
+            norms = np.sqrt(np.add.reduceat(weight * weight, starts))
+            weight /= np.repeat(norms, sizes)
         # Examples rise already, so a stable order by feature orders both.
-        order = np.argsort(feature, kind="stable")
-        self.example, self.weight, feature = example[order], weight[order], feature[order]
-        del example, weight, order
-        self.blocks = max(1, -(-len(full) // BLOCK))
+        order = np.argsort(feature, kind="stable").astype(np.int32)
+        feature = feature[order]
+        self.weight = weight[order]
+        del weight
+        self.example = np.repeat(np.arange(n, dtype=narrow), sizes)[order]
+        del order
+        self.blocks = max(1, -(-n // BLOCK))
         self.at = np.searchsorted(feature, np.arange(len(idf) + 1))
-        block = self.example // np.int32(BLOCK)
+        block = self.example // np.array(BLOCK, narrow)
         # Cells are the stretches of one feature and one block.
-        first = np.flatnonzero(np.concatenate([[True], (feature[1:] != feature[:-1]) | (block[1:] != block[:-1])])) if len(block) else np.empty(0, np.int64)
+        edge = np.ones(len(block), bool)
+        edge[1:] = (feature[1:] != feature[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(edge)
+        del edge
         self.cell_block, cell_feature = block[first], feature[first]
         del block, feature
         self.peak = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
-        self.first = np.append(first, len(self.weight)).astype(np.int32)
+        # Rounded up, so that a bound stays one.
+        self.peak = np.nextafter(self.peak.astype(np.float32), np.float32(np.inf))
+        self.first = np.empty(len(first) + 1, np.int32)
+        self.first[:-1], self.first[-1] = first, len(self.weight)
+        del first
         self.of_feature = np.searchsorted(cell_feature, np.arange(len(idf) + 1))
         # The commonest features as full rows over the examples.
         common = np.argsort(-np.diff(self.at), kind="stable")[:FULL]
-        self.row = np.full(len(idf), -1)
+        self.row = np.full(len(idf), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        self.full = np.zeros((len(common), len(full)))
+        self.full = np.zeros((len(common), n))
         for k, f in enumerate(common):
             here = slice(self.at[f], self.at[f + 1])
             self.full[k, self.example[here]] = self.weight[here]
@@ -263,7 +290,7 @@ class BlockMaxIndex:
             score = np.zeros(BLOCK)
             for c, x in zip(at[starts[b] : starts[b + 1]], w[starts[b] : starts[b + 1]]):
                 s, e = self.first[c], self.first[c + 1]
-                score[self.example[s:e] - b * BLOCK] += x * self.weight[s:e]
+                score[self.example[s:e].astype(np.int64) - b * BLOCK] += x * self.weight[s:e]
             hit = np.flatnonzero(score)
             who, cos = np.append(who, hit + b * BLOCK), np.append(cos, score[hit])
             if len(cos) > k:
@@ -357,10 +384,9 @@ class Examples:
 
     @cached_property
     def index(self) -> BlockMaxIndex:
-        ends = np.cumsum(self.size)[:-1]
-        rows = list(zip(np.split(self.idx, ends), np.split(self.tf, ends))) if len(self.size) else []
+        idx, tf = self.idx, self.tf
         self.idx = self.tf = None  # the worker's copy, which the index takes the place of
-        return BlockMaxIndex(rows, self.labels, self.idf, self.ids)
+        return BlockMaxIndex.of_arrays(self.size, idx, tf, np.array(self.labels), self.idf, np.array(self.ids))
 
 
 def best_weight(texts: DataFrame, shared, fitted: Fitted, idf: np.ndarray) -> float:
