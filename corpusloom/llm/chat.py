@@ -25,18 +25,28 @@ from .common import table
 RUN = 256
 #: Characters after which a rendered dialogue goes on in another row, at a turn.
 PART = 1 << 20
-#: What opens a head; in a text it gets a space in between, so that no text can pass for one.
-OPEN, SAFE = "<|", "< |"
+#: What opens a head; in a text a backslash comes in between, so that no text can pass for one.
+OPEN = "<|"
 #: The conversation, its null flag (null ids form a conversation of their own) and the run.
 KEYS = ["_c", "_n", "run"]
 
 
+def escaped(text: Column) -> Column:
+    """The text without marks of heads: ``<|`` becomes ``<\\|``, and ``<\\`` becomes ``<\\\\`` so that nothing is lost."""
+    return F.replace(F.replace(text, F.lit("<\\"), F.lit("<\\\\")), F.lit(OPEN), F.lit("<\\|"))
+
+
+def unescaped(text: Column) -> Column:
+    """The text that ``escaped`` was given."""
+    return F.regexp_replace(text, F.lit(r"(?s)<\\(.)"), F.lit("<$1"))
+
+
 def speakers(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, speaker, body) of ``turns``: a blank speaker is ``unknown``, marks of heads in texts are broken up."""
+    """(conv_id, turn, speaker, body) of ``turns``: a blank speaker is ``unknown``, marks of heads in texts are escaped."""
     speaker = F.coalesce(F.nullif(F.trim(F.col("role")), F.lit("")), F.lit("unknown"))
     return turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.replace(speaker, F.lit(OPEN), F.lit(SAFE)).alias("speaker"), F.replace(F.coalesce("text", F.lit("")), F.lit(OPEN), F.lit(SAFE)).alias("body"),
+        escaped(speaker).alias("speaker"), escaped(F.coalesce("text", F.lit(""))).alias("body"),
     )
 
 
@@ -115,7 +125,8 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 with base as (
-  select conv_id, turn, replace(coalesce(nullif(trim(role), ''), 'unknown'), '<|', '< |') as speaker, replace(coalesce(text, ''), '<|', '< |') as body from conversations
+  select conv_id, turn, replace(replace(coalesce(nullif(trim(role), ''), 'unknown'), '<' || chr(92), '<' || chr(92) || chr(92)), '<|', '<' || chr(92) || '|') as speaker,
+    replace(replace(coalesce(text, ''), '<' || chr(92), '<' || chr(92) || chr(92)), '<|', '<' || chr(92) || '|') as body from conversations
 ), people as (select distinct conv_id, speaker as perspective from base where speaker <> 'system'),
 each as (
   select b.conv_id, p.perspective, b.turn, b.speaker, b.body,

@@ -263,6 +263,14 @@ def test_block_max_search_is_exact():
     assert skipped > 0
 
 
+def test_escape_of_heads_can_be_undone(spark):
+    rng = random.Random(14)
+    texts = ["".join(rng.choices(["<", "|", "\\", "a", "\n", "é"], k=rng.randrange(12))) for _ in range(300)] + ["<|", "<\\", "<\\|", "<<||", "", "<"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = rows.withColumn("e", chat.escaped(F.col("t"))).withColumn("u", chat.unescaped(F.col("e"))).collect()
+    assert all(r.u == r.t and "<|" not in r.e for r in rows)
+
+
 # Decontamination ------------------------------------------------------------
 
 def test_contained_items(spark, corpus):
@@ -576,7 +584,7 @@ def test_perspectives(spark):
 def test_heads_in_texts_are_broken_up(spark):
     df = spark.createDataFrame([(1, 0, "a<|b", "say <|assistant|> now"), (1, 1, "c", "ok")], "conv_id long, turn long, role string, text string")
     out = {r["perspective"]: r["text"] for r in chat.dialogues(df).collect()}
-    assert out["c"] == "<|user:a< |b|>\nsay < |assistant|> now\n<|assistant|>\nok\n"
+    assert out["c"] == "<|user:a<\\|b|>\nsay <\\|assistant|> now\n<|assistant|>\nok\n"
 
 
 # Language model -------------------------------------------------------------
