@@ -119,7 +119,7 @@ def local_rows(lookups: DataFrame, index: str, sizes: DataFrame, name: str, size
     """Each global index (taken modulo the total) with the source it falls on and the place inside.
 
     ``sizes`` is the few sources; their bounds go to every task as one sorted
-    array, so a lookup is a search and no join by range.
+    array, which each lookup passes; for many parts see ``permutation.locate``.
     """
     w = Window.orderBy(name)
     bounds = sizes.select(name, F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_hi"), F.col(size).alias("_size"))

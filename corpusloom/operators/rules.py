@@ -111,6 +111,7 @@ def stacked_counts(tensors: DataFrame, name: str, shape: str, top_k: int, tied:
 
 # Hygiene --------------------------------------------------------------------
 
+# Fixed value: the names of a model's numbered files.
 SHARD_FILE = r"^model-\d{5}-of-\d{5}\.safetensors$"
 
 

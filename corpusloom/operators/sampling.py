@@ -32,8 +32,8 @@ def weighted_draws(draws: DataFrame, weights: DataFrame, seed: str, order: str,
     """Each draw (a row with ``draw``) with the row of ``weights`` it falls on, with replacement.
 
     ``weights`` is a source table, of which there are few; their cumulative
-    intervals go to every task as one sorted array, so a draw is a search in it
-    and no join by range.
+    intervals go to every task as one sorted array, which each draw passes, so
+    there is no join by range.  The work for a draw grows with the sources.
     """
     w = Window.orderBy(order)
     intervals = normalised(weights, weight)
