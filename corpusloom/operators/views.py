@@ -22,7 +22,7 @@ def recent(rows: DataFrame, by: str, order: list[Column], most: int = RECENT) ->
 def payouts(rows: DataFrame, per_block: str, price: Column, rate: Column) -> DataFrame:
     """Adds what a key earns an hour in its own unit, in the chain's and in money; unknown emissions count as 0."""
     hour = F.coalesce(per_block, F.lit(0.0)) * BLOCKS_PER_HOUR
-    return rows.select("*", F.round(hour, 6).alias("per_hour"), F.round(hour * price, 6).alias("chain_per_hour"), F.round(hour * price * rate, 4).alias("money_per_hour"))
+    return rows.select("*", F.round(hour, 6).alias("per_hour"), F.round(hour * price, 8).alias("chain_per_hour"), F.round(hour * price * rate, 8).alias("money_per_hour"))
 
 
 def bench_row(scores: DataFrame, run: str, task: str, score: str) -> DataFrame:

@@ -30,11 +30,11 @@ def recent_verdicts(spark, sf_dir):
     return out.select("o_custkey", "o_orderkey", "hotkey", "verdict", F.col("place").cast("long").alias("place"))
 
 
-@query("""with p as (select avg(p_retailprice) / 1000 as price from part), e as (select s_suppkey, case when s_suppkey % 7 <> 0 then s_acctbal / 1000 end as b from supplier)
-  select s_suppkey, round(coalesce(b, 0) * 300, 6) as per_hour, round(coalesce(b, 0) * 300 * price, 6) as chain_per_hour, round(coalesce(b, 0) * 300 * price * 250, 4) as money_per_hour from e, p""")
+@query("""with p as (select round(avg(p_retailprice), 2) / 1000 as price from part), e as (select s_suppkey, case when s_suppkey % 7 <> 0 then s_acctbal / 1000 end as b from supplier)
+  select s_suppkey, round(coalesce(b, 0) * 300, 6) as per_hour, round(coalesce(b, 0) * 300 * price, 8) as chain_per_hour, round(coalesce(b, 0) * 300 * price * 250, 8) as money_per_hour from e, p""")
 def payout_projection(spark, sf_dir):
     """What each key earns an hour, at the market's price."""
-    price = load(spark, sf_dir, "part").agg((F.avg("p_retailprice") / 1000).alias("price"))
+    price = load(spark, sf_dir, "part").agg((F.round(F.avg("p_retailprice"), 2) / 1000).alias("price"))
     rows = load(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal") / 1000).alias("b")).crossJoin(F.broadcast(price))  # one row
     return views.payouts(rows, "b", F.col("price"), F.lit(250)).drop("b", "price")
 
