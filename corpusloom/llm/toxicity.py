@@ -32,7 +32,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import durable, held_out, table, written
@@ -91,16 +91,6 @@ def _class_counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("feature").agg(of(1).alias("n1"), of(0).alias("n0"), F.max("whole").alias("whole"))
 
 
-def marks_of(n1: np.ndarray, n0: np.ndarray, t1: int, t0: int) -> np.ndarray:
-    """Which features lie beyond chance in the toxic class, from their counts and the sizes of the classes."""
-    if not t1 or not t0:
-        return np.zeros(len(n1), bool)
-    p1, p0 = n1 / t1, (n0 + 0.5) / (t0 + 1)
-    pooled = (n1 + n0 + 0.5) / (t1 + t0)
-    z = (p1 - p0) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)) * (1 / t1 + 1 / t0))
-    return (n1 >= LEAST_TEXTS) & (z >= LEAST_Z) & (p1 >= LEAST_RATIO * p0)
-
-
 @dataclass(frozen=True)
 class Fitted:
     """Sorted hashes of the features, whether each is a word, and which mark the toxic class: in the whole sample, and in it without each fold."""
@@ -123,16 +113,30 @@ def fit_vocabulary(sample: DataFrame) -> Fitted:
     empty = np.empty(0, bool)
     if not t1.sum() or not t0.sum():
         return Fitted(np.empty(0, U64), empty, empty, [empty] * FOLDS)
-    often = F.aggregate("n1", F.lit(0).cast("long"), lambda x, n: x + n) >= LEAST_TEXTS
-    found = _class_counts(sample).where((F.col("whole") == 1) | often).toArrow()  # the different words of ``sample`` rows
-    feature = found.column("feature").to_numpy().view(U64)
-    n1, n0 = (pc.list_flatten(found.column(c)).to_numpy().reshape(-1, FOLDS) for c in ("n1", "n0"))
-    marks = marks_of(n1.sum(axis=1), n0.sum(axis=1), t1.sum(), t0.sum())
-    without = [marks_of(n1.sum(axis=1) - n1[:, k], n0.sum(axis=1) - n0[:, k], t1.sum() - t1[k], t0.sum() - t0[k]) for k in range(FOLDS)]
-    word = found.column("whole").to_numpy() == 1
-    kept = np.flatnonzero(word | marks | np.any(without, axis=0))
-    kept = kept[np.argsort(feature[kept])]
-    return Fitted(feature[kept], word[kept], marks[kept], [w[kept] for w in without])
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda x, n: x + n)
+    all1, all0 = total("n1"), total("n0")
+    marks = [_marks(all1, all0, int(t1.sum()), int(t0.sum()))]
+    marks += [_marks(all1 - F.col("n1")[k], all0 - F.col("n0")[k], int(t1.sum() - t1[k]), int(t0.sum() - t0[k])) for k in range(FOLDS)]
+    # One bit for being a word and one for each way of marking; the counts stay in the tasks.
+    bits = F.col("whole").cast("int")
+    for k, m in enumerate(marks, 1):
+        bits = bits + F.when(m, 1 << k).otherwise(0)
+    found = _class_counts(sample).select("feature", bits.alias("bits")).where("bits > 0").toArrow()  # the different words of ``sample`` rows
+    feature, of = found.column("feature").to_numpy().view(U64), found.column("bits").to_numpy()
+    order = np.argsort(feature)
+    feature, of = feature[order], of[order]
+    has = [of >> k & 1 == 1 for k in range(FOLDS + 2)]
+    return Fitted(feature, has[0], has[1], has[2:])
+
+
+def _marks(n1: Column, n0: Column, t1: int, t0: int) -> Column:
+    """Which features lie beyond chance in the toxic class, from their counts and the sizes of the classes."""
+    if not t1 or not t0:
+        return F.lit(False)
+    p1, p0 = n1 / F.lit(float(t1)), (n0 + 0.5) / F.lit(float(t0 + 1))
+    pooled = (n1 + n0 + 0.5) / F.lit(float(t1 + t0))
+    z = (p1 - p0) / F.sqrt(pooled * (1 - F.least(pooled, F.lit(0.999))) * F.lit(1 / t1 + 1 / t0))
+    return (n1 >= LEAST_TEXTS) & (z >= LEAST_Z) & (p1 >= LEAST_RATIO * p0)
 
 
 class Vocabulary:

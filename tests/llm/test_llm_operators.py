@@ -236,7 +236,10 @@ def test_weight_is_chosen_inside_the_training_rows(spark):
         t1 = sum(y for _, y in bags)
         n1 = np.array([sum(f in b for b, y in bags if y) for f in map(int, fitted.known)])
         n0 = np.array([sum(f in b for b, y in bags if not y) for f in map(int, fitted.known)])
-        want = toxicity.marks_of(n1, n0, t1, len(bags) - t1)
+        t0 = len(bags) - t1
+        p1, p0, pooled = n1 / t1, (n0 + 0.5) / (t0 + 1), (n1 + n0 + 0.5) / (t1 + t0)
+        z = (p1 - p0) / np.sqrt(pooled * (1 - np.minimum(pooled, 0.999)) * (1 / t1 + 1 / t0))
+        want = (n1 >= toxicity.LEAST_TEXTS) & (z >= toxicity.LEAST_Z) & (p1 >= toxicity.LEAST_RATIO * p0)
         assert (want == (fitted.marks if k is None else fitted.without[k])).all() and want.any()
 
 
