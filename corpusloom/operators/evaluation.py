@@ -40,7 +40,8 @@ def weighted_bootstrap_means(spark: SparkSession, diffs: DataFrame, replicates:
     # A range join by grid cell: a draw meets only the differences whose interval touches its cell.
     cells = 1024
     grid = diffs.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * cells), F.floor(F.least(F.col("hi"), F.lit(0.9999999)) * cells))))
-    hit = slots.withColumn("cell", F.floor(F.col("u") * cells)).join(grid, "cell").where("u >= lo and u < hi")
+    # The holdout is broadcast by name: the planner takes the slots, which it sees before they are exploded, for the smaller side.
+    hit = slots.withColumn("cell", F.floor(F.col("u") * cells)).join(F.broadcast(grid), "cell").where("u >= lo and u < hi")
     return hit.groupBy("replicate").agg(F.avg("diff").alias("mean"))
 
 
