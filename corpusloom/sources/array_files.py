@@ -2,7 +2,8 @@
 
 Reading.  Partitions are planned from the headers alone: a file of any size is cut
 into ranges of rows of about ``partition_bytes``, so a shard of several gigabytes
-is read by several tasks, and each reads only its bytes.  Filters on ``shard_key``
+is read by several tasks, and each reads only its bytes; many small files share
+tasks, so that their number grows with the bytes.  Filters on ``shard_key``
 and ``row_idx`` reach the plan: files and rows outside them are never opened or read.
 
 Writing.  Every task writes its shards under a temporary name of the job and tells
@@ -20,12 +21,13 @@ import json
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
@@ -132,6 +134,36 @@ class Rows(InputPartition):
         super().__init__((self.file.key, self.low))
 
 
+@dataclass
+class ManyRows(InputPartition):
+    """Ranges of several files that one task reads."""
+
+    parts: list[Rows]
+
+    def __post_init__(self) -> None:
+        super().__init__((self.parts[0].file.key, self.parts[0].low))
+
+
+#: As many ranges as this have tasks of their own; opening a file counts as so many bytes.
+SINGLE, OPENING = 256, 64 << 10
+
+
+def grouped(parts: list[Rows], most: int) -> list[InputPartition]:
+    """Ranges, in order, put together up to about ``most`` bytes; a few stay alone."""
+    if len(parts) <= SINGLE:
+        return list(parts)
+    out: list[list[Rows]] = []
+    held = most
+    for p in parts:
+        cost = (p.high - p.low) * p.file.length * KINDS[p.file.kind] + OPENING
+        if held + cost > most:
+            out.append([])
+            held = 0
+        out[-1].append(p)
+        held += cost
+    return [p[0] if len(p) == 1 else ManyRows(p) for p in out]
+
+
 def batch_of(key: str, first: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     n, width = rows.shape
     ids = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(width)), pa.array(rows.ravel()))
@@ -172,11 +204,11 @@ class ArrayReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         store, path = store_of(self.path)
-        out: list[InputPartition] = []
-        for info in listed(store, path):
-            if self.keys is not None and info.path not in self.keys:
-                continue
-            file = ArrayFile.of(store, info.path, info.size, self.length, self.kinds)
+        out: list[Rows] = []
+        wanted_files = [f for f in listed(store, path) if self.keys is None or f.path in self.keys]
+        with ThreadPoolExecutor(16) as pool:  # waits for headers
+            files = list(pool.map(lambda f: ArrayFile.of(store, f.path, f.size, self.length, self.kinds), wanted_files))
+        for file in files:
             step = max(1, self.partition_bytes // max(1, file.length * KINDS[file.kind]))
             low, high = max(0, self.low), min(file.rows, self.high)
             if self.only is not None:
@@ -185,12 +217,16 @@ class ArrayReader(DataSourceReader):
                 out += [Rows(file, a, b + 1) for a, b in joined(wanted, GAP, step)]
             else:
                 out += [Rows(file, at, min(at + step, high)) for at in range(low, high, step)]
-        return out
+        return grouped(out, self.partition_bytes)
 
-    def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Rows | ManyRows | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no file or no row is left
             return
         store, _ = store_of(self.path)
+        for part in partition.parts if isinstance(partition, ManyRows) else [partition]:
+            yield from self._read(store, part)
+
+    def _read(self, store: fs.FileSystem, partition: Rows) -> Iterator[pa.RecordBatch]:
         file = partition.file
         step = max(1, self.batch_bytes // max(1, file.length * KINDS[file.kind]))
         with store.open_input_file(file.key) as f:
@@ -294,10 +330,10 @@ class ArrayWriter(DataSourceArrowWriter):
             self.abort(messages)
             raise ValueError(f"shards are there already: {sorted(before.keys() & entries.keys())[:3]}")
         gone = [e["key"] for e in read_shard_list(store, path)] if self.overwrite else []
-        for name, entry in files:
-            target = f"{path}/{entry['key']}"
-            store.create_dir(target.rsplit("/", 1)[0])
-            store.move(name, target)
+        for folder in {f"{path}/{e['key']}".rsplit("/", 1)[0] for _, e in files}:
+            store.create_dir(folder)
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda f: store.move(f[0], f"{path}/{f[1]['key']}"), files))
         everything = sorted({**before, **entries}.values(), key=lambda e: (e["split"] != "train", e["split"], e["shard"]))
         put_whole(store, f"{path}/{self.job}/manifest.json", f"{path}/manifest.json", manifest_of(everything, self.length))
         for key in gone:
@@ -377,12 +413,13 @@ def write_arrays(windows: DataFrame, path: str, length: int, mode: str = "append
     """Writes (split, shard, window_id, ids) as one array file for each shard and a manifest with digests.
 
     Rows of a shard are in the order of window_id.  Shards are dealt over tasks;
-    one task holds no more of a shard than a batch.  An empty table writes an
-    empty manifest; null tokens are an error.
+    one task holds no more of a shard than a batch, and what Spark's windows keep
+    in memory before they spill.  Rows are made and shuffled once.  An empty table
+    writes an empty manifest; null tokens are an error.
     """
-    sized = windows.groupBy("split", "shard").agg(F.count("*").alias("shard_rows"), F.min("window_id").alias("_first"))
-    rows = windows.select("split", "shard", "window_id", "ids").join(sized, ["split", "shard"])
-    placed = rows.repartition("split", "shard").sortWithinPartitions("split", "shard", "window_id").select(
+    whole = Window.partitionBy("split", "shard").orderBy("window_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = windows.select("split", "shard", "window_id", "ids", F.count("*").over(whole).alias("shard_rows"), F.first("window_id").over(whole).alias("_first"))
+    placed = rows.sortWithinPartitions("split", "shard", "window_id").select(
         "split", F.col("shard").cast("long").alias("shard"), (F.col("window_id") - F.col("_first")).alias("row_idx"), "shard_rows",
         F.col("ids").cast("array<int>").alias("input_ids"),
     )
@@ -424,13 +461,27 @@ def fetch_rows(wanted: DataFrame, path: str, length: int | None = None, gap: int
     return distinct.repartitionByRange("shard_key", "row_idx").sortWithinPartitions("shard_key", "row_idx").mapInArrow(batches, SCHEMA)
 
 
+#: The fields of a manifest's entries that are read here.
+ENTRY = "key string, split string, rows long, num_sequences long, num_tokens long, dtype string, bytes long, sha256 string"
+
+
+def manifest_entries(spark: SparkSession, path: str) -> DataFrame:
+    """(s): a struct for each entry of the manifest; none without a manifest.  Other fields are passed over as they are read."""
+    store, base = store_of(path.rstrip("/"))
+    if not store.get_file_info(f"{base}/manifest.json").is_file:
+        return spark.createDataFrame([], f"s struct<{ENTRY}>")
+    listed = spark.read.schema(f"shards array<struct<{ENTRY}>>").option("multiLine", "true").json(f"{path.rstrip('/')}/manifest.json")
+    return listed.select(F.explode("shards").alias("s"))
+
+
 def verify_arrays(spark: SparkSession, path: str, length: int) -> DataFrame:
     """(key, split, error) of each shard of the manifest: file missing, unreadable, dimensions, width, rows, kind, bytes or digest; null if sound.
 
-    Digests are taken in tasks, one shard at a time; only entries of the manifest pass the driver.
+    Digests are taken in tasks, one shard at a time; many small shards share a task.
+    The manifest is read by Spark, entry by entry.
     """
-    store, base = store_of(path.rstrip("/"))
-    entries = [json.dumps(e) for e in read_shard_list(store, base)]
+    _, base = store_of(path.rstrip("/"))
+    entries = manifest_entries(spark, path).select(F.to_json("s").alias("entry"))
 
     def check(raw: str) -> str | None:
         e = json.loads(raw)
@@ -472,5 +523,6 @@ def verify_arrays(spark: SparkSession, path: str, length: int) -> DataFrame:
                 ["key", "split", "error"],
             )
 
-    listing = spark.createDataFrame([(e,) for e in entries], "entry string").repartition(max(1, len(entries)))
-    return listing.mapInArrow(batches, "key string, split string, error string")
+    n = entries.count()
+    tasks = max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, n // 1000)))
+    return entries.repartition(tasks).mapInArrow(batches, "key string, split string, error string")

@@ -76,8 +76,7 @@ def array_row_range(spark, sf_dir):
 def array_manifest(spark, sf_dir):
     """The manifest that the sink commits, each shard verified against header, size and digest."""
     path = written_shards(spark, sf_dir)
-    listed = spark.read.option("multiLine", "true").json(f"{path}/manifest.json").select(F.explode("shards").alias("s"))
-    entries = listed.select("s.key", "s.rows", F.col("s.num_tokens").alias("n_tokens"))
+    entries = array_files.manifest_entries(spark, path).select("s.key", "s.rows", F.col("s.num_tokens").alias("n_tokens"))
     return entries.join(array_files.verify_arrays(spark, path, LENGTH), "key").select("key", "split", "rows", "n_tokens", "error")
 
 
@@ -110,8 +109,7 @@ def keyed_sample(spark, sf_dir):
 
 
 def manifest_counts(spark: SparkSession, path: str) -> DataFrame:
-    listed = spark.read.option("multiLine", "true").json(f"{path}/manifest.json").select(F.explode("shards").alias("s"))
-    return listed.select(F.col("s.key").alias("shard_key"), F.col("s.rows").cast("long").alias("n"))
+    return array_files.manifest_entries(spark, path).select(F.col("s.key").alias("shard_key"), F.col("s.rows").cast("long").alias("n"))
 
 
 @query(ARRAYS.replace("with ", "with recursive ", 1) + f""", n as (select shard_key, count(*) as n from rows group by 1),

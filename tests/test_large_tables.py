@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evaluation
+from corpusloom.sources import array_files
 
 
 def test_weighted_bootstrap_broadcasts_the_holdout_and_not_the_draws(spark):
@@ -13,3 +14,16 @@ def test_weighted_bootstrap_broadcasts_the_holdout_and_not_the_draws(spark):
     diffs = rows.join(spark.range(10**9).select(F.col("id").alias("k")), "k").select("diff", "lo", "hi")
     plan = evaluation.weighted_bootstrap_means(spark, diffs, 1000, "s")._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"Join Inner, .*cell.*rightHint=\(strategy=broadcast\)", plan)
+
+
+def test_many_small_shards_share_tasks(spark, tmp_path):
+    """A task for each file of a few kilobytes took longer than all else."""
+    rows = spark.range(1200).select(F.when(F.col("id") < 400, "train").otherwise("eval").alias("split"), F.floor(F.col("id") / 2).alias("shard"), F.col("id").alias("window_id"), F.array(F.col("id").cast("int"), F.lit(7)).alias("ids"))
+    path = str(tmp_path / "arrays")
+    array_files.write_arrays(rows, path, 2)
+    df = array_files.read_arrays(spark, path)
+    assert df.rdd.getNumPartitions() == 1
+    assert sorted((r.shard_key.rsplit("_", 1)[1], r.row_idx, r.input_ids) for r in df.collect()) == [(f"{k // 2:06d}.npy", k % 2, [k, 7]) for k in range(1200)]
+    assert sorted(r.input_ids[0] for r in df.where("row_idx = 1").collect()) == list(range(1, 1200, 2))
+    checked = array_files.verify_arrays(spark, path, 2)
+    assert checked.rdd.getNumPartitions() < 100 and {r.error for r in checked.collect()} == {None} and checked.count() == 600
