@@ -15,7 +15,10 @@ BUCKETS = ("general", "hard", "easy", "suspicious")
 
 def scored_rows(rows: DataFrame, key: str, ids: str = "ids", scorer: Scorer | None = None) -> DataFrame:
     """``rows`` that have tokens, with loss, unique_r, rep_r and rep_ng4."""
-    losses = (scorer or UnigramScorer(rows, ids, key)).score(rows, key, ids)
+    scorer = scorer or UnigramScorer(rows, ids)
+    if isinstance(scorer, UnigramScorer):
+        return scorer.score_measured(rows, key, ids)
+    losses = scorer.score(rows, key, ids)
     measured = rows.select(
         *(c for c in rows.columns if c != ids),
         unique_ratio(F.col(ids)).alias("unique_r"), repeat_ratio(F.col(ids)).alias("rep_r"), ngram_repeat_ratio(F.col(ids)).alias("rep_ng4"),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import written
+from .token_tables import MEASURES, PART, UNIT, token_rows, word_counts
+
 
 class Scorer(Protocol):
     """Anything that turns (key, ids) into (key, loss)."""
@@ -25,41 +28,57 @@ def adapted_counts(base: DataFrame, adapter: DataFrame, scale: float) -> DataFra
     return base.join(more, "tok", "full").select("tok", (F.coalesce("c", F.lit(0)) + F.coalesce("_more", F.lit(0.0))).alias("c"))
 
 
+#: Tokens that make up more than 1 / FREQUENT of a fitted text, at most so many, are looked up in the tasks; the others are joined.
+FREQUENT = 200_000
+
+
 class UnigramScorer:
     """Add-one smoothed unigram model of the given rows.
 
-    With ``key``, counts come from the counts by row, which scoring the same
-    rows then shares: texts are tokenized and shuffled once.
+    Counts are written once.  Sums of logarithms are whole numbers, so a loss does
+    not depend on the order of its parts, and equal texts have equal losses.
     """
 
-    def __init__(self, fitted_on: DataFrame, ids: str, key: str | None = None):
-        self.fitted_on, self.key = fitted_on, key
-        self.per = token_counts(fitted_on, key, ids) if key else None
-        if self.per is None:
-            self.counts = fitted_on.select(F.explode(ids).alias("tok")).groupBy("tok").agg(F.count("*").alias("c"))
-        else:
-            self.counts = self.per.groupBy("tok").agg(F.sum("k").alias("c"))
-        self.totals = self.counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
+    def __init__(self, fitted_on: DataFrame, ids: str):
+        self._set(written(word_counts(fitted_on, ids)))
+        total = self.totals.first()["total"] or 0
+        self.frequent = self.counts.where((F.col("c") * FREQUENT >= total) & F.col("tok").isNotNull()).toArrow()  # at most FREQUENT
 
     @classmethod
     def of_counts(cls, counts: DataFrame) -> UnigramScorer:
         """A model of (tok, c)."""
         new = cls.__new__(cls)
-        new.fitted_on = new.key = new.per = None
-        new.counts = counts
-        new.totals = counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
+        new._set(counts)
         return new
 
+    def _set(self, counts: DataFrame) -> None:
+        self.counts, self.frequent = counts, None
+        self.totals = counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
+
+    def _joined(self, rows: DataFrame, key: str, ids: str, measured: bool) -> DataFrame:
+        """(key, head, high, low): the rows of tokens with the parts of k log(c + 1); tokens that the model has not seen add 0."""
+        whole = F.rint(F.log(F.col("c").cast("double") + 1) * UNIT).cast("long")
+        parts = self.counts.select("tok", F.shiftright(whole, PART.bit_length() - 1).alias("_h"), whole.bitwiseAND(F.lit(PART - 1)).alias("_l"))
+        per = token_rows(rows, key, ids, self.frequent, measured).join(parts, "tok", "left")
+        return per.select(key, "head", (F.col("k") * F.col("_h")).alias("high"), (F.col("k") * F.col("_l")).alias("low"))
+
+    def _losses(self, per: DataFrame, key: str, *heads: Column) -> DataFrame:
+        def add(part: str) -> Column:
+            return F.coalesce(F.sum(F.coalesce(f"head.{part}", part)), F.lit(0))
+
+        sums = per.groupBy(key).agg(F.sum("head.n").alias("n_pos"), add("high").alias("_high"), add("low").alias("_low"), *heads).where("n_pos > 0")
+        logs = F.col("_high") / (UNIT // PART) + F.col("_low") / UNIT
+        loss = F.log(F.col("total") + F.col("types")) - logs / F.col("n_pos")
+        return sums.crossJoin(F.broadcast(self.totals)).withColumn("loss", loss)  # one row
+
     def score(self, rows: DataFrame, key: str, ids: str) -> DataFrame:
-        """(key, loss, n_pos, n_types): mean negative log likelihood, in nats, of rows with tokens."""
-        per = self.per if rows is self.fitted_on and key == self.key else token_counts(rows, key, ids)
-        per = per.join(self.counts, "tok", "left")
-        nll = -F.log((F.coalesce("c", F.lit(0)) + 1) / (F.col("total") + F.col("types")))
-        return (
-            per.crossJoin(F.broadcast(self.totals))  # one row
-            .groupBy(key)
-            .agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"), F.sum("k").alias("n_pos"), F.count("*").alias("n_types"))
-        )
+        """(key, loss, n_pos): mean negative log likelihood, in nats, of rows with tokens."""
+        return self._losses(self._joined(rows, key, ids, False), key).select(key, "loss", "n_pos")
+
+    def score_measured(self, rows: DataFrame, key: str, ids: str) -> DataFrame:
+        """``rows`` that have tokens, without these, with loss, unique_r, rep_r and rep_ng4: all from one reading of the rows."""
+        out = self._losses(self._joined(rows, key, ids, True), key, F.collect_list("head").alias("_heads"))
+        return out.select("loss", F.explode("_heads").alias("h")).where("h.n > 0").select("h.row.*", "loss", *(f"h.{m}" for m in MEASURES))
 
 
 class BigramScorer:

@@ -1,10 +1,13 @@
 """What keeps queries within their limits on large tables: which side is broadcast, how many tasks, how texts are counted."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluation
+from corpusloom.functions.tokens import ngram_repeat_ratio, repeat_ratio, unique_ratio
+from corpusloom.operators import curriculum, evaluation
+from corpusloom.operators.scoring import UnigramScorer
 from corpusloom.sources import array_files
 
 
@@ -27,3 +30,27 @@ def test_many_small_shards_share_tasks(spark, tmp_path):
     assert sorted(r.input_ids[0] for r in df.where("row_idx = 1").collect()) == list(range(1, 1200, 2))
     checked = array_files.verify_arrays(spark, path, 2)
     assert checked.rdd.getNumPartitions() < 100 and {r.error for r in checked.collect()} == {None} and checked.count() == 600
+
+
+def test_equal_texts_have_equal_losses(spark):
+    """Sums of doubles in the order of a shuffle told copies apart, which split them at a cut."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(400)}" for _ in range(300)]
+    copies = [(k, rng.sample(words, len(words))) for k in range(60)]
+    others = [(100 + k, [f"w{int(rng.expovariate(0.01))}" for _ in range(200)]) for k in range(60)]
+    rows = spark.createDataFrame(copies + others, "doc_id long, ids array<string>").repartition(7)
+    losses = UnigramScorer(rows, "ids").score(rows, "doc_id", "ids").where("doc_id < 100").collect()
+    assert len(losses) == 60 and len({r["loss"] for r in losses}) == 1
+
+
+def test_scores_read_the_texts_once(spark, tmp_path):
+    """One reading for losses and measures, beside the one that counts; ratios as the column functions give them."""
+    rng = random.Random(4)
+    docs = [(k, "s", [rng.choice("abcde") * rng.choice([1, 1, 2]) for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 40]))]) for k in range(80)] + [(80, None, None), (7, "twice", ["a", "b"])]
+    spark.createDataFrame(docs, "doc_id long, source string, ids array<string>").write.parquet(str(tmp_path / "texts"))
+    rows = spark.read.parquet(str(tmp_path / "texts"))
+    out = curriculum.scored_rows(rows, "doc_id")
+    assert len(re.findall(r"Scan parquet .*texts|FileScan parquet .*ids", out._jdf.queryExecution().sparkPlan().toString())) == 1
+    ids = F.col("ids")
+    want = rows.where("size(ids) > 0").select("doc_id", "source", unique_ratio(ids).alias("u"), repeat_ratio(ids).alias("r"), ngram_repeat_ratio(ids).alias("g"))
+    assert sorted(map(tuple, out.select("doc_id", "source", "unique_r", "rep_r", "rep_ng4").collect())) == sorted(map(tuple, want.collect()))
