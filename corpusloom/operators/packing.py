@@ -93,8 +93,18 @@ def reshard(sources: DataFrame, order: str, size: str, capacity: int) -> DataFra
 
 def coalesce_ranges(wanted: DataFrame, key: str, index: str, gap: int = 64) -> DataFrame:
     """(key, low, high, n): distinct indices of a key joined into ranges where they lie within ``gap``."""
-    distinct = wanted.select(key, index).distinct()
     w = Window.partitionBy(key).orderBy(index)
-    marked = distinct.withColumn("_new", (F.col(index) - F.lag(index).over(w) > gap).cast("int"))
-    island = marked.withColumn("_island", F.sum(F.coalesce("_new", F.lit(0))).over(w))
-    return island.groupBy(key, "_island").agg(F.min(index).alias("low"), F.max(index).alias("high"), F.count("*").alias("n")).drop("_island")
+    i = F.col(index)
+    # One sort serves all: equal indices lie beside each other, and a range is told by its first row and what follows, so
+    # no table of all pairs or of all ranges is needed.  The struct tells a null index from no row before.
+    near = wanted.select(key, index).withColumn("_before", F.lag(F.struct(index)).over(w))
+    first = near.where(F.col("_before").isNull() | ~F.col(f"_before.{index}").eqNullSafe(i))
+    placed = first.select(key, index, F.col(f"_before.{index}").alias("_prev"), F.row_number().over(w).alias("_at"), F.lead(F.lit(True)).over(w).isNull().alias("_last"), F.coalesce(i, F.lead(index).over(w)).alias("_low"))
+    starts = (F.col("_at") == 1) | F.coalesce(i - F.col("_prev") > gap, F.lit(False))  # a null index goes with the first range
+    ends = placed.withColumn("_starts", starts).where("_starts or _last")
+    after = F.lead(F.struct(index, "_prev", "_at", "_starts")).over(w)
+    ranges = ends.withColumn("_next", after).where("_starts")
+    beyond = F.col("_next._starts")  # null after the last range
+    high = F.when(F.col("_next").isNull(), i).when(beyond, F.col("_next._prev")).otherwise(F.col(f"_next.{index}"))
+    n = F.when(F.col("_next").isNull(), 1).when(beyond, F.col("_next._at") - F.col("_at")).otherwise(F.col("_next._at") - F.col("_at") + 1)
+    return ranges.select(key, F.col("_low").alias("low"), high.alias("high"), n.cast("long").alias("n"))

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokens import ngram_repeat_ratio, repeat_ratio, unique_ratio
-from corpusloom.operators import curriculum, evaluation
+from corpusloom.operators import curriculum, evaluation, packing
 from corpusloom.operators.scoring import UnigramScorer
 from corpusloom.sources import array_files
 
@@ -54,3 +54,23 @@ def test_scores_read_the_texts_once(spark, tmp_path):
     ids = F.col("ids")
     want = rows.where("size(ids) > 0").select("doc_id", "source", unique_ratio(ids).alias("u"), repeat_ratio(ids).alias("r"), ngram_repeat_ratio(ids).alias("g"))
     assert sorted(map(tuple, out.select("doc_id", "source", "unique_r", "rep_r", "rep_ng4").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_ranges_come_from_one_sort(spark):
+    """Hash tables of all pairs and of all ranges made a task's memory grow with the table."""
+    rng = random.Random(5)
+    pairs = [(rng.randrange(6), rng.choice([0, 1000, 5000]) + rng.randrange(300)) for _ in range(400)] + [(9, 5), (9, 5), (8, 1), (8, 65), (8, 130)]
+    out = packing.coalesce_ranges(spark.createDataFrame(pairs, "k long, i long"), "k", "i", 64)
+    assert "HashAggregate" not in out._jdf.queryExecution().sparkPlan().toString()
+    want = []
+    for k in {k for k, _ in pairs}:
+        held = []
+        for i in sorted({i for q, i in pairs if q == k}):
+            if held and i - held[-1] > 64:
+                want.append((k, held[0], held[-1], len(held)))
+                held = []
+            held.append(i)
+        want.append((k, held[0], held[-1], len(held)))
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    odd = spark.createDataFrame([(1, None), (1, 5), (1, None), (2, None)], "k long, i long")
+    assert sorted(map(tuple, packing.coalesce_ranges(odd, "k", "i", 64).collect())) == [(1, 5, 5, 2), (2, None, None, 1)]
