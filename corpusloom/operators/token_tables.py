@@ -33,6 +33,22 @@ def steps(batch: pa.RecordBatch, ids: str) -> Iterator[tuple[pa.RecordBatch, np.
         low = high
 
 
+def word_counts_by(rows: DataFrame, by: str, ids: str) -> DataFrame:
+    """(by, tok, c): how often each token occurs in the texts of each of the few values of ``by``, null among them."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for part, doc, codes, words in steps(batch, "ids"):
+                groups = part.column("by").dictionary_encode(null_encoding="encode")
+                group = groups.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                pairs, n = np.unique(group[doc] * max(1, len(words)) + codes, return_counts=True)
+                of, tok = np.divmod(pairs, max(1, len(words)))
+                yield pa.RecordBatch.from_arrays([groups.dictionary.take(pa.array(of)).cast(pa.string()), words.take(pa.array(tok)).cast(pa.string()), pa.array(n)], ["by", "tok", "n"])
+
+    counted = rows.select(F.col(by).cast("string").alias("by"), F.col(ids).alias("ids")).mapInArrow(batches, "by string, tok string, n long")
+    return counted.groupBy(F.col("by").alias(by), "tok").agg(F.sum("n").alias("c"))
+
+
 def word_counts(rows: DataFrame, ids: str) -> DataFrame:
     """(tok, c): how often each token occurs."""
 

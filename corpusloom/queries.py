@@ -12,6 +12,7 @@ from .functions.hashing import short_sha
 from .functions.tokens import WORD, ngram_repeat_ratio, repeat_ratio, tokens, unique_ratio
 from .operators import curriculum, evaluation, packing, sampling, screening
 from .operators.scoring import BigramScorer, UnigramScorer
+from .operators.token_tables import word_counts_by
 from .tables import kept, load, spread, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -358,9 +359,10 @@ def duel(spark, sf_dir):
     """
     docs = documents(spark, sf_dir, "lang")
     english = load(spark, sf_dir, "documents").where("lang = 'en'").where(F.col("text").rlike(WORD)).count()
-    holdout = sampling.take(docs.where("lang = 'en'"), min(HOLDOUT, english // 2), "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
+    holdout = written(sampling.take(docs.where("lang = 'en'"), min(HOLDOUT, english // 2), "h", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1))
     rest = docs.join(holdout.select("doc_id"), "doc_id", "left_anti")
-    counts = rest.select("lang", F.explode("ids").alias("tok")).groupBy("tok").agg(F.count("*").alias("all"), F.count_if(F.col("lang") == "en").alias("en"))
+    counts = word_counts_by(rest, "lang", "ids").groupBy("tok").agg(F.sum("c").alias("all"), F.sum(F.when(F.col("lang") == "en", F.col("c")).otherwise(0)).alias("en"))
+    counts = written(counts)
     king = UnigramScorer.of_counts(counts.select("tok", F.col("all").alias("c"))).score(holdout, "doc_id", "ids")
     challenger = UnigramScorer.of_counts(counts.where("en > 0").select("tok", F.col("en").alias("c"))).score(holdout, "doc_id", "ids")
     out = evaluation.paired_differences(king, challenger, "doc_id").join(holdout.select("doc_id", "pos", "source"), "doc_id")

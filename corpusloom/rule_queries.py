@@ -9,6 +9,7 @@ from .functions import parsing as P
 from .operators import curriculum, evaluation, records, rules, sampling, shards, sweeps
 from .operators.packing import running_offset
 from .operators.quantiles import exclusive_quantiles
+from .operators.token_tables import word_counts_by
 from .queries import ALPHA, BUCKETED, CUTS, SCREENED, TOK, bucketed, documents, r6, scored, screened
 from .tables import load, written
 
@@ -425,7 +426,7 @@ def probe_log(spark, sf_dir):
 def _config_counts(docs, hold):
     """Token counts and totals of the models: one of each language, and one (``all``) of all, without the holdout."""
     rest = docs.join(hold.select("doc_id"), "doc_id", "left_anti")
-    counts = rest.select("lang", F.explode("ids").alias("tok")).groupBy("lang", "tok").agg(F.count("*").alias("c"))
+    counts = written(word_counts_by(rest, "lang", "ids"))
     counts = counts.where("lang is not null").select(F.col("lang").alias("config"), "tok", "c").unionByName(counts.groupBy("tok").agg(F.sum("c").alias("c")).withColumn("config", F.lit("all")))
     return counts, counts.groupBy("config").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
 
@@ -452,7 +453,7 @@ def config_sweep(spark, sf_dir):
     from .operators.sampling import take
 
     docs = documents(spark, sf_dir, "lang")
-    hold = take(docs, 100, "sw", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1)
+    hold = written(take(docs, 100, "sw", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1))
     loss = _config_losses(hold, *_config_counts(docs, hold))
     king = loss.where("config = 'all'").select("pos", F.col("loss").alias("king"))
     d = spark.createDataFrame(loss.where("config <> 'all'").join(king, "pos").select("config", "pos", "loss", (F.col("king") - F.col("loss")).alias("diff")).toArrow())  # 100 rows for each configuration

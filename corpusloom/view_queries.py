@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .operators import evaluation, sampling, views
-from .operators.scoring import UnigramScorer, adapted_counts, token_counts
+from .operators.scoring import UnigramScorer, adapted_counts
+from .operators.token_tables import word_counts_by
 from .queries import TOK, bucketed, documents, r6
 from .queries import BUCKETED as BUCKETED_SQL
 from .tables import load, written
@@ -75,8 +76,9 @@ def adapter_evaluation(spark, sf_dir):
     docs = documents(spark, sf_dir, "lang")
     hold = written(sampling.take(docs, 120, "ad", "doc_id").withColumn("pos", F.col("rk").cast("long") - 1))
     rest = docs.join(hold.select("doc_id"), "doc_id", "left_anti")
-    counts = lambda lang: token_counts(rest.where(F.col("lang") == lang), "doc_id", "ids").groupBy("tok").agg(F.sum("k").alias("c"))
-    base = written(counts("en"))
+    every = written(word_counts_by(rest.where("lang in ('en', 'de')"), "lang", "ids"))
+    counts = lambda lang: every.where(F.col("lang") == lang).select("tok", "c")
+    base = counts("en")
     king = UnigramScorer.of_counts(base).score(hold, "pos", "ids")
     challenger = UnigramScorer.of_counts(adapted_counts(base, counts("de"), 2.0)).score(hold, "pos", "ids")
     out = evaluation.paired_differences(king, challenger, "pos")

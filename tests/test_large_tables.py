@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from corpusloom import rule_queries
 from corpusloom.functions.tokens import ngram_repeat_ratio, repeat_ratio, unique_ratio
 from corpusloom.operators import curriculum, evaluation, packing
 from corpusloom.operators.scoring import UnigramScorer
@@ -74,3 +75,12 @@ def test_ranges_come_from_one_sort(spark):
     assert sorted(map(tuple, out.collect())) == sorted(want)
     odd = spark.createDataFrame([(1, None), (1, 5), (1, None), (2, None)], "k long, i long")
     assert sorted(map(tuple, packing.coalesce_ranges(odd, "k", "i", 64).collect())) == [(1, 5, 5, 2), (2, None, None, 1)]
+
+
+def test_models_of_a_sweep_are_counted_once(spark):
+    """The counts of all models were made anew, from the texts, wherever they were read."""
+    docs = spark.createDataFrame([(1, "en", ["a", "b", "a"]), (2, "de", ["a"]), (3, None, ["c", "c"]), (4, "en", ["x"]), (5, "en", None)], "doc_id long, lang string, ids array<string>")
+    counts, totals = rule_queries._config_counts(docs, docs.where("doc_id = 4"))
+    assert "Generate" not in counts._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, counts.select("config", "tok", "c").collect())) == [("all", "a", 3), ("all", "b", 1), ("all", "c", 2), ("de", "a", 1), ("en", "a", 2), ("en", "b", 1)]
+    assert sorted(map(tuple, totals.collect())) == [("all", 6, 3), ("de", 1, 1), ("en", 3, 2)]
