@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import written
-from .token_tables import MEASURES, PART, UNIT, token_rows, word_counts
+from .token_tables import BUCKET, COMMON_PAIRS, MEASURES, PART, UNIT, bucket_losses, bucketed_pairs, first_counts, listed_counts, token_rows, word_counts
 
 
 class Scorer(Protocol):
-    """Anything that turns (key, ids) into (key, loss)."""
+    """Anything that turns (key, ids) into (key, loss); the scorers below take texts for ``ids`` as well and split them in their tasks."""
 
     def score(self, rows: DataFrame, key: str, ids: str) -> DataFrame: ...
 
@@ -82,29 +85,46 @@ class UnigramScorer:
 
 
 class BigramScorer:
-    """Add-one smoothed bigram model; a row of n tokens has n - 1 positions."""
+    """Add-one smoothed bigram model of the given rows; a row of n tokens has n - 1 positions.
+
+    Pairs are shuffled once, packed by stretches of texts, to buckets by their first word,
+    and by both words where the first is common; a bucket counts its pairs and first
+    words and gives each document its part of the loss.  The commonest pairs are looked
+    up in the tasks instead.  Sums of logarithms are whole numbers, as in the unigram
+    model.  A pair with a null token counts as unseen.
+    """
 
     def __init__(self, fitted_on: DataFrame, ids: str):
-        pairs = self._pairs(fitted_on, [], ids)
-        self.counts = pairs.groupBy("a", "b").agg(F.count("*").alias("c"))
-        self.first = self.counts.groupBy("a").agg(F.sum("c").alias("ca"))
-        words = fitted_on.select(F.explode(ids).alias("tok"))
-        self.types = words.agg(F.countDistinct("tok").alias("types"))
-
-    @staticmethod
-    def _pairs(rows: DataFrame, keys: list[str], ids: str) -> DataFrame:
-        n = F.size(ids)
-        both = F.arrays_zip(
-            F.slice(ids, 1, F.greatest(n - 1, F.lit(0))).alias("a"), F.slice(ids, 2, F.greatest(n - 1, F.lit(0))).alias("b")
-        )
-        return rows.select(*keys, F.explode(both).alias("p")).select(*keys, "p.a", "p.b")
+        self.rows, self.ids = fitted_on, ids
+        counts = written(first_counts(fitted_on, ids))
+        words = counts.where("not pair and a is not null")
+        self.total = total = counts.where("not pair").agg(F.sum("c").alias("total")).first()["total"] or 0
+        self.types = words.count()
+        self.firsts = words.where(F.col("c") * FREQUENT >= F.greatest(F.lit(total), F.lit(1))).select("a", "c").toArrow()  # at most FREQUENT
+        common = counts.where("pair and a is not null and b is not null").where(F.col("c") * COMMON_PAIRS >= total)
+        self.listed = common.select("a", "b").toArrow()  # at most COMMON_PAIRS
+        seen = listed_counts(fitted_on, ids, self.listed)
+        place = pc.index_in(self.listed.column("a"), value_set=self.firsts.column("a").combine_chunks())
+        first = self.firsts.column("c").to_numpy()[place.to_numpy()] if len(seen) else seen
+        self.logs = np.log(first + float(self.types)) - np.log(seen + 1.0)
+
+    def _pairs(self, rows: DataFrame, key: str, ids: str, fit: bool, scored: bool) -> DataFrame:
+        pairs = bucketed_pairs(rows, key, ids, self.firsts, self.listed, self.logs, max(1, -(-self.total // BUCKET)))
+        return pairs.withColumns({"fit": F.lit(fit), "scored": F.lit(scored)})
 
     def score(self, rows: DataFrame, key: str, ids: str) -> DataFrame:
-        per = self._pairs(rows, [key], ids).groupBy(key, "a", "b").agg(F.count("*").alias("k"))
-        per = per.join(self.counts, ["a", "b"], "left").join(self.first, "a", "left")
-        nll = -F.log((F.coalesce("c", F.lit(0)) + 1) / (F.coalesce("ca", F.lit(0)) + F.col("types")))
-        return (
-            per.crossJoin(F.broadcast(self.types))  # one row
-            .groupBy(key)
-            .agg((F.sum(F.col("k") * nll) / F.sum("k")).alias("loss"), F.sum("k").alias("n_pos"))
-        )
+        """(key, loss, n_pos): mean negative log likelihood, in nats, of rows with two tokens or more."""
+        own = rows is self.rows and ids == self.ids  # read once
+        pairs = self._pairs(rows, key, ids, own, True)
+        if not own:
+            kind = dict(rows.dtypes)[key]
+            model = self.rows.select(F.lit(None).cast(kind).alias(key), F.col(self.ids).alias("_model"))
+            pairs = pairs.unionByName(self._pairs(model, key, "_model", True, False))
+        firsts, types = self.firsts, self.types
+
+        def count(t: pa.Table) -> pa.Table:
+            return bucket_losses(t, firsts, types)
+
+        parts = pairs.groupBy("bucket").applyInArrow(count, f"key {dict(rows.dtypes)[key]}, n long, high long, low long")
+        sums = parts.groupBy(F.col("key").alias(key)).agg(F.sum("n").alias("n_pos"), F.sum("high").alias("high"), F.sum("low").alias("low")).where("n_pos > 0")
+        return sums.select(key, ((F.col("high") / (UNIT // PART) + F.col("low") / UNIT) / F.col("n_pos")).alias("loss"), "n_pos")

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +21,34 @@ STEP = 1 << 21
 PART, UNIT = 1 << 25, 1 << 50
 
 
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all of them one after another, split where ``functions.tokens`` splits; a null text has none."""
+    texts = pc.ascii_trim_whitespace(texts)
+    lists = pc.ascii_split_whitespace(texts)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    blank = pc.fill_null(pc.equal(texts, ""), False).to_numpy(zero_copy_only=False)
+    sizes[blank] = 0
+    words = lists.flatten()
+    return sizes, words.filter(pc.not_equal(words, "")) if blank.any() else words
+
+
 def steps(batch: pa.RecordBatch, ids: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, pa.Array]]:
-    """(rows, document of each token, its code, dictionary) for stretches of about STEP tokens."""
-    sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    """(rows, document of each token, its code, dictionary) for stretches of about STEP tokens.
+
+    ``ids`` holds lists of tokens, or texts, which are split into words here.
+    """
+    column = batch.column(ids)
+    texts = pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+    length = pc.divide(pc.binary_length(column), 6) if texts else pc.list_value_length(column)  # a word has about six bytes
+    sizes = pc.fill_null(length, 0).to_numpy(zero_copy_only=False).astype(np.int64)
     upto = np.cumsum(sizes)
     low = 0
     while low < len(sizes):
         high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + STEP, "right")))
         part = batch.slice(low, high - low)
-        encoded = part.column(ids).flatten().dictionary_encode(null_encoding="encode")
-        yield part, np.repeat(np.arange(high - low), sizes[low:high]), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
+        n, tokens = split(part.column(ids)) if texts else (sizes[low:high], part.column(ids).flatten())
+        encoded = tokens.dictionary_encode(null_encoding="encode")
+        yield part, np.repeat(np.arange(high - low), n), encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
         low = high
 
 
@@ -151,3 +170,184 @@ def token_rows(rows: DataFrame, key: str, ids: str, frequent: pa.Table | None =
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(of)), words.take(pa.array(tok)), pa.array(k), pa.nulls(len(k), head.type)], [key, "tok", "k", "head"])
 
     return rows.select(*(others or [key]), F.col(ids).alias("_ids")).mapInArrow(batches, schema)
+
+
+#: Pairs that make up more than 1 / COMMON_PAIRS of a fitted text, at most so many, are looked up in the tasks.
+COMMON_PAIRS = 20_000
+
+
+def pairs_of(doc: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first, second) of all neighbours within a document."""
+    inside = doc[1:] == doc[:-1]
+    return doc[1:][inside], codes[:-1][inside], codes[1:][inside]
+
+
+def first_counts(rows: DataFrame, ids: str) -> DataFrame:
+    """(a, b, pair, c): how often each word stands before another, with ``pair`` false and ``b`` null; and pairs that are common
+    in some stretch of the texts, with ``pair`` true and their counts in such stretches."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for _, doc, codes, words in steps(batch, "ids"):
+                words, (_, a, b) = words.cast(pa.string()), pairs_of(doc, codes)
+                pairs, n = np.unique(a * max(1, len(words)) + b, return_counts=True)
+                often = n * COMMON_PAIRS >= len(a)
+                x, y = np.divmod(pairs[often], max(1, len(words)))
+                yield pa.RecordBatch.from_arrays(
+                    [words, pa.nulls(len(words), pa.string()), pa.array(np.zeros(len(words), bool)), pa.array(np.bincount(a, minlength=len(words)))], ["a", "b", "pair", "n"]
+                )
+                yield pa.RecordBatch.from_arrays([words.take(pa.array(x)), words.take(pa.array(y)), pa.array(np.ones(len(x), bool)), pa.array(n[often])], ["a", "b", "pair", "n"])
+
+    counted = rows.select(F.col(ids).alias("ids")).mapInArrow(batches, "a string, b string, pair boolean, n long")
+    return counted.groupBy("a", "b", "pair").agg(F.sum("n").alias("c"))
+
+
+class PairPlaces:
+    """Finds the places of pairs of words in a short list of pairs."""
+
+    def __init__(self, listed: pa.Table):
+        self.words = pc.unique(pa.chunked_array([*listed.column("a").chunks, *listed.column("b").chunks], pa.string()))
+        a, b = (pc.index_in(listed.column(c), value_set=self.words).to_numpy().astype(np.int64) for c in ("a", "b"))
+        keys = a * len(self.words) + b
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def find(self, words: pa.Array, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair of codes of ``words`` its place in the list, -1 where it has none."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        x, y = place[a], place[b]
+        keys = np.where((x < 0) | (y < 0), -1, x * len(self.words) + y)
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return np.where(self.keys[at] == keys, self.order[at], -1) if len(self.keys) else np.full(len(keys), -1)
+
+
+def listed_counts(rows: DataFrame, ids: str, listed: pa.Table) -> np.ndarray:
+    """How often each of a short list of pairs occurs in all the texts."""
+    places = PairPlaces(listed)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for _, doc, codes, words in steps(batch, "ids"):
+                at = places.find(words.cast(pa.string()), *pairs_of(doc, codes)[1:])
+                at, n = np.unique(at[at >= 0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n, pa.int64())], ["i", "n"])
+
+    out = np.zeros(listed.num_rows, np.int64)
+    if len(out):
+        found = rows.select(F.col(ids).alias("ids")).mapInArrow(batches, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()  # at most one row for each
+        out[found.column("i").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+#: Pairs in one bucket, about.
+BUCKET = 1 << 21
+
+
+def bucketed_pairs(rows: DataFrame, key: str, ids: str, firsts: pa.Table, listed: pa.Table, logs: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, keys, words, doc, a, b, k, n, high, low): a row for each stretch of texts and bucket, and one with ``n`` for each stretch.
+
+    ``doc``, ``a``, ``b`` and ``k`` list the different pairs of each document with their counts:
+    ``doc`` is a place in ``keys``, ``a`` and ``b`` are places in ``firsts``, (a, c), or behind these in ``words``.
+    Pairs lie in the bucket of their first word, and of both words where the first is one of ``firsts``.
+    ``n`` has the pairs of each of ``keys``, ``high`` and ``low`` the sum of the ``logs`` of those that are ``listed``; these lie in no bucket.
+    """
+    kind = dict(rows.dtypes)[key]
+    lists = {"doc": pa.int32(), "a": pa.int32(), "b": pa.int32(), "k": pa.int32(), "n": pa.int64(), "high": pa.int64(), "low": pa.int64()}
+    schema = f"bucket int, keys array<{kind}>, words array<string>, doc array<int>, a array<int>, b array<int>, k array<int>, n array<bigint>, high array<bigint>, low array<bigint>"
+    places, given, known = PairPlaces(listed), parts_of(logs), firsts.column("a").combine_chunks()
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for part, doc, codes, words in steps(batch, "_ids"):
+                n, words, (of, a, b) = part.num_rows, words.cast(pa.string()), pairs_of(doc, codes)
+                size = np.bincount(of, minlength=n)
+                pairs, code = np.unique(a * max(1, len(words)) + b, return_inverse=True)
+                each, k = np.unique(of * max(1, len(pairs)) + code, return_counts=True)
+                of, code = np.divmod(each, max(1, len(pairs)))
+                a, b = np.divmod(pairs, max(1, len(words)))
+                place = places.find(words, a, b)[code]
+                hit = place >= 0
+                high, low = (summed(k[hit] * g[place[hit]], of[hit], n) for g in given)
+                of, code, k = of[~hit], code[~hit], k[~hit]
+                a, b = a[code], b[code]
+                at = pc.fill_null(pc.index_in(words, value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashed = hash_array(pc.fill_null(words, "").to_numpy(zero_copy_only=False), categorize=False)
+                bucket = (mixed(hashed[a] ^ np.where(at[a] >= 0, mixed(hashed[b] + np.uint64(1)), np.uint64(0))) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)) if len(order) else np.zeros(1, np.int64)
+                keys, out = part.column(key), {c: [] for c in lists}
+                mine, own, named = [], [], []
+                for low_, high_ in zip(edges, edges[1:]):
+                    here = order[low_:high_]
+                    docs, d = np.unique(of[here], return_inverse=True)
+                    x, y = a[here], b[here]
+                    rare = np.unique(np.concatenate([x[at[x] < 0], y[at[y] < 0]]))
+                    x, y = (np.where(at[z] >= 0, at[z], len(known) + np.searchsorted(rare, z)) for z in (x, y))
+                    for c, v in (("doc", d), ("a", x), ("b", y), ("k", k[here]), ("n", None), ("high", None), ("low", None)):
+                        out[c].append(v)
+                    mine.append(int(bucket[here[0]]))
+                    own.append(docs)
+                    named.append(rare)
+                for c, v in (("doc", None), ("a", None), ("b", None), ("k", None), ("n", size), ("high", high), ("low", low)):
+                    out[c].append(v)
+                mine.append(len(doc) % buckets)
+                own.append(np.arange(n))
+                named.append(np.empty(0, np.int64))
+
+                def listing(values: pa.Array, chosen: list[np.ndarray]) -> pa.ListArray:
+                    ends = np.cumsum([0, *map(len, chosen)]).astype(np.int32)
+                    return pa.ListArray.from_arrays(pa.array(ends), values.take(pa.array(np.concatenate(chosen))))
+
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(mine, pa.int32()), listing(keys, own), listing(words, named), *(pa.array(out[c], pa.list_(t)) for c, t in lists.items())], ["bucket", "keys", "words", *lists]
+                )
+
+    return rows.select(key, F.col(ids).alias("_ids")).mapInArrow(batches, schema)
+
+
+def bucket_losses(t: pa.Table, firsts: pa.Table, types: int) -> pa.Table:
+    """(key, n, high, low): what the rows of a bucket add to the documents; ``fit`` says whether a row is counted, ``scored`` whether it gets losses."""
+
+    def flat(c: str) -> tuple[np.ndarray, pa.Array]:
+        column = t.column(c).combine_chunks()
+        return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64), column.flatten()
+
+    def numbers(c: str) -> np.ndarray:
+        return flat(c)[1].to_numpy(zero_copy_only=False).astype(np.int64)
+
+    known = firsts.num_rows
+    key_sizes, keys = flat("keys")
+    word_sizes, words = flat("words")
+    sizes, doc = flat("doc")
+    words = words.dictionary_encode(null_encoding="encode")
+    word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    null = known + pc.index_in(pa.nulls(1, words.dictionary.type), value_set=words.dictionary).to_numpy(zero_copy_only=False)[0]  # NaN, equal to nothing, without any
+    of = np.repeat(np.arange(t.num_rows), sizes)
+    doc = doc.to_numpy(zero_copy_only=False) + (np.cumsum(key_sizes) - key_sizes)[of]
+    shift = (np.cumsum(word_sizes) - word_sizes)[of] - known
+
+    def whole(c: str) -> np.ndarray:
+        x = numbers(c)
+        rare = x >= known
+        x[rare] = known + word[(x + shift)[rare]]
+        return x
+
+    a, b, k = whole("a"), whole("b"), numbers("k")
+    width = known + len(words.dictionary)
+    f = np.where(t.column("fit").to_numpy(zero_copy_only=False)[of], k, 0)
+    pairs, code = np.unique(a * max(1, width) + b, return_inverse=True)
+    both = np.bincount(code, f, len(pairs))[code]
+    first = np.bincount(a, f, width)
+    first[:known] = firsts.column("c").to_numpy()
+    none = (a == null) | (b == null)
+    logs = np.log(np.where(a == null, 0, first[a]) + float(types)) - np.log(np.where(none, 0, both) + 1)
+    asked = t.column("scored").to_numpy(zero_copy_only=False)
+    order = np.argsort(doc, kind="stable")
+    order = order[asked[of[order]]]
+    high, low = (summed((k * g)[order], doc[order], len(keys)) for g in parts_of(logs))
+    heads = np.repeat(flat("n")[0] > 0, key_sizes)
+    n = np.zeros(len(keys), np.int64)
+    n[heads] = numbers("n")
+    high[heads], low[heads] = numbers("high"), numbers("low")
+    out = pa.table({"key": keys, "n": n, "high": high, "low": low})
+    return out.filter(pa.array(np.repeat(asked, key_sizes)))

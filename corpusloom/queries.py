@@ -40,9 +40,15 @@ def documents(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     return docs.select("doc_id", "source", *extra, tokens(F.col("text")).alias("ids"))
 
 
+def texts(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """As ``documents``, with the text itself for ids: scorers split it in their tasks, and no lists of words are made on the way."""
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "source", "text", *extra)).where(F.col("text").rlike(WORD))
+    return docs.select("doc_id", "source", *extra, F.col("text").alias("ids"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents: a narrow table that is made once for the files as they are and read for cuts, buckets and draws."""
-    return kept(spark, "scores", f"{sf_dir}/documents.parquet", lambda: curriculum.scored_rows(documents(spark, sf_dir), "doc_id"))
+    return kept(spark, "scores", f"{sf_dir}/documents.parquet", lambda: curriculum.scored_rows(texts(spark, sf_dir), "doc_id"))
 
 
 def bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +182,7 @@ def config_priority(spark, sf_dir):
 
 @query(rf"with {SCORED} select doc_id, round(loss, 6) as loss, n_pos from loss")
 def unigram_loss(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = texts(spark, sf_dir)
     return UnigramScorer(docs, "ids").score(docs, "doc_id", "ids").select("doc_id", r6("loss"), "n_pos")
 
 
@@ -185,7 +191,7 @@ def unigram_loss(spark, sf_dir):
   c as (select a, b, count(*) as c from gg group by all), ca as (select a, sum(c) as ca from c group by a), v as (select count(distinct t) as v from p)
   select doc_id, round(avg(-ln((c + 1) / (ca + v))), 6) as loss, count(*)::bigint as n_pos from gg join c using (a, b) join ca using (a), v group by doc_id""")
 def bigram_loss(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = texts(spark, sf_dir)
     return BigramScorer(docs, "ids").score(docs, "doc_id", "ids").select("doc_id", r6("loss"), "n_pos")
 
 
