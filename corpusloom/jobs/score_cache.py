@@ -44,7 +44,7 @@ class ScoreCache:
 
     def ledger(self) -> DataFrame:
         if not exists(self.spark, f"{self.at}/ledger/_SUCCESS"):
-            return self.spark.createDataFrame([], LEDGER)
+            return self.spark.range(0).select(*(F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in LEDGER.split(", "))))  # empty, without Python tasks
         return self.spark.read.schema(LEDGER).parquet(f"{self.at}/ledger").dropDuplicates(["shard_hash"])
 
     def missing(self, shards: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from .jobs.score_cache import ScoreCache, version_of
 from .operators import curriculum, evaluation, hash_tree, packing, permutation, rules, sampling
 from .operators import mixing_buffer as mixing_buffers
 from .operators.scoring import UnigramScorer
-from .queries import END, LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed, r6
+from .queries import END, LENGTH, PACK, SCORED, SHARD_ROWS, TOK, TRAIN_SHARDS, documents, packed, r6, texts
 from .sources import array_files, tensor_headers
 from .tables import load, shared_folder, written
 
@@ -133,10 +133,10 @@ def sampled_shard_rows(spark, sf_dir):
 select source, case when md5(source) < '8' then 'kept' else 'scored' end as second_run, n_rows, mean_loss from s""")
 def score_cache(spark, sf_dir):
     """Sources as shards: some are scored first, then all are asked for; only the missing ones are scored by the second run."""
-    rows = documents(spark, sf_dir).withColumnRenamed("source", "shard_key")
+    rows = texts(spark, sf_dir).withColumnRenamed("source", "shard_key")
     scorer = UnigramScorer(rows, "ids")  # one model for all runs
     cache = ScoreCache(spark, f"{shared_folder(spark)}/scores-{uuid.uuid4().hex}", version_of("unigram", 1), lambda r: curriculum.scored_rows(r, "doc_id", scorer=scorer))
-    shards = rows.select("shard_key").distinct()
+    shards = written(rows.select("shard_key").distinct())  # asked for four times
     cache.update(shards.where(F.md5(F.col("shard_key").cast("binary")) < "8"), rows)
     second = cache.update(shards, rows).select("shard_key", F.lit("scored").alias("run"))
     losses = cache.read(shards).groupBy("shard_key").agg(F.count("*").alias("n_rows"), F.round(F.avg("loss"), 6).alias("mean_loss"))
