@@ -31,10 +31,23 @@ def adapted_counts(base: DataFrame, adapter: DataFrame, scale: float) -> DataFra
     return base.join(more, "tok", "full").select("tok", (F.coalesce("c", F.lit(0)) + F.coalesce("_more", F.lit(0.0))).alias("c"))
 
 
-#: Tokens that make up more than 1 / FREQUENT of a fitted text, at most so many, are looked up in the tasks; the others are joined.
+#: The most frequent tokens of a fitted text, at most so many, are looked up in the tasks; the others are joined.
 FREQUENT = 200_000
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The smallest count, in steps of a sixteenth of its power of two, that at most ``most`` rows of (c) reach."""
+    power = F.floor(F.log2(F.col("c").cast("double"))).cast("int")
+    step = F.floor(F.when(power > 4, F.col("c") / F.pow(F.lit(2.0), power - 4)).otherwise(F.col("c"))).cast("long")
+    least, rows = 1, 0
+    kinds = counts.where("c > 0").groupBy(power.alias("power"), step.alias("step")).agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).collect()  # at most 16 for each power of two
+    for kind in sorted(kinds, key=lambda k: -k["low"]):
+        rows += kind["n"]
+        if rows > most:
+            return kind["high"] + 1
+    return least
+
+
 class UnigramScorer:
     """Add-one smoothed unigram model of the given rows.
 
@@ -44,8 +57,8 @@ class UnigramScorer:
 
     def __init__(self, fitted_on: DataFrame, ids: str):
         self._set(written(word_counts(fitted_on, ids)))
-        total = self.totals.first()["total"] or 0
-        self.frequent = self.counts.where((F.col("c") * FREQUENT >= total) & F.col("tok").isNotNull()).toArrow()  # at most FREQUENT
+        least = least_count(self.counts.where(F.col("tok").isNotNull()), FREQUENT)
+        self.frequent = self.counts.where((F.col("c") >= least) & F.col("tok").isNotNull()).toArrow()  # at most FREQUENT
 
     @classmethod
     def of_counts(cls, counts: DataFrame) -> UnigramScorer:

@@ -96,21 +96,30 @@ def different(doc: np.ndarray, codes: np.ndarray, n: int, width: int) -> np.ndar
     for j in range(width):
         h = mixed(h ^ (codes[j : last + j].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
     h, of = h[inside], doc[:last][inside]
-    order = np.argsort(h)
-    h = h[order]
-    first = np.ones(len(h), bool)
-    first[1:] = h[1:] != h[:-1]
-    return np.bincount(of[order][first], minlength=n)
-
-
-def repetition(doc: np.ndarray, codes: np.ndarray, n: int, width: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(unique_r, rep_r, rep_ng4) of ``n`` documents, as the column functions of ``functions.tokens`` define them."""
+    size, ordered = np.bincount(of, minlength=n), np.sort(h)
+    copies = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(copies):  # each goes to the one document that has it; a bit map finds most that have none
+        again, more = np.unique(copies, return_counts=True)
+        low = np.uint64((1 << 22) - 1)
+        marked = np.zeros(1 << 22, bool)
+        marked[again & low] = True
+        at = np.flatnonzero(marked[h & low])
+        place = np.minimum(np.searchsorted(again, h[at]), len(again) - 1)
+        same = again[place] == h[at]
+        owner = np.zeros(len(again), np.int64)
+        owner[place[same]] = of[at[same]]
+        size -= np.bincount(owner, more, n).astype(np.int64)
+    return size
+
+
+def repetition(doc: np.ndarray, codes: np.ndarray, words: np.ndarray, n: int, width: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unique_r, rep_r, rep_ng4) of ``n`` documents with so many different ``words``, as the column functions of ``functions.tokens`` define them."""
     size = np.bincount(doc, minlength=n)
     same = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
     repeats = np.bincount(doc[1:][same], minlength=n)
     grams = size - width + 1
     return (
-        different(doc, codes, n, 1) / np.maximum(1, size),
+        words / np.maximum(1, size),
         np.where(size > 1, repeats / np.maximum(1, size - 1), 0.0),
         np.where(grams > 0, 1 - different(doc, codes, n, width) / np.maximum(1, grams), 0.0),
     )
@@ -155,6 +164,7 @@ def token_rows(rows: DataFrame, key: str, ids: str, frequent: pa.Table | None =
                 pairs, k = np.unique(doc * max(1, len(words)) + codes, return_counts=True)
                 of, tok = np.divmod(pairs, max(1, len(words)))
                 high = low = np.zeros(n, np.int64)
+                unlike = np.bincount(of, minlength=n)
                 if given is not None:
                     place = pc.fill_null(pc.index_in(words, value_set=given[0]), -1).to_numpy(zero_copy_only=False)[tok]
                     hit = place >= 0
@@ -163,7 +173,7 @@ def token_rows(rows: DataFrame, key: str, ids: str, frequent: pa.Table | None =
                 keys = part.column(key)
                 fields = [pa.array(np.bincount(doc, minlength=n)), pa.array(high), pa.array(low)]
                 if measured:
-                    fields += [*(pa.array(r, pa.float64()) for r in repetition(doc, codes, n)), pa.StructArray.from_arrays([part.column(c) for c in others], others)]
+                    fields += [*(pa.array(r, pa.float64()) for r in repetition(doc, codes, unlike, n)), pa.StructArray.from_arrays([part.column(c) for c in others], others)]
                 head = pa.StructArray.from_arrays(fields, ["n", "high", "low", *(MEASURES + ("row",) if measured else ())])
                 named = pc.binary_join_element_wise("\n", pc.fill_null(keys.cast(pa.string()), ""), "")
                 yield pa.RecordBatch.from_arrays([keys, named.cast(pa.string()), pa.nulls(n, pa.int64()), head], [key, "tok", "k", "head"])

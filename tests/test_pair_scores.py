@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -74,3 +75,33 @@ def test_an_empty_ledger_needs_no_python_tasks(spark, tmp_path):
     ledger = ScoreCache(spark, str(tmp_path), "v", lambda r: r).ledger()
     assert ledger.schema.names == ["shard_hash", "shard_key", "digest", "n_rows", "fields"] and ledger.count() == 0
     assert "ExistingRDD" not in ledger._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("most", "found"), [(3, {"a", "b", "c"}), (2, {"a", "b"}), (0, set()), (22, {"a", "b", "c"}), (23, {"a", "b", "c"} | {f"w{k}" for k in range(20)})])
+def test_as_many_of_the_most_frequent_words_as_allowed_are_looked_up(spark, monkeypatch, most, found):
+    monkeypatch.setattr(scoring, "FREQUENT", most)
+    text = " ".join(["a"] * 5 + ["b"] * 4 + ["c"] * 3 + [f"w{k}" for k in range(20)])
+    rows = spark.createDataFrame([(1, text), (2, "a b w3 new")], "id long, text string")
+    scorer = UnigramScorer(rows.where("id = 1"), "text")
+    assert set(scorer.frequent.column("tok").to_pylist()) == found
+    got = {r["id"]: r["loss"] for r in scorer.score(rows, "id", "text").collect()}
+    assert abs(got[2] - (math.log(32 + 23) - (math.log(6) + math.log(5) + math.log(2)) / 4)) < 1e-12
+
+
+def test_steps_of_counts_never_reach_more_rows_than_allowed(spark):
+    counts = sorted(int(1.17**k) + k % 3 for k in range(150))
+    frame = spark.createDataFrame([(c,) for c in counts], "c long")
+    for most in (0, 1, 7, 40, 149, 150, 1000):
+        least = scoring.least_count(frame, most)
+        listed = sum(c >= least for c in counts)
+        assert most - 12 <= listed <= most or listed == 150  # no step has more than twelve of these
+
+
+@pytest.mark.parametrize("kinds", [1, 3, 40, 100_000])
+def test_different_runs_are_counted_by_document(kinds):
+    r = random.Random(kinds)
+    texts = [[r.randrange(kinds) for _ in range(r.choice([0, 1, 3, 4, 5, 60, 400]))] for _ in range(60)]
+    doc = np.repeat(np.arange(60), [len(x) for x in texts])
+    codes = np.array([c for x in texts for c in x], np.int64)
+    for width in (1, 4):
+        assert token_tables.different(doc, codes, 60, width).tolist() == [len({tuple(x[k : k + width]) for k in range(len(x) - width + 1)}) for x in texts]
