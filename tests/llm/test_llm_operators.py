@@ -653,3 +653,30 @@ def test_long_texts_hash_like_short_ones(monkeypatch):
     whole = hashing.word_hashes(text)
     monkeypatch.setattr(hashing.segments, "__defaults__", (64,))
     assert (hashing.word_hashes(text) == whole).all() and len(whole) == len(re.findall(r"\S+", text))
+
+
+def test_components_take_few_rounds_where_tasks_can_join_up_edges(spark, monkeypatch):
+    from corpusloom.llm import common
+
+    made = []
+    monkeypatch.setattr(common, "durable", lambda df, f=common.durable: made.append(1) or f(df))
+    order = np.random.default_rng(5).permutation(600).tolist()
+    chain = spark.createDataFrame(list(zip(order, order[1:])), "src long, dst long")
+    assert {tuple(r) for r in connected_components(chain).collect()} == {(k, 0) for k in range(600)}
+    assert len(made) <= 2
+
+
+@pytest.mark.parametrize("held", [1, 7, 1 << 20])
+def test_stars_connect_what_edges_connect(spark, monkeypatch, held):
+    from corpusloom.llm import common
+
+    monkeypatch.setattr(common, "JOINED", held)
+    r = np.random.default_rng(held)
+    edges = [(int(a), int(b)) for a, b in r.integers(0, 300, (220, 2))]
+    low = {x: x for e in edges for x in e}
+    for _ in low:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    frame = spark.createDataFrame(edges, "src long, dst long").repartition(5)
+    got = {(x["node"], x["component"]) for x in connected_components(frame).collect()}
+    assert got == {(x, c) for x, c in low.items() if x != c or any(x in e and e[0] != e[1] for e in edges)}
