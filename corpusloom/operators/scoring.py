@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import written
-from .token_tables import BUCKET, COMMON_PAIRS, MEASURES, PART, UNIT, bucket_losses, bucketed_pairs, first_counts, listed_counts, token_rows, word_counts
+from .token_tables import BUCKET, COMMON_PAIRS, MEASURES, PART, UNIT, bucket_losses, bucketed_pairs, first_counts, head_rows, listed_counts, token_rows, word_counts
 
 
 class Scorer(Protocol):
@@ -31,8 +31,10 @@ def adapted_counts(base: DataFrame, adapter: DataFrame, scale: float) -> DataFra
     return base.join(more, "tok", "full").select("tok", (F.coalesce("c", F.lit(0)) + F.coalesce("_more", F.lit(0.0))).alias("c"))
 
 
-#: The most frequent tokens of a fitted text, at most so many, are looked up in the tasks; the others are joined.
+#: The most frequent tokens of a fitted text, at most so many, are looked up in the tasks; the others meet their counts in buckets.
 FREQUENT = 200_000
+#: Different words, and words, of a fitted text in one bucket, about.
+BUCKET_TYPES, BUCKET_WORDS = 1 << 16, 1 << 19
 
 
 def least_count(counts: DataFrame, most: int) -> int:
@@ -57,8 +59,11 @@ class UnigramScorer:
 
     def __init__(self, fitted_on: DataFrame, ids: str):
         self._set(written(word_counts(fitted_on, ids)))
-        least = least_count(self.counts.where(F.col("tok").isNotNull()), FREQUENT)
-        self.frequent = self.counts.where((F.col("c") >= least) & F.col("tok").isNotNull()).toArrow()  # at most FREQUENT
+        words = self.counts.where(F.col("tok").isNotNull())
+        least = least_count(words, FREQUENT)
+        self.frequent = words.where(F.col("c") >= least).toArrow()  # at most FREQUENT
+        types, n = words.where(F.col("c") < least).agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+        self.buckets = max(-(-types // BUCKET_TYPES), -(-n // BUCKET_WORDS))
 
     @classmethod
     def of_counts(cls, counts: DataFrame) -> UnigramScorer:
@@ -72,10 +77,12 @@ class UnigramScorer:
         self.totals = counts.agg(F.sum("c").alias("total"), F.count("*").alias("types"))
 
     def _joined(self, rows: DataFrame, key: str, ids: str, measured: bool) -> DataFrame:
-        """(key, head, high, low): the rows of tokens with the parts of k log(c + 1); tokens that the model has not seen add 0."""
+        """(key, head, high, low): parts of the sums of k log(c + 1), in the heads or beside them; tokens that the model has not seen add 0."""
+        if self.frequent is not None:
+            return head_rows(rows, self.counts, key, ids, self.frequent, measured, self.buckets).select(key, "head", F.lit(None).cast("long").alias("high"), F.lit(None).cast("long").alias("low"))
         whole = F.rint(F.log(F.col("c").cast("double") + 1) * UNIT).cast("long")
         parts = self.counts.select("tok", F.shiftright(whole, PART.bit_length() - 1).alias("_h"), whole.bitwiseAND(F.lit(PART - 1)).alias("_l"))
-        per = token_rows(rows, key, ids, self.frequent, measured).join(parts, "tok", "left")
+        per = token_rows(rows, key, ids, measured).join(parts, "tok", "left")
         return per.select(key, "head", (F.col("k") * F.col("_h")).alias("high"), (F.col("k") * F.col("_l")).alias("low"))
 
     def _losses(self, per: DataFrame, key: str, *heads: Column) -> DataFrame:

@@ -12,11 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pandas.util import hash_array
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tokens that are counted together, about.
-STEP = 1 << 21
+#: Tokens that are counted together, about; single words in shorter stretches, whose dictionaries stay in the processor's cache.
+STEP, WORD_STEP = 1 << 21, 1 << 19
 #: Logarithms are added up as whole numbers of 2**-50 in two parts, so sums do not depend on an order.
 PART, UNIT = 1 << 25, 1 << 50
 
@@ -32,8 +33,8 @@ def split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return sizes, words.filter(pc.not_equal(words, "")) if blank.any() else words
 
 
-def steps(batch: pa.RecordBatch, ids: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, pa.Array]]:
-    """(rows, document of each token, its code, dictionary) for stretches of about STEP tokens.
+def steps(batch: pa.RecordBatch, ids: str, step: int = STEP) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, pa.Array]]:
+    """(rows, document of each token, its code, dictionary) for stretches of about ``step`` tokens.
 
     ``ids`` holds lists of tokens, or texts, which are split into words here.
     """
@@ -44,7 +45,7 @@ def steps(batch: pa.RecordBatch, ids: str) -> Iterator[tuple[pa.RecordBatch, np.
     upto = np.cumsum(sizes)
     low = 0
     while low < len(sizes):
-        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + STEP, "right")))
+        high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + step, "right")))
         part = batch.slice(low, high - low)
         n, tokens = split(part.column(ids)) if texts else (sizes[low:high], part.column(ids).flatten())
         encoded = tokens.dictionary_encode(null_encoding="encode")
@@ -68,13 +69,37 @@ def word_counts_by(rows: DataFrame, by: str, ids: str) -> DataFrame:
     return counted.groupBy(F.col("by").alias(by), "tok").agg(F.sum("n").alias("c"))
 
 
+#: Bytes of words that a task holds while it counts.
+HELD = 1 << 26
+
+
+def held_counts(parts: Iterator[tuple[pa.Array, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(tok, n) of a task's stretches of text, given as words and their counts: added up, so that a task lists a word once as long as its words fit into HELD."""
+    held, size = [], 0
+    for words, n in parts:
+        held.append(pa.table({"tok": words.cast(pa.string()), "n": pa.array(n, pa.int64())}))
+        size += held[-1].nbytes
+        if size > HELD:
+            held = [added(held)]
+            size = held[0].nbytes
+            if size > HELD // 2:
+                yield from held[0].to_batches(1 << 17)
+                held, size = [], 0
+    if held:
+        yield from added(held).to_batches(1 << 17)
+
+
+def added(tables: list[pa.Table]) -> pa.Table:
+    """Sums of n by tok, null among them."""
+    out = pa.concat_tables(tables).group_by("tok", use_threads=False).aggregate([("n", "sum")])
+    return pa.table({"tok": out.column("tok"), "n": out.column("n_sum")})
+
+
 def word_counts(rows: DataFrame, ids: str) -> DataFrame:
     """(tok, c): how often each token occurs."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for _, _, codes, words in steps(batch, "ids"):
-                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(np.bincount(codes, minlength=len(words)))], ["tok", "n"])
+        yield from held_counts((words, np.bincount(codes, minlength=len(words))) for batch in it for _, _, codes, words in steps(batch, "ids", WORD_STEP))
 
     return rows.select(F.col(ids).alias("ids")).mapInArrow(batches, "tok string, n long").groupBy("tok").agg(F.sum("n").alias("c"))
 
@@ -143,43 +168,192 @@ def summed(terms: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 MEASURES = ("unique_r", "rep_r", "rep_ng4")
 
 
-def token_rows(rows: DataFrame, key: str, ids: str, frequent: pa.Table | None = None, measured: bool = False) -> DataFrame:
-    """(key, tok, k, head): a row for each document and each of its different tokens, and one with ``head`` for each document.
+class Heads:
+    """What is known of documents from their texts alone: (n, high, low), the tokens and the sum of log(c + 1) over those of ``frequent``, (tok, c), in two parts.
 
-    Tokens of ``frequent``, (tok, c), are not listed; the sum of log(c + 1) over them
-    is in the head's two parts.  Heads have a ``tok`` that begins with a line feed, so
-    they are dealt over all partitions and meet no token.  ``measured`` adds the other
-    columns of the document and its measures of repetition to the head.
+    ``measured`` adds measures of repetition and the other columns of the document.
     """
-    kinds = dict(rows.dtypes)
-    others = [c for c in rows.columns if c != ids] if measured else []
-    more = ", ".join(f"`{c}`: {kinds[c]}" for c in others)
-    schema = f"`{key}` {kinds[key]}, tok string, k long, head struct<n: bigint, high: bigint, low: bigint" + (f", {', '.join(f'{m}: double' for m in MEASURES)}, row: struct<{more}>>" if measured else ">")
-    given = None if frequent is None or not frequent.num_rows else (frequent.column("tok").combine_chunks(), *parts_of(np.log(frequent.column("c").to_numpy().astype(float) + 1)))
 
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, rows: DataFrame, key: str, ids: str, frequent: pa.Table | None, measured: bool):
+        kinds = dict(rows.dtypes)
+        self.key, self.measured = key, measured
+        self.others = [c for c in rows.columns if c != ids] if measured else []
+        more = ", ".join(f"`{c}`: {kinds[c]}" for c in self.others)
+        self.kind = "struct<n: bigint, high: bigint, low: bigint" + (f", {', '.join(f'{m}: double' for m in MEASURES)}, row: struct<{more}>>" if measured else ">")
+        self.names = ["n", "high", "low", *(MEASURES + ("row",) if measured else ())]
+        self.given = None if frequent is None or not frequent.num_rows else (frequent.column("tok").combine_chunks(), *parts_of(np.log(frequent.column("c").to_numpy().astype(float) + 1)))
+
+    def needed(self, rows: DataFrame, ids: str) -> DataFrame:
+        """The columns that ``stretches`` reads."""
+        return rows.select(*(self.others or [self.key]), F.col(ids).alias("_ids"))
+
+    def stretches(self, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.StructArray, np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+        """(keys, heads, document, word, count, words): the last four list the different tokens of each document that are not frequent; documents ascend."""
         for batch in it:
-            for part, doc, codes, words in steps(batch, "_ids"):
+            for part, doc, codes, words in steps(batch, "_ids", WORD_STEP):
                 n, words = part.num_rows, words.cast(pa.string())
                 pairs, k = np.unique(doc * max(1, len(words)) + codes, return_counts=True)
                 of, tok = np.divmod(pairs, max(1, len(words)))
                 high = low = np.zeros(n, np.int64)
                 unlike = np.bincount(of, minlength=n)
-                if given is not None:
-                    place = pc.fill_null(pc.index_in(words, value_set=given[0]), -1).to_numpy(zero_copy_only=False)[tok]
+                if self.given is not None:
+                    place = pc.fill_null(pc.index_in(words, value_set=self.given[0]), -1).to_numpy(zero_copy_only=False)[tok]
                     hit = place >= 0
-                    high, low = (summed(k[hit] * g[place[hit]], of[hit], n) for g in given[1:])
+                    high, low = (summed(k[hit] * g[place[hit]], of[hit], n) for g in self.given[1:])
                     of, tok, k = of[~hit], tok[~hit], k[~hit]
-                keys = part.column(key)
                 fields = [pa.array(np.bincount(doc, minlength=n)), pa.array(high), pa.array(low)]
-                if measured:
-                    fields += [*(pa.array(r, pa.float64()) for r in repetition(doc, codes, unlike, n)), pa.StructArray.from_arrays([part.column(c) for c in others], others)]
-                head = pa.StructArray.from_arrays(fields, ["n", "high", "low", *(MEASURES + ("row",) if measured else ())])
-                named = pc.binary_join_element_wise("\n", pc.fill_null(keys.cast(pa.string()), ""), "")
-                yield pa.RecordBatch.from_arrays([keys, named.cast(pa.string()), pa.nulls(n, pa.int64()), head], [key, "tok", "k", "head"])
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(of)), words.take(pa.array(tok)), pa.array(k), pa.nulls(len(k), head.type)], [key, "tok", "k", "head"])
-
-    return rows.select(*(others or [key]), F.col(ids).alias("_ids")).mapInArrow(batches, schema)
+                if self.measured:
+                    fields += [*(pa.array(r, pa.float64()) for r in repetition(doc, codes, unlike, n)), pa.StructArray.from_arrays([part.column(c) for c in self.others], self.others)]
+                yield part.column(self.key), pa.StructArray.from_arrays(fields, self.names), of, tok, k, words
+
+
+def token_rows(rows: DataFrame, key: str, ids: str, measured: bool = False) -> DataFrame:
+    """(key, tok, k, head): a row for each document and each of its different tokens, and one with ``head`` for each document.
+
+    Heads have a ``tok`` that begins with a line feed, so they are dealt over all
+    partitions and meet no token.
+    """
+    heads = Heads(rows, key, ids, None, measured)
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, head, of, tok, k, words in heads.stretches(it):
+            named = pc.binary_join_element_wise("\n", pc.fill_null(keys.cast(pa.string()), ""), "")
+            yield pa.RecordBatch.from_arrays([keys, named.cast(pa.string()), pa.nulls(len(keys), pa.int64()), head], [key, "tok", "k", "head"])
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(of)), words.take(pa.array(tok)), pa.array(k), pa.nulls(len(k), head.type)], [key, "tok", "k", "head"])
+
+    return heads.needed(rows, ids).mapInArrow(batches, f"`{key}` {dict(rows.dtypes)[key]}, tok string, k long, head {heads.kind}")
+
+
+def buckets_of(words: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each word, by its hash."""
+    return (mixed(hash_array(pc.fill_null(words, "").to_numpy(zero_copy_only=False), categorize=False)) % np.uint64(buckets)).astype(np.int64)
+
+
+def lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    """Lists of these sizes, one after another."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+
+
+def listed(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray | pa.Array]:
+    """The sizes of the lists of a column, a null one being empty, and their values, as numbers where they are such."""
+    x = batch.column(column)
+    values = x.flatten()
+    return pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64), values.to_numpy(zero_copy_only=False) if pa.types.is_integer(values.type) else values
+
+
+def runs(it: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Rows of batches, as long as neighbours have the same value."""
+    for batch in it:
+        x = batch.column(column).to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else []
+        for a, b in zip(edges, edges[1:]):
+            yield batch.slice(a, b - a)
+
+
+def head_rows(rows: DataFrame, counts: DataFrame, key: str, ids: str, frequent: pa.Table, measured: bool, buckets: int) -> DataFrame:
+    """(key, head): a row for each document, whose two parts have the sums of log(c + 1) over all its tokens of ``counts``, (tok, c).
+
+    Tokens of ``frequent`` are looked up at once.  Of each stretch of texts the others are packed by
+    buckets of words, where they meet their counts, and come back as sums for the documents of the
+    stretch; so what is shuffled are a few rows with long lists.  No bucket means that there are no others.
+    """
+    heads = Heads(rows, key, ids, frequent, measured)
+    kind = f"struct<key: {dict(rows.dtypes)[key]}, head: {heads.kind}>"
+    finished = f"`{key}` {dict(rows.dtypes)[key]}, head {heads.kind}"
+    n_buckets = max(1, buckets)
+
+    def named(keys: pa.Array, head: pa.StructArray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, head], [key, "head"])
+
+    if not buckets:
+        return heads.needed(rows, ids).mapInArrow(lambda it: (named(keys, head) for keys, head, *_ in heads.stretches(it)), finished)
+
+    def pack(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for step, (keys, head, of, tok, k, words) in enumerate(heads.stretches(it), first):
+            used = np.unique(tok)
+            bucket = buckets_of(words.take(pa.array(used)), n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            used, bucket = used[order], bucket[order]  # words by their buckets
+            here, sizes = np.unique(bucket, return_counts=True)
+            place = np.zeros(len(words), np.int64)
+            place[used] = np.arange(len(used))
+            group = np.zeros(len(words), np.int64)
+            group[used] = np.repeat(np.arange(len(here)), sizes)
+            order = np.argsort(group[tok].astype(np.int32), kind="stable")  # documents still ascend in each bucket
+            of, tok, k = of[order], tok[order], k[order]
+            places = place[tok] - (np.cumsum(sizes) - sizes)[group[tok]]
+            n = np.bincount(group[tok], minlength=len(here))
+            count, m = len(here), pa.StructArray.from_arrays([keys, head], ["key", "head"])
+            if count:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(here, pa.int32()), pa.array(np.full(count, step)), lists(words.take(pa.array(used)), sizes), lists(pa.array(of, pa.int32()), n),
+                        lists(pa.array(places, pa.int32()), n), lists(pa.array(k, pa.int32()), n), pa.nulls(count, pa.list_(m.type)),
+                    ],
+                    ["bucket", "step", "words", "doc", "word", "k", "heads"],
+                )
+            none = [pa.nulls(1, pa.list_(t)) for t in (pa.string(), pa.int32(), pa.int32(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array([step % n_buckets], pa.int32()), pa.array([step]), *none, lists(m, np.array([len(m)]))], ["bucket", "step", "words", "doc", "word", "k", "heads"])
+
+    def pack_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            bucket = buckets_of(batch.column("tok"), n_buckets)
+            order = pa.array(np.argsort(bucket, kind="stable"))
+            here, sizes = np.unique(bucket, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(here, pa.int32()), lists(batch.column("tok").take(order), sizes), lists(batch.column("c").take(order), sizes)], ["bucket", "words", "c"])
+
+    def meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known, logs, fresh = None, None, None, []  # words of the bucket at hand, which come before its texts
+        for run in runs(it, "bucket"):
+            if run.column("bucket")[0].as_py() != at:
+                at, fresh, known = run.column("bucket")[0].as_py(), [], None
+            counted = pc.is_null(run.column("step"))
+            fresh.append(run.filter(counted))
+            texts = run.filter(pc.invert(counted))
+            if not texts.num_rows:
+                continue
+            if known is None:
+                known = pa.chunked_array([listed(x, "words")[1] for x in fresh], pa.string()).combine_chunks()
+                c = np.concatenate([listed(x, "c")[1] for x in fresh]) if len(known) else np.zeros(0)
+                logs, fresh = parts_of(np.log(c.astype(float) + 1)), []
+            (word_sizes, words), (sizes, doc), (_, word), (_, k) = (listed(texts, x) for x in ("words", "doc", "word", "k"))
+            place = pc.fill_null(pc.index_in(words, value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(texts.num_rows), sizes)
+            place = place[word + (np.cumsum(word_sizes) - word_sizes)[of]] if len(word) else np.zeros(0, np.int64)
+            hit = place >= 0
+            of, doc, k, place = of[hit], doc[hit].astype(np.int64), k[hit].astype(np.int64), place[hit]
+            starts = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (of[1:] != of[:-1])]) if len(doc) else np.zeros(0, np.int64)
+            sums = [np.add.reduceat(k * g[place], starts) if len(doc) else starts for g in logs]
+            n = np.bincount(of[starts], minlength=texts.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [texts.column("step"), lists(pa.array(doc[starts], pa.int32()), n), lists(pa.array(sums[0]), n), lists(pa.array(sums[1]), n), texts.column("heads")],
+                ["step", "doc", "high", "low", "heads"],
+            )
+
+    def finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, head, sums = None, None, None, None
+        for run in runs(it, "step"):
+            if run.column("step")[0].as_py() != at:
+                if at is not None:
+                    yield named(keys, whole(head, sums))
+                at, both = run.column("step")[0].as_py(), listed(run, "heads")[1]  # these come first
+                keys, head = both.field("key"), both.field("head")
+                sums = [head.field(c).to_numpy(zero_copy_only=False).copy() for c in ("high", "low")]
+            doc = listed(run, "doc")[1]
+            for total, c in zip(sums, ("high", "low")):
+                np.add.at(total, doc, listed(run, c)[1])
+        if at is not None:
+            yield named(keys, whole(head, sums))
+
+    def whole(head: pa.StructArray, sums: list[np.ndarray]) -> pa.StructArray:
+        return pa.StructArray.from_arrays([head.field("n"), *map(pa.array, sums), *(head.field(c) for c in heads.names[3:])], heads.names)
+
+    texts = heads.needed(rows, ids).mapInArrow(pack, f"bucket int, step long, words array<string>, doc array<int>, word array<int>, k array<int>, heads array<{kind}>")
+    model = counts.where("tok is not null and c is not null").select("tok", "c").mapInArrow(pack_counts, f"bucket int, words array<string>, c array<{dict(counts.dtypes)['c']}>")
+    met = texts.unionByName(model, allowMissingColumns=True).repartition(n_buckets, "bucket").sortWithinPartitions("bucket", F.col("step").asc_nulls_first())
+    parts = met.mapInArrow(meet, f"step long, doc array<int>, high array<bigint>, low array<bigint>, heads array<{kind}>")
+    return parts.repartition(n_buckets, "step").sortWithinPartitions("step", F.col("heads").isNull()).mapInArrow(finish, finished)
 
 
 #: Pairs that make up more than 1 / COMMON_PAIRS of a fitted text, at most so many, are looked up in the tasks.
