@@ -3,26 +3,34 @@
 Reading.  Partitions are planned from the headers alone: a file of any size is cut
 into ranges of rows of about ``partition_bytes``, so a shard of several gigabytes
 is read by several tasks, and each reads only its bytes; many small files share
-tasks, so that their number grows with the bytes.  Filters on ``shard_key``
-and ``row_idx`` reach the plan: files and rows outside them are never opened or read.
-
-Writing.  Every task writes its shards under a temporary name of the job and tells
-the driver name, shape, size and SHA-256.  Only when all tasks are done are files
-renamed and then the manifest replaced; when one fails, the temporary folder goes
-and what was there stays.  An attempt that is run twice leaves one shard, since
-only the files of committed attempts are renamed.
+tasks, so that their number grows with the bytes.  Of many small files the driver
+holds names and sizes alone; tasks read their headers.  Filters on ``shard_key``
+and ``row_idx`` reach the plan: files and rows outside them are never read.
+
+Writing.  Every task writes its shards under a temporary name of the job, and name,
+shape, size and SHA-256 of each to a list beside them, of which it tells the driver.
+Only when all tasks are done are files renamed and then the manifest replaced; when
+one fails, the temporary folder goes and what was there stays.  An attempt that is
+run twice leaves one shard, since only the files of committed attempts are renamed.
+Lists are merged as streams, so the driver holds no entry of a manifest for long.
 """
 
 from __future__ import annotations
 
 import ast
 import hashlib
+import heapq
+import io
 import json
+import os
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
+from array import array
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -91,7 +99,11 @@ class ArrayFile:
     @classmethod
     def of(cls, store: fs.FileSystem, path: str, size: int, length: int | None, kinds: Iterable[str] = (WRITTEN,)) -> ArrayFile:
         with store.open_input_file(path) as f:
-            kind, shape, begin = array_header(f.read_at(min(size, HEAD), 0))
+            return cls.opened(f, path, size, length, kinds)
+
+    @classmethod
+    def opened(cls, f: pa.NativeFile, path: str, size: int, length: int | None, kinds: Iterable[str] = (WRITTEN,)) -> ArrayFile:
+        kind, shape, begin = array_header(f.read_at(min(size, HEAD), 0))
         if kind not in kinds:
             raise ValueError(f"{path}: tokens must be one of {sorted(kinds)}, not {kind}")
         if len(shape) not in (1, 2):
@@ -113,15 +125,38 @@ class ArrayFile:
         return rows.astype(np.int32)
 
 
-def listed(store: fs.FileSystem, path: str) -> list[fs.FileInfo]:
-    """The array files at or below a path, by name; those under names that begin with ``_`` or ``.`` are left out."""
+def inside(store: fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
+    """(name, size) of what is in a folder; a folder has no size.  A local one is read entry by entry; other stores give their listing whole."""
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for x in found:
+                if x.is_dir() or x.is_file():
+                    yield x.name, None if x.is_dir() else x.stat().st_size
+    else:
+        for f in store.get_file_info(fs.FileSelector(folder)):
+            yield f.base_name, f.size if f.is_file else None
+
+
+def listed(store: fs.FileSystem, path: str) -> Iterator[tuple[str, list[str], np.ndarray]]:
+    """(folder with its last ``/``, names, sizes) of the array files at or below a path, by name; those under names that begin with ``_`` or ``.`` are left out."""
     info = store.get_file_info(path)
     if info.type == fs.FileType.File:
-        return [info]
-    inner = store.get_file_info(fs.FileSelector(path, recursive=True))
-    base = len(path.rstrip("/")) + 1
-    kept = [f for f in inner if f.is_file and f.path.endswith(".npy") and not any(p[:1] in "_." for p in f.path[base:].split("/"))]
-    return sorted(kept, key=lambda f: f.path)
+        yield info.path.removesuffix(info.base_name), [info.base_name], np.array([info.size])
+        return
+    names, sizes, below = [], array("q"), []
+    for name, size in inside(store, path):
+        if name[:1] in "_.":
+            continue
+        if size is None:
+            below.append(name)
+        elif name.endswith(".npy"):
+            names.append(name)
+            sizes.append(size)
+    order = np.argsort(np.array(names, object), kind="stable")
+    folder = f"{path.rstrip('/')}/"
+    yield folder, [names[k] for k in order], np.array(sizes, np.int64)[order]
+    for name in sorted(below):
+        yield from listed(store, folder + name)
 
 
 @dataclass
@@ -144,10 +179,41 @@ class ManyRows(InputPartition):
         super().__init__((self.parts[0].file.key, self.parts[0].low))
 
 
-#: As many ranges as this have tasks of their own; opening a file counts as so many bytes.
+@dataclass
+class ManyFiles(InputPartition):
+    """Whole small files that one task reads, headers and all: (folder with its last ``/``, names joined by ``/``, sizes)."""
+
+    parts: list[tuple[str, str, np.ndarray]]
+
+    def __post_init__(self) -> None:
+        folder, names, _ = self.parts[0]
+        super().__init__((folder, names.partition("/")[0]))
+
+
+#: As many ranges or files as this have tasks of their own; opening a file counts as so many bytes.
 SINGLE, OPENING = 256, 64 << 10
 
 
+def shared_out(folders: list[tuple[str, list[str], np.ndarray]], most: int) -> list[InputPartition]:
+    """Files of folders, in order, put together up to about ``most`` bytes."""
+    out: list[list[tuple[str, str, np.ndarray]]] = []
+    held = 0
+    for folder, names, sizes in folders:
+        upto, low = np.cumsum(sizes + OPENING), 0
+        while low < len(names):
+            before = int(upto[low - 1]) if low else 0
+            high = int(np.searchsorted(upto, before + most - held, "right"))
+            if not out or high <= low and held:
+                out.append([])
+                held = 0
+                continue
+            high = max(low + 1, high)
+            out[-1].append((folder, "/".join(names[low:high]), sizes[low:high].copy()))
+            held += int(upto[high - 1]) - before
+            low = high
+    return [ManyFiles(p) for p in out]
+
+
 def grouped(parts: list[Rows], most: int) -> list[InputPartition]:
     """Ranges, in order, put together up to about ``most`` bytes; a few stay alone."""
     if len(parts) <= SINGLE:
@@ -204,39 +270,57 @@ class ArrayReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         store, path = store_of(self.path)
-        out: list[Rows] = []
-        wanted_files = [f for f in listed(store, path) if self.keys is None or f.path in self.keys]
+        folders = []
+        for folder, names, sizes in listed(store, path):
+            if self.keys is not None:
+                at = [k for k, name in enumerate(names) if folder + name in self.keys]
+                names, sizes = [names[k] for k in at], sizes[at]
+            folders.append((folder, names, sizes))
+        few = sum(len(names) for _, names, _ in folders) <= SINGLE
+        small: list[tuple[str, list[str], np.ndarray]] = []
+        cut: list[tuple[str, int]] = []
+        for folder, names, sizes in folders:
+            whole = np.zeros(len(names), bool) if few else sizes <= self.partition_bytes
+            small.append((folder, [names[k] for k in np.flatnonzero(whole)], sizes[whole]))
+            cut += [(folder + names[k], int(sizes[k])) for k in np.flatnonzero(~whole)]
         with ThreadPoolExecutor(16) as pool:  # waits for headers
-            files = list(pool.map(lambda f: ArrayFile.of(store, f.path, f.size, self.length, self.kinds), wanted_files))
-        for file in files:
-            step = max(1, self.partition_bytes // max(1, file.length * KINDS[file.kind]))
-            low, high = max(0, self.low), min(file.rows, self.high)
-            if self.only is not None:
-                # One range for rows that lie near each other.
-                wanted = sorted(x for x in self.only if low <= x < high)
-                out += [Rows(file, a, b + 1) for a, b in joined(wanted, GAP, step)]
-            else:
-                out += [Rows(file, at, min(at + step, high)) for at in range(low, high, step)]
-        return grouped(out, self.partition_bytes)
-
-    def read(self, partition: Rows | ManyRows | None) -> Iterator[pa.RecordBatch]:
+            files = list(pool.map(lambda f: ArrayFile.of(store, *f, self.length, self.kinds), cut))
+        return shared_out(small, self.partition_bytes) + grouped([part for file in files for part in self._ranges(file)], self.partition_bytes)
+
+    def _ranges(self, file: ArrayFile) -> list[Rows]:
+        step = max(1, self.partition_bytes // max(1, file.length * KINDS[file.kind]))
+        low, high = max(0, self.low), min(file.rows, self.high)
+        if self.only is not None:
+            # One range for rows that lie near each other.
+            wanted = sorted(x for x in self.only if low <= x < high)
+            return [Rows(file, a, b + 1) for a, b in joined(wanted, GAP, step)]
+        return [Rows(file, at, min(at + step, high)) for at in range(low, high, step)]
+
+    def read(self, partition: Rows | ManyRows | ManyFiles | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # no file or no row is left
             return
         store, _ = store_of(self.path)
+        if isinstance(partition, ManyFiles):
+            for folder, names, sizes in partition.parts:
+                for name, size in zip(names.split("/"), sizes.tolist()):
+                    with store.open_input_file(folder + name) as f:
+                        for part in self._ranges(ArrayFile.opened(f, folder + name, size, self.length, self.kinds)):
+                            yield from self._read(f, part)
+            return
         for part in partition.parts if isinstance(partition, ManyRows) else [partition]:
-            yield from self._read(store, part)
+            with store.open_input_file(part.file.key) as f:
+                yield from self._read(f, part)
 
-    def _read(self, store: fs.FileSystem, partition: Rows) -> Iterator[pa.RecordBatch]:
+    def _read(self, f: pa.NativeFile, partition: Rows) -> Iterator[pa.RecordBatch]:
         file = partition.file
         step = max(1, self.batch_bytes // max(1, file.length * KINDS[file.kind]))
-        with store.open_input_file(file.key) as f:
-            for low in range(partition.low, partition.high, step):
-                rows = file.read(f, low, min(low + step, partition.high))
-                at = np.arange(low, low + len(rows))
-                if self.only is not None:
-                    keep = np.isin(at, list(self.only))
-                    at, rows = at[keep], rows[keep]
-                yield batch_of(file.key, at, rows)
+        for low in range(partition.low, partition.high, step):
+            rows = file.read(f, low, min(low + step, partition.high))
+            at = np.arange(low, low + len(rows))
+            if self.only is not None:
+                keep = np.isin(at, list(self.only))
+                at, rows = at[keep], rows[keep]
+            yield batch_of(file.key, at, rows)
 
 
 #: Rows nearer than this are fetched by one read.
@@ -256,9 +340,65 @@ def joined(wanted: list[int], gap: int, most: int) -> list[tuple[int, int]]:
 
 @dataclass
 class Shards(WriterCommitMessage):
-    """What one task wrote: (temporary name, entry of the manifest)."""
+    """What one task wrote: the names of its lists."""
+
+    lists: list[str] = field(default_factory=list)
+
+
+#: Entries of one list, and files that are renamed or deleted in one go, at most.
+LISTED = 1 << 12
+
+
+def place(entry: dict) -> tuple[bool, str, int]:
+    """The manifest's order: train first."""
+    return entry["split"] != "train", entry["split"], entry["shard"]
+
+
+def key_of(split: str, shard: int) -> str:
+    return f"{split}/{PREFIXES.get(split, split)}_{shard:06d}.npy"
+
+
+class Lists:
+    """Entries with the temporary names of their files, null for what was there before, written in lists that are each in the manifest's order."""
 
-    files: list[tuple[str, dict]] = field(default_factory=list)
+    def __init__(self, store: fs.FileSystem, folder: str) -> None:
+        self.store, self.folder = store, folder
+        self.names: list[str] = []
+        self.held: list[tuple[str | None, dict]] = []
+
+    def add(self, name: str | None, entry: dict) -> None:
+        self.held.append((name, entry))
+        if len(self.held) >= LISTED:
+            self.end()
+
+    def end(self) -> list[str]:
+        if self.held:
+            self.names.append(f"{self.folder}/{uuid.uuid4().hex}.jsonl")
+            with self.store.open_output_stream(self.names[-1]) as f:
+                for x in sorted(self.held, key=lambda x: place(x[1])):
+                    f.write(json.dumps(x).encode() + b"\n")
+            self.held = []
+        return self.names
+
+
+def read_list(store: fs.FileSystem, name: str) -> Iterator[tuple[str | None, dict]]:
+    with io.BufferedReader(store.open_input_stream(name), 1 << 15) as f:
+        for line in f:
+            yield json.loads(line)
+
+
+def by_place(store: fs.FileSystem, names: list[str]) -> Iterator[tuple[list[tuple[str, dict]], list[dict]]]:
+    """For each split and shard, in the manifest's order, what lists tell of it: new files with their entries, and entries that were there before."""
+    for _, same in groupby(heapq.merge(*(read_list(store, n) for n in names), key=lambda x: place(x[1])), lambda x: place(x[1])):
+        same = list(same)
+        yield [x for x in same if x[0] is not None], [e for name, e in same if name is None]
+
+
+def in_turn(pool: ThreadPoolExecutor, f: Callable, items: Iterable) -> None:
+    """``f`` of each item, a stretch of them at a time."""
+    it = iter(items)
+    while some := list(islice(it, LISTED)):
+        list(pool.map(f, some))
 
 
 class ArrayWriter(DataSourceArrowWriter):
@@ -272,7 +412,7 @@ class ArrayWriter(DataSourceArrowWriter):
         store, path = store_of(self.path)
         folder = f"{path}/{self.job}"
         store.create_dir(folder)
-        done = Shards()
+        done = Lists(store, folder)
         now: tuple | None = None
         sink = digest = None
         n = 0
@@ -287,7 +427,7 @@ class ArrayWriter(DataSourceArrowWriter):
                 for k, key in enumerate(zip(split, shard, total)):
                     if key != now:
                         if now is not None:
-                            done.files.append(self._close(sink, digest, name, now, n))
+                            done.add(*self._close(sink, digest, name, now, n))
                         now, n, name = key, 0, f"{folder}/{uuid.uuid4().hex}.npy"
                         sink, digest = store.open_output_stream(name), hashlib.sha256()
                         head = header_bytes(WRITTEN, (key[2], self.length))
@@ -300,12 +440,12 @@ class ArrayWriter(DataSourceArrowWriter):
                     digest.update(raw)
                     n += 1
             if now is not None:
-                done.files.append(self._close(sink, digest, name, now, n))
+                done.add(*self._close(sink, digest, name, now, n))
                 sink = None
         finally:
             if sink is not None and not sink.closed:
                 sink.close()
-        return done
+        return Shards(done.end())
 
     def _close(self, sink: pa.NativeFile, digest, name: str, key: tuple, n: int) -> tuple[str, dict]:
         sink.close()
@@ -314,31 +454,61 @@ class ArrayWriter(DataSourceArrowWriter):
             raise ValueError(f"shard {key[:2]} has {n} rows where {total} were announced")
         size = len(header_bytes(WRITTEN, (total, self.length))) + 4 * n * self.length
         return name, {
-            "key": f"{split}/{PREFIXES.get(split, split)}_{shard:06d}.npy", "split": split, "shard": shard, "rows": n, "num_sequences": n, "seq_len": self.length,
+            "key": key_of(split, shard), "split": split, "shard": shard, "rows": n, "num_sequences": n, "seq_len": self.length,
             "num_tokens": n * self.length, "token_count": n * self.length, "dtype": "uint32", "shape": [n, self.length], "bytes": size, "sha256": digest.hexdigest(),
         }
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         store, path = store_of(self.path)
-        files = [f for m in messages if m is not None for f in m.files]
-        entries = {e["key"]: e for _, e in files}
-        if len(entries) < len(files):
-            self.abort(messages)
-            raise ValueError("a shard was written by two tasks")
-        before = {} if self.overwrite else {e["key"]: e for e in read_shard_list(store, path)}
-        if before.keys() & entries.keys():
+        folder = f"{path}/{self.job}"
+        store.create_dir(folder)
+        before, odd = Lists(store, folder), set()  # keys that do not follow from split and shard
+        for e in shard_entries(store, path):
+            before.add(None, e)
+            if e["key"] != key_of(e["split"], e["shard"]):
+                odd.add(e["key"])
+        lists = [n for m in messages if m is not None for n in m.lists] + before.end()
+        splits, tokens, there, again = Counter(), 0, [], set()
+        for new, old in by_place(store, lists):
+            if len(new) > 1:
+                self.abort(messages)
+                raise ValueError("a shard was written by two tasks")
+            for _, e in new:
+                if e["key"] in odd or any(e["key"] == o["key"] for o in old):
+                    there = [*there, e["key"]][:3]
+                again |= {e["key"]} & odd
+            for e in ([] if self.overwrite else old) + [e for _, e in new]:
+                splits[e["split"]] += 1
+                tokens += e["num_tokens"]
+        if there and not self.overwrite:
             self.abort(messages)
-            raise ValueError(f"shards are there already: {sorted(before.keys() & entries.keys())[:3]}")
-        gone = [e["key"] for e in read_shard_list(store, path)] if self.overwrite else []
-        for folder in {f"{path}/{e['key']}".rsplit("/", 1)[0] for _, e in files}:
-            store.create_dir(folder)
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda f: store.move(f[0], f"{path}/{f[1]['key']}"), files))
-        everything = sorted({**before, **entries}.values(), key=lambda e: (e["split"] != "train", e["split"], e["shard"]))
-        put_whole(store, f"{path}/{self.job}/manifest.json", f"{path}/manifest.json", manifest_of(everything, self.length))
-        for key in gone:
-            if key not in entries and store.get_file_info(f"{path}/{key}").is_file:
+            raise ValueError(f"shards are there already: {there}")
+        made: set[str] = set()
+
+        def moves() -> Iterator[tuple[str, str]]:
+            for new, _ in by_place(store, lists):
+                for name, e in new:
+                    target = f"{path}/{e['key']}"
+                    above = target.rsplit("/", 1)[0]
+                    if above not in made:
+                        made.add(above)
+                        store.create_dir(above)
+                    yield name, target
+
+        def gone() -> Iterator[str]:
+            for new, old in by_place(store, lists):
+                yield from (e["key"] for e in old if e["key"] not in again and all(e["key"] != n["key"] for _, n in new))
+
+        def delete(key: str) -> None:
+            if store.get_file_info(f"{path}/{key}").is_file:
                 store.delete_file(f"{path}/{key}")
+
+        with ThreadPoolExecutor(16) as pool:
+            in_turn(pool, lambda m: store.move(*m), moves())
+            everything = (e for new, old in by_place(store, lists) for e in ([] if self.overwrite else old) + [e for _, e in new])
+            put_manifest(store, f"{folder}/manifest.json", f"{path}/manifest.json", manifest_head(splits, tokens, self.length), everything)
+            if self.overwrite:
+                in_turn(pool, delete, gone())
         self._clear(store, path)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -352,28 +522,90 @@ class ArrayWriter(DataSourceArrowWriter):
             store.delete_dir(above)
 
 
-def put_whole(store: fs.FileSystem, temporary: str, target: str, value: dict) -> None:
-    """A JSON file that is there as a whole or not at all."""
+def put_manifest(store: fs.FileSystem, temporary: str, target: str, head: dict, entries: Iterable[dict]) -> None:
+    """A manifest that is there as a whole or not at all; entries are written as they come."""
     with store.open_output_stream(temporary) as f:
-        f.write(json.dumps(value, indent=1).encode())
+        f.write(json.dumps(head, indent=1).removesuffix("\n}").encode() + b',\n "shards": [')
+        some = False
+        for e in entries:
+            f.write((b",\n  " if some else b"\n  ") + json.dumps(e, indent=1).replace("\n", "\n  ").encode())
+            some = True
+        f.write(b"\n ]\n}" if some else b"]\n}")
     store.move(temporary, target)
 
 
-def read_shard_list(store: fs.FileSystem, path: str) -> list[dict]:
-    if not store.get_file_info(f"{path}/manifest.json").is_file:
-        return []
-    with store.open_input_file(f"{path}/manifest.json") as f:
-        return json.loads(f.read())["shards"]
-
-
-def manifest_of(entries: list[dict], length: int) -> dict:
-    splits = [e["split"] for e in entries]
+def manifest_head(splits: Counter, tokens: int, length: int) -> dict:
+    """What a manifest tells besides its entries, from the shards of each split and all tokens."""
     return {
-        "version": VERSION, "seq_len": length, "dtype": "uint32", "total_shards": len(entries), "total_train_shards": splits.count("train"),
-        "total_eval_shards": splits.count("eval"), "total_tokens": sum(e["num_tokens"] for e in entries), "shards": entries,
+        "version": VERSION, "seq_len": length, "dtype": "uint32", "total_shards": sum(splits.values()), "total_train_shards": splits["train"],
+        "total_eval_shards": splits["eval"], "total_tokens": tokens,
     }
 
 
+class Json:
+    """JSON that is read piece by piece."""
+
+    def __init__(self, f: io.TextIOBase) -> None:
+        self.f, self.text, self.at, self.decode = f, "", 0, json.JSONDecoder().raw_decode
+
+    def _more(self) -> None:
+        part = self.f.read(1 << 16)
+        if not part:
+            raise ValueError("no whole JSON")
+        self.text, self.at = self.text[self.at :] + part, 0
+
+    def sign(self) -> str:
+        """The next character that is no white space."""
+        while True:
+            while self.at < len(self.text) and self.text[self.at] in " \t\r\n":
+                self.at += 1
+            if self.at < len(self.text):
+                return self.text[self.at]
+            self._more()
+
+    def passed(self, wanted: str) -> bool:
+        """Whether the next sign is the wanted one, which is then passed over."""
+        here = self.sign() == wanted
+        self.at += here
+        return here
+
+    def value(self):
+        """The next value; something follows it, so one at the end of the text may not be whole."""
+        self.sign()
+        while True:
+            try:
+                value, end = self.decode(self.text, self.at)
+            except ValueError:
+                end = len(self.text)
+            if end < len(self.text) and self.text[end] not in ".eE":
+                self.at = end
+                return value
+            self._more()
+
+
+def shard_entries(store: fs.FileSystem, path: str) -> Iterator[dict]:
+    """The entries of the manifest, one after another; none without a manifest."""
+    if not store.get_file_info(f"{path}/manifest.json").is_file:
+        return
+    with io.TextIOWrapper(io.BufferedReader(store.open_input_stream(f"{path}/manifest.json"), 1 << 16), "utf-8") as f:
+        at = Json(f)
+        at.passed("{")
+        found = False
+        while not at.passed("}"):
+            at.passed(",")
+            name = at.value()
+            at.passed(":")
+            if name != "shards":
+                at.value()
+                continue
+            found = at.passed("[")
+            while not at.passed("]"):
+                yield at.value()
+                at.passed(",")
+        if not found:
+            raise KeyError("shards")
+
+
 class TokenArrays(DataSource):
     """Format ``token_arrays``: options path, length, partition_bytes, kinds."""
 

@@ -174,3 +174,96 @@ def test_verify_finds_what_is_wrong(spark, tmp_path):
     errors = {r.key: r.error for r in A.verify_arrays(spark, out, 6).collect()}
     want = ["missing", "unreadable", "1 dimensions", "rows of 5", "6 rows", "tokens of int64", "digest"]
     assert [errors[n.removeprefix(out + "/")] for n in names] == want
+
+
+def shard_batch(shards, split="eval"):
+    import pyarrow as pa
+
+    n = len(shards)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([split] * n), pa.array(shards, pa.int64()), pa.array([0] * n), pa.array([1] * n), pa.array([[k, k + 1] for k in shards], pa.list_(pa.int32()))],
+        ["split", "shard", "row_idx", "shard_rows", "input_ids"],
+    )
+
+
+def traced(f):
+    """What ``f`` gives, and the most memory, in bytes, that Python held meanwhile."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        return f(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_the_driver_holds_little_of_many_shards(tmp_path, monkeypatch):
+    import pickle
+
+    n, path = 3000, str(tmp_path)
+    monkeypatch.setattr(A, "LISTED", 64, raising=False)
+    writer = A.ArrayWriter({"path": path, "length": "2"}, False)
+    messages = [writer.write(iter([shard_batch(list(range(k, n, 3)))])) for k in range(3)]
+    assert len(pickle.dumps(messages)) < 16 * n
+    _, most = traced(lambda: writer.commit(messages))
+    assert most < 1000 * n
+    text = open(f"{path}/manifest.json").read()
+    manifest = json.loads(text)
+    assert text == json.dumps(manifest, indent=1) and [e["shard"] for e in manifest["shards"]] == list(range(n))
+    assert (manifest["total_shards"], manifest["total_eval_shards"], manifest["total_tokens"]) == (n, n, 2 * n)
+    reader = A.ArrayReader({"path": path})
+    parts, most = traced(reader.partitions)
+    assert most < 1000 * n and len(pickle.dumps(parts)) < 64 * n
+    rows = [(key.rsplit("/", 1)[1], i, ids) for p in parts for b in reader.read(p) for key, i, ids in zip(*(c.to_pylist() for c in b.columns))]
+    assert rows == [(f"holdout_{k:06d}.npy", 0, [k, k + 1]) for k in range(n)]
+
+
+def test_many_small_files_beside_a_large_one(spark, tmp_path):
+    names = [f"{tmp_path}/{'ab'[k % 2]}/{k:03d}.npy" for k in range(300)]
+    for folder in "ab":
+        (tmp_path / folder).mkdir()
+    for k, name in enumerate(names):
+        np.save(name, np.full((k % 3, 4), k, "<u4"))
+    np.save(tmp_path / "large.npy", np.arange(4000, dtype="<u4").reshape(-1, 4))
+    rows = [(name, i, [k] * 4) for k, name in enumerate(names) for i in range(k % 3)] + [(f"{tmp_path}/large.npy", i, list(range(4 * i, 4 * i + 4))) for i in range(1000)]
+    df = A.read_arrays(spark, str(tmp_path), partition_bytes=4096)
+    assert collected(df) == sorted(rows)
+    for condition in ["row_idx = 1", "row_idx in (0, 999)", f"shard_key in ('{names[5]}', '{names[8]}')", "row_idx >= 1 and row_idx < 500"]:
+        assert collected(df.where(condition)) == collected(spark.createDataFrame(rows, A.SCHEMA).where(condition))
+    (tmp_path / "b" / "bad.npy").write_bytes(b"no array at all")
+    with pytest.raises(Exception, match="not an array file"):
+        A.read_arrays(spark, str(tmp_path), partition_bytes=4096).count()
+
+
+def test_a_manifest_is_read_piece_by_piece(tmp_path):
+    store, path = A.store_of(str(tmp_path))
+    assert list(A.shard_entries(store, path)) == []
+    entries = [{"key": f"train/{'é' * (k % 50)}{k}", "shape": [k, {"x": None}], "text": "\\\"]}" * (k % 7), "n": k / 7} for k in range(4000)]
+    for value, indent in [({"a": 1.25, "shards": entries, "z": [1]}, 1), ({"shards": entries}, None), ({"shards": [], "b": "}"}, 3)]:
+        (tmp_path / "manifest.json").write_text(json.dumps(value, indent=indent, ensure_ascii=indent is None), "utf-8")
+        assert list(A.shard_entries(store, path)) == value["shards"]
+    for text, error in [("{}", KeyError), ('{"shards": [{"key": 1}', ValueError), ("", ValueError)]:
+        (tmp_path / "manifest.json").write_text(text)
+        with pytest.raises(error):
+            list(A.shard_entries(store, path))
+
+
+def test_shards_under_other_keys(tmp_path):
+    """A manifest from elsewhere, out of order and with keys of its own: they are kept, told from new ones, and deleted when all is overwritten."""
+    path = str(tmp_path)
+    os.makedirs(f"{path}/eval")
+    old = [{"key": key, "split": "eval", "shard": k, "num_tokens": 2} for key, k in [("eval/holdout_000007.npy", 3), ("eval/mine.npy", 1)]]
+    for e in old:
+        np.save(f"{path}/{e['key']}", np.zeros((1, 2), "<u4"))
+    json.dump({"shards": old}, open(f"{path}/manifest.json", "w"))
+
+    def commit(shards, overwrite):
+        writer = A.ArrayWriter({"path": path, "length": "2"}, overwrite)
+        writer.commit([writer.write(iter([shard_batch(shards)]))])
+        return [e["key"] for e in json.load(open(f"{path}/manifest.json"))["shards"]]
+
+    with pytest.raises(ValueError, match="there already.*holdout_000007"):
+        commit([7], False)
+    assert commit([2, 1], False) == ["eval/mine.npy", "eval/holdout_000001.npy", "eval/holdout_000002.npy", "eval/holdout_000007.npy"]
+    assert commit([7], True) == ["eval/holdout_000007.npy"] and os.listdir(f"{path}/eval") == ["holdout_000007.npy"]
+    assert np.load(f"{path}/eval/holdout_000007.npy").tolist() == [[7, 8]]
